@@ -1,3 +1,3 @@
-from sparkdraft.operators import checks, merge, ordering, reshape
+from sparkdraft.operators import checks, joins, merge, ordering, reshape
 
-__all__ = ["checks", "merge", "ordering", "reshape"]
+__all__ = ["checks", "joins", "merge", "ordering", "reshape"]

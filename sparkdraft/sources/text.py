@@ -21,22 +21,37 @@ from sparkdraft.sources.layout import ContractError, Layout, require_columns
 CSV_TOKEN = r'(?<=^|,)(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^,]*+)'
 
 ORDER_COLUMNS = ("src_file", "src_block", "src_seq")
+BRONZE_DDL = ("src_file string, src_block bigint, src_seq bigint, draft_id string, "
+              "n_fields int, value string")
 
 
 @dataclass(frozen=True)
 class WideSource:
     """Lines of one kind of source file of one dataset, with their header."""
 
-    lines: DataFrame  # src_file, src_block, src_seq, value
+    lines: DataFrame  # columns of BRONZE_DDL
     layout: Layout
     kind: str
 
-    def cells(self, *keep: Column | str) -> DataFrame:
-        """Lines of the right width as ``cells array<string>`` beside the order columns."""
-        return (
-            self.lines.select(*ORDER_COLUMNS, *keep, split_record(F.col("value")).alias("cells"))
-            .where(F.size("cells") == self.layout.width)
-        )
+    def valid(self) -> DataFrame:
+        return self.lines.where(F.col("n_fields") == self.layout.width)
+
+    def cells(self) -> DataFrame:
+        """Lines of the right width with all their ``cells array<string>``."""
+        return self.valid().select(
+            *ORDER_COLUMNS, "draft_id", split_record(F.col("value")).alias("cells"))
+
+    def named(self, *columns: str) -> DataFrame:
+        """Only the given named cells; the split stops behind the last one."""
+        positions = [p for p in map(self.layout.position, columns) if p is not None]
+        limit = max(positions, default=0) + 2
+        split = self.valid().select(
+            *ORDER_COLUMNS, "draft_id", split_record(F.col("value"), limit).alias("cells"))
+        return split.select(*ORDER_COLUMNS, "draft_id", *[
+            self.cell(c).alias(c) for c in columns if c != "draft_id"])
+
+    def with_lines(self, lines: DataFrame) -> "WideSource":
+        return WideSource(lines, self.layout, self.kind)
 
     def cell(self, column: str) -> Column:
         """One named cell of `cells`; NULL when the source lacks the column."""
@@ -44,11 +59,19 @@ class WideSource:
         return F.lit(None).cast("string") if position is None else cell_at(F.lit(position))
 
 
-def split_record(value: Column) -> Column:
-    """Fields of a CSV record; records without a quote take the plain split."""
+def split_record(value: Column, limit: int = -1) -> Column:
+    """Fields of a CSV record; records without a quote take the plain split, which
+    may stop after ``limit`` fields."""
     return F.when(
         F.instr(value, '"') > 0, F.regexp_extract_all(value, F.lit(CSV_TOKEN), F.lit(0))
-    ).otherwise(F.split(value, ","))
+    ).otherwise(F.split(value, ",", limit))
+
+
+def field_count(value: Column) -> Column:
+    plain = F.length(value) - F.length(F.translate(value, ",", "")) + 1
+    return F.when(
+        F.instr(value, '"') > 0, F.regexp_count(value, F.lit(CSV_TOKEN))
+    ).otherwise(plain)
 
 
 def unquote(cell: Column) -> Column:
@@ -98,7 +121,14 @@ def without_header(lines: DataFrame, header_line: str) -> DataFrame:
 def read_wide(spark: SparkSession, path: str, kind: str,
               layout: Layout | None = None) -> WideSource:
     layout = layout or read_header(spark, path)
-    return WideSource(without_header(read_lines(spark, path), layout.line), layout, kind)
+    position = layout.position("draft_id")
+    if position is None:
+        raise ContractError(f"{path} has no draft_id column")
+    lines = without_header(read_lines(spark, path), layout.line)
+    key = unquote(F.get(split_record(F.col("value"), position + 2), F.lit(position)))
+    lines = lines.withColumn("value", F.rtrim(F.col("value"), F.lit("\r"))).select(
+        *ORDER_COLUMNS, key.alias("draft_id"), field_count(F.col("value")).alias("n_fields"), "value")
+    return WideSource(lines, layout, kind)
 
 
 def spread(lines: DataFrame, partitions: int) -> DataFrame:
@@ -118,8 +148,7 @@ def write_bronze(source: WideSource, path: str, partitions: int | None = None) -
 
 def read_bronze(spark: SparkSession, path: str, layout: Layout, kind: str) -> WideSource:
     return WideSource(
-        spark.read.schema("src_file string, src_block bigint, src_seq bigint, value string")
-        .parquet(path), layout, kind)
+        spark.read.schema(BRONZE_DDL).parquet(path), layout, kind)
 
 
 def with_row_numbers(lines: DataFrame, rows: DataFrame) -> DataFrame:
@@ -143,11 +172,7 @@ def with_row_numbers(lines: DataFrame, rows: DataFrame) -> DataFrame:
 
 def width_rejects(lines: DataFrame, width: int) -> DataFrame:
     """Lines whose field count differs from the header, with their line number."""
-    bad = (
-        lines.withColumn("n_fields", F.size(split_record(F.col("value"))))
-        .where(F.col("n_fields") != width)
-        .select(*ORDER_COLUMNS, "n_fields")
-    )
+    bad = lines.where(F.col("n_fields") != width).select(*ORDER_COLUMNS, "n_fields")
     return with_row_numbers(lines, bad).select(
         "src_file", "row_number", "n_fields", F.lit(width).alias("expected"))
 
