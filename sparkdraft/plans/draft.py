@@ -8,7 +8,7 @@ from sparkdraft.functions import clean, keys
 from sparkdraft.operators import checks, ordering, reshape
 from sparkdraft.operators.joins import only_absent, size_checked
 from sparkdraft.sources.layout import PICK_KINDS
-from sparkdraft.sources.text import ORDER_COLUMNS, WideSource, source_order
+from sparkdraft.sources.text import ORDER_COLUMNS, WideSource, source_order, with_line_rank
 
 METADATA = {
     "expansion": "string", "event_type": "string", "draft_time": "timestamp_ntz",
@@ -24,13 +24,13 @@ def draft_index(game_lines: DataFrame) -> DataFrame:
         F.min(source_order()).alias("first_seen"), F.count(F.lit(1)).alias("expected_games"))
 
 
-def numbered_index(index: DataFrame) -> DataFrame:
+def numbered_index(index: DataFrame, game_lines: DataFrame) -> DataFrame:
     """The index with 0-based first-seen numbers."""
     flat = index.select("draft_id", "expected_games", *[
         F.col(f"first_seen.{c}").alias(c) for c in ORDER_COLUMNS])
-    return ordering.dense_index(flat, ["src_file", "src_block", "src_seq"], "draft_index",
-                                rank_by=F.col("src_seq"))\
-        .select("draft_id", "draft_index", "expected_games")
+    ranked = with_line_rank(flat, game_lines)
+    return ordering.dense_index(ranked, ["line_rank"], "draft_index").select(
+        "draft_id", "draft_index", "expected_games")
 
 
 def only_targets(picks: WideSource, index: DataFrame) -> WideSource:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sparkdraft.functions import clean
 from sparkdraft.sources.layout import ContractError, Layout, require_columns
@@ -151,25 +151,41 @@ def read_bronze(spark: SparkSession, path: str, layout: Layout, kind: str) -> Wi
         spark.read.schema(BRONZE_DDL).parquet(path), layout, kind)
 
 
+def _splits(lines: DataFrame) -> DataFrame:
+    """One row per file split: its first row id and row count."""
+    return lines.groupBy("src_file", "src_block").agg(
+        F.min("src_seq").alias("first_seq"), F.count(F.lit(1)).alias("n"))
+
+
 def with_row_numbers(lines: DataFrame, rows: DataFrame) -> DataFrame:
-    """Line number within the file (header = 0) for the few given ``rows``.
+    """Line number within the file (first data line = 1) for the given ``rows``.
 
-    Only per-split counts are aggregated; the window runs over one row per split.
+    The window runs over one row per split, not over lines.
     """
-    from pyspark.sql import Window
-
-    splits = lines.groupBy("src_file", "src_block").agg(
-        F.min("src_seq").alias("first_seq"), F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("src_file").orderBy("src_block").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = splits.withColumn("skipped", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    offsets = _splits(lines).withColumn(
+        "skipped", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     return (
-        rows.join(offsets.drop("n"), ["src_file", "src_block"])
-        .withColumn("row_number", F.col("skipped") + F.col("src_seq") - F.col("first_seq"))
+        rows.join(offsets, ["src_file", "src_block"])
+        .withColumn("row_number", F.col("skipped") + F.col("src_seq") - F.col("first_seq") + 1)
         .drop("skipped", "first_seq")
     )
 
 
+def with_line_rank(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """One number that rises with the source order over all files."""
+    numbered = _splits(lines).select(
+        "src_file", "src_block", "first_seq",
+        F.row_number().over(Window.orderBy("src_file", "src_block")).alias("split_no"))
+    return (
+        rows.join(numbered, ["src_file", "src_block"])
+        .withColumn("line_rank", F.shiftleft(F.col("split_no").cast("bigint"), 33)
+                    + F.col("src_seq") - F.col("first_seq"))
+        .drop("split_no", "first_seq")
+    )
+
+
 def width_rejects(lines: DataFrame, width: int) -> DataFrame:
     """Lines whose field count differs from the header, with their line number."""
     bad = lines.where(F.col("n_fields") != width).select(*ORDER_COLUMNS, "n_fields")
