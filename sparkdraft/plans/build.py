@@ -75,6 +75,8 @@ def build_store(spark: SparkSession, data_dir: str, root: str, *, suffix: str |
     earlier loads stay on disk but are no longer current.
     """
     store = Store(spark, root)
+    if overwrite:
+        store.reset()
     result = BuildResult()
     if datasets is None:
         rows, result.incomplete = discover.find_datasets(spark, data_dir, suffix)
@@ -86,7 +88,7 @@ def build_store(spark: SparkSession, data_dir: str, root: str, *, suffix: str |
                                       ("id", "text"))
     for dataset in datasets:
         fingerprint = ledger.fingerprint(spark, list(dataset.files.values()))
-        known = None if overwrite else store.fingerprint(dataset.dataset_id)
+        known = store.fingerprint(dataset.dataset_id)
         if known is not None and known != fingerprint:
             raise ContractError(f"sources of {dataset.dataset_id} changed since they were "
                                 "ingested; use the original files or overwrite")

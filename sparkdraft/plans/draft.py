@@ -78,7 +78,8 @@ def _with_pick_key(df: DataFrame) -> DataFrame:
     numbered = df.withColumn("pack_number", clean.key_integer(F.col("pack_number"))).withColumn(
         "pick_number", clean.key_integer(F.col("pick_number")))
     return numbered.withColumn("pick_id", keys.pick_key(
-        F.col("draft_id"), F.col("pack_number"), F.col("pick_number")))
+        F.col("draft_id"), F.col("pack_number"), F.col("pick_number"))).where(
+        F.col("pick_id").isNotNull())
 
 
 def draft_picks(picks: WideSource) -> DataFrame:

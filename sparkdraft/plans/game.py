@@ -19,12 +19,13 @@ SHARED_FIELDS = ("on_play", "won", "num_turns", "num_mulligans", "opp_num_mullig
 
 
 def with_game_id(df: DataFrame) -> DataFrame:
-    """Parsed key columns and the game key."""
+    """Parsed key columns and the game key; rows without a valid key are rejects."""
     return (
         df.withColumn("match_number", clean.integer_or_null(F.col("match_number")))
         .withColumn("game_number", clean.integer_or_null(F.col("game_number")))
         .withColumn("game_id", keys.game_key(
             F.col("draft_id"), F.col("match_number"), F.col("game_number")))
+        .where(F.col("game_id").isNotNull() & ~clean.is_missing(F.col("draft_id")))
     )
 
 

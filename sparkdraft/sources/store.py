@@ -24,6 +24,7 @@ from sparkdraft.sources.schema import REPORT_TABLES, TABLES
 LEDGER_DDL = ("dataset_id string, table_name string, load_id string, commit_seq bigint, "
               "fingerprint string, n_rows bigint, committed_at timestamp_ntz")
 SHARED_DATASET = "shared"
+RESET = "*"
 
 
 def _hadoop_exists(spark: SparkSession, path: str) -> bool:
@@ -50,11 +51,18 @@ class Store:
 
     def current_loads(self) -> list[Row]:
         """The latest committed load of every (dataset, table); one row each."""
-        latest = self.ledger().groupBy("dataset_id", "table_name").agg(
+        ledger = self.ledger()
+        reset = ledger.where(F.col("table_name") == RESET).agg(
+            F.coalesce(F.max("commit_seq"), F.lit(0)).alias("m")).head()["m"]
+        latest = ledger.where(F.col("commit_seq") > reset).groupBy("dataset_id", "table_name").agg(
             F.max_by(F.struct("load_id", "fingerprint", "n_rows"), "commit_seq").alias("l"))
         return latest.select("dataset_id", "table_name", "l.*").orderBy(
             "table_name", "dataset_id").collect()
 
+    def reset(self) -> None:
+        """Start over: earlier loads are no longer current. Their files stay."""
+        self.commit([(RESET, RESET, "", "", 0)])
+
     def next_commit(self) -> int:
         return (self.ledger().agg(F.max("commit_seq").alias("m")).head()["m"] or 0) + 1
 
@@ -70,10 +78,8 @@ class Store:
 
     def fingerprint(self, dataset_id: str) -> str | None:
         """Source fingerprint of a committed dataset."""
-        row = (self.ledger().where((F.col("dataset_id") == dataset_id)
-                                   & (F.col("table_name") == "games"))
-               .orderBy(F.desc("commit_seq")).head())
-        return row["fingerprint"] if row else None
+        return next((r["fingerprint"] for r in self.current_loads()
+                     if r["dataset_id"] == dataset_id and r["table_name"] == "games"), None)
 
     # --- tables ---
 
