@@ -47,14 +47,8 @@ def card_name(x: Column) -> Column:
 
 
 def number_or_null(x: Column) -> Column:
-    """Double, or NULL for blank, unparseable and NaN cells.
-
-    A trailing ``d``/``f`` type letter is Java's way to write a number, not the
-    source's, and counts as unparseable.
-    """
-    cell = strip(x)
-    parsed = F.when(~cell.rlike(r"[0-9.][dDfF]$"), cell.try_cast("double"))
-    return F.nullif(parsed, F.lit(float("nan")))
+    """Double, or NULL for blank, unparseable and NaN cells."""
+    return F.nanvl(strip(x).try_cast("double"), F.lit(None).cast("double"))
 
 
 def integer_or_null(x: Column) -> Column:
@@ -111,9 +105,8 @@ def id_tokens(x: Column) -> Column:
     empty = F.array().cast("array<string>")
     cell = strip(x)
     parts = F.when(x.rlike(r"\s"), F.split(cell, r"\s*\|\s*")).otherwise(F.split(x, r"\|"))
-    return F.when(is_missing(x) | F.lower(cell).isin(*NULL_WORDS), empty).otherwise(
-        F.array_remove(parts, "")
-    )
+    return F.coalesce(
+        F.when(~F.lower(cell).isin(*NULL_WORDS), F.array_remove(parts, "")), empty)
 
 
 def id_or_null(token: Column) -> Column:

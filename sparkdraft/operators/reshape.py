@@ -7,13 +7,13 @@ generated code - no join with a dictionary and no regrouping of kinds afterwards
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkdraft.functions import clean
 from sparkdraft.sources.layout import CountColumn, melt_depth, melt_spec
-from sparkdraft.sources.text import cell_at, raw_cell_at
+from sparkdraft.sources.text import cell_at
 
 
 def melt_counts(df: DataFrame, columns: Sequence[CountColumn], kinds: Sequence[str],
@@ -37,7 +37,7 @@ def melt_counts(df: DataFrame, columns: Sequence[CountColumn], kinds: Sequence[s
     touched = F.lit(False)
     for kind in kinds:
         for level in range(depth):
-            raw = raw_cell_at(position(kind, level))
+            raw = cell_at(position(kind, level))
             touched = touched | F.coalesce(~raw.isin(*clean.ZERO_CELLS), F.lit(False))
     counts = []
     for kind in kinds:
@@ -62,10 +62,10 @@ def bad_count_cells(df: DataFrame, columns: Sequence[CountColumn], kinds: Sequen
         return df.select(*keep, F.lit("").alias("kind"), F.lit("").alias("value")).where(F.lit(False))
     spec = ", ".join(f"named_struct('position', {c.position}, 'kind', '{c.kind}')" for c in used)
     one = df.select(*keep, "cells", F.expr(f"explode(array({spec}))").alias("c"))
-    raw = raw_cell_at(F.col("c.position"))
+    raw = cell_at(F.col("c.position"))
     return (
         one.where(~raw.isin(*clean.ZERO_CELLS, "1", "2", "3", "4"))
-        .select(*keep, F.col("c.kind").alias("kind"), cell_at(F.col("c.position")).alias("value"))
+        .select(*keep, F.col("c.kind").alias("kind"), raw.alias("value"))
         .where(clean.bad_count(F.col("value")))
     )
 
@@ -104,20 +104,33 @@ def _name(column: Column) -> str:
     return column._jc.toString().rsplit(" AS ", 1)[-1].strip("`")
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row.
+
+    An expression used inside a lambda is evaluated again for every element; as a
+    lambda variable of a one-element array it is computed a single time.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def multiset(items: Column) -> Column:
     """Array to ``array<struct<item, quantity>>``, runs of the sorted array.
 
     A list cell belongs to one row, so it is counted where it is: sort, find the
     starts of the runs, take the distances. No shuffle, n log n for any length.
     """
-    ordered = F.array_sort(items)
-    starts = F.filter(
-        F.sequence(F.lit(0), F.greatest(F.size(ordered) - 1, F.lit(0))),
-        lambda i: (F.size(ordered) > 0) & ((i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))),
-    )
-    return F.transform(starts, lambda s, j: F.struct(
-        F.get(ordered, s).alias("item"),
-        (F.coalesce(F.get(starts, j + 1), F.size(ordered)) - s).alias("quantity")))
+    def starts_of(ordered: Column) -> Column:
+        positions = F.sequence(F.lit(0), F.greatest(F.size(ordered) - 1, F.lit(0)))
+        return F.filter(positions, lambda i: (F.size(ordered) > 0) & (
+            (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))))
+
+    def runs(ordered: Column, starts: Column) -> Column:
+        return F.transform(starts, lambda s, j: F.struct(
+            F.get(ordered, s).alias("item"),
+            (F.coalesce(F.get(starts, j + 1), F.size(ordered)) - s).alias("quantity")))
+
+    return bind(F.array_sort(items), lambda ordered: bind(
+        starts_of(ordered), lambda starts: runs(ordered, starts)))
 
 
 def same_multiset(a: Column, b: Column) -> Column:
@@ -145,8 +158,11 @@ def final_candidate(candidates: Column, target: Column) -> Column:
     ``candidates`` is array<struct<attempt, items>> in attempt order. The latest one
     with the same multiset as ``target`` is final, otherwise the last one.
     """
-    goal = F.array_sort(target)
-    matching = F.filter(candidates, lambda c: F.array_sort(c["items"]) == goal)
-    attempts = F.transform(matching, lambda c: c["attempt"])
-    everything = F.transform(candidates, lambda c: c["attempt"])
-    return F.coalesce(F.array_max(attempts), F.array_max(everything))
+    def last_attempt(of: Column) -> Column:
+        return F.array_max(F.transform(of, lambda c: c["attempt"]))
+
+    def matching(of: Column) -> Column:
+        return bind(F.array_sort(target), lambda goal: F.filter(
+            of, lambda c: F.array_sort(c["items"]) == goal))
+
+    return bind(candidates, lambda of: F.coalesce(last_attempt(matching(of)), last_attempt(of)))

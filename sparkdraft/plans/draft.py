@@ -74,23 +74,15 @@ def draft_conflicts(picks: WideSource) -> DataFrame:
     return checks.metadata_conflicts(_metadata(picks), ["draft_id"], exact, approx, source_order())
 
 
-def _with_pick_key(df: DataFrame) -> DataFrame:
-    numbered = df.withColumn("pack_number", clean.key_integer(F.col("pack_number"))).withColumn(
-        "pick_number", clean.key_integer(F.col("pick_number")))
-    return numbered.withColumn("pick_id", keys.pick_key(
-        F.col("draft_id"), F.col("pack_number"), F.col("pick_number"))).where(
-        F.col("pick_id").isNotNull())
-
-
 def draft_picks(picks: WideSource) -> DataFrame:
     """One row per pick. The card key is computed from the name, so no join is
     needed; `unknown_picked_cards` finds names that are not canonical cards."""
-    rows = _with_pick_key(picks.named(
-        "pack_number", "pick_number", "pick", "pick_maindeck_rate", "pick_sideboard_in_rate"))
+    rows = picks.named("pack_number", "pick_number", "pick", "pick_maindeck_rate",
+                       "pick_sideboard_in_rate")
     return rows.select(
-        "pick_id", "draft_id",
-        F.col("pack_number").try_cast("smallint").alias("pack_number"),
-        F.col("pick_number").try_cast("smallint").alias("pick_number"),
+        F.col("row_id").alias("pick_id"), "draft_id",
+        clean.key_integer(F.col("pack_number")).try_cast("smallint").alias("pack_number"),
+        clean.key_integer(F.col("pick_number")).try_cast("smallint").alias("pick_number"),
         keys.card_key(F.col("pick")).alias("card_id"),
         clean.number_or_null(F.col("pick_maindeck_rate")).cast("float").alias("pick_maindeck_rate"),
         clean.number_or_null(F.col("pick_sideboard_in_rate")).cast("float")
@@ -99,20 +91,16 @@ def draft_picks(picks: WideSource) -> DataFrame:
 
 def draft_pick_cards(picks: WideSource) -> DataFrame:
     """Offered and owned cards of each pick, sparse, one row per (pick, card)."""
-    cells = picks.cells()
-    keyed = _with_pick_key(cells.select(
-        picks.cell("pack_number").alias("pack_number"),
-        picks.cell("pick_number").alias("pick_number"), "draft_id", "cells"))
     melted = reshape.melt_counts(
-        keyed, picks.layout.count_columns(PICK_KINDS), ["pack", "pool"], ["pick_id"])
-    return melted.select("pick_id", "card_id",
+        picks.cells(), picks.layout.count_columns(PICK_KINDS), ["pack", "pool"], ["row_id"])
+    return melted.select(F.col("row_id").alias("pick_id"), "card_id",
                          F.col("pack").try_cast("smallint").alias("pack_count"),
                          F.col("pool").try_cast("smallint").alias("pool_count"))
 
 
 def pick_rejects(picks: WideSource) -> DataFrame:
     """Pick rows with malformed keys, metadata or counts, with the reason."""
-    named = picks.named("pack_number", "pick_number", *INTEGER_METADATA)
+    named = picks.all_named("pack_number", "pick_number", *INTEGER_METADATA)
     reasons = F.filter(F.array(
         F.when(clean.is_missing(F.col("draft_id")), F.lit("blank draft_id")),
         *[F.when(clean.key_integer(F.col(c)).isNull(), F.lit(f"malformed {c}"))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sparkdraft.functions import clean, keys
 from sparkdraft.operators import checks, ordering, reshape
 from sparkdraft.sources.layout import GAME_KINDS, CountColumn
-from sparkdraft.sources.text import ORDER_COLUMNS, WideSource, cell_at, raw_cell_at, source_order
+from sparkdraft.sources.text import ORDER_COLUMNS, WideSource, cell_at, source_order
 
 STATS = ("opening_hand", "drawn", "tutored")
 DECK = ("deck", "sideboard")
@@ -18,22 +18,9 @@ FLAGS = ("on_play", "won")
 SHARED_FIELDS = ("on_play", "won", "num_turns", "num_mulligans", "opp_num_mulligans")
 
 
-def with_game_id(df: DataFrame) -> DataFrame:
-    """Parsed key columns and the game key; rows without a valid key are rejects."""
-    return (
-        df.withColumn("match_number", clean.integer_or_null(F.col("match_number")))
-        .withColumn("game_number", clean.integer_or_null(F.col("game_number")))
-        .withColumn("game_id", keys.game_key(
-            F.col("draft_id"), F.col("match_number"), F.col("game_number")))
-        .where(F.col("game_id").isNotNull() & ~clean.is_missing(F.col("draft_id")))
-    )
-
-
 def keyed_cells(source: WideSource) -> DataFrame:
     """game_id, draft_id, order and all cells of a game or replay source."""
-    return with_game_id(source.cells().withColumns({
-        "match_number": source.cell("match_number"),
-        "game_number": source.cell("game_number")})).drop("match_number", "game_number")
+    return source.cells().withColumnRenamed("row_id", "game_id")
 
 
 def game_rows(source: WideSource) -> DataFrame:
@@ -41,22 +28,20 @@ def game_rows(source: WideSource) -> DataFrame:
     raw = source.named("match_number", "game_number", "build_index", "game_time", "rank",
                        "opp_rank", "main_colors", "splash_colors", "opp_colors", *FLAGS,
                        "num_turns", "num_mulligans", "opp_num_mulligans")
-    integers = {c: clean.integer_or_null(F.col(c)).try_cast("smallint")
-                for c in INTEGERS if c not in ("match_number", "game_number")}
-    flags = {c: clean.bool_or_null(F.col(c)) for c in FLAGS}
-    texts = {c: clean.text_or_null(F.col(c)) for c in
-             ("rank", "opp_rank", "main_colors", "splash_colors", "opp_colors")}
-    return with_game_id(raw).withColumns(
-        {**integers, **flags, **texts, "game_time": clean.timestamp_or_null(F.col("game_time"))}
-    ).withColumn("build_id", keys.build_key(F.col("draft_id"), F.col("build_index")))
+    parsed = {c: clean.integer_or_null(F.col(c)).try_cast("smallint") for c in INTEGERS}
+    parsed |= {c: clean.bool_or_null(F.col(c)) for c in FLAGS}
+    parsed |= {c: clean.text_or_null(F.col(c)) for c in
+               ("rank", "opp_rank", "main_colors", "splash_colors", "opp_colors")}
+    parsed["game_time"] = clean.timestamp_or_null(F.col("game_time"))
+    return raw.withColumns(parsed).withColumnRenamed("row_id", "game_id").withColumn(
+        "build_id", keys.build_key(F.col("draft_id"), F.col("build_index")))
 
 
 def games(rows: DataFrame, has_build_columns: bool = True) -> DataFrame:
     build = F.col("build_id") if has_build_columns else F.lit(None).cast("bigint")
     return rows.select(
         "game_id", "draft_id", build.alias("build_id"),
-        F.col("match_number").try_cast("smallint").alias("match_number"),
-        F.col("game_number").try_cast("smallint").alias("game_number"), "game_time",
+        "match_number", "game_number", "game_time",
         F.col("on_play").alias("user_on_play"), F.col("won").alias("user_won"),
         F.col("num_turns").alias("source_num_turns"))
 
@@ -109,7 +94,7 @@ def composition(columns: list[CountColumn]) -> Column:
 
     def live(s: Column, kind: str) -> Column:
         return F.exists(s[kind], lambda p: F.coalesce(
-            ~raw_cell_at(p).isin(*clean.ZERO_CELLS), F.lit(False)))
+            ~cell_at(p).isin(*clean.ZERO_CELLS), F.lit(False)))
 
     def count(s: Column, kind: str) -> Column:
         values = F.filter(F.transform(s[kind], lambda p: clean.count_or_zero(cell_at(p))),
@@ -179,12 +164,9 @@ def draft_metadata_conflicts(source: WideSource) -> DataFrame:
 
 def game_rejects(source: WideSource) -> DataFrame:
     """Game rows with malformed keys, integers, flags or counts."""
-    raw = source.named(*INTEGERS, *FLAGS)
-    key_ok = keys.is_valid_game_key(
-        F.col("draft_id"), clean.integer_or_null(F.col("match_number")),
-        clean.integer_or_null(F.col("game_number")))
+    raw = source.all_named(*INTEGERS, *FLAGS)
     reasons = F.filter(F.array(
-        F.when(~key_ok, F.lit("invalid game key")),
+        F.when(F.col("row_id").isNull(), F.lit("invalid game key")),
         *[F.when(clean.bad_integer(F.col(c)), F.lit(f"fractional {c}")) for c in INTEGERS],
         *[F.when(clean.bad_bool(F.col(c)), F.lit(f"malformed {c}")) for c in FLAGS],
     ), lambda r: r.isNotNull())

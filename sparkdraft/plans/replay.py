@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkdraft.functions import clean, keys
 from sparkdraft.operators import reshape
-from sparkdraft.plans.game import FLAGS, SHARED_FIELDS, keyed_cells, with_game_id
+from sparkdraft.plans.game import FLAGS, SHARED_FIELDS, keyed_cells
 from sparkdraft.plans.rules import SIDES, TOTALS, ZONES, event_rule
-from sparkdraft.sources.text import ORDER_COLUMNS, WideSource, cell_at, raw_cell_at
+from sparkdraft.sources.text import ORDER_COLUMNS, WideSource, cell_at
 
 HAND_SIZE = 7
 
@@ -23,11 +23,10 @@ def _sql(value: object, sql_type: str) -> str:
 
 def replay_rows(source: WideSource) -> DataFrame:
     """One parsed row per replayed game: shared fields and the user's buckets."""
-    raw = source.named("match_number", "game_number", *SHARED_FIELDS,
-                       "user_n_games_bucket", "user_game_win_rate_bucket")
+    raw = source.named(*SHARED_FIELDS, "user_n_games_bucket", "user_game_win_rate_bucket")
     parsed = {c: clean.bool_or_null(F.col(c)) if c in FLAGS
               else clean.integer_or_null(F.col(c)).try_cast("smallint") for c in SHARED_FIELDS}
-    return with_game_id(raw).withColumns({
+    return raw.withColumnRenamed("row_id", "game_id").withColumns({
         **parsed,
         "user_n_games_bucket": clean.integer_or_null(F.col("user_n_games_bucket"))
         .try_cast("smallint"),
@@ -79,7 +78,7 @@ def turn_rows(source: WideSource) -> DataFrame:
     one = keyed_cells(source).select("game_id", "cells", F.expr(
         f"explode({_turn_spec(source)})").alias("t"))
     active = F.exists("t.all", lambda p: F.coalesce(
-        clean.is_meaningful(raw_cell_at(p)) & clean.is_meaningful(cell_at(p)), F.lit(False)))
+        clean.is_meaningful(cell_at(p)), F.lit(False)))
 
     def cell(suffix: str) -> Column:
         return cell_at(F.col(f"t.{suffix}"))
@@ -158,11 +157,8 @@ def event_cells(source: WideSource) -> DataFrame:
     """Meaningful cells of event columns with their rule: one narrow stage."""
     one = keyed_cells(source).select("game_id", "cells", F.expr(
         f"explode({_event_spec(source)})").alias("e"))
-    return (
-        one.where(clean.is_meaningful(raw_cell_at(F.col("e.position"))))
-        .select("game_id", "e.*", cell_at(F.col("e.position")).alias("value"))
-        .where(clean.is_meaningful(F.col("value")))
-    )
+    value = cell_at(F.col("e.position"))
+    return one.where(clean.is_meaningful(value)).select("game_id", "e.*", value.alias("value"))
 
 
 def events(cells: DataFrame, arena: DataFrame, abilities: DataFrame) -> DataFrame:
@@ -235,7 +231,8 @@ def candidate_hand_cards(rows: DataFrame, arena: DataFrame) -> DataFrame:
 def hand_reports(rows: DataFrame) -> DataFrame:
     """Games per kind of hand inconsistency, with the game ids."""
     n = F.size("candidates")
-    match = F.exists("candidates", lambda c: reshape.same_multiset(c["items"], F.col("opening")))
+    match = reshape.bind(F.array_sort("opening"), lambda goal: F.exists(
+        "candidates", lambda c: F.array_sort(c["items"]) == goal))
     expected = F.col("num_mulligans") + 1
     reasons = F.filter(F.array(
         F.when(n == 0, F.lit("no usable candidate hand")),
@@ -258,14 +255,10 @@ def game_player_totals(source: WideSource) -> DataFrame:
 
 def replay_rejects(source: WideSource) -> DataFrame:
     """Replay rows with malformed keys, integers, flags or id lists."""
-    raw = source.named("match_number", "game_number", *SHARED_FIELDS, "opening_hand",
-                       "user_n_games_bucket")
-    key_ok = keys.is_valid_game_key(
-        F.col("draft_id"), clean.integer_or_null(F.col("match_number")),
-        clean.integer_or_null(F.col("game_number")))
+    raw = source.all_named(*SHARED_FIELDS, "user_n_games_bucket")
     integers = [f for f in SHARED_FIELDS if f not in FLAGS] + ["user_n_games_bucket"]
     reasons = F.filter(F.array(
-        F.when(~key_ok, F.lit("invalid game key")),
+        F.when(F.col("row_id").isNull(), F.lit("invalid game key")),
         *[F.when(clean.bad_integer(F.col(c)), F.lit(f"fractional {c}")) for c in integers],
         *[F.when(clean.bad_bool(F.col(c)), F.lit(f"malformed {c}")) for c in FLAGS],
     ), lambda r: r.isNotNull())

@@ -8,21 +8,23 @@ block), which survives any later repartitioning.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from sparkdraft.functions import clean
+from sparkdraft.functions import clean, keys
 from sparkdraft.sources.layout import ContractError, Layout, require_columns
 
-# One CSV token: a quoted field (doubled quotes inside) with whatever trails it, or
-# a run without commas. Possessive, so the scan of a line is linear.
-CSV_TOKEN = r'(?<=^|,)(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^,]*+)'
+# One CSV token with its separator: a quoted field (doubled quotes inside), or a run
+# without commas. Possessive, so the scan of a line is linear.
+CSV_TOKEN = r'(?<=^|,)(?:"([^"]*+(?:""[^"]*+)*+)"[^,]*+|([^,]*+))(?:,|\z)'
+# Field separator of rewritten quoted records; a control character.
+UNIT = "\x01"
 
 ORDER_COLUMNS = ("src_file", "src_block", "src_seq")
 BRONZE_DDL = ("src_file string, src_block bigint, src_seq bigint, draft_id string, "
-              "n_fields int, value string")
+              "row_id bigint, n_fields int, value string")
 
 
 @dataclass(frozen=True)
@@ -34,21 +36,29 @@ class WideSource:
     kind: str
 
     def valid(self) -> DataFrame:
-        return self.lines.where(F.col("n_fields") == self.layout.width)
+        """Lines of the right width with a usable natural key; the rest are rejects."""
+        return self.lines.where(
+            (F.col("n_fields") == self.layout.width) & F.col("row_id").isNotNull())
 
     def cells(self) -> DataFrame:
-        """Lines of the right width with all their ``cells array<string>``."""
+        """Valid lines with all their ``cells array<string>``."""
         return self.valid().select(
-            *ORDER_COLUMNS, "draft_id", split_record(F.col("value")).alias("cells"))
+            *ORDER_COLUMNS, "draft_id", "row_id", split_record(F.col("value")).alias("cells"))
 
-    def named(self, *columns: str) -> DataFrame:
+    def named(self, *columns: str, lines: DataFrame | None = None) -> DataFrame:
         """Only the given named cells; the split stops behind the last one."""
         positions = [p for p in map(self.layout.position, columns) if p is not None]
         limit = max(positions, default=0) + 2
-        split = self.valid().select(
-            *ORDER_COLUMNS, "draft_id", split_record(F.col("value"), limit).alias("cells"))
-        return split.select(*ORDER_COLUMNS, "draft_id", *[
-            self.cell(c).alias(c) for c in columns if c != "draft_id"])
+        split = (self.valid() if lines is None else lines).select(
+            *ORDER_COLUMNS, "draft_id", "row_id",
+            split_record(F.col("value"), limit).alias("cells"))
+        return split.select(*ORDER_COLUMNS, "draft_id", "row_id", *[
+            self.cell(c).alias(c) for c in columns])
+
+    def all_named(self, *columns: str) -> DataFrame:
+        """`named` over every line of the right width, also those without a key."""
+        return self.named(*columns, lines=self.lines.where(
+            F.col("n_fields") == self.layout.width))
 
     def with_lines(self, lines: DataFrame) -> "WideSource":
         return WideSource(lines, self.layout, self.kind)
@@ -60,11 +70,16 @@ class WideSource:
 
 
 def split_record(value: Column, limit: int = -1) -> Column:
-    """Fields of a CSV record; records without a quote take the plain split, which
-    may stop after ``limit`` fields."""
-    return F.when(
-        F.instr(value, '"') > 0, F.regexp_extract_all(value, F.lit(CSV_TOKEN), F.lit(0))
-    ).otherwise(F.split(value, ",", limit))
+    """Fields of a CSV record.
+
+    Records without a quote take the plain split, which may stop after ``limit``
+    fields. Quoted records are first rewritten in one linear pass: quotes go, the
+    separating commas become a control character. Their array has one spare empty
+    element at the end, which no position points to.
+    """
+    plain = F.regexp_replace(value, CSV_TOKEN, f"$1$2{UNIT}")
+    quoted = F.split(F.replace(plain, F.lit('""'), F.lit('"')), UNIT, limit)
+    return F.when(F.instr(value, '"') > 0, quoted).otherwise(F.split(value, ",", limit))
 
 
 def field_count(value: Column) -> Column:
@@ -74,17 +89,8 @@ def field_count(value: Column) -> Column:
     ).otherwise(plain)
 
 
-def unquote(cell: Column) -> Column:
-    inner = F.regexp_extract(cell, r'(?s)^"((?:[^"]*+(?:"")?+)*+)"', 1)
-    return F.when(cell.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(cell)
-
-
-def raw_cell_at(position: Column) -> Column:
-    return F.get(F.col("cells"), position)
-
-
 def cell_at(position: Column) -> Column:
-    return unquote(raw_cell_at(position))
+    return F.get(F.col("cells"), position)
 
 
 def source_order() -> Column:
@@ -118,17 +124,46 @@ def without_header(lines: DataFrame, header_line: str) -> DataFrame:
     return lines.where(F.rtrim(F.col("value"), F.lit("\r")) != header_line)
 
 
+def natural_key(kind: str, cell: Callable[[str], Column]) -> Column:
+    """Key of a source row: the pick key, or the game key of game and replay rows.
+    NULL if a part of it is blank or malformed."""
+    draft_id = F.when(~clean.is_missing(cell("draft_id")), cell("draft_id"))
+    if kind == "draft":
+        return keys.pick_key(draft_id, clean.key_integer(cell("pack_number")),
+                             clean.key_integer(cell("pick_number")))
+    return keys.game_key(draft_id, clean.integer_or_null(cell("match_number")),
+                         clean.integer_or_null(cell("game_number")))
+
+
+KEY_CELLS = {"draft": ("draft_id", "pack_number", "pick_number"),
+             "game": ("draft_id", "match_number", "game_number"),
+             "replay": ("draft_id", "match_number", "game_number")}
+
+
+def keyed_lines(lines: DataFrame, layout: Layout, kind: str) -> DataFrame:
+    """Lines (order columns and value) with draft id, row key and field count.
+
+    The key is hashed here, once per source row, and stored with the line: every
+    later pass reads it, and its filters reach the stored columns.
+    """
+    require_columns(layout.columns, KEY_CELLS[kind], f"{kind} source")
+    positions = {c: layout.position(c) for c in KEY_CELLS[kind]}
+    split = split_record(F.col("value"), max(positions.values()) + 2)
+    parsed = lines.withColumn("cells", split).select(
+        *ORDER_COLUMNS, "value",
+        *[cell_at(F.lit(p)).alias(f"_{c}") for c, p in positions.items()])
+    return parsed.select(
+        *ORDER_COLUMNS, F.col("_draft_id").alias("draft_id"),
+        natural_key(kind, lambda c: F.col(f"_{c}")).alias("row_id"),
+        field_count(F.col("value")).alias("n_fields"), "value")
+
+
 def read_wide(spark: SparkSession, path: str, kind: str,
               layout: Layout | None = None) -> WideSource:
     layout = layout or read_header(spark, path)
-    position = layout.position("draft_id")
-    if position is None:
-        raise ContractError(f"{path} has no draft_id column")
-    lines = without_header(read_lines(spark, path), layout.line)
-    key = unquote(F.get(split_record(F.col("value"), position + 2), F.lit(position)))
-    lines = lines.withColumn("value", F.rtrim(F.col("value"), F.lit("\r"))).select(
-        *ORDER_COLUMNS, key.alias("draft_id"), field_count(F.col("value")).alias("n_fields"), "value")
-    return WideSource(lines, layout, kind)
+    lines = without_header(read_lines(spark, path), layout.line).withColumn(
+        "value", F.rtrim(F.col("value"), F.lit("\r")))
+    return WideSource(keyed_lines(lines, layout, kind), layout, kind)
 
 
 def spread(lines: DataFrame, partitions: int) -> DataFrame:
