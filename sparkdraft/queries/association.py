@@ -1,0 +1,141 @@
+"""Association and factorisation: an order is a build, a part name a card."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from sparkdraft.functions import keys
+from sparkdraft.plans import assoc, factor
+from sparkdraft.queries.cleaning import CARD_ID
+from sparkdraft.queries.registry import query, table
+
+EXCLUDED = ("red widget",)
+
+
+def model(spark: SparkSession, sf: str, draft: str = "o_orderkey"):
+    """(deck_builds, deck_build_cards, cards) from orders, lines and parts."""
+    orders, li, part = (table(spark, sf, t) for t in ("orders", "lineitem", "part"))
+    names = part.select("p_partkey", "p_name")
+    # Count names first; the key is hashed once per (order, name).
+    counted = li.select("l_orderkey", "l_partkey").join(
+        names, F.col("l_partkey") == F.col("p_partkey")).groupBy("l_orderkey", "p_name").agg(
+        F.count(F.lit(1)).cast("smallint").alias("deck_count"))
+    cards = names.select("p_name").distinct().select(
+        keys.card_key(F.col("p_name")).alias("card_id"), F.col("p_name").alias("card_name"))
+    build_cards = counted.select(F.col("l_orderkey").alias("build_id"),
+                                 keys.card_key(F.col("p_name")).alias("card_id"), "deck_count")
+    builds = orders.select(F.col("o_orderkey").alias("build_id"), F.col(draft).alias("draft_id"))
+    return builds, build_cards, cards
+
+
+def _seen(k: str) -> str:
+    """SQL for C(40-k, 10) / C(40, 10) as the product of (30-i) / (40-i), i < k."""
+    return (f"CASE WHEN 40 - {k} >= 10 THEN list_product(list_transform(range({k}), "
+            "lambda i: (30 - i) / (40.0::DOUBLE - i))) ELSE 0.0 END")
+
+
+def _assoc_sql(draft: str) -> str:
+    return f"""
+    bc AS (SELECT {draft} AS draft_id, o_orderkey AS build_id, {CARD_ID} AS card_id, count(*) AS k
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+           WHERE p_name NOT IN ('{EXCLUDED[0]}') GROUP BY ALL),
+    n AS (SELECT count(DISTINCT {draft})::DOUBLE AS n FROM orders),
+    cp AS (SELECT card_id, sum(p) / any_value(n) AS p_card FROM (
+             SELECT draft_id, card_id, max(1.0 - {_seen("k")}) AS p FROM bc GROUP BY ALL), n
+           GROUP BY card_id),
+    pp AS (SELECT card_a_id, card_b_id, sum(p) / any_value(n) AS p_ab FROM (
+             SELECT a.draft_id, a.card_id AS card_a_id, b.card_id AS card_b_id,
+                    max(1.0 - {_seen("a.k")} - {_seen("b.k")} + {_seen("(a.k + b.k)")}) AS p
+             FROM bc a JOIN bc b ON a.build_id = b.build_id AND a.card_id < b.card_id GROUP BY ALL), n
+           GROUP BY ALL),
+    pmi AS (SELECT card_a_id, card_b_id, p_ab, ap.p_card AS p_a, bp.p_card AS p_b,
+                   ln(p_ab / (ap.p_card * bp.p_card)) AS pmi
+            FROM pp JOIN cp ap ON ap.card_id = card_a_id JOIN cp bp ON bp.card_id = card_b_id
+            WHERE p_ab > 1e-5 AND ap.p_card > 0 AND bp.p_card > 0)"""
+
+
+_PMI_COLUMNS = """card_a_id, card_b_id, round(p_ab, 7) AS p_ab, round(p_a, 7) AS p_a,
+    round(p_b, 7) AS p_b, round(pmi, 7) AS pmi"""
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    numbers = [c for c in df.columns if c not in ("card_a_id", "card_b_id", "card_id")]
+    return df.withColumns({c: F.round(c, 7) for c in numbers})
+
+
+@query("assoc_items", f"""
+    SELECT DISTINCT {CARD_ID} AS card_id, p_name AS card_name FROM part
+    WHERE p_name NOT IN ('{EXCLUDED[0]}') AND p_partkey IN (SELECT l_partkey FROM lineitem)""")
+def assoc_items(spark: SparkSession, sf: str) -> DataFrame:
+    _, build_cards, cards = model(spark, sf)
+    return assoc.item_table(build_cards, cards, EXCLUDED)
+
+
+@query("assoc_prob", f"WITH {_assoc_sql('o_custkey')} SELECT card_id, round(p_card, 7) AS p_card FROM cp")
+def assoc_prob(spark: SparkSession, sf: str) -> DataFrame:
+    builds, build_cards, cards = model(spark, sf, "o_custkey")
+    rows = assoc.build_cards(builds, build_cards, cards, EXCLUDED)
+    return _rounded(assoc.probabilities(rows, builds)[0])
+
+
+@query("assoc_pmi", f"WITH {_assoc_sql('o_orderkey')} SELECT {_PMI_COLUMNS} FROM pmi")
+def assoc_pmi(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(assoc.pmi_pairs(*model(spark, sf), excluded=EXCLUDED))
+
+
+@query("assoc_pmi_by_customer", f"WITH {_assoc_sql('o_custkey')} SELECT {_PMI_COLUMNS} FROM pmi")
+def assoc_pmi_by_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """Several builds per draft: only the strongest one counts."""
+    return _rounded(assoc.pmi_pairs(*model(spark, sf, "o_custkey"), excluded=EXCLUDED))
+
+
+def _ppmi(spark: SparkSession, sf: str) -> DataFrame:
+    return assoc.ppmi_pairs(assoc.pmi_pairs(*model(spark, sf), excluded=EXCLUDED))
+
+
+@query("assoc_ppmi", f"""
+    WITH {_assoc_sql('o_orderkey')}
+    SELECT card_a_id, card_b_id, round(pmi, 7) AS ppmi FROM pmi WHERE pmi > 0""")
+def assoc_ppmi(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(_ppmi(spark, sf).select("card_a_id", "card_b_id", "ppmi"))
+
+
+def _entries(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(item index, matrix entries)."""
+    _, build_cards, cards = model(spark, sf)
+    items = factor.item_index(assoc.item_table(build_cards, cards, EXCLUDED))
+    return items, factor.matrix_entries(_ppmi(spark, sf), items)
+
+
+@query("ppmi_matrix", f"""
+    WITH {_assoc_sql('o_orderkey')}, items AS (
+        SELECT card_id, row_number() OVER (ORDER BY card_id) - 1 AS idx
+        FROM (SELECT DISTINCT card_id FROM bc)),
+    half AS (SELECT a.idx AS i, b.idx AS j, round(pmi, 7) AS value FROM pmi
+             JOIN items a ON a.card_id = card_a_id JOIN items b ON b.card_id = card_b_id WHERE pmi > 0)
+    SELECT i, j, value FROM half UNION ALL SELECT j, i, value FROM half""")
+def ppmi_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    return _entries(spark, sf)[1].withColumn("value", F.round("value", 7))
+
+
+def _decomposed(spark: SparkSession, sf: str, components: int = 64):
+    items, entries = _entries(spark, sf)
+    entries = entries.persist()  # narrow: one row per positive pair and side
+    return items, entries, factor.decompose(entries, items.count(), components)
+
+
+@query("svd_sigma")
+def svd_sigma(spark: SparkSession, sf: str) -> DataFrame:
+    return _decomposed(spark, sf)[2].sigma
+
+
+@query("svd_factors")
+def svd_factors(spark: SparkSession, sf: str) -> DataFrame:
+    items, _, d = _decomposed(spark, sf)
+    return items.join(d.u, "idx").select("card_id", "card_name", "u")
+
+
+@query("explained_variance")
+def explained_variance(spark: SparkSession, sf: str) -> DataFrame:
+    _, entries, d = _decomposed(spark, sf, 16)
+    return factor.explained_variance(d, entries)

@@ -1,0 +1,97 @@
+"""Reports, manifests and incremental ingest."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from sparkdraft.functions.keys import deterministic_key
+from sparkdraft.queries.registry import query, sql_key, table
+from sparkdraft.session import work_dir
+from sparkdraft.sources import store
+from sparkdraft.streaming import ledger
+from sparkdraft.streaming.ingest import IncrementalTable, ingest_files
+
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+@query("row_counts", "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES))
+def row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return store.row_counts({t: table(spark, sf, t) for t in TABLES}, TABLES)
+
+
+@query("parameter_query", """
+    SELECT o_orderpriority, count(*) AS n_orders, count(DISTINCT o_custkey) AS n_customers
+    FROM orders WHERE o_totalprice > 1000 AND o_orderstatus <> 'P' GROUP BY o_orderpriority""")
+def parameter_query(spark: SparkSession, sf: str) -> DataFrame:
+    table(spark, sf, "orders").createOrReplaceTempView("orders_store")
+    return store.query(spark, """
+        SELECT o_orderpriority, count(*) AS n_orders, count(DISTINCT o_custkey) AS n_customers
+        FROM orders_store WHERE o_totalprice > ? AND o_orderstatus <> ? GROUP BY o_orderpriority""",
+        [1000, "P"])
+
+
+# Tables whose columns print the same way in Spark and SQL.
+HASHED = {
+    "nation": ("n_nationkey", "n_name", "n_regionkey"),
+    "labels": ("doc_id", "quality", "toxic"),
+    "conversations": ("conv_id", "turn", "role", "text"),
+    "documents": ("doc_id", "text", "lang", "source", "n_chars"),
+}
+
+
+def _manifest_sql(name: str, columns: tuple[str, ...]) -> str:
+    key = sql_key(*[f"{c}::VARCHAR" for c in columns])
+    return (f"SELECT '{name}' AS table_name, count(*) AS row_count, bit_xor({key}) AS hash_xor, "
+            f"sum({key} & 4294967295)::BIGINT AS hash_sum FROM {name}")
+
+
+@query("manifest", "\nUNION ALL ".join(_manifest_sql(n, c) for n, c in HASHED.items()))
+def manifest(spark: SparkSession, sf: str) -> DataFrame:
+    parts = [store.content_manifest(
+        table(spark, sf, n), n, deterministic_key(*[F.col(c) for c in columns]))
+        for n, columns in HASHED.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionAll(part)
+    return out
+
+
+EVENTS_DDL = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string")
+
+
+def _keyed(df: DataFrame) -> DataFrame:
+    key: Column = deterministic_key("event", F.col("event_id"))
+    return df.select(key.alias("row_key"), "event_id", "ts", "user_id", "event_type", "value")
+
+
+@query("stream_ingest", f"""
+    SELECT {sql_key("'event'", "event_id::VARCHAR")} AS row_key, event_id, ts, user_id, event_type, value
+    FROM events""")
+def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """The event file is ingested twice: the second stream sees the same rows again
+    and must add none of them."""
+    root = work_dir(spark, "ingest")
+    target = IncrementalTable(
+        spark, f"{root}/table", "row_key bigint, event_id bigint, ts timestamp_ntz, "
+        "user_id bigint, event_type string, value double", ["row_key"])
+    for run in ("first", "second"):
+        ingest_files(spark, sf, EVENTS_DDL, target, f"{root}/{run}", _keyed,
+                     pathGlobFilter="events.parquet")
+    return target.rows()
+
+
+@query("draft_progress", """
+    WITH e AS (SELECT o_custkey, count(*) AS expected FROM orders GROUP BY o_custkey),
+    p AS (SELECT o_custkey, count(*) AS processed FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_custkey)
+    SELECT o_custkey, expected, coalesce(processed, 0) AS processed,
+           coalesce(processed, 0) = expected AS completed FROM e LEFT JOIN p USING (o_custkey)""")
+def draft_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """Progress after two increments of orders."""
+    orders = table(spark, sf, "orders")
+    start = orders.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("expected")).withColumn("processed", F.lit(0).cast("bigint"))
+    once = ledger.merge_progress(start, orders.where(F.col("o_orderstatus") == "F"), "o_custkey")
+    return ledger.merge_progress(once, orders.where(F.col("o_orderstatus") == "O"), "o_custkey")

@@ -32,6 +32,14 @@ class IncrementalTable:
         df = self.spark.read.schema(self.ddl + ", batch bigint").parquet(self.path)
         return (df if before is None else df.where(F.col("batch") < before)).drop("batch")
 
+    def next_batch(self) -> int:
+        """A batch number above all written ones, for a stream that starts afresh."""
+        if not _hadoop_exists(self.spark, self.path):
+            return 0
+        last = self.spark.read.schema(self.ddl + ", batch bigint").parquet(self.path).agg(
+            F.max("batch").alias("m")).head()["m"]
+        return 0 if last is None else last + 1
+
     def write_batch(self, df: DataFrame, batch_id: int, kinds: Mapping[str, str] = {},
                     mode: str = "strict") -> None:
         stored = self.rows(before=batch_id)
