@@ -62,11 +62,10 @@ def decompose(entries: DataFrame, n_items: int, components: int) -> Decompositio
     rows = CoordinateMatrix(java, n_items, n_items).toIndexedRowMatrix()
     svd = rows.computeSVD(k, computeU=True)
     sigma = [float(s) for s in svd.s.toArray()]
-    found = len(sigma)
-    sigma += [0.0] * (k - found)
+    sigma += [0.0] * (k - len(sigma))
     raw = callMLlibFunc("getIndexedRows", svd.U._java_matrix_wrapper._java_model).select(
         F.col("index").alias("idx"), vector_to_array("vector").alias("u"))
-    u = _fix_signs(raw, found)
+    u = _fix_signs(raw)
     # Items without any pair have no matrix row: their U row is zero.
     all_rows = spark.range(n_items).select(F.col("id").alias("idx"))
     zeros = F.array_repeat(F.lit(0.0), k)
@@ -76,13 +75,14 @@ def decompose(entries: DataFrame, n_items: int, components: int) -> Decompositio
     return Decomposition(u, sigma_df, n_items, n_nonzero, k)
 
 
-def _fix_signs(u: DataFrame, k: int) -> DataFrame:
-    """Flip columns so that the entry of largest magnitude is positive (one small
-    aggregate of k numbers decides)."""
-    extremes = u.agg(*[f(F.get("u", F.lit(c))).alias(f"{n}_{c}") for c in range(k)
-                       for f, n in ((F.min, "lo"), (F.max, "hi"))]).head()
-    signs = [F.lit(-1.0 if -extremes[f"lo_{c}"] > extremes[f"hi_{c}"] else 1.0) for c in range(k)]
-    return u.select("idx", F.zip_with("u", F.array(*signs), lambda x, s: x * s).alias("u"))
+def _fix_signs(u: DataFrame) -> DataFrame:
+    """Flip columns so that the entry of largest magnitude is positive. What is
+    gathered is one sign per component."""
+    column = u.select(F.posexplode("u").alias("k", "x")).groupBy("k").agg(
+        F.when(-F.min("x") > F.max("x"), -1.0).otherwise(1.0).alias("sign"))
+    signs = column.agg(F.array_sort(F.collect_list(F.struct("k", "sign"))).alias("s"))
+    signed = F.zip_with("u", "signs", lambda x, s: x * s["sign"])
+    return u.withColumn("signs", signs.scalar()).select("idx", signed.alias("u"))
 
 
 def non_finite(d: Decomposition) -> DataFrame:

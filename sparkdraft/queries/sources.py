@@ -78,7 +78,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
         spark, f"{root}/table", "row_key bigint, event_id bigint, ts timestamp_ntz, "
         "user_id bigint, event_type string, value double", ["row_key"])
     for run in ("first", "second"):
-        ingest_files(spark, sf, EVENTS_DDL, target, f"{root}/{run}", _keyed,
+        ingest_files(spark, sf, EVENTS_DDL, target, f"{root}/{run}", _keyed, name=run,
                      pathGlobFilter="events.parquet")
     return target.rows()
 

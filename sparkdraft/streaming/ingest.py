@@ -19,53 +19,60 @@ from sparkdraft.sources.store import _hadoop_exists
 
 @dataclass(frozen=True)
 class IncrementalTable:
-    """Target of a stream: ``<path>/batch=<n>`` folders of one schema."""
+    """Target of streams: ``<path>/stream=<name>/batch=<n>`` folders of one schema."""
 
     spark: SparkSession
     path: str
     ddl: str
     key: Sequence[str]
 
-    def rows(self, before: int | None = None) -> DataFrame:
+    def rows(self, without: tuple[str, int] | None = None) -> DataFrame:
+        """All rows, or all but those of one (stream, batch)."""
         if not _hadoop_exists(self.spark, self.path):
             return self.spark.createDataFrame([], self.ddl)
-        df = self.spark.read.schema(self.ddl + ", batch bigint").parquet(self.path)
-        return (df if before is None else df.where(F.col("batch") < before)).drop("batch")
+        df = self.spark.read.schema(self.ddl + ", stream string, batch bigint").parquet(self.path)
+        if without is not None:
+            stream, batch = without
+            df = df.where((F.col("stream") != stream) | (F.col("batch") != batch))
+        return df.drop("stream", "batch")
 
-    def next_batch(self) -> int:
-        """A batch number above all written ones, for a stream that starts afresh."""
-        if not _hadoop_exists(self.spark, self.path):
-            return 0
-        last = self.spark.read.schema(self.ddl + ", batch bigint").parquet(self.path).agg(
-            F.max("batch").alias("m")).head()["m"]
-        return 0 if last is None else last + 1
-
-    def write_batch(self, df: DataFrame, batch_id: int, kinds: Mapping[str, str] = {},
-                    mode: str = "strict") -> None:
-        stored = self.rows(before=batch_id)
+    def write_batch(self, df: DataFrame, stream: str, batch: int,
+                    kinds: Mapping[str, str] = {}, mode: str = "strict") -> None:
+        """Insert the rows of a batch whose key is new; a repeated batch replaces
+        its own earlier attempt."""
+        first = not _hadoop_exists(self.spark, self.path)
         columns = [c for c in df.columns if c not in self.key]
-        fresh, differing = merge.insert_or_validate(
-            stored, df, self.key, columns, kinds, validate_existing=batch_id > 0)
-        checks.enforce(checks.combine([
-            checks.finding(checks.duplicate_keys(df.distinct(), self.key),
-                           "one key with different rows in a batch", "fatal", self.path),
-            checks.finding(differing, "differs from stored rows", "fatal", self.path),
-        ]), mode)
-        fresh.distinct().write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        rows = df.distinct().persist()
+        try:
+            fresh, differing = merge.insert_or_validate(
+                self.rows(without=(stream, batch)), rows, self.key, columns, kinds,
+                validate_existing=not first)
+            checks.enforce(checks.combine([
+                checks.finding(checks.duplicate_keys(rows, self.key),
+                               "one key with different rows in a batch", "fatal", self.path),
+                checks.finding(differing, "differs from stored rows", "fatal", self.path),
+            ]), mode)
+            fresh.write.mode("overwrite").parquet(f"{self.path}/stream={stream}/batch={batch}")
+        finally:
+            rows.unpersist()
 
 
 def ingest_files(spark: SparkSession, source: str, schema: str, target: IncrementalTable,
                  checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None,
-                 file_format: str = "parquet", max_files: int | None = None,
-                 kinds: Mapping[str, str] = {}, mode: str = "strict", **options: str) -> int:
-    """Ingest all files not seen before, then stop; returns the number of batches."""
+                 name: str = "files", file_format: str = "parquet",
+                 max_files: int | None = None, kinds: Mapping[str, str] = {},
+                 mode: str = "strict", **options: str) -> int:
+    """Ingest all files not seen before, then stop; returns the number of batches.
+
+    ``name`` belongs to the checkpoint: a new checkpoint needs a new name.
+    """
     reader = spark.readStream.schema(schema).format(file_format).options(**options)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     stream = reader.load(source)
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        target.write_batch(transform(df) if transform else df, batch_id, kinds, mode)
+        target.write_batch(transform(df) if transform else df, name, batch_id, kinds, mode)
 
     q = (stream.writeStream.foreachBatch(on_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
