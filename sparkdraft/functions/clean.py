@@ -25,7 +25,9 @@ _BLANKS = " \t\r\n\x0b\x0c"
 
 
 def strip(x: Column) -> Column:
-    return F.trim(x, F.lit(_BLANKS))
+    """Without blanks at both ends. Two comparisons decide whether there are any:
+    every blank sorts before ``!``."""
+    return F.when((x < "!") | (F.substring(x, -1, 1) < "!"), F.trim(x, F.lit(_BLANKS))).otherwise(x)
 
 
 def is_missing(x: Column) -> Column:
@@ -47,32 +49,48 @@ def card_name(x: Column) -> Column:
 
 
 def number_or_null(x: Column) -> Column:
-    """Double, or NULL for blank, unparseable and NaN cells."""
-    return F.nanvl(strip(x).try_cast("double"), F.lit(None).cast("double"))
+    """Double, or NULL for blank, unparseable and NaN cells.
+
+    Number casts skip blanks at both ends themselves. The empty cell, by far the
+    most frequent malformed one, is kept from the cast, where it would cost an
+    exception. A trailing ``d``/``f`` is Java's way to write a number, not the
+    source's, and counts as unparseable.
+    """
+    java_suffix = F.substring(x, -1, 1).isin("d", "D", "f", "F") & x.rlike(r"[0-9.][dDfF]$")
+    return F.when((x != "") & ~java_suffix,
+                  F.nanvl(x.try_cast("double"), F.lit(None).cast("double")))
+
+
+def _whole(x: Column) -> Column:
+    """The cell is written as a plain whole number that fits 64 bits."""
+    return x.rlike(r"^\s*[+-]?[0-9]{1,18}\s*$")
 
 
 def integer_or_null(x: Column) -> Column:
-    """Whole number, NULL for blank or unparseable cells; see `bad_integer`."""
+    """Whole number, NULL for blank or unparseable cells; see `bad_integer`.
+
+    A failing cast of text costs an exception, so plain numbers are recognised
+    first and everything else goes through double.
+    """
     d = number_or_null(x)
-    return F.when(d == F.floor(d), d.try_cast("bigint"))
+    return F.when(_whole(x), x.cast("bigint")).when(d == F.floor(d), d.try_cast("bigint"))
 
 
 def bad_integer(x: Column) -> Column:
     """A numeric cell that is not a whole number that fits 64 bits."""
     d = number_or_null(x)
-    return F.coalesce(d.isNotNull() & integer_or_null(x).isNull(), F.lit(False))
+    big = F.abs(d) >= 2.0**63
+    return F.coalesce(~_whole(x) & ((d != F.floor(d)) | big), F.lit(False))
 
 
 def key_integer(x: Column) -> Column:
     """Integer part of a key cell; fractions are cut off. NULL means malformed."""
-    cell = strip(x)
-    return F.coalesce(cell.try_cast("bigint"), number_or_null(x).try_cast("bigint"))
+    return F.when(_whole(x), x.cast("bigint")).otherwise(number_or_null(x).try_cast("bigint"))
 
 
 def count_or_zero(x: Column) -> Column:
     """Count cell as int: blank, null words and unparseable text give 0."""
-    cell = strip(x)
-    return F.coalesce(cell.try_cast("int"), number_or_null(x).try_cast("int"), F.lit(0))
+    return F.coalesce(key_integer(x).try_cast("int"), F.lit(0))
 
 
 def bad_count(x: Column) -> Column:
@@ -100,13 +118,14 @@ def id_tokens(x: Column) -> Column:
     """``a|b|c`` as an array of trimmed, non-empty tokens; never NULL.
 
     The clean spelling takes a plain split; only cells with blanks pay for a
-    regular expression. All parts stay inside generated code.
+    (once compiled) regular expression. All parts stay inside generated code.
     """
     empty = F.array().cast("array<string>")
     cell = strip(x)
-    parts = F.when(x.rlike(r"\s"), F.split(cell, r"\s*\|\s*")).otherwise(F.split(x, r"\|"))
-    return F.coalesce(
-        F.when(~F.lower(cell).isin(*NULL_WORDS), F.array_remove(parts, "")), empty)
+    blanks = (F.instr(x, " ") > 0) | (F.instr(x, "\t") > 0)
+    tight = F.when(blanks, F.regexp_replace(cell, r"\s*\|\s*", "|")).otherwise(x)
+    usable = (F.instr(x, "|") > 0) | ~F.lower(cell).isin(*NULL_WORDS)
+    return F.coalesce(F.when(usable, F.array_remove(F.split(tight, r"\|"), "")), empty)
 
 
 def id_or_null(token: Column) -> Column:

@@ -103,7 +103,8 @@ def assoc_ppmi(spark: SparkSession, sf: str) -> DataFrame:
 def _entries(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """(item index, matrix entries)."""
     _, build_cards, cards = model(spark, sf)
-    items = factor.item_index(assoc.item_table(build_cards, cards, EXCLUDED))
+    # One row per item; read several times while the matrix is put together.
+    items = factor.item_index(assoc.item_table(build_cards, cards, EXCLUDED).persist()).persist()
     return items, factor.matrix_entries(_ppmi(spark, sf), items)
 
 
