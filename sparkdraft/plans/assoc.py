@@ -48,10 +48,21 @@ def build_cards(deck_builds: DataFrame, deck_build_cards: DataFrame, cards: Data
         eligible(cards, excluded).select("card_id"), "card_id", "left_semi")
 
 
-def _split_hot(rows: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
+def hot_drafts(deck_builds: DataFrame, deck_build_cards: DataFrame,
+               hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Drafts with more than ``hot_rows`` deck rows.
+
+    Rows are counted per build, which combines before the shuffle; the join then
+    sees one row per build.
+    """
+    per_build = deck_build_cards.where(F.col("deck_count") > 0).groupBy("build_id").agg(
+        F.count(F.lit(1)).alias("n"))
+    return deck_builds.select("build_id", "draft_id").join(per_build, "build_id").groupBy(
+        "draft_id").agg(F.sum("n").alias("n")).where(F.col("n") > hot_rows).select("draft_id")
+
+
+def _split(rows: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary drafts, rows of hot drafts or None)."""
-    hot = rows.groupBy("draft_id").agg(F.count(F.lit(1)).alias("n")).where(
-        F.col("n") > hot_rows).select("draft_id")
     if hot.isEmpty():
         return rows, None
     hot = size_checked(hot)
@@ -95,17 +106,19 @@ def _pairs_of_hot(rows: DataFrame, deck_size: int, cards_seen: int, block: int)
     return pairs.groupBy("draft_id", "card_a_id", "card_b_id").agg(F.max(p).alias("p"))
 
 
-def probabilities(rows: DataFrame, deck_builds: DataFrame, *, deck_size: int = DECK_SIZE,
-                  cards_seen: int = CARDS_SEEN, hot_rows: int = HOT_ROWS,
+def probabilities(rows: DataFrame, deck_builds: DataFrame, hot: DataFrame, *,
+                  deck_size: int = DECK_SIZE, cards_seen: int = CARDS_SEEN,
                   block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(card_id, p_card) and (card_a_id, card_b_id, p_ab).
 
+    ``hot`` names the drafts (`hot_drafts`) whose rows one task must not get alone.
+
     Probabilities are relative to all drafts that have a build, also those whose
     cards are all left out.
     """
     prob.check_sampling(deck_size, cards_seen)
     n_drafts = deck_builds.agg(F.count_distinct("draft_id").cast("double").alias("n")).scalar()
-    ordinary, hot = _split_hot(rows, hot_rows)
+    ordinary, hot = _split(rows, hot)
     ordinary = ordinary.repartition("draft_id")  # shared by cards and pairs
     p_one = prob.p_seen(F.col("deck_count"), deck_size, cards_seen)
 
@@ -126,10 +139,11 @@ def probabilities(rows: DataFrame, deck_builds: DataFrame, *, deck_size: int = D
 
 def pmi_pairs(deck_builds: DataFrame, deck_build_cards: DataFrame, cards: DataFrame, *,
               excluded: Iterable[str] = BASIC_NAMES, min_pair_prob: float = MIN_PAIR_PROB,
-              **sampling: int) -> DataFrame:
+              hot_rows: int = HOT_ROWS, **sampling: int) -> DataFrame:
     """p_ab, p_a, p_b and PMI of every pair above the probability threshold."""
     rows = build_cards(deck_builds, deck_build_cards, cards, excluded)
-    card_prob, pair_prob = probabilities(rows, deck_builds, **sampling)
+    hot = hot_drafts(deck_builds, deck_build_cards, hot_rows)
+    card_prob, pair_prob = probabilities(rows, deck_builds, hot, **sampling)
     as_a = card_prob.select(F.col("card_id").alias("card_a_id"), F.col("p_card").alias("p_a"))
     as_b = card_prob.select(F.col("card_id").alias("card_b_id"), F.col("p_card").alias("p_b"))
     return (

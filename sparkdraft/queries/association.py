@@ -75,7 +75,7 @@ def assoc_items(spark: SparkSession, sf: str) -> DataFrame:
 def assoc_prob(spark: SparkSession, sf: str) -> DataFrame:
     builds, build_cards, cards = model(spark, sf, "o_custkey")
     rows = assoc.build_cards(builds, build_cards, cards, EXCLUDED)
-    return _rounded(assoc.probabilities(rows, builds)[0])
+    return _rounded(assoc.probabilities(rows, builds, assoc.hot_drafts(builds, build_cards))[0])
 
 
 @query("assoc_pmi", f"WITH {_assoc_sql('o_orderkey')} SELECT {_PMI_COLUMNS} FROM pmi")

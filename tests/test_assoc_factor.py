@@ -55,8 +55,9 @@ def test_pmi_equals_brute_force_on_ordinary_and_hot_paths(spark, limits):
 
 
 def test_pairs_are_not_shuffled_before_the_sum(spark):
-    rows = assoc.build_cards(*frames(spark))
-    plan = assoc.probabilities(rows, frames(spark)[0])[1]._jdf.queryExecution().executedPlan().toString()
+    builds, decks, cards = frames(spark)
+    rows = assoc.build_cards(builds, decks, cards)
+    plan = assoc.probabilities(rows, builds, assoc.hot_drafts(builds, decks))[1]._jdf.queryExecution().executedPlan().toString()
     after_pairs = plan[:plan.index("Generate explode")]
     exchanges = [line for line in after_pairs.splitlines() if "Exchange hashpartitioning" in line
                  and "card_a_id" in line]
