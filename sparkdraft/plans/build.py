@@ -67,11 +67,14 @@ def build_store(spark: SparkSession, data_dir: str, root: str, *, suffix: str |
                 datasets: list[Dataset] | None = None, cards_file: str | None = None,
                 abilities_file: str | None = None, mode: str = "strict",
                 not_offered: str = "warn", bronze_partitions: int | None = None,
-                overwrite: bool = False) -> BuildResult:
+                verify: str = "natural", overwrite: bool = False) -> BuildResult:
     """Build all complete datasets of a folder that the store does not have yet.
 
     ``mode='strict'`` raises on fatal findings before anything is published,
-    ``'lenient'`` publishes and reports. ``overwrite`` starts a new store content:
+    ``'lenient'`` publishes and reports. ``verify='natural'`` checks uniqueness where
+    the source decides it (picks, games) and NOT NULL everywhere; child keys follow
+    from their parent's by construction. ``'full'`` checks every key and reference,
+    at the price of shuffling all tables. ``overwrite`` starts a new store content:
     earlier loads stay on disk but are no longer current.
     """
     store = Store(spark, root)
@@ -97,7 +100,7 @@ def build_store(spark: SparkSession, data_dir: str, root: str, *, suffix: str |
             continue
         result.findings += _build_dataset(
             store, dataset, cards_lookup, ability_lookup, fingerprint, mode, not_offered,
-            bronze_partitions)
+            bronze_partitions, verify)
         result.built.append(dataset.dataset_id)
     if result.built:
         tables = store.tables()
@@ -147,7 +150,7 @@ def sync_dimensions(store: Store, cards_lookup: DataFrame, ability_lookup: DataF
 
 def _build_dataset(store: Store, dataset: Dataset, cards_lookup: DataFrame,
                    ability_lookup: DataFrame, fingerprint: str, mode: str, not_offered: str,
-                   bronze_partitions: int | None) -> list:
+                   bronze_partitions: int | None, verify: str) -> list:
     spark, name = store.spark, dataset.dataset_id
     headers = {k: text.read_header(spark, p) for k, p in dataset.files.items()}
     check_contracts(headers["draft"], headers["game"], headers["replay"])
@@ -183,20 +186,21 @@ def _build_dataset(store: Store, dataset: Dataset, cards_lookup: DataFrame,
         return staged[table]
 
     # Picks, restricted to drafts with games.
-    index = draft.draft_index(source["game"].valid())
-    picks = draft.only_targets(source["draft"], index)
+    scratch = f"{store.root}/bronze/dataset_id={name}/load_id={load_id}"
+    index = _written(draft.draft_index(source["game"].valid()), f"{scratch}/index")
+    orphans = _written(draft.orphan_drafts(source["draft"], index), f"{scratch}/orphans")
+    picks = draft.only_targets(source["draft"], orphans)
     stage("drafts", draft.drafts(picks))
     stage("draft_picks", draft.draft_picks(picks))
     stage("draft_pick_cards", draft.draft_pick_cards(picks))
 
     # Games; the replay contributes the user's buckets.
-    game_rows = game.game_rows(source["game"])
-    replays = replay.replay_rows(source["replay"])
+    game_rows = _written(game.game_rows(source["game"]), f"{scratch}/game_rows")
+    replays = _written(replay.replay_rows(source["replay"]), f"{scratch}/replay_rows")
     has_builds = any(c.kind in game.DECK for c in headers["game"].count_columns(layout.GAME_KINDS))
     stage("games", game.games(game_rows, has_builds))
     stage("game_players", game.game_players(game_rows, replays))
     stage("game_card_stats", game.game_card_stats(source["game"]))
-    scratch = f"{store.root}/bronze/dataset_id={name}/load_id={load_id}"
     if has_builds:
         compositions = _written(game.build_compositions(source["game"]), f"{scratch}/compositions")
         stage("deck_builds", game.deck_builds(compositions))
@@ -211,19 +215,18 @@ def _build_dataset(store: Store, dataset: Dataset, cards_lookup: DataFrame,
     stage("turns", replay.turns(turn_rows))
     stage("turn_player_state", replay.turn_player_state(turn_rows))
     stage("turn_zone_cards", replay.turn_zone_cards(turn_rows, arena))
-    cells = replay.event_cells(source["replay"])
-    stage("events", replay.events(cells, arena, abilities))
+    stage("events", replay.events(replay.event_cells(source["replay"]), arena, abilities))
     hands = _written(replay.hand_rows(source["replay"]), f"{scratch}/hand_rows")
     stage("candidate_hands", replay.candidate_hands(hands))
     stage("candidate_hand_cards", replay.candidate_hand_cards(hands, arena))
     stage("game_player_totals", replay.game_player_totals(source["replay"]))
 
     findings += checks.enforce(checks.combine(_dataset_findings(
-        store, source, picks, index, game_rows, replays, compositions, hands, cells, staged,
-        load_id, not_offered)), mode)
+        store, source, picks, index, game_rows, replays, compositions, hands, staged,
+        load_id)), mode)
     findings += checks.enforce(report.constraint_findings(
         {**staged, **{t: store.staged(t, SHARED_DATASET, load_id)
-                      for t in ("cards", "arena_card_ids", "abilities")}}), mode)
+                      for t in ("cards", "arena_card_ids", "abilities")}}, full=verify == "full"), mode)
     commits += _merge_with_stored(store, name, staged, load_id, fingerprint, mode, findings)
     store.commit(commits)
     return findings
@@ -235,8 +238,8 @@ def _written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _dataset_findings(store, source, picks, index, game_rows, replays, compositions, hands, cells,
-                      staged, load_id, not_offered) -> list[DataFrame]:
+def _dataset_findings(store, source, picks, index, game_rows, replays, compositions, hands,
+                      staged, load_id) -> list[DataFrame]:
     cards = store.staged("cards", SHARED_DATASET, load_id)
     replay_counts = replays.groupBy("draft_id").agg(F.count(F.lit(1)).alias("n_actual"))
     expected = index.select("draft_id", "expected_games")
@@ -258,7 +261,9 @@ def _dataset_findings(store, source, picks, index, game_rows, replays, compositi
         ("replays per draft differ from its games", short, "fatal", "replay"),
         ("replay disagrees with its game", replay.replay_mismatches(replays, game_rows, present),
          "fatal", "replay"),
-        ("malformed event ids", replay.malformed_ids(cells), "fatal", "events"),
+        ("malformed event ids", replay.malformed_events(staged["events"]), "fatal", "events"),
+        ("malformed hand ids", staged["candidate_hand_cards"].where(
+            F.col("source_arena_card_id").isNull()), "fatal", "candidate_hand_cards"),
     ]
     if compositions is not None:
         found.append(("deck composition drift", game.build_drift(compositions),

@@ -33,14 +33,18 @@ def numbered_index(index: DataFrame, game_lines: DataFrame) -> DataFrame:
         "draft_id", "draft_index", "expected_games")
 
 
-def only_targets(picks: WideSource, index: DataFrame) -> WideSource:
+def orphan_drafts(picks: WideSource, index: DataFrame) -> DataFrame:
+    """Draft ids of the pick source that have no game."""
+    return only_absent(picks.lines.select("draft_id").distinct(), index, "draft_id")
+
+
+def only_targets(picks: WideSource, orphans: DataFrame) -> WideSource:
     """Pick lines of drafts that have games.
 
-    Nearly every draft has games, so the lines are not shuffled to meet the index:
-    the few ids *without* games are found from the narrow id column and removed with
-    a join that broadcasts them when their number is small.
+    Nearly every draft has games, so the wide lines are not shuffled to meet the
+    index: the few ids *without* games are found from the narrow id column and
+    removed with a join that broadcasts them when their number is small.
     """
-    orphans = only_absent(picks.lines.select("draft_id").distinct(), index, "draft_id")
     return picks.with_lines(only_absent(picks.lines, size_checked(orphans), "draft_id"))
 
 
@@ -108,7 +112,7 @@ def pick_rejects(picks: WideSource) -> DataFrame:
         *[F.when(clean.bad_integer(F.col(c)), F.lit(f"fractional {c}")) for c in INTEGER_METADATA],
     ), lambda r: r.isNotNull())
     rows = named.select(*ORDER_COLUMNS, F.explode(reasons).alias("reason"))
-    counts = reshape.bad_count_cells(picks.cells(), picks.layout.count_columns(PICK_KINDS),
+    counts = reshape.bad_count_cells(picks.odd_counts(PICK_KINDS).cells(), picks.layout.count_columns(PICK_KINDS),
                                      list(PICK_KINDS), list(ORDER_COLUMNS))
     return rows.unionByName(counts.select(
         *ORDER_COLUMNS, F.concat(F.lit("malformed count in "), F.col("kind")).alias("reason")))

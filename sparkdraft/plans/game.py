@@ -171,7 +171,9 @@ def game_rejects(source: WideSource) -> DataFrame:
         *[F.when(clean.bad_bool(F.col(c)), F.lit(f"malformed {c}")) for c in FLAGS],
     ), lambda r: r.isNotNull())
     rows = raw.select(*ORDER_COLUMNS, F.explode(reasons).alias("reason"))
-    counts = reshape.melt_counts(source.cells(), source.layout.count_columns(GAME_KINDS),
+    # A negative cell starts with a minus sign: other lines need no second melt.
+    minus = source.with_lines(source.lines.where(F.col("value").rlike(r',"?\s*-')))
+    counts = reshape.melt_counts(minus.cells(), source.layout.count_columns(GAME_KINDS),
                                  list(GAME_KINDS), list(ORDER_COLUMNS))
     negative = checks.negative_counts(counts, list(GAME_KINDS)).select(
         *ORDER_COLUMNS, F.lit("negative card count").alias("reason"))

@@ -122,10 +122,14 @@ def turn_zone_cards(rows: DataFrame, arena: DataFrame) -> DataFrame:
     """Card quantities per zone; ids are counted inside their cell."""
     listed = rows.select("turn_id", F.explode("zones").alias("z")).where(
         ~clean.is_missing(F.col("z.ids")))
-    ids = F.transform(clean.id_tokens(F.col("z.ids")), clean.id_or_null)
+    # A malformed id stays visible as a NULL key, which the checks reject.
+    unknown = F.lit(-(2**63))
+    ids = F.transform(clean.id_tokens(F.col("z.ids")),
+                      lambda t: F.coalesce(clean.id_or_null(t), unknown))
     counted = listed.select(
-        "turn_id", "z.owner_is_user", "z.zone", F.inline(reshape.multiset(ids)))
-    return _resolve_card(counted.withColumnRenamed("item", "source_arena_card_id"), arena).select(
+        "turn_id", "z.owner_is_user", "z.zone", F.inline(reshape.multiset(ids))).withColumn(
+        "source_arena_card_id", F.nullif("item", unknown))
+    return _resolve_card(counted, arena).select(
         "turn_id", "owner_is_user", "zone", "source_arena_card_id", "card_id",
         F.col("quantity").try_cast("smallint").alias("quantity"))
 
@@ -265,7 +269,7 @@ def replay_rejects(source: WideSource) -> DataFrame:
     return raw.select(*ORDER_COLUMNS, F.explode(reasons).alias("reason"))
 
 
-def malformed_ids(cells: DataFrame) -> DataFrame:
-    """Event cells with an id token that is no number."""
-    bad = F.exists(clean.id_tokens(F.col("value")), lambda t: clean.id_or_null(t).isNull())
-    return cells.where((F.col("payload") != "numeric") & bad).select("game_id", "source_field")
+def malformed_events(events: DataFrame) -> DataFrame:
+    """Events whose listed id was no number: neither an id nor a value is left."""
+    return events.where(F.col("source_arena_card_id").isNull() & F.col("source_ability_id").isNull()
+                        & F.col("numeric_value").isNull())

@@ -19,7 +19,8 @@ BEAR, KING, ISLAND, WOLF = (card_key_of(n) for n in minitriple.NAMES)
 def built(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("triple")
     data = minitriple.write_triple(folder / "data")
-    result = build_store(spark, data, str(folder / "store"), bronze_partitions=3)
+    result = build_store(spark, data, str(folder / "store"), bronze_partitions=3,
+                         verify="full")
     return result, stores.open_store(spark, str(folder / "store")), data
 
 
@@ -135,12 +136,30 @@ def test_bad_rows_stop_a_strict_build(spark, tmp_path):
     picks, games, replays = minitriple.default_rows()
     games[0]["num_turns"] = "2.5"
     games[1]["deck_Bear"] = "-1"
+    picks[0]["pack_card_Island"] = "many"
     data = minitriple.write_triple(tmp_path / "data", rows=(picks, games, replays))
-    with pytest.raises(CheckFailed, match="malformed game cells"):
+    with pytest.raises(CheckFailed, match="malformed pick cells.*: 1; malformed game cells.*: 2"):
         build_store(spark, data, str(tmp_path / "store"))
     assert stores.Store(spark, str(tmp_path / "store")).current_loads() == []  # nothing published
 
 
+def test_other_datasets_may_share_a_draft(spark, tmp_path):
+    """Shared rows are validated, not doubled; NULLs of stored drafts are filled."""
+    picks, games, replays = minitriple.default_rows()
+    data = minitriple.write_triple(tmp_path / "data", "A.x")
+    build_store(spark, data, str(tmp_path / "store"))
+    for row in picks:
+        if row["draft_id"] == "d2":
+            row["user_game_win_rate_bucket"] = "0.61"
+    minitriple.write_triple(tmp_path / "data", "B.x", rows=(picks, games, replays))
+    result = build_store(spark, data, str(tmp_path / "store"))
+    assert result.built == ["B.x"] and result.skipped == ["A.x"]
+    store = stores.Store(spark, str(tmp_path / "store"))
+    assert store.table("draft_picks").count() == 4 and store.table("events").count() == 13
+    rates = {r[0]: r[1] for r in store.table("drafts").select("draft_id", "user_game_win_rate_bucket").collect()}
+    assert abs(rates["d2"] - 0.61) < 1e-6 and store.table("drafts").count() == 2
+
+
 def test_width_rejects_name_the_line(spark, tmp_path):
     path = tmp_path / "x.csv"
     path.write_text('draft_id,match_number,game_number\nd,1,1\n"d,2",1\nd,3,1\n')
