@@ -92,16 +92,40 @@ def split_record(value: Column, limit: int = -1) -> Column:
     separating commas become a control character. Their array has one spare empty
     element at the end, which no position points to.
     """
-    plain = F.regexp_replace(value, CSV_TOKEN, f"$1$2{UNIT}")
-    quoted = F.split(F.replace(plain, F.lit('""'), F.lit('"')), UNIT, limit)
+    head, tail, cut = _last_quoted(value)
+
+    def rewritten(text: Column) -> Column:
+        return F.replace(F.regexp_replace(text, CSV_TOKEN, f"$1$2{UNIT}"), F.lit('""'), F.lit('"'))
+
+    quoted = F.split(F.when(
+        cut, F.concat(rewritten(head), F.replace(tail, F.lit(","), F.lit(UNIT)))
+    ).otherwise(rewritten(value)), UNIT, limit)
     return F.when(F.instr(value, '"') > 0, quoted).otherwise(F.split(value, ",", limit))
 
 
+def _last_quoted(value: Column) -> tuple[Column, Column, Column]:
+    """A quoted record cut behind its last ``",``: (head with the quote, tail, whether
+    the tail is free of quotes). Quoted names stand in front of a long run of plain
+    counts, so the regular expression has to look at the head only."""
+    tail = F.substring_index(value, '",', -1)
+    head = F.left(value, F.length(value) - F.length(tail) - 1)
+    return head, tail, F.instr(tail, '"') == 0
+
+
+def _commas(text: Column) -> Column:
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(","), F.lit("")))
+
+
 def field_count(value: Column) -> Column:
-    plain = F.length(value) - F.length(F.translate(value, ",", "")) + 1
-    return F.when(
-        F.instr(value, '"') > 0, F.regexp_count(value, F.lit(CSV_TOKEN))
-    ).otherwise(plain)
+    head, tail, cut = _last_quoted(value)
+    token = F.lit(CSV_TOKEN)
+    quoted = F.when(cut, F.regexp_count(head, token) + _commas(tail) + 1).otherwise(
+        F.regexp_count(value, token))
+    return F.when(F.instr(value, '"') > 0, quoted).otherwise(_commas(value) + 1)
+
+
+def without_return(value: Column) -> Column:
+    return F.when(F.endswith(value, F.lit("\r")), F.left(value, F.length(value) - 1)).otherwise(value)
 
 
 def cell_at(position: Column) -> Column:
@@ -136,7 +160,7 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def without_header(lines: DataFrame, header_line: str) -> DataFrame:
-    return lines.where(F.rtrim(F.col("value"), F.lit("\r")) != header_line)
+    return lines.where(without_return(F.col("value")) != header_line)
 
 
 def natural_key(kind: str, cell: Callable[[str], Column]) -> Column:
@@ -177,7 +201,7 @@ def read_wide(spark: SparkSession, path: str, kind: str,
               layout: Layout | None = None) -> WideSource:
     layout = layout or read_header(spark, path)
     lines = without_header(read_lines(spark, path), layout.line).withColumn(
-        "value", F.rtrim(F.col("value"), F.lit("\r")))
+        "value", without_return(F.col("value")))
     return WideSource(keyed_lines(lines, layout, kind), layout, kind)
 
 
@@ -247,7 +271,7 @@ def header_mismatches(lines: DataFrame, header_line: str) -> DataFrame:
     """Files of a set whose header is not the expected one."""
     return (
         lines.groupBy("src_file")
-        .agg(F.max(F.rtrim(F.col("value"), F.lit("\r")) == header_line).alias("has_header"))
+        .agg(F.max(without_return(F.col("value")) == header_line).alias("has_header"))
         .where(~F.col("has_header")).select("src_file")
     )
 

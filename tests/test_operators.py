@@ -39,14 +39,16 @@ def test_melt_needs_no_shuffle_and_no_join(spark):
 
 
 def test_csv_records(spark):
-    lines = ["a,b,c", '"A, B",2,"x ""y"" z"', ",,", '"",q,', 'plain,"last, one",']
+    lines = ["a,b,c", '"A, B",2,"x ""y"" z"', ",,", '"",q,', 'plain,"last, one",',
+             '"say ""hi"", you",é,5" disk', '"a","b",', 'a 5",b,"c, d"']
     df = spark.createDataFrame([(v,) for v in lines], "value string")
     out = df.select(text.split_record(F.col("value")).alias("c"),
                     text.field_count(F.col("value")).alias("n")).collect()
-    assert [r["n"] for r in out] == [3] * 5
+    assert [r["n"] for r in out] == [3] * 8
     assert [r["c"][:3] for r in out] == [
         ["a", "b", "c"], ["A, B", "2", 'x "y" z'], ["", "", ""], ["", "q", ""],
-        ["plain", "last, one", ""]]
+        ["plain", "last, one", ""], ['say "hi", you', "é", '5" disk'], ["a", "b", ""],
+        ['a 5"', "b", "c, d"]]
 
 
 def test_multiset_matches_a_counter(spark):
