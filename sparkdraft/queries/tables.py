@@ -51,7 +51,8 @@ def _source(spark: SparkSession, sf: str, kind: str, df: DataFrame, seq: Column,
             seq.cast("bigint").alias("src_seq"),
             F.concat_ws(",", *cells, *counts.values()).alias("value"))
         path = work_dir(spark, f"bronze-{kind}")
-        write_bronze(WideSource(keyed_lines(lines, layout, kind), layout, kind), path)
+        source = WideSource(keyed_lines(lines, layout, kind), layout, kind)
+        write_bronze(source, path, int(spark.conf.get("spark.sql.shuffle.partitions")))
         _BRONZE[slot] = path
     return read_bronze(spark, _BRONZE[slot], layout, kind)
 
