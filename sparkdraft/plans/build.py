@@ -66,7 +66,8 @@ def source_card_names(picks: Layout, games: Layout) -> set[str]:
 def build_store(spark: SparkSession, data_dir: str, root: str, *, suffix: str | None = None,
                 datasets: list[Dataset] | None = None, cards_file: str | None = None,
                 abilities_file: str | None = None, mode: str = "strict",
-                not_offered: str = "warn", bronze_partitions: int | None = None,
+                not_offered: str = "warn", inconsistencies: str = "warn",
+                bronze_partitions: int | None = None,
                 verify: str = "natural", overwrite: bool = False) -> BuildResult:
     """Build all complete datasets of a folder that the store does not have yet.
 
@@ -74,7 +75,9 @@ def build_store(spark: SparkSession, data_dir: str, root: str, *, suffix: str |
     ``'lenient'`` publishes and reports. ``verify='natural'`` checks uniqueness where
     the source decides it (picks, games) and NOT NULL everywhere; child keys follow
     from their parent's by construction. ``'full'`` checks every key and reference,
-    at the price of shuffling all tables. ``overwrite`` starts a new store content:
+    at the price of shuffling all tables. ``not_offered`` and ``inconsistencies`` are
+    the severities ("warn" or "fatal") of picks outside their pack, and of deck
+    composition drift and odd candidate hands. ``overwrite`` starts a new store content:
     earlier loads stay on disk but are no longer current.
     """
     store = Store(spark, root)
@@ -99,7 +102,7 @@ def build_store(spark: SparkSession, data_dir: str, root: str, *, suffix: str |
             result.skipped.append(dataset.dataset_id)
             continue
         result.findings += _build_dataset(
-            store, dataset, cards_lookup, ability_lookup, fingerprint, mode, not_offered,
+            store, dataset, cards_lookup, ability_lookup, fingerprint, mode, inconsistencies,
             bronze_partitions, verify)
         result.built.append(dataset.dataset_id)
     if result.built:
@@ -149,7 +152,7 @@ def sync_dimensions(store: Store, cards_lookup: DataFrame, ability_lookup: DataF
 
 
 def _build_dataset(store: Store, dataset: Dataset, cards_lookup: DataFrame,
-                   ability_lookup: DataFrame, fingerprint: str, mode: str, not_offered: str,
+                   ability_lookup: DataFrame, fingerprint: str, mode: str, inconsistencies: str,
                    bronze_partitions: int | None, verify: str) -> list:
     spark, name = store.spark, dataset.dataset_id
     headers = {k: text.read_header(spark, p) for k, p in dataset.files.items()}
@@ -223,7 +226,7 @@ def _build_dataset(store: Store, dataset: Dataset, cards_lookup: DataFrame,
 
     findings += checks.enforce(checks.combine(_dataset_findings(
         store, source, picks, index, game_rows, replays, compositions, hands, staged,
-        load_id)), mode)
+        load_id, inconsistencies)), mode)
     findings += checks.enforce(report.constraint_findings(
         {**staged, **{t: store.staged(t, SHARED_DATASET, load_id)
                       for t in ("cards", "arena_card_ids", "abilities")}}, full=verify == "full"), mode)
@@ -239,7 +242,7 @@ def _written(df: DataFrame, path: str) -> DataFrame:
 
 
 def _dataset_findings(store, source, picks, index, game_rows, replays, compositions, hands,
-                      staged, load_id) -> list[DataFrame]:
+                      staged, load_id, inconsistencies) -> list[DataFrame]:
     cards = store.staged("cards", SHARED_DATASET, load_id)
     replay_counts = replays.groupBy("draft_id").agg(F.count(F.lit(1)).alias("n_actual"))
     expected = index.select("draft_id", "expected_games")
@@ -267,11 +270,11 @@ def _dataset_findings(store, source, picks, index, game_rows, replays, compositi
     ]
     if compositions is not None:
         found.append(("deck composition drift", game.build_drift(compositions),
-                      "warn", "deck_build_cards"))
+                      inconsistencies, "deck_build_cards"))
     reports = replay.hand_reports(hands)
     fatal_hand = F.col("reason") == "no usable candidate hand"
     found += [("no usable candidate hand", reports.where(fatal_hand), "fatal", "candidate_hands"),
-              ("candidate hand inconsistencies", reports.where(~fatal_hand), "warn",
+              ("candidate hand inconsistencies", reports.where(~fatal_hand), inconsistencies,
                "candidate_hands")]
     return [checks.finding(df, check, severity, table) for check, df, severity, table in found]
 

@@ -123,15 +123,37 @@ class Store:
             raise ContractError(f"store has incompatible tables, missing {gaps}")
 
 
-def open_store(spark: SparkSession, root: str, prefix: str = "") -> Store:
-    """Register every table as a temp view for `query`; the store is only read."""
+def open_store(spark: SparkSession, root: str, database: str | None = None) -> Store:
+    """Register every table for `query`; the store is only read.
+
+    Temp views by default; with ``database`` views of that database, so that SQL can
+    say ``<database>.<table>``.
+    """
     store = Store(spark, root)
     store.check_schema()
+    if database is not None:
+        _register_database(store, database)
+        return store
     for name, df in store.tables().items():
-        df.createOrReplaceTempView(prefix + name)
+        df.createOrReplaceTempView(name)
     return store
 
 
+def _register_database(store: Store, database: str) -> None:
+    spark = store.spark
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    loads = store.current_loads()
+    for name, table in TABLES.items():
+        columns = ", ".join(f"`{c}`" for c in table.columns)
+        parts = [f"SELECT {columns} FROM parquet.`{store.load_path(name, r['dataset_id'], r['load_id'])}`"
+                 for r in loads if r["table_name"] == name]
+        if not parts:
+            typed = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
+                              for f in table.schema)
+            parts = [f"SELECT * FROM (SELECT {typed}) WHERE false"]
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS " + " UNION ALL ".join(parts))
+
+
 def query(spark: SparkSession, sql: str, params: Sequence | Mapping | None = None) -> DataFrame:
     """SQL with positional ``?`` (sequence) or named ``:x`` (mapping) parameters."""
     if params is None:

@@ -116,6 +116,26 @@ def test_row_counts_and_query(spark, built):
     assert got.head()["n"] == 1
 
 
+def test_database_names(spark, built):
+    stores.open_store(spark, built[1].root, database="cards_db")
+    got = stores.query(spark, "SELECT count(*) AS n FROM cards_db.events WHERE event_type = :t",
+                       {"t": "card_drawn"})
+    assert got.head()["n"] == 3
+    spark.sql("DROP DATABASE cards_db CASCADE")
+
+
+def test_reset_starts_over(spark, tmp_path):
+    store = stores.Store(spark, str(tmp_path / "s"))
+    cards = spark.createDataFrame([(1, "A")], "card_id bigint, card_name string")
+    for load in ("l1", "l2"):
+        store.stage("cards", cards, "shared", load)
+        store.commit([("shared", "cards", load, "", 1)])
+    assert [r["load_id"] for r in store.current_loads()] == ["l2"]  # the latest commit
+    assert store.table("cards").count() == 1
+    store.reset()
+    assert store.current_loads() == [] and store.table("cards").count() == 0
+
+
 def test_manifest(built):
     rows_by_table = {r["table_name"]: r for r in stores.manifest(built[1]).collect()}
     assert rows_by_table["events"]["row_count"] == 13
