@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,16 +30,18 @@ def build_session(app_name: str = "sparkdraft", master: str | None = None,
     return builder.getOrCreate()
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared folder the cluster names.
+def shared_base(spark: SparkSession) -> str:
+    """The folder for checkpoints and intermediate tables that every executor sees.
 
-    Stream checkpoints and intermediate tables must be visible to every executor,
-    so the place comes from ``spark.checkpoint.dir``. Only where that is unset
-    (tests on one machine) a local temporary folder is used.
+    ``spark.checkpoint.dir`` names it. Where that is unset (tests, one machine) the
+    warehouse is used, which is shared wherever there is a cluster.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="sparkdraft-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+    return base.rstrip("/")
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one, for one job's intermediate data."""
+    return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex[:12]}"
