@@ -65,12 +65,12 @@ grams AS (
   FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM item WHERE len(w) > 0)
 ),
 doc AS (SELECT doc_id, {SQL_WORDS.format("coalesce(text, '')")} AS w FROM documents),
-at AS (
+spot AS (
   SELECT doc_id, k, i, array_to_string(w[i : i + k - 1], ' ') AS gram
   FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
         FROM doc, (SELECT DISTINCT k FROM grams) WHERE len(w) >= k)
 ),
-hit AS (SELECT doc_id, item_id, i, at.k FROM at JOIN grams USING (gram, k)),
+hit AS (SELECT doc_id, item_id, i, k FROM spot JOIN grams USING (gram, k)),
 n AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit
   FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY doc_id
