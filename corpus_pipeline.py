@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdraft.llm import decontam, toxicity
+from sparkdraft.llm import decontam, jaccard, pii, toxicity, unigram
 from sparkdraft.llm.common import stored
-from sparkdraft.llm.queries import importable, table
+from sparkdraft.llm.queries import DEMO_KEY, PIECES, importable, table, tokenizer_file
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,12 +22,33 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(toxicity.score(F.col("text"), model, docs) < p.threshold)
 
 
+def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group of near copies."""
+    importable(spark)
+    return jaccard.one_of_each(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without those that hold benchmark passages by the rule of the operator."""
     return decontam.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("toxicity", toxic_out), ("decontamination", decontaminated)]
+def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with pseudonyms for personal numbers, dates and addresses."""
+    return pii.pseudonymised(docs, DEMO_KEY)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_pieces, ids): the piece ids of every document that is left."""
+    importable(spark)
+    ids = unigram.encode(F.col("text"), tokenizer_file(PIECES), docs)
+    return docs.select("doc_id", ids.alias("ids")).select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids")
+
+
+STAGES = [("toxicity", toxic_out), ("n-gram Jaccard join", near_copies_out),
+          ("benchmark decontamination", decontaminated), ("pseudonyms", pseudonymised),
+          ("SentencePiece encoding", encoded)]
 
 #: A trained classifier and a learned encoding take part, which SQL cannot express.
 ORACLE_SQL = None

@@ -9,8 +9,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdraft.llm import decontam, toxicity
-from sparkdraft.llm.common import fold
+from sparkdraft.llm import decontam, jaccard, langid, pii, quality, tokenfile, toxicity, unigram
+from sparkdraft.llm.common import fold, stored
+from sparkdraft.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,6 +44,29 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+#: The pseudonym key of the queries; users pass their own.
+DEMO_KEY = "demonstration key"
+PIECES = "piece_bpe_32k.model"
+
+
+@query("op1_language")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held = fold(F.col("doc_id"), 5) == 0
+    model = langid.fit(docs.where(~held))
+    found = docs.select("doc_id", held.alias("held_out"),
+                        langid.predict(F.col("text"), model, docs).alias("p"))
+    return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"),
+                        F.col("p.score").alias("score"), F.col("p.languages").alias("languages"))
+
+
 @query("op2_toxicity")
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     p = toxicity.Parameters()
@@ -94,3 +118,43 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
                         F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                         "contaminated")
+
+
+@query("op4_jaccard_join")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.joined(table(spark, sf, "documents"))
+
+
+@query("op5_pieces")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    """Piece ids of every document, and whether decoding gives the text back."""
+    docs, path = table(spark, sf, "documents"), tokenizer_file(PIECES)
+    coded = docs.select("doc_id", "text", unigram.encode(F.col("text"), path, docs).alias("ids"))
+    back = unigram.decode(F.col("ids"), path, docs)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
+                        back.eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+@query("op6_quality")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    stats = stored(quality.described(docs), "statistics")
+    model = quality.fit(stats, labels.where(fold(F.col("doc_id"), 3) != 1))
+    return stats.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"),
+                        quality.score(F.col("stats"), model, stats).alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("op8_token_file")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    path = work_dir(spark, "token-file")
+    spec = Path(tokenizer_file("byte_bpe_50k.json")).read_text(encoding="utf-8")
+    tokenfile.write(table(spark, sf, "documents"), path, spec, end_id=2)
+    return tokenfile.digests(spark, path)
+
+
+@query("op9_pseudonyms")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    new = docs.withColumn("candidates", pii.n_found(F.col("text")))
+    return pii.pseudonymised(new, DEMO_KEY)
