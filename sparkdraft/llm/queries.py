@@ -9,7 +9,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdraft.llm import decontam, jaccard, langid, pii, quality, tokenfile, toxicity, unigram
+from sparkdraft.llm import (decontam, jaccard, langid, nndescent, pii, quality, tokenfile,
+                            toxicity, unigram)
 from sparkdraft.llm.common import fold, stored
 from sparkdraft.session import work_dir
 
@@ -158,3 +159,28 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     new = docs.withColumn("candidates", pii.n_found(F.col("text")))
     return pii.pseudonymised(new, DEMO_KEY)
+
+
+OP10_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x <> 0]) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(least.b, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(least.b, vec_id)) AS kept
+FROM embeddings LEFT JOIN least ON vec_id = least.a LEFT JOIN n ON vec_id = n.a
+"""
+
+
+@query("op10_nn_descent", OP10_SQL)
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return nndescent.near_duplicates(table(spark, sf, "embeddings"))
