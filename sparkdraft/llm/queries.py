@@ -9,8 +9,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdraft.llm import (decontam, jaccard, langid, nndescent, pii, quality, tokenfile,
-                            toxicity, unigram)
+from sparkdraft.llm import (decontam, jaccard, langid, licences, nndescent, pii, quality,
+                            tokenfile, toxicity, unigram)
 from sparkdraft.llm.common import fold, stored
 from sparkdraft.session import work_dir
 
@@ -146,6 +146,13 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
         "predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+@query("op7_licences")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    """Every licence notice found in the paragraphs of ``documents``."""
+    docs = table(spark, sf, "documents")
+    return licences.scanned(docs, licences.fit(docs))
+
+
 @query("op8_token_file")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     path = work_dir(spark, "token-file")
