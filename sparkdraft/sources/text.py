@@ -64,15 +64,18 @@ class WideSource:
         """Lines whose count cells are not all plain small numbers.
 
         Where the count columns end the line, the metadata prefix is cut off and one
-        regular expression looks over the untouched tail. Lines with a quote, and
-        sources laid out otherwise, all stay in.
+        regular expression looks over the untouched tail: only blank cells and up to four
+        digits, with zeros behind a point at most, pass as plain. Lines with a quote,
+        and sources laid out otherwise, all stay in.
         """
         positions = sorted(c.position for c in self.layout.count_columns(kinds))
         if not positions or positions != list(range(positions[0], self.layout.width)):
             return self
         first = positions[0]
         tail = F.get(F.split(F.col("value"), ",", first + 1), F.lit(first))
-        odd = (F.instr("value", '"') > 0) | tail.rlike(r"[^0-9,.]|[0-9]{5}")
+        # A cell start that is not followed by a whole plain cell and its end.
+        odd = (F.instr("value", '"') > 0) | tail.rlike(
+            r"(?:^|,)(?!(?:[0-9]{1,4}(?:\.0*)?)?(?:,|$))")
         return self.with_lines(self.lines.where(odd))
 
     def with_lines(self, lines: DataFrame) -> "WideSource":

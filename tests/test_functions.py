@@ -91,3 +91,20 @@ def test_probabilities(spark):
     c = math.comb
     by_hand = 1 - (c(38, 10) + c(37, 10) - c(35, 10)) / c(40, 10)
     assert abs(joint - by_hand) < 1e-12
+
+
+def test_plain_count_cells_are_recognised_exactly(spark):
+    from pyspark.sql import functions as F
+
+    cells = {"1": False, "": False, "12.00": False, "1.": False, "1.2.3": True, ".": True,
+             "1..2": True, "-1": True, "12345": True, "inf": True, "2.5": True, " 1": True}
+    rows = spark.createDataFrame([(c, f"0,{c},3") for c in cells], "cell string, tail string")
+    found = {r.cell: r.odd for r in rows.withColumn("odd", F.col("tail").rlike(
+        r"(?:^|,)(?!(?:[0-9]{1,4}(?:\.0*)?)?(?:,|$))")).collect()}
+    assert found == cells
+
+
+def test_card_names_have_one_id_whatever_surrounds_them(spark):
+    name = spark.createDataFrame([("Island\t ",), ("Island",)], "n string")
+    ids = {r.k for r in name.select(keys.card_key(name["n"]).alias("k")).collect()}
+    assert ids == {keys.card_key_of("Island"), keys.card_key_of("\tIsland ")} and len(ids) == 1
