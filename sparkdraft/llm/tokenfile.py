@@ -17,6 +17,7 @@ gives a file without blocks.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -243,16 +244,24 @@ def unpack(payloads: list[bytes], marks: list[np.ndarray], counts: list[int],
     return out
 
 
+def id_type(spec: str, end_id: int) -> str:
+    """Two bytes an id where the vocabulary allows it, else four."""
+    model = json.loads(spec)
+    ids = [*model["model"]["vocab"].values(), *(t["id"] for t in model["added_tokens"]), end_id]
+    return "<u2" if max(ids) < 1 << 16 else "<u4"
+
+
 def tokens(docs: DataFrame, spec: str, end_id: int) -> DataFrame:
-    """(doc_id, ids): little-endian 32-bit ids of each text, the end id behind them."""
+    """(doc_id, ids): little-endian ids of each text, ``id_type`` wide, the end id behind them."""
+    width = np.dtype(id_type(spec, end_id))
     held = broadcast_value(docs.sparkSession, spec)
 
     def rows(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, n = encode_batch(batch.column("text"), held.value)
             at = np.cumsum(n)
-            flat = np.insert(flat, at, end_id).astype("<i4")
-            edges = np.concatenate([[0], np.cumsum(n + 1)]) * 4
+            flat = np.insert(flat, at, end_id).astype(width)
+            edges = np.concatenate([[0], np.cumsum(n + 1)]) * width.itemsize
             packed = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(), len(n), [None, pa.py_buffer(edges.astype(np.int64)),
                                             pa.py_buffer(flat)]).cast(pa.binary())
@@ -262,11 +271,11 @@ def tokens(docs: DataFrame, spec: str, end_id: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, ids binary")
 
 
-def _counts(batches) -> Iterator[pa.RecordBatch]:
+def _counts(batches, width: str) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
         for x in batch.column("ids").to_pylist():
-            got = np.bincount(np.frombuffer(x, "<i4"))
+            got = np.bincount(np.frombuffer(x, width))
             if len(got) > len(total):
                 got[: len(total)] += total
                 total = got
@@ -290,7 +299,8 @@ def write(docs: DataFrame, path: str, spec: str, end_id: int = 2) -> None:
     staged = f"{work_dir(spark, 'tokens')}"
     tokens(docs, spec, end_id).write.option("compression", "zstd").parquet(staged)
     ids = spark.read.parquet(staged)
-    seen = ids.mapInArrow(_counts, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    width = id_type(spec, end_id)
+    seen = ids.mapInArrow(lambda batches: _counts(batches, width), "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
     counted = seen.toArrow()  # a row for each id of the vocabulary
     most = max(counted.column("id").to_pylist(), default=0)
     counts = np.zeros(most + 1, np.int64)
@@ -322,7 +332,7 @@ def write(docs: DataFrame, path: str, spec: str, end_id: int = 2) -> None:
                 ("doc_ids", pa.list_(batch.column("doc_id").type)),
                 ("starts", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))])
             for doc, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
-                rest, start = np.frombuffer(raw, "<i4"), done + n
+                rest, start = np.frombuffer(raw, width), done + n
                 while len(rest):
                     part, rest = rest[: BLOCK - n], rest[BLOCK - n:]
                     docs_.append((doc, start, len(part)))
