@@ -83,6 +83,12 @@ def bad_integer(x: Column) -> Column:
     return F.coalesce(~_whole(x) & ((d != F.floor(d)) | big), F.lit(False))
 
 
+def bad_small(x: Column) -> Column:
+    """A numeric cell that is not a whole number of 16 bits: narrowing would lose it."""
+    d = number_or_null(x)
+    return F.coalesce((d != F.floor(d)) | ~d.between(-2**15, 2**15 - 1), F.lit(False))
+
+
 def key_integer(x: Column) -> Column:
     """Integer part of a key cell; fractions are cut off. NULL means malformed."""
     return F.when(_whole(x), x.cast("bigint")).otherwise(number_or_null(x).try_cast("bigint"))

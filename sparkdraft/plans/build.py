@@ -102,12 +102,12 @@ def build_store(spark: SparkSession, data_dir: str, root: str, *, suffix: str |
             result.skipped.append(dataset.dataset_id)
             continue
         result.findings += _build_dataset(
-            store, dataset, cards_lookup, ability_lookup, fingerprint, mode, inconsistencies,
-            bronze_partitions, verify)
+            store, dataset, cards_lookup, ability_lookup, fingerprint, mode, not_offered,
+            inconsistencies, bronze_partitions, verify)
         result.built.append(dataset.dataset_id)
-    if result.built:
-        tables = store.tables()
-        result.findings += checks.enforce(report.integrity_findings(tables, not_offered), mode)
+    if result.skipped and not result.built:  # nothing new: report on what is stored
+        result.findings += checks.enforce(
+            report.integrity_findings(store.tables(), not_offered), mode)
     return result
 
 
@@ -152,8 +152,8 @@ def sync_dimensions(store: Store, cards_lookup: DataFrame, ability_lookup: DataF
 
 
 def _build_dataset(store: Store, dataset: Dataset, cards_lookup: DataFrame,
-                   ability_lookup: DataFrame, fingerprint: str, mode: str, inconsistencies: str,
-                   bronze_partitions: int | None, verify: str) -> list:
+                   ability_lookup: DataFrame, fingerprint: str, mode: str, not_offered: str,
+                   inconsistencies: str, bronze_partitions: int | None, verify: str) -> list:
     spark, name = store.spark, dataset.dataset_id
     headers = {k: text.read_header(spark, p) for k, p in dataset.files.items()}
     check_contracts(headers["draft"], headers["game"], headers["replay"])
@@ -225,11 +225,13 @@ def _build_dataset(store: Store, dataset: Dataset, cards_lookup: DataFrame,
     stage("game_player_totals", replay.game_player_totals(source["replay"]))
 
     findings += checks.enforce(checks.combine(_dataset_findings(
-        store, source, picks, index, game_rows, replays, compositions, hands, staged,
-        load_id, inconsistencies)), mode)
-    findings += checks.enforce(report.constraint_findings(
-        {**staged, **{t: store.staged(t, SHARED_DATASET, load_id)
-                      for t in ("cards", "arena_card_ids", "abilities")}}, full=verify == "full"), mode)
+        store, source, picks, index, game_rows, replays, compositions, turn_rows,
+        hands, staged, load_id, inconsistencies)), mode)
+    tables = {**staged, **{t: store.staged(t, SHARED_DATASET, load_id)
+                           for t in ("cards", "arena_card_ids", "abilities")}}
+    findings += checks.enforce(report.constraint_findings(tables, full=verify == "full"), mode)
+    # The staged rows hold their drafts whole, so the new load alone is checked.
+    findings += checks.enforce(report.integrity_findings(tables, not_offered), mode)
     commits += _merge_with_stored(store, name, staged, load_id, fingerprint, mode, findings)
     store.commit(commits)
     return findings
@@ -241,8 +243,8 @@ def _written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _dataset_findings(store, source, picks, index, game_rows, replays, compositions, hands,
-                      staged, load_id, inconsistencies) -> list[DataFrame]:
+def _dataset_findings(store, source, picks, index, game_rows, replays, compositions, turn_rows,
+                      hands, staged, load_id, inconsistencies) -> list[DataFrame]:
     cards = store.staged("cards", SHARED_DATASET, load_id)
     replay_counts = replays.groupBy("draft_id").agg(F.count(F.lit(1)).alias("n_actual"))
     expected = index.select("draft_id", "expected_games")
@@ -264,6 +266,7 @@ def _dataset_findings(store, source, picks, index, game_rows, replays, compositi
         ("replays per draft differ from its games", short, "fatal", "replay"),
         ("replay disagrees with its game", replay.replay_mismatches(replays, game_rows, present),
          "fatal", "replay"),
+        ("malformed hand size", replay.state_rejects(turn_rows), "fatal", "turn_player_state"),
         ("malformed event ids", replay.malformed_events(staged["events"]), "fatal", "events"),
         ("malformed hand ids", staged["candidate_hand_cards"].where(
             F.col("source_arena_card_id").isNull()), "fatal", "candidate_hand_cards"),

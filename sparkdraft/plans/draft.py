@@ -109,7 +109,7 @@ def pick_rejects(picks: WideSource) -> DataFrame:
         F.when(clean.is_missing(F.col("draft_id")), F.lit("blank draft_id")),
         *[F.when(clean.key_integer(F.col(c)).isNull(), F.lit(f"malformed {c}"))
           for c in ("pack_number", "pick_number")],
-        *[F.when(clean.bad_integer(F.col(c)), F.lit(f"fractional {c}")) for c in INTEGER_METADATA],
+        *[F.when(clean.bad_small(F.col(c)), F.lit(f"no small whole number: {c}")) for c in INTEGER_METADATA],
     ), lambda r: r.isNotNull())
     rows = named.select(*ORDER_COLUMNS, F.explode(reasons).alias("reason"))
     counts = reshape.bad_count_cells(picks.odd_counts(PICK_KINDS).cells(), picks.layout.count_columns(PICK_KINDS),

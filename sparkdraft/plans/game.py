@@ -167,7 +167,7 @@ def game_rejects(source: WideSource) -> DataFrame:
     raw = source.all_named(*INTEGERS, *FLAGS)
     reasons = F.filter(F.array(
         F.when(F.col("row_id").isNull(), F.lit("invalid game key")),
-        *[F.when(clean.bad_integer(F.col(c)), F.lit(f"fractional {c}")) for c in INTEGERS],
+        *[F.when(clean.bad_small(F.col(c)), F.lit(f"no small whole number: {c}")) for c in INTEGERS],
         *[F.when(clean.bad_bool(F.col(c)), F.lit(f"malformed {c}")) for c in FLAGS],
     ), lambda r: r.isNotNull())
     rows = raw.select(*ORDER_COLUMNS, F.explode(reasons).alias("reason"))

@@ -258,17 +258,24 @@ def game_player_totals(source: WideSource) -> DataFrame:
 
 
 def replay_rejects(source: WideSource) -> DataFrame:
-    """Replay rows with malformed keys, integers, flags or id lists."""
-    raw = source.all_named(*SHARED_FIELDS, "user_n_games_bucket")
-    integers = [f for f in SHARED_FIELDS if f not in FLAGS] + ["user_n_games_bucket"]
+    """Replay rows with malformed keys, integers, flags or totals."""
+    totals = [c for p in SIDES for t in TOTALS if t != "mana_spent"
+              and source.layout.position(c := f"{p}_total_{t}") is not None]
+    raw = source.all_named(*SHARED_FIELDS, "user_n_games_bucket", *totals)
+    integers = [f for f in SHARED_FIELDS if f not in FLAGS] + ["user_n_games_bucket", *totals]
     reasons = F.filter(F.array(
         F.when(F.col("row_id").isNull(), F.lit("invalid game key")),
-        *[F.when(clean.bad_integer(F.col(c)), F.lit(f"fractional {c}")) for c in integers],
+        *[F.when(clean.bad_small(F.col(c)), F.lit(f"no small whole number: {c}")) for c in integers],
         *[F.when(clean.bad_bool(F.col(c)), F.lit(f"malformed {c}")) for c in FLAGS],
     ), lambda r: r.isNotNull())
     return raw.select(*ORDER_COLUMNS, F.explode(reasons).alias("reason"))
 
 
+def state_rejects(rows: DataFrame) -> DataFrame:
+    """Active turns whose opposing hand size is no small whole number."""
+    return rows.where(clean.bad_small(F.col("oppo_cards_in_hand"))).select("turn_id", "game_id")
+
+
 def malformed_events(events: DataFrame) -> DataFrame:
     """Events whose listed id was no number: neither an id nor a value is left."""
     return events.where(F.col("source_arena_card_id").isNull() & F.col("source_ability_id").isNull()

@@ -107,6 +107,7 @@ def test_findings_report_and_coverage(built):
 def test_second_build_adds_nothing(spark, built):
     again = build_store(spark, built[2], built[1].root)
     assert again.built == [] and again.skipped == ["SET.Premier"]
+    assert [f["check_name"] for f in again.findings] == ["picked card not in offered pack"]
 
 
 def test_row_counts_and_query(spark, built):
@@ -163,6 +164,32 @@ def test_bad_rows_stop_a_strict_build(spark, tmp_path):
     assert stores.Store(spark, str(tmp_path / "store")).current_loads() == []  # nothing published
 
 
+def test_narrowing_stops_a_strict_build(spark, tmp_path):
+    picks, games, replays = minitriple.default_rows()
+    picks[0]["event_match_wins"] = "70000"
+    games[0]["num_turns"] = "40000"
+    replays[0]["user_total_cards_drawn"] = "40000"
+    replays[1]["oppo_total_cards_drawn"] = "2.5"
+    data = minitriple.write_triple(tmp_path / "data", rows=(picks, games, replays))
+    with pytest.raises(CheckFailed, match="pick cells.*: 1; .*game cells.*: 1; .*replay cells.*: 2"):
+        build_store(spark, data, str(tmp_path / "store"))
+
+
+def test_fatal_findings_leave_the_store_empty_twice(spark, tmp_path):
+    """A negative pack count and a fractional hand size are found before publishing."""
+    picks, games, replays = minitriple.default_rows()
+    picks[0]["pack_card_Island"] = "-1"
+    data = minitriple.write_triple(tmp_path / "data", rows=(picks, games, replays))
+    for _ in range(2):
+        with pytest.raises(CheckFailed, match="negative pack or pool count|malformed pick cells"):
+            build_store(spark, data, str(tmp_path / "store"))
+        assert stores.Store(spark, str(tmp_path / "store")).current_loads() == []
+    replays[0]["user_turn_1_eot_oppo_cards_in_hand"] = "2.5"
+    data = minitriple.write_triple(tmp_path / "hands", rows=(minitriple.default_rows()[0], games, replays))
+    with pytest.raises(CheckFailed, match="malformed hand size"):
+        build_store(spark, data, str(tmp_path / "store"))
+
+
 def test_other_datasets_may_share_a_draft(spark, tmp_path):
     """Shared rows are validated, not doubled; NULLs of stored drafts are filled."""
     picks, games, replays = minitriple.default_rows()
