@@ -10,8 +10,9 @@ Method, on sets of distinct five-word shingles ("tokens", as 64-bit hashes):
    Otherwise the prefix is extended: all its rare tokens singly, and for its frequent
    tokens the 2-token combinations of neighbours in that order (see ``_extended``).
 3. *Contraction.* Documents of one set are one node. The first signatures of each node link
-   it to the smallest node that shares them; verified links join nodes into groups, so
-   copies are not compared with each other again.
+   it to the smallest node that shares them, then the nodes of crowded signatures to hubs,
+   which share the most; verified links join nodes into groups, so copies are not compared
+   with each other again. This decides what is compared first, never which links count.
 4. *Candidates and verification.* All signatures are joined between different groups;
    pairs that share too few rare signatures to reach 4/5 go, the others are compared by
    their whole sets. Components of all verified links give the result.
@@ -39,6 +40,8 @@ SHINGLE = 5
 SKETCH_BITS, BLOCK_BITS = 22, 15
 #: Signatures of each kind that the contraction uses.
 FIRST = 4
+#: Nodes of a signature from which its hub is tried.
+CROWD = 8
 
 
 def _cells(tokens: np.ndarray) -> np.ndarray:
@@ -203,15 +206,33 @@ def _stars(index: DataFrame) -> DataFrame:
     return rows.join(least, "sig").where("a <> fp").select("a", F.col("fp").alias("b"))
 
 
-def _candidates(index: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of nodes of different groups that the signatures cannot rule out."""
-    index = index.join(groups, index["fp"] == groups["node"], "left").withColumn(
-        "g", F.coalesce("root", "fp"))
-    rows = index.select("g", "fp", "n", "plain",
-                        F.explode(F.concat("singles", "pairs")).alias("sig"))
+def _met(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """(sig, g, fp, n, plain): the signatures that nodes of different groups share."""
+    rows = rows.select("sig", "fp", "n", "plain").join(
+        groups, rows["fp"] == groups["node"], "left").select(
+        "sig", F.coalesce("root", "fp").alias("g"), "fp", "n", "plain")
     shared = rows.groupBy("sig").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
     shared = shared.where("lo <> hi").select("sig")
-    hot = stored(rows.join(shared, "sig").distinct(), "shared")
+    return stored(rows.join(shared, "sig").distinct(), "shared")
+
+
+def _hubs(met: DataFrame) -> DataFrame:
+    """Pairs of a node and the hub of one of its crowded signatures, if of another group.
+
+    A hub is the node of a signature that shares the most: near copies differ more from each
+    other than from the text that they were made of, which holds most of their signatures.
+    """
+    crowded = met.groupBy("sig").agg(F.count("*").alias("c")).where(F.col("c") >= CROWD)
+    rows = met.join(crowded, "sig")
+    rows = rows.join(rows.groupBy("fp").agg(F.sum("c").alias("w")), "fp")
+    hub = rows.groupBy("sig").agg(F.max(F.struct("w", "fp", "g", "n")).alias("hub"))
+    pairs = rows.join(hub, "sig").where(
+        "g <> hub.g and 5 * n >= 4 * hub.n and 5 * hub.n >= 4 * n")
+    return pairs.select(F.col("hub.fp").alias("a"), F.col("fp").alias("b"))
+
+
+def _candidates(hot: DataFrame) -> DataFrame:
+    """Pairs of nodes of different groups that the signatures cannot rule out."""
     by_group = hot.select("sig", "g").distinct()
     across = by_group.select("sig", F.col("g").alias("ga")).join(
         by_group.select("sig", F.col("g").alias("gb")), "sig").where("ga < gb")
@@ -246,7 +267,11 @@ def joined(docs: DataFrame) -> DataFrame:
         "fp", "n", "singles", "pairs", "plain")
     first = _verified(_stars(index), nodes, docs)
     groups = stored(components(first), "groups")
-    rest = _verified(_candidates(index, groups), nodes, docs)
+    met = _met(index.select("fp", "n", "plain",
+                            F.explode(F.concat("singles", "pairs")).alias("sig")), groups)
+    first = first.unionByName(_verified(_hubs(met), nodes, docs))
+    met = _met(met, stored(components(first), "groups"))
+    rest = _verified(_candidates(met), nodes, docs)
     # Ids and sets in one graph: a set and its ids are linked, so are linked sets.
     sets = stored(components(first.unionByName(rest)), "sets")
     ids = rows.where("n > 0 and doc_id is not null").select("doc_id", "fp")
