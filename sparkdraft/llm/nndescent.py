@@ -2,9 +2,10 @@
 
 Method. Equal vectors of a label are one node. A forest of random hyperplane codes, each sorted
 and cut into blocks, gives every node its first neighbours. Each round gathers the
-neighbours of a node, both ways, in bounded groups, compares them with each other and keeps
-the best ``k`` of each list; lists whose last entry still reaches the threshold are
-saturated and doubled. An audit compares links of a bounded query sample with brute force
+neighbours of a node, both ways, in bounded groups, and compares them with each other. Links
+found by the forest or a round are never dropped: they join components at once. Lists keep
+the ``k`` nearest inside and the ``k`` nearest outside of a node's component, so links cannot
+crowd out what would join another component. An audit compares links of a bounded query sample with brute force
 over all rows; rounds go on until its recall is reached. The components of threshold edges
 are then compared completely, in pairs of blocks, so that lists need not hold them.
 
@@ -80,23 +81,84 @@ def _runs(batches, keys: tuple[str, ...], most: int):
         yield held
 
 
-def _edges(ids: np.ndarray, sims: np.ndarray, take: int) -> pa.RecordBatch:
-    """The ``take`` best other members of each member, as (a, b, sim)."""
+def _spanning(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Edges (i, j) that connect what the links ``hit`` of a block connect, and its components."""
+    group = np.arange(len(hit))
+    i, j = [], []
+    left = hit.any(1)
+    while left.any():
+        edge = np.array([left.argmax()])
+        root = edge[0]
+        left[root] = False
+        while len(edge):
+            new = np.flatnonzero(hit[edge].any(0) & left)
+            i.append(edge[hit[np.ix_(edge, new)].argmax(0)])
+            j.append(new)
+            left[new] = False
+            group[new] = root
+            edge = new
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *i]), np.concatenate([none, *j]), group
+
+
+def _edges(ids: np.ndarray, sims: np.ndarray, take: int, threshold: float,
+           roots: np.ndarray | None = None) -> pa.RecordBatch:
+    """Edges (a, b, sim) of a block: all its links and the nearest others of each member.
+
+    Of the links only as many are given as connect the same members. The ``take`` nearest are
+    those of all members, and those that no link found so far connects with the member.
+    """
     np.fill_diagonal(sims, -2)
+    hit = sims >= threshold
+    i, j, group = _spanning(hit | hit.T)
+    a, b = [i, j], [j, i]
+    same = group[:, None] == group
+    if roots is not None:
+        same |= roots[:, None] == roots
     take = min(take, len(ids) - 1)
-    best = np.argpartition(-sims, take - 1, axis=1)[:, :take]
-    a = np.repeat(np.arange(len(ids)), take)
+    for s in (sims, np.where(same, -2.0, sims)) if same.sum() > len(ids) else (sims,):
+        best = np.argpartition(-s, take - 1, axis=1)[:, :take]
+        x, y = np.repeat(np.arange(len(ids)), take), best.ravel()
+        some = s[x, y] > -2
+        a.append(x[some])
+        b.append(y[some])
+    a, b = np.concatenate(a), np.concatenate(b)
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids[a]), pa.array(ids[best.ravel()]), pa.array(sims[a, best.ravel()])],
+        [pa.array(ids[a]), pa.array(ids[b]), pa.array(np.maximum(sims[a, b], sims[b, a]))],
         ["a", "b", "sim"])
 
 
-def _best(edges: DataFrame, size: Column | None, k: int) -> DataFrame:
-    """The largest ``k`` (or ``size`` by row) neighbours of each node."""
-    rank = Window.partitionBy("a").orderBy(F.col("sim").desc(), "b")
+def _rooted(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """``edges`` with the component of each end, ``ra`` and ``rb``."""
+    a = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+    b = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    return edges.join(a, "a", "left").join(b, "b", "left").withColumns(
+        {"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")})
+
+
+def _joining(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) of components that ``links`` connect."""
+    both = _rooted(links.select("a", "b"), roots).where("ra <> rb")
+    return stored(both.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
+                  .distinct(), "joining")
+
+
+def _merged(roots: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``roots`` after the components of ``pairs`` have become one each."""
+    top = components(pairs).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    ends = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
+    every = roots.unionByName(ends.select(F.col("a").alias("node"), F.col("a").alias("root")))
+    return stored(every.distinct().join(top, "root", "left").select(
+        "node", F.coalesce("top", "root").alias("root")), "roots")
+
+
+def _best(edges: DataFrame, roots: DataFrame, k: int) -> DataFrame:
+    """(a, b, sim): the nearest ``k`` of each node inside and ``k`` outside of its component."""
     each = edges.where("a <> b").groupBy("a", "b").agg(F.max("sim").alias("sim"))
-    ranked = each.withColumn("rank", F.row_number().over(rank))
-    return ranked.where(F.col("rank") <= (F.lit(k) if size is None else size))
+    each = _rooted(each, roots).withColumn("inside", F.col("ra") == F.col("rb"))
+    rank = Window.partitionBy("a", "inside").orderBy(F.col("sim").desc(), "b")
+    ranked = each.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
+    return ranked.select("a", "b", "sim")
 
 
 def _forest(nodes: DataFrame, p: Parameters) -> DataFrame:
@@ -123,7 +185,8 @@ def _forest(nodes: DataFrame, p: Parameters) -> DataFrame:
         for run in _runs(batches, ("tree", "g"), p.block):
             if len(run) > 1:
                 x = _unit(run.column("v").combine_chunks())
-                yield _edges(run.column("id").to_numpy(), x @ x.T, p.neighbours // 2)
+                yield _edges(run.column("id").to_numpy(), x @ x.T, p.neighbours // 2,
+                             p.threshold)
 
     order = ["tree", "g", "code", "place", "id"]
     parts = max(2, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -131,26 +194,30 @@ def _forest(nodes: DataFrame, p: Parameters) -> DataFrame:
     return rows.mapInArrow(blocks, "a long, b long, sim double")
 
 
-def _round(lists: DataFrame, nodes: DataFrame, p: Parameters) -> DataFrame:
-    """Edges between neighbours of the same node; the lists of a node go in groups."""
+def _round(lists: DataFrame, nodes: DataFrame, roots: DataFrame, turn: int, p: Parameters
+           ) -> DataFrame:
+    """Edges between neighbours of the same node; they go in groups, others in each ``turn``."""
     both = lists.select(F.col("a").alias("u"), F.col("b").alias("id")).unionByName(
         lists.select(F.col("b").alias("u"), F.col("a").alias("id"))).distinct()
     own = lists.select(F.col("a").alias("u"), F.col("a").alias("id")).distinct()
     degree = both.groupBy("u").agg(F.ceil(F.count("*") / (p.block // 2)).alias("groups"))
     dealt = both.join(degree, "u").select(
-        "u", F.pmod(F.xxhash64("u", "id"), "groups").alias("part"), "id")
+        "u", F.pmod(F.xxhash64("u", "id", F.lit(turn)), "groups").alias("part"), "id")
     centre = degree.join(own, "u").select(
         "u", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("part"), "id")
     members = dealt.unionByName(centre).join(nodes.select("id", "v"), "id")
+    members = members.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn(
+        "root", F.coalesce("root", "id"))
 
     def met(batches):
         for run in _runs(batches, ("u", "part"), p.block):
             if len(run) > 1:
                 x = _unit(run.column("v").combine_chunks())
-                yield _edges(run.column("id").to_numpy(), x @ x.T, p.neighbours // 2)
+                yield _edges(run.column("id").to_numpy(), x @ x.T, p.neighbours // 2,
+                             p.threshold, run.column("root").to_numpy())
 
     spread = members.repartition("u", "part").sortWithinPartitions("u", "part", "id")
-    return spread.select("u", "part", "id", "v").mapInArrow(met, "a long, b long, sim double")
+    return spread.select("u", "part", "id", "v", "root").mapInArrow(met, "a long, b long, sim double")
 
 
 def _sample_links(nodes: DataFrame, p: Parameters) -> DataFrame:
@@ -176,31 +243,30 @@ def _sample_links(nodes: DataFrame, p: Parameters) -> DataFrame:
     return rows.where("a <> b")
 
 
-def _recall(links: DataFrame, lists: DataFrame, p: Parameters) -> float:
+def _recall(links: DataFrame, roots: DataFrame) -> float:
     """The share of sample links whose ends the threshold edges connect."""
-    roots = stored(components(lists.where(F.col("sim") >= p.threshold)), "roots")
-    a = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-    b = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    seen = links.join(a, "a", "left").join(b, "b", "left").agg(
+    seen = _rooted(links, roots).agg(
         F.count("*").alias("n"), F.count(F.when(F.col("ra") == F.col("rb"), 1)).alias("hit")).first()
     return seen.hit / seen.n if seen.n else 1.0
 
 
 def descend(nodes: DataFrame, p: Parameters = Parameters()) -> tuple[DataFrame, float, int]:
-    """Neighbour lists (a, b, sim, rank) of ``nodes`` (g, id, v), their recall, and rounds."""
-    lists = stored(_best(_forest(nodes, p), None, p.neighbours), "lists")
+    """The components (node, root) of ``nodes`` (g, id, v), their recall, and rounds."""
+    edges = stored(_forest(nodes, p), "found")
+    near = F.col("sim") >= p.threshold
+    roots = stored(components(edges.where(near)), "roots")
+    lists = stored(_best(edges, roots, p.neighbours), "lists")
     links = stored(_sample_links(nodes, p), "audit")
-    k, recall, done = p.neighbours, 0.0, 0
+    recall, done = 0.0, 0
     while done < p.rounds and (done < p.least_rounds or recall < p.recall):
         done += 1
-        full = lists.groupBy("a").agg(F.min("sim").alias("last"), F.count("*").alias("n"))
-        size = full.select("a", F.when(F.col("last") >= p.threshold, F.col("n") * 2)
-                           .otherwise(k).alias("size"))
-        edges = lists.select("a", "b", "sim").unionByName(_round(lists, nodes, p))
-        ranked = _best(edges, None, 1 << 30).join(size, "a")
-        lists = stored(ranked.where("rank <= size").select("a", "b", "sim", "rank"), "lists")
-        recall = _recall(links, lists, p)
-    return lists, recall, done
+        edges = stored(_round(lists, nodes, roots, done, p), "found")
+        pairs = _joining(edges.where(near), roots)
+        if not pairs.isEmpty():
+            roots = _merged(roots, pairs)
+        lists = stored(_best(lists.unionByName(edges), roots, p.neighbours), "lists")
+        recall = _recall(links, roots)
+    return roots, recall, done
 
 
 def _complete(nodes: DataFrame, roots: DataFrame, p: Parameters) -> DataFrame:
@@ -248,8 +314,7 @@ def near_duplicates(vectors: DataFrame, p: Parameters = Parameters()) -> DataFra
         F.first("embedding").alias("v"), F.first(F.xxhash64(
             F.col("label").cast("string"), F.size("embedding"))).alias("g"))
     nodes = stored(nodes.select("g", F.col("fp").alias("id"), "v", "times", "least"), "nodes")
-    lists, _, _ = descend(nodes, p)
-    roots = stored(components(lists.where(F.col("sim") >= p.threshold)), "roots")
+    roots, _, _ = descend(nodes, p)
     n_links = _complete(nodes, roots, p).withColumnRenamed("id", "fp")
     least = nodes.join(roots, nodes["id"] == roots["node"], "left").select(
         F.col("id").alias("fp"), F.coalesce("root", "id").alias("root"), "least", "times")

@@ -330,3 +330,20 @@ def test_nn_descent_against_brute_force(spark):
         want.append((rows[i][0], len(links[i]), least, rows[i][0] == least))
     assert got == sorted(want)
     assert nndescent.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_nn_descent_keeps_links_that_join_clusters():
+    n, k = 40, nndescent.Parameters().neighbours // 2
+    sims = np.full((n, n), 0.99)
+    sims[:20, 20:] = sims[20:, :20] = 0.5
+    sims[3, 30] = sims[30, 3] = 0.931
+    rows = nndescent._edges(np.arange(n), sims.copy(), k, 0.93).to_pylist()
+    links = {frozenset((r["a"], r["b"])) for r in rows if r["sim"] >= 0.93}
+    assert frozenset((3, 30)) in links
+    seen, todo = {0}, [0]
+    while todo:
+        x = todo.pop()
+        new = {y for e in links if x in e for y in e} - seen
+        seen |= new
+        todo += new
+    assert len(seen) == n and all(sims[tuple(e)] >= 0.93 for e in links)
