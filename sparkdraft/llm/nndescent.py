@@ -1,13 +1,19 @@
 """Near-duplicate vectors by NN-descent, in double precision, within equal labels.
 
 Method. Equal vectors of a label are one node. A forest of random hyperplane codes, each sorted
-and cut into blocks, gives every node its first neighbours. Each round gathers the
+and compared in overlapping windows, gives every node its first neighbours. Code length and
+number of trees grow with the label, so that all but a share ``miss`` of pairs at the threshold
+agree in the code of some tree; a label of one window is compared whole. Each round gathers the
 neighbours of a node, both ways, in bounded groups, and compares them with each other. Links
 found by the forest or a round are never dropped: they join components at once. Lists keep
 the ``k`` nearest inside and the ``k`` nearest outside of a node's component, so links cannot
-crowd out what would join another component. An audit compares links of a bounded query sample with brute force
-over all rows; rounds go on until its recall is reached. The components of threshold edges
-are then compared completely, in pairs of blocks, so that lists need not hold them.
+crowd out what would join another component. Rounds go on until one joins nothing.
+
+An audit then compares a random sample of queries with all rows of their labels. Labels of one
+code length are judged together, once enough queries with links have been seen; until then
+the sample grows. If too many links are missing it grows to the whole label, which makes the
+comparison exact. Links that the audit finds count as well. The components are then compared
+completely, in pairs of blocks, so that lists need not hold their links.
 
 Defined cases. Vectors that are null, empty, zero or hold a null or non-finite component,
 and rows with a null label or id, link with nothing. Vectors of different length are never
@@ -16,34 +22,49 @@ compared. A repeated row counts as another vector.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkdraft.llm.common import broadcast_value, stored
 from sparkdraft.llm.graph import components
+from sparkdraft.operators.joins import size_checked
 
 
 @dataclass(frozen=True)
 class Parameters:
-    """``audited`` bounds the audit's queries, ``rounds`` the descent."""
+    """``audited`` is the number of the first audit's queries, ``held`` of the most at once;
+    a verdict needs ``linked`` queries with links, or all."""
 
     threshold: float = 0.93
     neighbours: int = 8
-    trees: int = 8
-    bits: int = 8
     block: int = 96
-    least_rounds: int = 1
-    rounds: int = 6
-    audited: int = 256
+    miss: float = 1e-3
+    audited: int = 1024
+    held: int = 16384
+    linked: int = 256
     recall: float = 0.999
     seed: int = 11
 
 
+def trees(bits: int, p: Parameters) -> int:
+    """How many codes of ``bits`` hyperplanes a pair at the threshold needs to agree in one."""
+    agree = (1 - math.acos(p.threshold) / math.pi) ** bits
+    return 1 if bits == 0 else math.ceil(math.log(p.miss) / math.log(1 - agree))
+
+
+def _coded(nodes: DataFrame, p: Parameters) -> DataFrame:
+    """``nodes`` with the code length ``bits`` of their label; 0 if it fits a window."""
+    n = stored(nodes.groupBy("g").agg(F.count("*").alias("n")), "labels")
+    length = F.when(F.col("n") <= p.block, 0).otherwise(F.ceil(F.log2(F.col("n") * 4 / p.block)))
+    return stored(nodes.join(size_checked(n), "g").select(
+        *nodes.columns, length.cast("int").alias("bits")), "nodes")
+
+
 def _valid(v: Column) -> Column:
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists(v, lambda x: x != 0)
@@ -162,15 +183,19 @@ def _best(edges: DataFrame, roots: DataFrame, k: int) -> DataFrame:
 
 
 def _forest(nodes: DataFrame, p: Parameters) -> DataFrame:
-    """First edges: blocks of nodes with like hyperplane codes, for every tree."""
+    """First edges: windows of nodes with like hyperplane codes, for every tree."""
     def coded(batches):
+        planes = {}
         for batch in batches:
             for g in _runs([batch], ("g",), 1 << 30):
-                x = _unit(g.column("v").combine_chunks())
-                for tree in range(p.trees):
-                    rng = np.random.default_rng((p.seed, tree, x.shape[1]))
-                    y = x @ rng.normal(size=(x.shape[1], p.bits + 1))
-                    code = (y[:, :-1] > 0) @ (1 << np.arange(p.bits))
+                x, bits = _unit(g.column("v").combine_chunks()), g.column("bits")[0].as_py()
+                for tree in range(trees(bits, p)):
+                    key = (p.seed, tree, x.shape[1], bits)
+                    if bits and key not in planes:
+                        planes[key] = np.random.default_rng(key).normal(
+                            size=(x.shape[1], bits + 1))
+                    y = x @ planes[key] if bits else np.zeros((len(x), 1))
+                    code = (y[:, :-1] > 0) @ (1 << np.arange(bits))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(x), tree, np.int32)), g.column("g").combine_chunks(),
                          pa.array(code.astype(np.int64)), pa.array(y[:, -1]),
@@ -178,20 +203,26 @@ def _forest(nodes: DataFrame, p: Parameters) -> DataFrame:
                         ["tree", "g", "code", "place", "id", "v"])
 
     kind = nodes.schema["v"].dataType.simpleString()
-    rows = nodes.select("g", "id", "v").sortWithinPartitions("g").mapInArrow(
+    rows = nodes.select("g", "id", "v", "bits").sortWithinPartitions("g").mapInArrow(
         coded, f"tree int, g long, code long, place double, id long, v {kind}")
 
-    def blocks(batches):
-        for run in _runs(batches, ("tree", "g"), p.block):
-            if len(run) > 1:
-                x = _unit(run.column("v").combine_chunks())
-                yield _edges(run.column("id").to_numpy(), x @ x.T, p.neighbours // 2,
+    def windows(batches):
+        last = None
+        for run in _runs(batches, ("tree", "g"), p.block // 2):
+            near = last is not None and all(last.column(c)[0] == run.column(c)[0]
+                                            for c in ("tree", "g"))
+            both = pa.concat_tables([last, run]) if near else run
+            last = run
+            if len(both) > 1:
+                x = _unit(both.column("v").combine_chunks())
+                yield _edges(both.column("id").to_numpy(), x @ x.T, p.neighbours // 2,
                              p.threshold)
 
-    order = ["tree", "g", "code", "place", "id"]
+    # Labels of one window have one place and stay together.
+    order = ["tree", "g", "code", "place"]
     parts = max(2, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    return rows.mapInArrow(blocks, "a long, b long, sim double")
+    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order, "id")
+    return rows.mapInArrow(windows, "a long, b long, sim double")
 
 
 def _round(lists: DataFrame, nodes: DataFrame, roots: DataFrame, turn: int, p: Parameters
@@ -220,53 +251,93 @@ def _round(lists: DataFrame, nodes: DataFrame, roots: DataFrame, turn: int, p: P
     return spread.select("u", "part", "id", "v", "root").mapInArrow(met, "a long, b long, sim double")
 
 
-def _sample_links(nodes: DataFrame, p: Parameters) -> DataFrame:
-    """All links (a, b) of a bounded sample of nodes, by brute force over all rows."""
-    some = nodes.orderBy(F.xxhash64("id"), "id").limit(p.audited).select("g", "id", "v").toArrow()
+def _sample_links(nodes: DataFrame, roots: DataFrame, chosen: Column, threshold: float
+                  ) -> DataFrame:
+    """(bits, a, b) by brute force over all rows of the labels of the ``chosen`` nodes a.
+
+    ``b`` is of another component than ``a``, one of each that rows at hand hold, or is ``a``
+    itself where links stay inside. Nodes without links do not appear.
+    """
+    known = nodes.join(roots, nodes["id"] == roots["node"], "left").select(
+        "g", "id", "v", "bits", F.coalesce("root", "id").alias("root"))
+    known = stored(known, "known")
+    some = known.where(chosen).orderBy("g").toArrow()
     held = broadcast_value(nodes.sparkSession, some)
 
     def found(batches):
         queries = held.value
+        label = queries.column("g").to_numpy()
         for batch in batches:
             for run in _runs([batch], ("g",), 4096):
-                g = run.column("g")[0].as_py()
-                mine = queries.filter(pc.equal(queries.column("g"), g)).combine_chunks()
-                if len(mine):
-                    x, y = _unit(mine.column("v").combine_chunks()), _unit(
-                        run.column("v").combine_chunks())
-                    i, j = np.nonzero(x @ y.T >= p.threshold)
+                lo, hi = (np.searchsorted(label, run.column("g")[0].as_py(), s)
+                          for s in ("left", "right"))
+                y = _unit(run.column("v").combine_chunks()) if lo < hi else None
+                ids, root = run.column("id").to_numpy(), run.column("root").to_numpy()
+                for at in range(lo, hi, 1024):
+                    mine = queries.slice(at, min(1024, hi - at)).combine_chunks()
+                    own, base = mine.column("id").to_numpy(), mine.column("root").to_numpy()
+                    hit = _unit(mine.column("v").combine_chunks()) @ y.T >= threshold
+                    hit &= own[:, None] != ids
+                    i, j = np.nonzero(hit)
+                    other = base[i] != root[j]
+                    inside = np.unique(i[~other])
+                    i, j = i[other], j[other]
+                    _, code = np.unique(root[j], return_inverse=True)
+                    _, once = np.unique(i * (len(ids) + 1) + code, return_index=True)
+                    i, j = i[once], j[once]
+                    bits = mine.column("bits").to_numpy()
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(mine.column("id").to_numpy()[i]),
-                         pa.array(run.column("id").to_numpy()[j])], ["a", "b"])
-
-    rows = nodes.select("g", "id", "v").sortWithinPartitions("g").mapInArrow(found, "a long, b long")
-    return rows.where("a <> b")
-
-
-def _recall(links: DataFrame, roots: DataFrame) -> float:
-    """The share of sample links whose ends the threshold edges connect."""
-    seen = _rooted(links, roots).agg(
-        F.count("*").alias("n"), F.count(F.when(F.col("ra") == F.col("rb"), 1)).alias("hit")).first()
-    return seen.hit / seen.n if seen.n else 1.0
+                        [pa.array(np.concatenate([bits[inside], bits[i]])),
+                         pa.array(np.concatenate([own[inside], own[i]])),
+                         pa.array(np.concatenate([own[inside], ids[j]]))], ["bits", "a", "b"])
+
+    rows = known.select("g", "id", "v", "root").sortWithinPartitions("g")
+    return stored(rows.mapInArrow(found, "bits int, a long, b long"), "audit")
+
+
+def _audited(nodes: DataFrame, roots: DataFrame, p: Parameters) -> tuple[DataFrame, dict]:
+    """The components after the audit, and (queries with links, those with lost ones, share of
+    nodes that were queries) by code length."""
+    count = nodes.where("bits > 0").groupBy("bits").count().collect()
+    sizes = {r["bits"]: r["count"] for r in count}
+    seen, open_, step = {k: (0, 0, 0.0) for k in sizes}, set(sizes), p.audited
+    place = F.pmod(F.xxhash64("id", F.lit(p.seed)), F.lit(1 << 40)) / float(1 << 40)
+    while open_:
+        chosen = F.lit(False)
+        for k in open_:
+            low = seen[k][2]
+            high = min(1.0, low + step / len(open_) / sizes[k])
+            chosen |= (F.col("bits") == k) & (place >= low) & (place < high)
+            seen[k] = (*seen[k][:2], high)
+        links = _sample_links(nodes.where(F.col("bits").isin(*open_)), roots, chosen, p.threshold)
+        each = links.groupBy("bits", "a").agg(F.max(F.col("a") != F.col("b")).alias("lost"))
+        each = each.groupBy("bits").agg(F.count("*").alias("n"), F.count_if("lost").alias("lost"))
+        for r in each.collect():
+            n, lost, share = seen[r.bits]
+            seen[r.bits] = (n + r.n, lost + r.lost, share)
+        pairs = _joining(links, roots)
+        if not pairs.isEmpty():
+            roots = _merged(roots, pairs)
+        open_ = {k for k in open_ if seen[k][2] < 1 and not (
+            seen[k][0] >= p.linked and seen[k][1] <= (1 - p.recall) * seen[k][0])}
+        step = min(step * 4, p.held)
+    return roots, seen
 
 
-def descend(nodes: DataFrame, p: Parameters = Parameters()) -> tuple[DataFrame, float, int]:
-    """The components (node, root) of ``nodes`` (g, id, v), their recall, and rounds."""
+def descend(nodes: DataFrame, p: Parameters = Parameters()) -> tuple[DataFrame, int]:
+    """The components (node, root) of ``nodes`` (g, id, v, bits), and rounds."""
     edges = stored(_forest(nodes, p), "found")
     near = F.col("sim") >= p.threshold
     roots = stored(components(edges.where(near)), "roots")
-    lists = stored(_best(edges, roots, p.neighbours), "lists")
-    links = stored(_sample_links(nodes, p), "audit")
-    recall, done = 0.0, 0
-    while done < p.rounds and (done < p.least_rounds or recall < p.recall):
+    lists, done = stored(_best(edges, roots, p.neighbours), "lists"), 0
+    while True:
         done += 1
         edges = stored(_round(lists, nodes, roots, done, p), "found")
         pairs = _joining(edges.where(near), roots)
-        if not pairs.isEmpty():
-            roots = _merged(roots, pairs)
+        if pairs.isEmpty():
+            return roots, done
+        roots = _merged(roots, pairs)
         lists = stored(_best(lists.unionByName(edges), roots, p.neighbours), "lists")
-        recall = _recall(links, roots)
-    return roots, recall, done
 
 
 def _complete(nodes: DataFrame, roots: DataFrame, p: Parameters) -> DataFrame:
@@ -314,7 +385,8 @@ def near_duplicates(vectors: DataFrame, p: Parameters = Parameters()) -> DataFra
         F.first("embedding").alias("v"), F.first(F.xxhash64(
             F.col("label").cast("string"), F.size("embedding"))).alias("g"))
     nodes = stored(nodes.select("g", F.col("fp").alias("id"), "v", "times", "least"), "nodes")
-    roots, _, _ = descend(nodes, p)
+    nodes = _coded(nodes, p)
+    roots, _ = _audited(nodes, descend(nodes, p)[0], p)
     n_links = _complete(nodes, roots, p).withColumnRenamed("id", "fp")
     least = nodes.join(roots, nodes["id"] == roots["node"], "left").select(
         F.col("id").alias("fp"), F.coalesce("root", "id").alias("root"), "least", "times")

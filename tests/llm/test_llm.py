@@ -347,3 +347,21 @@ def test_nn_descent_keeps_links_that_join_clusters():
         seen |= new
         todo += new
     assert len(seen) == n and all(sims[tuple(e)] >= 0.93 for e in links)
+
+
+def test_nn_descent_finds_isolated_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1500, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.normal(size=(30, 32))
+    y -= (y * x[:30]).sum(1, keepdims=True) * x[:30]
+    y = 0.94 * x[:30] + np.sqrt(1 - 0.94 ** 2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.concatenate([x, y]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    none = spark.createDataFrame([], "a long, b long, sim double")
+    for lost in (False, True):
+        if lost:
+            # Nothing found by forest and rounds: the audit has to compare the whole label.
+            monkeypatch.setattr(nndescent, "_forest", lambda nodes, p: none)
+        got = {r.vec_id: (r.n_links, r.component_id) for r in nndescent.near_duplicates(df).collect()}
+        assert got == {i: (1, i % 1500) if i < 30 or i >= 1500 else (0, i) for i in range(1530)}
