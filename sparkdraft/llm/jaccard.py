@@ -136,11 +136,13 @@ def _index(docs: DataFrame, held) -> DataFrame:
         frequent, seen = held.value, set()
         for batch in batches:
             n, fps, plain, one, two = [], [], [], [], []
-            for _, t in _token_sets(batch.column("text")):
+            known = batch.column("doc_id").is_valid().to_pylist()
+            for row, t in _token_sets(batch.column("text")):
                 fp = _fingerprint(t)
                 a = b = t[:0]
                 flag = True
-                if len(t) >= 4 and (fp, len(t)) not in seen:
+                # Rows of a null id have no links, so they must not stand for their set.
+                if len(t) >= 4 and known[row] and (fp, len(t)) not in seen:
                     seen.add((fp, len(t)))
                     a, b, flag = signatures(t, frequent)
                 n.append(len(t))

@@ -365,3 +365,11 @@ def test_nn_descent_finds_isolated_pairs(spark, monkeypatch):
             monkeypatch.setattr(nndescent, "_forest", lambda nodes, p: none)
         got = {r.vec_id: (r.n_links, r.component_id) for r in nndescent.near_duplicates(df).collect()}
         assert got == {i: (1, i % 1500) if i < 30 or i >= 1500 else (0, i) for i in range(1530)}
+
+
+def test_jaccard_join_null_id_in_front_of_its_copy(spark):
+    words = [f"w{i}" for i in range(40)]
+    copy = [*words[:-1], "edit"]
+    docs = docs_of(spark, [" ".join(words), " ".join(words), " ".join(copy)], [None, 5, 3])
+    rows = jaccard.joined(docs.coalesce(1)).collect()
+    assert {(r.doc_id, r.component_id) for r in rows} == {(None, None), (5, 3), (3, 3)}
