@@ -6,7 +6,8 @@ value becomes mixed-radix digits that a keyed Feistel network permutes within th
 format: equal values get equal pseudonyms in every document, different values different
 ones, and whoever has the key can invert it. Check digits are computed anew.
 
-Formats: card numbers of 13 to 19 digits; phone numbers; numbers like 123-45-6789; IPv4
+Formats: card numbers of 13 to 19 digits, alone or in one grouping with one separator, also
+with other digits behind them; phone numbers; numbers like 123-45-6789; IPv4
 addresses; dates of 1900 to 2099 as year-month-day or day/month/year (both spellings of a day
 share one pseudonym); the part of an e-mail address before the @. All else stays.
 
@@ -19,14 +20,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 10
+#: Most repetitions of a permutation until its result is of the same kind; all but surely enough.
+WALK = 64
+#: Card numbers: digits alone, or with one separator in one grouping. A short last group counts
+#: only if no digits follow: it may be something else, which ``_card`` decides.
+LAST = r"(?!\w|[ ./-]\d)"
+CARDS = [r"\d{13,19}(?!\w)"]
+for _s in " -":
+    CARDS += [rf"\d{{4}}(?:{_s}\d{{4}}){{3}}(?:{_s}\d{{1,3}}{LAST}|(?!\w))",
+              rf"\d{{4}}(?:{_s}\d{{4}}){{2}}{_s}\d{{1,3}}(?!\w)",
+              rf"\d{{4}}{_s}\d{{6}}{_s}\d{{4,5}}(?:{_s}\d{{1,4}}{LAST}|(?!\w))",
+              rf"\d{{6}}{_s}\d{{7,13}}(?!\w)"]
+    CARDS += [rf"\d{{{_k}}}(?:{_s}\d{{{_k}}}){{{12 // _k},{19 // _k - 1}}}"
+              rf"(?:{_s}\d{{1,{max(_k - 1, 1)}}}{LAST}|(?!\w))" for _k in (1, 2, 3, 5, 6, 8)]
+#: Lengths of card numbers, in the order in which they are tried at a place.
+LENGTHS = (16, 15, 14, 13, 19, 18, 17)
 # The formats, in the order in which they are tried at a place.
 FORMATS = {
     "date": r"(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4})(?![\w-])",
     "ip": r"\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)",
     "ssn": r"\d{3}-\d{2}-\d{4}(?![\w-])",
-    "card": r"\d(?:[ -]?\d){12,18}(?!\w)",
+    "local": r"\d{3}[.-]\d{3}[.-]\d{4}(?!\w)",
+    "card": "|".join(CARDS),
     "phone": r"\+?\d{0,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{4}(?!\w)"
-             r"|\+\d(?:[ .-]?\d){7,14}(?!\w)|\d{3}[.-]\d{3}[.-]\d{4}(?!\w)",
+             r"|\+\d(?:[ .-]?\d){7,14}(?!\w)",
     "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
 }
 #: Possible starts come first, so that a long run of letters is passed once.
@@ -111,6 +128,36 @@ def _numbers(value: Column, kind: str, key: str, back: bool, keep: int = 0, chec
     return _refill(value, new)
 
 
+def _card_span(value: Column) -> Column:
+    """The first card number that ``value`` begins with and that ends with a group, or null."""
+    ends = F.array(*[F.regexp_extract(value, rf"^\d(?:[ -]?\d){{{n - 1}}}(?!\d)", 0) for n in LENGTHS])
+    return F.get(F.filter(ends, lambda s: (s != "") & (luhn_sum(_digits(s)) % 10 == 0)), 0)
+
+
+def _card(value: Column, key: str, back: bool) -> Column:
+    """The card number in front replaced, what follows kept; ``value`` if there is none.
+
+    The permutation goes on until the card number would be told from what follows in the same
+    way, so that it can be inverted.
+    """
+    def step(acc: Column, rest: Column) -> Column:
+        new = F.transform(F.array(acc), lambda s: _numbers(s, "card", key, back, check=True))
+        return F.get(F.transform(new, lambda s: F.struct(
+            s.alias("s"), F.coalesce(F.length(_card_span(F.concat(s, rest))) == F.length(s),
+                                     F.lit(False)).alias("ok"))), 0)
+
+    def moved(span: Column) -> Column:
+        rest = F.substring(value, F.length(span) + 1, F.length(value))
+        first = F.struct(span.alias("s"), F.lit(False).alias("ok"))
+        return F.concat(F.aggregate(
+            F.sequence(F.lit(1), F.lit(WALK)), first,
+            lambda acc, _: F.when(acc["ok"], acc).otherwise(step(acc["s"], rest)),
+            lambda acc: acc["s"]), rest)
+
+    found = F.filter(F.array(_card_span(value)), lambda s: s.isNotNull())
+    return F.coalesce(F.get(F.transform(found, moved), 0), value)
+
+
 def _phone(value: Column, key: str, back: bool) -> Column:
     """The last seven digits permuted: country and area stay."""
     digits = _digits(value)
@@ -169,9 +216,8 @@ def pseudonym(value: Column, key: str, back: bool = False) -> Column:
             .when(value.rlike(f"^(?:{FORMATS['date']})$"), _date(value, key, back))
             .when(value.rlike(f"^(?:{FORMATS['ip']})$"), _ip(value, key, back))
             .when(value.rlike(f"^(?:{FORMATS['ssn']})$"), _numbers(value, "ssn", key, back))
-            .when(value.rlike(f"^(?:{FORMATS['card']})$") & (luhn_sum(_digits(value)) % 10 == 0),
-                  _numbers(value, "card", key, back, check=True))
-            .when(value.rlike(f"^(?:{FORMATS['phone']})$") & digits.between(9, 15),
+            .when(value.rlike(f"^(?:{FORMATS['card']})$"), _card(value, key, back))
+            .when(value.rlike(f"^(?:{FORMATS['local']}|{FORMATS['phone']})$") & digits.between(9, 15),
                   _phone(value, key, back))
             .otherwise(value))
 

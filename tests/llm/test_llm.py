@@ -373,3 +373,21 @@ def test_jaccard_join_null_id_in_front_of_its_copy(spark):
     docs = docs_of(spark, [" ".join(words), " ".join(words), " ".join(copy)], [None, 5, 3])
     rows = jaccard.joined(docs.coalesce(1)).collect()
     assert {(r.doc_id, r.component_id) for r in rows} == {(None, None), (5, 3), (3, 3)}
+
+
+def test_pseudonyms_of_numbers_beside_digits(spark):
+    card = "4111 1111 1111 1111"
+    texts = [card, card + " 123", card + " 12/25", card.replace(" ", "") + " 42", card + " " + card,
+             "555-123-4567 555-987-6543", "555-123-4567 1234 Main", card.replace(" ", "-") + " 7"]
+    texts += [f"{card} {i:03d}" for i in range(100)]
+    new = pii.pseudonymised(docs_of(spark, texts), "key")
+    out = [r.text for r in new.orderBy("doc_id").collect()]
+    other = out[0]
+    assert other != card and out[1] == other + " 123" and out[2] == other + " 12/25"
+    assert out[3] == other.replace(" ", "") + " 42" and out[4] == other + " " + other
+    assert out[7] == other.replace(" ", "-") + " 7"
+    a, b = out[5].split()
+    assert a != "555-123-4567" and b != "555-987-6543" and out[6] == a + " 1234 Main"
+    assert all(t == f"{other} {i:03d}" for i, t in enumerate(out[8:]))
+    back = pii.pseudonymised(new, "key", back=True).orderBy("doc_id").collect()
+    assert [r.text for r in back] == texts
