@@ -8,8 +8,9 @@ ones, and whoever has the key can invert it. Check digits are computed anew.
 
 Formats: card numbers of 13 to 19 digits, alone or in one grouping with one separator, also
 with other digits behind them; phone numbers; numbers like 123-45-6789; IPv4
-addresses; dates of 1900 to 2099 as year-month-day or day/month/year (both spellings of a day
-share one pseudonym); the part of an e-mail address before the @. All else stays.
+addresses; dates of 1900 to 2099 as year-month-day, also in front of a time, or day/month/year
+(both spellings of a day share one pseudonym), and month/day/year where it cannot be day first
+(with pseudonyms of its own, among such dates); the part of an e-mail address before the @. All else stays.
 
 Defined cases. A null text stays null. Candidates that fail validation stay as they are.
 """
@@ -37,7 +38,7 @@ for _s in " -":
 LENGTHS = (16, 15, 14, 13, 19, 18, 17)
 # The formats, in the order in which they are tried at a place.
 FORMATS = {
-    "date": r"(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4})(?![\w-])",
+    "date": r"(?:\d{4}-\d{2}-\d{2}(?=T\d)|(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4})(?![\w-]))",
     "ip": r"\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)",
     "ssn": r"\d{3}-\d{2}-\d{4}(?![\w-])",
     "local": r"\d{3}[.-]\d{3}[.-]\d{4}(?!\w)",
@@ -48,6 +49,7 @@ FORMATS = {
 }
 #: Possible starts come first, so that a long run of letters is passed once.
 FIND = r"(?<![A-Za-z0-9._%+@-])(?:" + "|".join(FORMATS.values()) + ")"
+DATE = r"^(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4})$"
 #: Days from 1900-01-01 to 2099-12-31, as two digits of these bases.
 DATE_BASES = (319, 229)
 FIRST_DAY = "1900-01-01"
@@ -170,17 +172,29 @@ def _phone(value: Column, key: str, back: bool) -> Column:
 
 def _date(value: Column, key: str, back: bool) -> Column:
     slash = value.contains("/")
-    day = F.when(slash, F.try_to_date(value, "dd/MM/yyyy")).otherwise(
+    usual = F.when(slash, F.try_to_date(value, "dd/MM/yyyy")).otherwise(
         F.try_to_date(value, "yyyy-MM-dd"))
-    n = F.date_diff(day, F.lit(FIRST_DAY).cast("date")).cast("long")
     a, b = DATE_BASES
-    new = permute(F.array(F.floor(n / b), n % b), F.array(F.lit(a).cast("long"),
-                                                        F.lit(b).cast("long")), F.lit("date"),
-                  key, back)
-    moved = F.date_add(F.lit(FIRST_DAY).cast("date"), (F.get(new, 0) * b + F.get(new, 1)).cast("int"))
-    out = F.when(slash, F.date_format(moved, "dd/MM/yyyy")).otherwise(
-        F.date_format(moved, "yyyy-MM-dd"))
-    return F.when((n >= 0) & (n < a * b), out).otherwise(value)
+    bases = F.array(F.lit(a).cast("long"), F.lit(b).cast("long"))
+    start = F.lit(FIRST_DAY).cast("date")
+
+    def at(digits: Column) -> Column:
+        return F.date_add(start, (F.get(digits, 0) * b + F.get(digits, 1)).cast("int"))
+
+    def moved(day: Column, spelling: str, first: bool) -> Column:
+        n = F.date_diff(day, start).cast("long")
+        kind = F.lit("month first" if first else "date")
+        new = permute(F.array(F.floor(n / b), n % b), bases, kind, key, back)
+        if first:
+            # Again until it is of the dates that cannot be read as day first either.
+            new = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), new, lambda acc, _: F.when(
+                F.dayofmonth(at(acc)) > 12, acc).otherwise(permute(acc, bases, kind, key, back)))
+        return F.when((n >= 0) & (n < a * b), F.date_format(at(new), spelling)).otherwise(value)
+
+    month_first = F.try_to_date(value, "MM/dd/yyyy")
+    return F.when(usual.isNotNull() & slash, moved(usual, "dd/MM/yyyy", False)).when(
+        usual.isNotNull(), moved(usual, "yyyy-MM-dd", False)).when(
+        slash & month_first.isNotNull(), moved(month_first, "MM/dd/yyyy", True)).otherwise(value)
 
 
 def _ip(value: Column, key: str, back: bool) -> Column:
@@ -213,7 +227,7 @@ def pseudonym(value: Column, key: str, back: bool = False) -> Column:
     """The pseudonym of one candidate, or the value itself if it is not valid."""
     digits = F.length(F.regexp_replace(value, r"\D", ""))
     return (F.when(value.contains("@"), _email(value, key, back))
-            .when(value.rlike(f"^(?:{FORMATS['date']})$"), _date(value, key, back))
+            .when(value.rlike(DATE), _date(value, key, back))
             .when(value.rlike(f"^(?:{FORMATS['ip']})$"), _ip(value, key, back))
             .when(value.rlike(f"^(?:{FORMATS['ssn']})$"), _numbers(value, "ssn", key, back))
             .when(value.rlike(f"^(?:{FORMATS['card']})$"), _card(value, key, back))

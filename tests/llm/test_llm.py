@@ -391,3 +391,16 @@ def test_pseudonyms_of_numbers_beside_digits(spark):
     assert all(t == f"{other} {i:03d}" for i, t in enumerate(out[8:]))
     back = pii.pseudonymised(new, "key", back=True).orderBy("doc_id").collect()
     assert [r.text for r in back] == texts
+
+
+def test_pseudonyms_of_timestamps_and_month_first_dates(spark):
+    texts = ["2021-03-04", "at 2021-03-04T10:00:05Z", "04/03/2021", "2021-03-04Tx", "13/13/2021"]
+    texts += [f"{m:02d}/{d}/19{y}" for m, d, y in zip([*range(1, 13)] * 5, [*range(13, 29)] * 4, range(30, 90))]
+    new = pii.pseudonymised(docs_of(spark, texts), "key")
+    out = [r.text for r in new.orderBy("doc_id").collect()]
+    assert out[0] != texts[0] and out[1] == f"at {out[0]}T10:00:05Z" and out[3:5] == texts[3:5]
+    first = [t.split("/") for t in out[5:]]
+    assert all(1 <= int(m) <= 12 < int(d) and 1900 <= int(y) < 2100 for m, d, y in first)
+    assert len(set(out[5:])) == 60 and not set(out[5:]) & set(texts[5:])
+    back = pii.pseudonymised(new, "key", back=True).orderBy("doc_id").collect()
+    assert [r.text for r in back] == texts
