@@ -1,6 +1,6 @@
 """Licence notices in documents, with DataFrame functions and Spark's own regression only.
 
-Method. Paragraphs (lines) are classified by a multinomial logistic regression over sparse word
+Method. Paragraphs (lines, and windows of ``WINDOW`` lines for wrapped notices) are classified by a multinomial logistic regression over sparse word
 1- to 3-grams of the notice templates. It is trained on the templates, on shortened forms
 of them, on sentences that only sound alike and on a bounded sample of paragraphs, the last
 two as class ``unknown``. A temperature fitted on held-out examples calibrates it, so the
@@ -29,6 +29,10 @@ from sparkdraft.llm.decontam import words
 
 # Usual wordings of licence notices by family, and sentences that are none.
 TEMPLATES = {
+    "agpl": ("Licensed under the GNU Affero General Public License, version 3.",
+             "This program is free software: you can redistribute it and/or modify it under the "
+             "terms of the GNU Affero General Public License as published by the Free Software "
+             "Foundation."),
     "apache": ("Licensed under the Apache License, Version 2.0.",
                "Licensed under the Apache License, Version 2.0 (the License); you may not use "
                "this file except in compliance with the License."),
@@ -37,14 +41,30 @@ TEMPLATES = {
             "Released under the BSD License."),
     "cc": ("Licensed under CC BY 4.0.", "Licensed under CC BY-SA 4.0.", "Licensed under CC BY-NC 4.0.",
            "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    "cc0": ("Licensed under CC0 1.0 Universal.",
+            "To the extent possible under law, the author has waived all copyright and related or "
+            "neighboring rights to this work.",
+            "Dedicated to the public domain under the CC0 1.0 Universal Public Domain Dedication."),
     "gpl": ("This work is licensed under the GNU General Public License, version 3.",
             "This program is free software: you can redistribute it and/or modify it under the "
             "terms of the GNU General Public License as published by the Free Software Foundation."),
+    "isc": ("Released under the ISC License.",
+            "Permission to use, copy, modify, and/or distribute this software for any purpose with "
+            "or without fee is hereby granted, provided that the above copyright notice and this "
+            "permission notice appear in all copies."),
+    "lgpl": ("Licensed under the GNU Lesser General Public License, version 2.1.",
+             "This library is free software; you can redistribute it and/or modify it under the "
+             "terms of the GNU Lesser General Public License as published by the Free Software "
+             "Foundation."),
     "mit": ("Released under the MIT License.", "Licensed under the MIT License.",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
             "software and associated documentation files."),
+    "mpl": ("Licensed under the Mozilla Public License, version 2.0.",
+            "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     "reserved": ("All rights reserved.", "Copyright the authors. All rights reserved.",
                  "No part of this publication may be reproduced without written permission."),
+    "unlicense": ("Released under the Unlicense.",
+                  "This is free and unencumbered software released into the public domain."),
 }
 NO_NOTICE = ("The licence of the driver was revoked last year.", "All rights belong to the people.",
              "The album was released under a new name.", "He is free to use the public road.",
@@ -53,7 +73,9 @@ NO_NOTICE = ("The licence of the driver was revoked last year.", "All rights bel
              "The foundation published a free copy of the files.", "under the", "of this", "all",
              "the work", "is free", "in the general", "with or without", "to any person")
 ANCHOR_LETTERS = 6
-SHORT_ANCHORS = ("bsd", "cc", "gnu", "mit")
+SHORT_ANCHORS = ("bsd", "cc", "cc0", "gnu", "isc", "mit")
+#: Most lines that a wrapped notice is looked for in.
+WINDOW = 5
 UNKNOWN = "unknown"
 CLASSES = (*sorted(TEMPLATES), UNKNOWN)
 
@@ -120,6 +142,23 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", lines).where(F.trim("line") != "")
 
 
+def windows(docs: DataFrame) -> DataFrame:
+    """(doc_id, number, h, last, line): runs of ``WINDOW`` lines, or all up to a blank line.
+
+    ``number`` is the first line, ``last`` the last; ``h`` is of the text that it was cut from.
+    """
+    lines = F.split(F.col("text"), r"\n")
+    rows = docs.where("text is not null").select(
+        "doc_id", F.xxhash64("text").alias("h"), lines.alias("lines"),
+        F.posexplode(lines).alias("number", "first")).where(F.trim("first") != "")
+    part = F.slice("lines", F.col("number") + 1, F.lit(WINDOW))
+    blank = F.array_position(F.transform(part, lambda v: F.trim(v) == ""), F.lit(True))
+    rows = rows.select("doc_id", "h", "number", part.alias("part"), F.when(
+        blank > 0, blank - 1).otherwise(F.size(part)).cast("int").alias("n")).where("n > 1")
+    return rows.select("doc_id", "number", "h", (F.col("number") + F.col("n") - 1).alias("last"),
+                       F.array_join(F.slice("part", F.lit(1), F.col("n")), " ").alias("line"))
+
+
 def _examples() -> list[tuple[str, str]]:
     rows = [(UNKNOWN, t) for t in NO_NOTICE]
     for family, texts in TEMPLATES.items():
@@ -192,24 +231,19 @@ def logits(rows: DataFrame, keys: list[str], model: Model) -> DataFrame:
           for k in kinds])
 
 
-def scanned(docs: DataFrame, model: Model, p: Parameters = Parameters()) -> DataFrame:
-    """(doc_id, number, family, probability, unknown, similarity, confirmed) of paragraphs.
-
-    Only paragraphs that are not ``unknown`` are returned.
-    """
-    lines = paragraphs(docs.where(anchored(F.col("text")))).where(anchored(F.col("line")))
+def _judged(lines: DataFrame, keys: list[str], model: Model, p: Parameters) -> DataFrame:
+    """``keys`` and the verdict on each ``line`` that is not ``unknown``."""
     # The words are a column of their own: inside of the n-grams they would be made anew for each.
-    rows = lines.select("doc_id", "number", F.xxhash64("line").alias("h"),
-                        words(F.col("line")).alias("w"))
-    rows = rows.select("doc_id", "number", "h", grams(F.col("w"), model.vocabulary).alias("g"))
-    rows = stored(logits(rows, ["doc_id", "number", "h"], model), "notices")
+    rows = lines.where(anchored(F.col("line"))).select(*keys, words(F.col("line")).alias("w"))
+    rows = rows.select(*keys, grams(F.col("w"), model.vocabulary).alias("g"))
+    rows = stored(logits(rows, keys, model), "notices")
     z = [F.col(f"z{k}") for k in range(len(CLASSES))]
     rows = rows.withColumn("top", F.greatest(*z))
     total = sum((F.exp(v - F.col("top")) for v in z), F.lit(0.0))
     family = F.lit(UNKNOWN)
     for name, v in reversed(list(zip(CLASSES, z))):
         family = F.when(v == F.col("top"), name).otherwise(family)
-    rows = rows.select("doc_id", "number", "g", (1.0 / total).alias("probability"),
+    rows = rows.select(*keys, "g", (1.0 / total).alias("probability"),
                        (F.exp(z[-1] - F.col("top")) / total).alias("unknown"),
                        family.alias("family"))
     rows = rows.where((F.col("family") != UNKNOWN) & (F.col("probability") >= p.probability))
@@ -222,10 +256,36 @@ def scanned(docs: DataFrame, model: Model, p: Parameters = Parameters()) -> Data
             each.append(both / len(three))
         similar = F.when(F.col("family") == family, F.greatest(*each)).otherwise(similar)
     return rows.withColumn("similarity", similar).select(
-        "doc_id", "number", "family", "probability", "unknown", "similarity",
+        *keys, "family", "probability", "unknown", "similarity",
         (F.col("similarity") >= p.similarity).alias("confirmed"))
 
 
+def scanned(docs: DataFrame, model: Model, p: Parameters = Parameters()) -> DataFrame:
+    """(doc_id, number, family, probability, unknown, similarity, confirmed) of paragraphs.
+
+    Only paragraphs that are not ``unknown`` are returned. Wrapped notices are rows of their own,
+    by their first line: those that are confirmed in a window but in none of its lines, of
+    windows in a row the most similar one.
+    """
+    docs = docs.where(anchored(F.col("text")))
+    keys = ["doc_id", "number", "h"]
+    out = ["family", "probability", "unknown", "similarity", "confirmed"]
+    lines = paragraphs(docs).withColumn("h", F.xxhash64("line"))
+    single = stored(_judged(lines, keys, model, p), "single")
+    wide = _judged(windows(docs), [*keys, "last"], model, p).where("confirmed")
+    known = single.where("confirmed").select(
+        F.col("doc_id").alias("d"), F.col("number").alias("n"), F.col("family").alias("f"))
+    wide = stored(wide.join(known.distinct(), F.expr(
+        "doc_id <=> d and family = f and n between number and last"), "left_anti"), "wide")
+    near = wide.select(F.col("doc_id").alias("d"), F.col("h").alias("e"), F.col("family").alias("f"),
+                       F.col("number").alias("n"), F.col("similarity").alias("s"))
+    # Of windows that overlap, only the best one; of equal ones the last, which starts nearest.
+    wide = wide.join(near, F.expr(
+        f"doc_id <=> d and h = e and family = f and abs(n - number) < {WINDOW} and "
+        "(s > similarity or s = similarity and n > number)"), "left_anti")
+    return single.select("doc_id", "number", *out).unionByName(wide.select("doc_id", "number", *out))
+
+
 def licences(docs: DataFrame, model: Model, p: Parameters = Parameters()) -> DataFrame:
     """(doc_id, families, n_notices, n_confirmed) of documents with a notice."""
     return scanned(docs, model, p).groupBy("doc_id").agg(

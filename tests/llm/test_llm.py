@@ -404,3 +404,21 @@ def test_pseudonyms_of_timestamps_and_month_first_dates(spark):
     assert len(set(out[5:])) == 60 and not set(out[5:]) & set(texts[5:])
     back = pii.pseudonymised(new, "key", back=True).orderBy("doc_id").collect()
     assert [r.text for r in back] == texts
+
+
+def test_licences_of_wrapped_notices_and_more_families(spark):
+    bsd = ("Redistribution and use in source and binary forms, with or without\nmodification, are "
+           "permitted provided that the following conditions are met:")
+    gpl = ("# This program is free software: you can redistribute it and/or modify\n# it under the "
+           "terms of the GNU General Public License as published by\n# the Free Software Foundation.")
+    short = {"lgpl": "Licensed under the GNU Lesser General Public License, version 2.1.",
+             "agpl": "Licensed under the GNU Affero General Public License, version 3.",
+             "mpl": "Licensed under the Mozilla Public License, version 2.0.",
+             "isc": "Released under the ISC License.", "cc0": "Licensed under CC0 1.0 Universal.",
+             "unlicense": "This is free and unencumbered software released into the public domain."}
+    texts = ["code\n" + bsd + "\n\nmore", gpl, *short.values(), bsd.replace("without\n", "without\n\n")]
+    docs = docs_of(spark, texts)
+    found = licences.licences(docs, licences.fit(docs)).where("n_confirmed > 0").collect()
+    want = [["bsd"], ["gpl"], *[[f] for f in short]]
+    assert {r.doc_id: (r.families, r.n_confirmed) for r in found} == {
+        i: (f, 1) for i, f in enumerate(want)}
