@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage: op1 to op10 and the pipeline."""
+"""The registered queries of this subpackage, op1 to op13."""
 
 from __future__ import annotations
 
@@ -9,8 +9,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdraft.llm import (decontam, jaccard, langid, licences, nndescent, pii, quality,
-                            tokenfile, toxicity, unigram)
+from sparkdraft.llm import (decontam, jaccard, langid, licences, merkle, nndescent, pii,
+                            quality, tokenfile, toxicity, unigram)
 from sparkdraft.llm.common import fold, stored
 from sparkdraft.session import work_dir
 
@@ -191,3 +191,73 @@ FROM embeddings LEFT JOIN least ON vec_id = least.a LEFT JOIN n ON vec_id = n.a
 @query("op10_nn_descent", OP10_SQL)
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return nndescent.near_duplicates(table(spark, sf, "embeddings"))
+
+
+#: DuckDB: a field of a leaf, a leaf, the level above a list of nodes, crc32 of a decimal number.
+SQL_FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+SQL_LEAF = "sha256(" + " || ".join(SQL_FIELD.format(f) for f in merkle.FIELDS) + ")"
+SQL_UP = "[sha256(arr[2 * k + 1] || coalesce(arr[2 * k + 2], '')) FOR k IN range((len(arr) + 1) // 2)]"
+SQL_CRC32 = """xor(4294967295, list_reduce(
+    [ascii(c) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')],
+    lambda crc, byte: list_reduce(range(8),
+        lambda x, bit: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END,
+        xor(crc, byte)),
+    CAST(4294967295 AS BIGINT)))"""
+
+OP13_SQL = f"""
+WITH RECURSIVE leaf AS (
+  SELECT doc_id, lang, {SQL_LEAF} AS leaf,
+         CASE WHEN n_chars IS NOT NULL AND {SQL_CRC32} % 7 = 0
+              THEN {SQL_LEAF.replace("n_chars", "(n_chars + 1)")} END AS tampered
+  FROM documents
+),
+node AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaf
+),
+low AS (
+  SELECT lang, 0 AS lvl, list(leaf ORDER BY i) AS arr FROM node GROUP BY lang
+  UNION ALL
+  SELECT lang, lvl + 1, {SQL_UP} FROM low WHERE len(arr) > 1
+),
+sub AS (
+  SELECT lang, arr[1] AS subroot, lvl AS height,
+         row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS t
+  FROM low WHERE len(arr) = 1
+),
+high AS (
+  SELECT 0 AS lvl, list(subroot ORDER BY t) AS arr FROM sub
+  UNION ALL
+  SELECT lvl + 1, {SQL_UP} FROM high WHERE len(arr) > 1
+),
+step AS (
+  SELECT node.lang, i, lvl, (i >> lvl) % 2 AS bit, coalesce(arr[xor(i >> lvl, 1) + 1], '') AS sib
+  FROM node JOIN low ON node.lang IS NOT DISTINCT FROM low.lang WHERE len(arr) > 1
+  UNION ALL
+  SELECT node.lang, node.i, height + high.lvl, (t >> high.lvl) % 2,
+         coalesce(arr[xor(t >> high.lvl, 1) + 1], '')
+  FROM node JOIN sub ON node.lang IS NOT DISTINCT FROM sub.lang, high WHERE len(arr) > 1
+),
+path AS (
+  SELECT lang, i, list(struct_pack(bit, sib) ORDER BY lvl) AS p, string_agg(sib, '' ORDER BY lvl) AS proof
+  FROM step GROUP BY lang, i
+),
+fold AS (
+  SELECT node.lang, node.i, 0 AS lvl, coalesce(tampered, leaf) AS h, p, proof
+  FROM node LEFT JOIN path ON node.lang IS NOT DISTINCT FROM path.lang AND node.i = path.i
+  UNION ALL
+  SELECT lang, i, lvl + 1, sha256(CASE WHEN p[lvl + 1].bit = 1 THEN p[lvl + 1].sib || h
+                                       ELSE h || p[lvl + 1].sib END), p, proof
+  FROM fold WHERE lvl < coalesce(len(p), 0)
+)
+SELECT doc_id, leaf, subroot, (SELECT arr[1] FROM high WHERE len(arr) = 1) AS root,
+       sha256(coalesce(proof, '')) AS proof_sha256, h AS folded_root,
+       h = (SELECT arr[1] FROM high WHERE len(arr) = 1) AS verified
+FROM node JOIN sub ON node.lang IS NOT DISTINCT FROM sub.lang
+JOIN fold ON node.lang IS NOT DISTINCT FROM fold.lang AND node.i = fold.i
+         AND fold.lvl = coalesce(len(fold.p), 0)
+"""
+
+
+@query("op13_merkle", OP13_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf, "documents"))
