@@ -9,8 +9,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdraft.llm import (decontam, jaccard, langid, licences, merkle, nndescent, pii,
-                            quality, tokenfile, toxicity, unigram)
+from sparkdraft.llm import (decontam, jaccard, langid, licences, merkle, mixing, nndescent,
+                            pii, quality, tokenfile, toxicity, unigram, whiten)
 from sparkdraft.llm.common import fold, stored
 from sparkdraft.session import work_dir
 
@@ -193,6 +193,16 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     return nndescent.near_duplicates(table(spark, sf, "embeddings"))
 
 
+@query("op11_whitening")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return whiten.whitened(table(spark, sf, "embeddings"))
+
+
+@query("op12_mixing")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf, "documents"))
+
+
 #: DuckDB: a field of a leaf, a leaf, the level above a list of nodes, crc32 of a decimal number.
 SQL_FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
 SQL_LEAF = "sha256(" + " || ".join(SQL_FIELD.format(f) for f in merkle.FIELDS) + ")"
