@@ -51,7 +51,7 @@ class Parameters:
     #: Blocks of Ritz vectors that the search space holds before it starts again from one.
     blocks: int = 4
     #: MINRES steps, and the reduction of the residual at which they end sooner.
-    inner_steps: int = 8
+    inner_steps: int = 4
     inner_reduction: float = 1e-3
     outer_steps: int = 300
 
@@ -112,8 +112,10 @@ class Centre:
         return self.n * _integers(x, bound) - _integers(np.array(self.sums, dtype=object), bound)
 
     def centred(self, x: np.ndarray) -> np.ndarray:
-        """x - S / n in double precision."""
-        return (self.times_n(x) / self.n).astype(float)
+        """x - S / n in double precision: whole parts are taken off as integers."""
+        whole = np.array([v // self.n for v in self.sums], dtype=np.int64)
+        rest = np.array([v % self.n / self.n for v in self.sums])
+        return (x - whole).astype(float) - rest
 
     def deviations(self, x: np.ndarray) -> list:
         """Sum over the entries of (n x - S)^2, exactly; None beyond 64 bits."""
