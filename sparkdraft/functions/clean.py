@@ -94,6 +94,11 @@ def key_integer(x: Column) -> Column:
     return F.when(_whole(x), x.cast("bigint")).otherwise(number_or_null(x).try_cast("bigint"))
 
 
+def bad_key(x: Column) -> Column:
+    """A key cell without a number."""
+    return key_integer(x).isNull()
+
+
 def count_or_zero(x: Column) -> Column:
     """Count cell as int: blank, null words and unparseable text give 0."""
     return F.coalesce(key_integer(x).try_cast("int"), F.lit(0))

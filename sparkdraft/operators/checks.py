@@ -6,7 +6,7 @@ fatal ones into an error (strict) or leaves them as a report (lenient).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -152,12 +152,13 @@ def combine(findings: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), findings)
 
 
-def enforce(report: DataFrame, mode: str = "strict") -> list:
+def enforce(report: DataFrame, mode: str = "strict",
+            examples: Callable[[], Sequence[str]] = tuple) -> list:
     """Findings with rows. Strict mode raises on a fatal one; the report has one
-    row per check."""
+    row per check. ``examples`` is asked for some rows only when it raises."""
     found = report.where(F.col("n_found") > 0).collect()
     fatal = [f"{r['check_name']} ({r['table_name']}): {r['n_found']}"
              for r in found if r["severity"] == "fatal"]
     if fatal and mode == "strict":
-        raise CheckFailed("; ".join(fatal))
+        raise CheckFailed("\n".join(["; ".join(fatal), *examples()]))
     return found

@@ -54,22 +54,6 @@ def melt_counts(df: DataFrame, columns: Sequence[CountColumn], kinds: Sequence[s
     )
 
 
-def bad_count_cells(df: DataFrame, columns: Sequence[CountColumn], kinds: Sequence[str],
-                    keep: Sequence[str]) -> DataFrame:
-    """Count cells that hold no number, are not finite or exceed a smallint."""
-    used = [c for c in columns if c.kind in kinds]
-    if not used:
-        return df.select(*keep, F.lit("").alias("kind"), F.lit("").alias("value")).where(F.lit(False))
-    spec = ", ".join(f"named_struct('position', {c.position}, 'kind', '{c.kind}')" for c in used)
-    one = df.select(*keep, "cells", F.expr(f"explode(array({spec}))").alias("c"))
-    raw = cell_at(F.col("c.position"))
-    return (
-        one.where(~raw.isin(*clean.ZERO_CELLS, "1", "2", "3", "4"))
-        .select(*keep, F.col("c.kind").alias("kind"), raw.alias("value"))
-        .where(clean.bad_count(F.col("value")))
-    )
-
-
 def fold_kinds(df: DataFrame, keys: Sequence[str], kind: str, count: str,
                kinds: Mapping[str, object], order: Column | None = None) -> DataFrame:
     """Long (key, kind, count) rows to one row per key with a column per kind.

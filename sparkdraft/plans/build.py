@@ -12,12 +12,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkdraft.operators import checks, merge
-from sparkdraft.operators.joins import size_checked
-from sparkdraft.plans import dims, draft, game, replay, report
-from sparkdraft.plans.rules import is_known_suffix
-from sparkdraft.sources import discover, layout, text
+from sparkdraft.plans import dims, draft, game, quarantine, replay, report
+from sparkdraft.plans.contracts import check_contracts
+from sparkdraft.sources import discover, files, layout, text
 from sparkdraft.sources.layout import ContractError, Layout
-from sparkdraft.sources.store import SHARED_DATASET, Store
+from sparkdraft.sources.store import SHARED_DATASET, CommitConflict, Store
 from sparkdraft.sources.text import WideSource
 from sparkdraft.streaming import ledger
 
@@ -27,6 +26,12 @@ REPLAY_TABLES = ("turns", "candidate_hands", "candidate_hand_cards", "events",
                  "turn_player_state", "turn_zone_cards", "game_player_totals")
 
 
+#: Loads of one dataset that start over because another writer was faster.
+ATTEMPTS = 5
+CELL_CHECKS = {"draft": (draft.pick_checks, layout.PICK_KINDS),
+               "game": (game.game_checks, layout.GAME_KINDS), "replay": (replay.replay_checks, {})}
+
+
 @dataclass(frozen=True)
 class Dataset:
     dataset_id: str
@@ -47,17 +52,6 @@ class BuildResult:
     findings: list = field(default_factory=list)
 
 
-def check_contracts(picks: Layout, games: Layout, replays: Layout) -> None:
-    """Everything that can be said from the headers alone, before any job."""
-    layout.require_columns(picks.columns, layout.PICK_REQUIRED, "draft source")
-    layout.require_columns(games.columns, layout.GAME_REQUIRED, "game source")
-    layout.require_columns(replays.columns, layout.REPLAY_REQUIRED, "replay source")
-    layout.check_candidate_numbering(replays)
-    turn_columns = replays.turn_columns()
-    layout.check_turn_suffixes(turn_columns, is_known_suffix)
-    layout.check_repeated_groups(turn_columns)
-
-
 def source_card_names(picks: Layout, games: Layout) -> set[str]:
     return {c.card_name for c in (*picks.count_columns(layout.PICK_KINDS),
                                   *games.count_columns(layout.GAME_KINDS))}
@@ -72,7 +66,9 @@ def build_store(spark: SparkSession, data_dir: str, root: str, *, suffix: str |
     """Build all complete datasets of a folder that the store does not have yet.
 
     ``mode='strict'`` raises on fatal findings before anything is published,
-    ``'lenient'`` publishes and reports. ``verify='natural'`` checks uniqueness where
+    ``'lenient'`` publishes and reports. Either way lines that cannot be taken as they are
+    stay in `Store.rejects`, with file, line number and reasons. Several builds may write to
+    one store at once: a build whose base another one replaced starts again. ``verify='natural'`` checks uniqueness where
     the source decides it (picks, games) and NOT NULL everywhere; child keys follow
     from their parent's by construction. ``'full'`` checks every key and reference,
     at the price of shuffling all tables. ``not_offered`` and ``inconsistencies`` are
@@ -101,9 +97,16 @@ def build_store(spark: SparkSession, data_dir: str, root: str, *, suffix: str |
         if known is not None:
             result.skipped.append(dataset.dataset_id)
             continue
-        result.findings += _build_dataset(
-            store, dataset, cards_lookup, ability_lookup, fingerprint, mode, not_offered,
-            inconsistencies, bronze_partitions, verify)
+        for attempt in range(1, ATTEMPTS + 1):
+            try:
+                found = _build_dataset(
+                    store, dataset, cards_lookup, ability_lookup, fingerprint, mode, not_offered,
+                    inconsistencies, bronze_partitions, verify)
+                break
+            except CommitConflict:
+                if attempt == ATTEMPTS or store.fingerprint(dataset.dataset_id) is not None:
+                    raise
+        result.findings += found
         result.built.append(dataset.dataset_id)
     if result.skipped and not result.built:  # nothing new: report on what is stored
         result.findings += checks.enforce(
@@ -147,7 +150,8 @@ def sync_dimensions(store: Store, cards_lookup: DataFrame, ability_lookup: DataF
         merged = stored[table].unionByName(
             merge.insert_if_absent(stored[table], rows, [key[table]]))
         n = store.stage(table, merged, SHARED_DATASET, load_id).count()
-        commits.append((SHARED_DATASET, table, load_id, "", n))
+        if n > stored[table].count():  # else the stored version stays the current one
+            commits.append((SHARED_DATASET, table, load_id, "", n))
     return commits, found
 
 
@@ -156,32 +160,45 @@ def _build_dataset(store: Store, dataset: Dataset, cards_lookup: DataFrame,
                    inconsistencies: str, bronze_partitions: int | None, verify: str) -> list:
     spark, name = store.spark, dataset.dataset_id
     headers = {k: text.read_header(spark, p) for k, p in dataset.files.items()}
-    check_contracts(headers["draft"], headers["game"], headers["replay"])
-    # Derived from the source, so a repeated attempt overwrites its own leftovers.
-    load_id = f"{fingerprint[:12]}-{store.next_commit()}"
+    check_contracts(spark, headers["draft"], headers["game"], headers["replay"])
+    based_on = store.last_commit()
+    load_id = f"{fingerprint[:12]}-{based_on + 1}-{uuid.uuid4().hex[:6]}"
+    scratch = f"{store.root}/bronze/dataset_id={name}/load_id={load_id}"
+    try:
+        commits, findings = _staged_load(
+            store, dataset, headers, cards_lookup, ability_lookup, load_id, scratch, fingerprint,
+            mode, not_offered, inconsistencies, bronze_partitions, verify)
+        store.commit(commits, based_on)
+    finally:
+        files.remove(spark, scratch)
+    return findings
+
+
+def _staged_load(store: Store, dataset: Dataset, headers: dict[str, Layout], cards_lookup: DataFrame,
+                 ability_lookup: DataFrame, load_id: str, scratch: str, fingerprint: str, mode: str,
+                 not_offered: str, inconsistencies: str, bronze_partitions: int | None,
+                 verify: str) -> tuple[list[tuple], list]:
+    """Every table of a load below its own folder, checked: (ledger rows, findings)."""
+    spark, name = store.spark, dataset.dataset_id
     source = {k: _bronze(store, dataset, load_id, k, bronze_partitions) for k in discover.KINDS}
 
-    rejects = [checks.finding(text.width_rejects(s.lines, s.layout.width),
-                              "rows with a wrong field count", "fatal", k)
-               for k, s in source.items()]
-    rejects += [
-        checks.finding(draft.pick_rejects(source["draft"]), "malformed pick cells", "fatal", "draft"),
-        checks.finding(game.game_rejects(source["game"]), "malformed game cells", "fatal", "game"),
-        checks.finding(replay.replay_rejects(source["replay"]), "malformed replay cells", "fatal",
-                       "replay"),
+    rejected = None
+    for kind, (cell_checks, kinds) in CELL_CHECKS.items():
+        rows = _written(quarantine.rejects(source[kind], cell_checks(source[kind].layout), kinds),
+                        store.reject_path(name, load_id, kind))
+        rejected = rows if rejected is None else rejected.unionAll(rows)
+    findings = checks.enforce(checks.combine([
+        *[quarantine.findings(rejected, kind) for kind in discover.KINDS],
         checks.finding(game.draft_metadata_conflicts(source["game"]),
                        "draft metadata differs between games", "fatal", "game"),
-    ]
-    findings = checks.enforce(checks.combine(rejects), mode)
+    ]), mode, lambda: quarantine.examples(rejected))
 
     commits, found = sync_dimensions(store, cards_lookup, ability_lookup,
                                      source_card_names(headers["draft"], headers["game"]),
                                      load_id, mode)
     findings += found
-    arena = size_checked(store.staged("arena_card_ids", SHARED_DATASET, load_id)
-                         .select("arena_card_id", "card_id"))
-    abilities = size_checked(store.staged("abilities", SHARED_DATASET, load_id)
-                             .select("ability_id"))
+    arena = store.staged("arena_card_ids", SHARED_DATASET, load_id).select("arena_card_id", "card_id")
+    abilities = store.staged("abilities", SHARED_DATASET, load_id).select("ability_id")
     staged: dict[str, DataFrame] = {}
 
     def stage(table: str, df: DataFrame) -> DataFrame:
@@ -189,7 +206,6 @@ def _build_dataset(store: Store, dataset: Dataset, cards_lookup: DataFrame,
         return staged[table]
 
     # Picks, restricted to drafts with games.
-    scratch = f"{store.root}/bronze/dataset_id={name}/load_id={load_id}"
     index = _written(draft.draft_index(source["game"].valid()), f"{scratch}/index")
     orphans = _written(draft.orphan_drafts(source["draft"], index), f"{scratch}/orphans")
     picks = draft.only_targets(source["draft"], orphans)
@@ -233,8 +249,7 @@ def _build_dataset(store: Store, dataset: Dataset, cards_lookup: DataFrame,
     # The staged rows hold their drafts whole, so the new load alone is checked.
     findings += checks.enforce(report.integrity_findings(tables, not_offered), mode)
     commits += _merge_with_stored(store, name, staged, load_id, fingerprint, mode, findings)
-    store.commit(commits)
-    return findings
+    return commits, findings
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from sparkdraft.functions import clean, keys
 from sparkdraft.operators import checks, ordering, reshape
 from sparkdraft.operators.joins import only_absent, size_checked
-from sparkdraft.sources.layout import PICK_KINDS
+from sparkdraft.plans.quarantine import CellCheck
+from sparkdraft.sources.layout import PICK_KINDS, Layout
 from sparkdraft.sources.text import ORDER_COLUMNS, WideSource, source_order, with_line_rank
 
 METADATA = {
@@ -102,20 +103,12 @@ def draft_pick_cards(picks: WideSource) -> DataFrame:
                          F.col("pool").try_cast("smallint").alias("pool_count"))
 
 
-def pick_rejects(picks: WideSource) -> DataFrame:
-    """Pick rows with malformed keys, metadata or counts, with the reason."""
-    named = picks.all_named("pack_number", "pick_number", *INTEGER_METADATA)
-    reasons = F.filter(F.array(
-        F.when(clean.is_missing(F.col("draft_id")), F.lit("blank draft_id")),
-        *[F.when(clean.key_integer(F.col(c)).isNull(), F.lit(f"malformed {c}"))
-          for c in ("pack_number", "pick_number")],
-        *[F.when(clean.bad_small(F.col(c)), F.lit(f"no small whole number: {c}")) for c in INTEGER_METADATA],
-    ), lambda r: r.isNotNull())
-    rows = named.select(*ORDER_COLUMNS, F.explode(reasons).alias("reason"))
-    counts = reshape.bad_count_cells(picks.odd_counts(PICK_KINDS).cells(), picks.layout.count_columns(PICK_KINDS),
-                                     list(PICK_KINDS), list(ORDER_COLUMNS))
-    return rows.unionByName(counts.select(
-        *ORDER_COLUMNS, F.concat(F.lit("malformed count in "), F.col("kind")).alias("reason")))
+def pick_checks(layout: Layout) -> list[CellCheck]:
+    """What makes a cell of a pick line malformed, beside its counts."""
+    return [CellCheck("draft_id", clean.is_missing, "blank", key=True),
+            *[CellCheck(c, clean.bad_key, "no number", key=True)
+              for c in ("pack_number", "pick_number")],
+            *[CellCheck(c, clean.bad_small, "no small whole number") for c in INTEGER_METADATA]]
 
 
 def unknown_picked_cards(draft_picks: DataFrame, cards: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkdraft.functions import clean, keys
 from sparkdraft.operators import checks, ordering, reshape
-from sparkdraft.sources.layout import GAME_KINDS, CountColumn
+from sparkdraft.sources.layout import GAME_KINDS, CountColumn, Layout, sql_literal
+from sparkdraft.plans.quarantine import CellCheck
 from sparkdraft.sources.text import ORDER_COLUMNS, WideSource, cell_at, source_order
 
 STATS = ("opening_hand", "drawn", "tutored")
@@ -80,16 +81,15 @@ def game_card_stats(source: WideSource) -> DataFrame:
 
 def composition(columns: list[CountColumn]) -> Column:
     """A game's deck as array<struct<card_id, deck, sideboard>> of nonzero cards."""
-    by_card: dict[int, dict[str, list[int]]] = {}
+    by_card: dict[str, dict[str, list[int]]] = {}
     for c in columns:
         if c.kind in DECK:
-            by_card.setdefault(keys.card_key_of(c.card_name), {k: [] for k in DECK})[
-                c.kind].append(c.position)
+            by_card.setdefault(c.card_name, {k: [] for k in DECK})[c.kind].append(c.position)
     entries = ", ".join(
-        f"named_struct('card_id', {card_id}L, "
+        f"named_struct('card_id', {keys.card_key_sql(sql_literal(name))}, "
         + ", ".join(f"'{k}', cast(array({', '.join(map(str, p[k]))}) as array<int>)" for k in DECK)
         + ")"
-        for card_id, p in by_card.items())
+        for name, p in by_card.items())
     positions = F.expr(f"array({entries})")
 
     def live(s: Column, kind: str) -> Column:
@@ -162,19 +162,7 @@ def draft_metadata_conflicts(source: WideSource) -> DataFrame:
                                      ["expansion", "event_type", "draft_time"])
 
 
-def game_rejects(source: WideSource) -> DataFrame:
-    """Game rows with malformed keys, integers, flags or counts."""
-    raw = source.all_named(*INTEGERS, *FLAGS)
-    reasons = F.filter(F.array(
-        F.when(F.col("row_id").isNull(), F.lit("invalid game key")),
-        *[F.when(clean.bad_small(F.col(c)), F.lit(f"no small whole number: {c}")) for c in INTEGERS],
-        *[F.when(clean.bad_bool(F.col(c)), F.lit(f"malformed {c}")) for c in FLAGS],
-    ), lambda r: r.isNotNull())
-    rows = raw.select(*ORDER_COLUMNS, F.explode(reasons).alias("reason"))
-    # A negative cell starts with a minus sign: other lines need no second melt.
-    minus = source.with_lines(source.lines.where(F.col("value").rlike(r',"?\s*-')))
-    counts = reshape.melt_counts(minus.cells(), source.layout.count_columns(GAME_KINDS),
-                                 list(GAME_KINDS), list(ORDER_COLUMNS))
-    negative = checks.negative_counts(counts, list(GAME_KINDS)).select(
-        *ORDER_COLUMNS, F.lit("negative card count").alias("reason"))
-    return rows.unionByName(negative)
+def game_checks(layout: Layout) -> list[CellCheck]:
+    """What makes a cell of a game line malformed, beside its counts."""
+    return [*[CellCheck(c, clean.bad_small, "no small whole number") for c in INTEGERS],
+            *[CellCheck(c, clean.bad_bool, "no truth value") for c in FLAGS]]

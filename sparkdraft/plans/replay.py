@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkdraft.functions import clean, keys
 from sparkdraft.operators import reshape
+from sparkdraft.operators.joins import skew_safe_lookup
 from sparkdraft.plans.game import FLAGS, SHARED_FIELDS, keyed_cells
+from sparkdraft.plans.quarantine import CellCheck
 from sparkdraft.plans.rules import SIDES, TOTALS, ZONES, event_rule
-from sparkdraft.sources.text import ORDER_COLUMNS, WideSource, cell_at
+from sparkdraft.sources.layout import Layout
+from sparkdraft.sources.text import WideSource, cell_at
 
 HAND_SIZE = 7
 
@@ -135,8 +138,7 @@ def turn_zone_cards(rows: DataFrame, arena: DataFrame) -> DataFrame:
 
 
 def _resolve_card(df: DataFrame, arena: DataFrame) -> DataFrame:
-    known = arena.select(F.col("arena_card_id").alias("source_arena_card_id"), "card_id")
-    return df.join(known, "source_arena_card_id", "left")
+    return skew_safe_lookup(df, arena, "source_arena_card_id", "arena_card_id", ["card_id"])
 
 
 # --- events ---------------------------------------------------------------
@@ -186,9 +188,8 @@ def events(cells: DataFrame, arena: DataFrame, abilities: DataFrame) -> DataFram
         F.when(F.col("payload") == "ability", ident).alias("source_ability_id"),
         F.when(is_number, clean.number_or_null(F.col("token"))).alias("numeric_value"),
         (F.col("pos") + 1).cast("smallint").alias("source_ordinal"), "source_field")
-    known_abilities = abilities.select(
-        F.col("ability_id").alias("source_ability_id"), F.col("ability_id").alias("ability_id"))
-    resolved = _resolve_card(rows, arena).join(known_abilities, "source_ability_id", "left")
+    resolved = skew_safe_lookup(_resolve_card(rows, arena), abilities, "source_ability_id",
+                                "ability_id", ["ability_id"])
     return resolved.select(
         "event_id", "game_id", "source_turn_id",
         F.when(F.col("exact"), F.col("source_turn_id")).alias("actual_turn_id"),
@@ -257,18 +258,12 @@ def game_player_totals(source: WideSource) -> DataFrame:
     return reshape.two_sided(keyed_cells(source), ["game_id"], measures("user"), measures("oppo"))
 
 
-def replay_rejects(source: WideSource) -> DataFrame:
-    """Replay rows with malformed keys, integers, flags or totals."""
-    totals = [c for p in SIDES for t in TOTALS if t != "mana_spent"
-              and source.layout.position(c := f"{p}_total_{t}") is not None]
-    raw = source.all_named(*SHARED_FIELDS, "user_n_games_bucket", *totals)
+def replay_checks(layout: Layout) -> list[CellCheck]:
+    """What makes a cell of a replay line malformed."""
+    totals = [f"{p}_total_{t}" for p in SIDES for t in TOTALS if t != "mana_spent"]
     integers = [f for f in SHARED_FIELDS if f not in FLAGS] + ["user_n_games_bucket", *totals]
-    reasons = F.filter(F.array(
-        F.when(F.col("row_id").isNull(), F.lit("invalid game key")),
-        *[F.when(clean.bad_small(F.col(c)), F.lit(f"no small whole number: {c}")) for c in integers],
-        *[F.when(clean.bad_bool(F.col(c)), F.lit(f"malformed {c}")) for c in FLAGS],
-    ), lambda r: r.isNotNull())
-    return raw.select(*ORDER_COLUMNS, F.explode(reasons).alias("reason"))
+    return [*[CellCheck(c, clean.bad_small, "no small whole number") for c in integers],
+            *[CellCheck(c, clean.bad_bool, "no truth value") for c in FLAGS]]
 
 
 def state_rejects(rows: DataFrame) -> DataFrame:

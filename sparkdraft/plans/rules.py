@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 SIDES = ("user", "oppo")
@@ -61,8 +60,7 @@ ZONES = {
     "eot_user_non_creatures_in_play": (True, "battlefield_noncreature"),
     "eot_oppo_non_creatures_in_play": (False, "battlefield_noncreature"),
 }
-STATE = re.compile(
-    r"eot_(user|oppo)_(life|poison_counters|cards_in_hand)|(user|oppo)_mana_spent")
+STATE_FIELDS = ("life", "poison_counters", "cards_in_hand")
 TOTALS = ("cards_drawn", "cards_tutored", "cards_drawn_or_tutored", "cards_discarded",
           "lands_played", "cards_foretold", "creatures_cast", "creatures_blitzed",
           "non_creatures_cast", "instants_sorceries_cast", "cards_learned", "mana_spent")
@@ -93,6 +91,11 @@ def event_rule(side: str, suffix: str) -> EventRule | None:
                      _is_user(affected, side, named), exact)
 
 
-def is_known_suffix(side: str, suffix: str) -> bool:
-    return (event_rule(side, suffix) is not None or suffix in ZONES
-            or STATE.fullmatch(suffix) is not None)
+def known_suffixes() -> list[tuple[str, str]]:
+    """(side, suffix) of every turn column that some rule, zone or state field covers."""
+    named = [f"{player}_{family}" for player in SIDES for family in NAMED_PLAYER]
+    state = [f"eot_{player}_{field}" for player in SIDES for field in STATE_FIELDS]
+    state += [f"{player}_mana_spent" for player in SIDES]
+    own = {"user": USER_ONLY, "oppo": OPPONENT_ONLY}
+    return [(side, suffix) for side in SIDES
+            for suffix in (*BOTH_SIDES, *own[side], *named, *ZONES, *state)]

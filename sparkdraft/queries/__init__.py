@@ -5,8 +5,8 @@ name or brand for a card, a part key for an arena id, a conversation turn for a
 """
 
 from sparkdraft.queries import (association, cleaning, joins, merging, quality, registry,
-                                sources, tables)
+                                sources, tables, textfiles)
 from sparkdraft.queries.registry import all_oracles, all_queries
 
 __all__ = ["all_oracles", "all_queries", "association", "cleaning", "joins", "merging",
-           "quality", "registry", "sources", "tables"]
+           "quality", "registry", "sources", "tables", "textfiles"]

@@ -182,11 +182,20 @@ def games(spark: SparkSession, sf: str) -> DataFrame:
 @query("game_players", f"""
     SELECT {_GAME_ID} AS game_id, true AS is_user, o_orderpriority AS rank,
            o_orderstatus AS main_colors, NULL::VARCHAR AS splash_colors, NULL::VARCHAR AS observed_colors,
-           (o_orderkey % 2)::SMALLINT AS num_mulligans FROM orders
-    UNION ALL SELECT {_GAME_ID}, false, 'gold', NULL, NULL, 'W', NULL FROM orders""")
+           (o_orderkey % 2)::SMALLINT AS num_mulligans,
+           CASE WHEN o_orderkey % 4 > 0 THEN (o_orderkey % 50)::SMALLINT END AS n_games_bucket,
+           CASE WHEN o_orderkey % 4 > 0 THEN (o_orderkey % 8) / 8.0::DOUBLE END AS game_win_rate_bucket
+    FROM orders
+    UNION ALL SELECT {_GAME_ID}, false, 'gold', NULL, NULL, 'W', NULL, NULL, NULL FROM orders""")
 def game_players(spark: SparkSession, sf: str) -> DataFrame:
-    return game.game_players(game.game_rows(game_source(spark, sf))).drop(
-        "n_games_bucket", "game_win_rate_bucket")
+    """The buckets come from replays, which three games of four have."""
+    rows = game.game_rows(game_source(spark, sf))
+    order = F.col("match_number").cast("bigint") * 1000 + F.col("game_number")
+    replays = rows.where(order % 4 > 0).select(
+        "game_id", (order % 50).cast("smallint").alias("user_n_games_bucket"),
+        ((order % 8) / 8).cast("float").alias("user_game_win_rate_bucket"))
+    return game.game_players(rows, replays).withColumn(
+        "game_win_rate_bucket", F.col("game_win_rate_bucket").cast("double"))
 
 
 @query("game_card_stats", f"""
@@ -234,12 +243,79 @@ def build_drift(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- replay ---------------------------------------------------------------
 
+#: What the columns of a turn mean: side, suffix, event type, payload, whether the user acts and
+#: is affected, and whether the event is known to belong to that turn. The oracle reads it.
+EXPECTED_EVENTS = """
+user cards_discarded card_discarded card T - F
+user lands_played land_played card T - T
+user creatures_cast creature_cast card T - F
+user non_creatures_cast non_creature_cast card T - F
+user creatures_attacked creature_attacked card T - T
+user creatures_blocked creature_blocked card T - T
+user creatures_unblocked creature_unblocked card T - T
+user creatures_blocking creature_blocking card F - T
+user creatures_blitzed creatures_blitzed numeric T - F
+user player_combat_damage_dealt combat_damage_dealt numeric T F T
+user cards_drawn card_drawn card T - F
+user cards_tutored card_tutored card T - F
+user cards_foretold card_foretold card T - T
+user user_instants_sorceries_cast instant_sorcery_cast card T - T
+user oppo_instants_sorceries_cast instant_sorcery_cast card F - T
+user user_cards_learned card_learned card T - T
+user oppo_cards_learned card_learned card F - T
+user user_abilities ability ability T - T
+user oppo_abilities ability ability F - T
+user user_creatures_killed_combat creature_died_combat card - T T
+user oppo_creatures_killed_combat creature_died_combat card - F T
+user user_creatures_killed_non_combat creature_died_non_combat card - T T
+user oppo_creatures_killed_non_combat creature_died_non_combat card - F T
+user user_combat_damage_taken combat_damage_taken numeric F T T
+user oppo_combat_damage_taken combat_damage_taken numeric T F T
+oppo cards_discarded card_discarded card F - F
+oppo lands_played land_played card F - T
+oppo creatures_cast creature_cast card F - F
+oppo non_creatures_cast non_creature_cast card F - F
+oppo creatures_attacked creature_attacked card F - T
+oppo creatures_blocked creature_blocked card F - T
+oppo creatures_unblocked creature_unblocked card F - T
+oppo creatures_blocking creature_blocking card T - T
+oppo creatures_blitzed creatures_blitzed numeric F - F
+oppo player_combat_damage_dealt combat_damage_dealt numeric F T T
+oppo cards_drawn cards_drawn_hidden numeric F - F
+oppo cards_tutored cards_tutored_hidden numeric F - F
+oppo cards_drawn_or_tutored cards_drawn_or_tutored_hidden numeric F - F
+oppo cards_foretold cards_foretold_hidden numeric F - T
+oppo user_instants_sorceries_cast instant_sorcery_cast card T - T
+oppo oppo_instants_sorceries_cast instant_sorcery_cast card F - T
+oppo user_cards_learned card_learned card T - T
+oppo oppo_cards_learned card_learned card F - T
+oppo user_abilities ability ability T - T
+oppo oppo_abilities ability ability F - T
+oppo user_creatures_killed_combat creature_died_combat card - T T
+oppo oppo_creatures_killed_combat creature_died_combat card - F T
+oppo user_creatures_killed_non_combat creature_died_non_combat card - T T
+oppo oppo_creatures_killed_non_combat creature_died_non_combat card - F T
+oppo user_combat_damage_taken combat_damage_taken numeric F T T
+oppo oppo_combat_damage_taken combat_damage_taken numeric T F T
+"""
+EVENTS = [line.split() for line in EXPECTED_EVENTS.strip().splitlines()]
+EXPECTED_ZONES = [("eot_user_cards_in_hand", "true", "hand"),
+                  ("eot_user_lands_in_play", "true", "battlefield_land"),
+                  ("eot_oppo_lands_in_play", "false", "battlefield_land"),
+                  ("eot_user_creatures_in_play", "true", "battlefield_creature"),
+                  ("eot_oppo_creatures_in_play", "false", "battlefield_creature"),
+                  ("eot_user_non_creatures_in_play", "true", "battlefield_noncreature"),
+                  ("eot_oppo_non_creatures_in_play", "false", "battlefield_noncreature")]
+MEASURES = ("cards_drawn", "cards_tutored", "cards_drawn_or_tutored", "cards_discarded", "lands_played",
+            "cards_foretold", "creatures_cast", "creatures_blitzed", "non_creatures_cast",
+            "instants_sorceries_cast", "cards_learned", "mana_spent")
+
+
 def replay_source(spark: SparkSession, sf: str) -> WideSource:
-    """One replay line per event row; which columns are filled depends on its type."""
+    """One replay line per event row, with every turn column of two turns of both sides.
+
+    A line fills one event column, in one or both turns, one zone and some of the state."""
     e, u = F.col("event_id"), F.col("user_id")
-    kind = F.col("event_type")
-    ids = F.concat_ws("|", (e % 50).cast("string"), (u % 50).cast("string"), (e % 50).cast("string"))
-    one_id = (e * 7 % 5000).cast("string")
     hand = F.concat_ws("|", *[((e + n) % 9).cast("string") for n in range(7)])
     reverse = F.concat_ws("|", *[((e + n) % 9).cast("string") for n in reversed(range(7))])
     columns = {
@@ -248,58 +324,90 @@ def replay_source(spark: SparkSession, sf: str) -> WideSource:
         "candidate_hand_1": hand, "candidate_hand_2": F.when(e % 3 > 0, F.concat_ws(
             "|", *[((u + n) % 9).cast("string") for n in range(7)])).otherwise("1|2|3"),
         "candidate_hand_3": F.when(e % 5 == 0, reverse),
-        "user_turn_1_cards_drawn": F.when(kind == "click", ids).otherwise(F.lit("0")),
-        "user_turn_1_user_combat_damage_taken": F.col("value"),
-        "user_turn_1_eot_user_lands_in_play": F.when(kind == "view", ids),
-        "user_turn_1_eot_user_cards_in_hand": F.when(e % 2 == 0, ids),
-        "user_turn_1_eot_user_life": F.when(kind == "purchase", e % 21),
-        "oppo_turn_1_cards_drawn": F.when(kind == "error", (u % 3).cast("string")).otherwise("0.0"),
-        "oppo_turn_1_user_abilities": F.when(kind == "signup", F.concat_ws(
-            "|", (e % 30).cast("string"), F.lit("1000"))),
-        "oppo_turn_1_user_creatures_killed_combat": F.when(kind == "purchase", one_id),
-        "oppo_turn_1_eot_oppo_cards_in_hand": F.when(kind == "view", e % 8),
-        "oppo_turn_1_eot_oppo_life": F.when(kind == "signup", "x"),
-        "user_total_cards_drawn": e % 60, "oppo_total_lands_played": F.lit("3.0"),
-        "user_total_mana_spent": F.col("value"),
     }
+    cell = {"card": F.concat_ws("|", (e % 50 + 1).cast("string"), (e % 7 + 900000).cast("string")),
+            "ability": F.concat_ws("|", (e % 30).cast("string"), F.lit("1000")),
+            "numeric": F.concat((e % 5).cast("string"), F.lit(".0"))}
+    zone = F.concat_ws("|", (e % 50 + 1).cast("string"), (u % 50 + 1).cast("string"),
+                       (e % 50 + 1).cast("string"))
+    for turn in (1, 2):
+        filled = F.floor(e / len(EVENTS)) % 3 != 2 - turn
+        for j, (side, suffix, _, payload, *_) in enumerate(EVENTS):
+            columns[f"{side}_turn_{turn}_{suffix}"] = F.when((e % len(EVENTS) == j) & filled, cell[payload])
+        for side, parity in (("user", 0), ("oppo", 1)):
+            here = (e % 2 == parity) & (F.floor(e / 14) % 2 == turn - 1)
+            columns |= {f"{side}_turn_{turn}_{suffix}": F.when((e % 7 == z) & here, zone)
+                        for z, (suffix, _, _) in enumerate(EXPECTED_ZONES)}
+    columns |= {
+        "user_turn_1_eot_user_life": F.when(e % 3 == 0, e % 21),
+        "user_turn_1_eot_oppo_poison_counters": F.when(e % 5 == 0, F.concat((e % 4).cast("string"), F.lit(".5"))),
+        "user_turn_1_eot_oppo_cards_in_hand": F.when(e % 4 == 0, e % 8),
+        "user_turn_1_user_mana_spent": F.when(e % 6 == 0, F.lit("2.5")),
+        "oppo_turn_2_eot_oppo_life": F.when(e % 9 == 0, "x"),
+    }
+    for i, measure in enumerate(MEASURES):
+        of_user = F.col("value") if measure == "mana_spent" else (e + i) % 60
+        columns |= {f"user_total_{measure}": of_user,
+                    f"oppo_total_{measure}": F.lit("" if measure == "mana_spent" else f"{i}.0")}
     return _source(spark, sf, "replay", table(spark, sf, "events"), e, columns)
 
 
 _RID = sql_key("user_id::VARCHAR", "event_id::VARCHAR", "'1'")
-_TURN = sql_key("'turn'", "game_id::VARCHAR", "side", "'1'")
+_TURN = sql_key("'turn'", "game_id::VARCHAR", "side", "turn::VARCHAR")
 _CARD = sql_key("'card'", "p_name")
-# Number as the text cell of a double prints it: nonzero cells are meaningful.
+_TRUTH = {"T": "true", "F": "false", "-": "NULL::BOOLEAN"}
+_EVENT_VALUES = ",\n".join(
+    f"({j}, '{side}', '{suffix}', '{kind}', '{payload}', {_TRUTH[actor]}, {_TRUTH[affected]}, {_TRUTH[exact]})"
+    for j, (side, suffix, kind, payload, actor, affected, exact) in enumerate(EVENTS))
+_ZONE_VALUES = ", ".join(f"({z}, '{suffix}', {owner}, '{zone}')"
+                         for z, (suffix, owner, zone) in enumerate(EXPECTED_ZONES))
 _REPLAY_SQL = f"""
     e AS (SELECT *, {_RID} AS game_id FROM events),
-    a AS (SELECT game_id, 'user' AS side FROM e WHERE event_type IN ('click', 'view')
-            OR value <> 0 OR event_id % 2 = 0 OR (event_type = 'purchase' AND event_id % 21 <> 0)
-          UNION ALL
-          SELECT game_id, 'oppo' FROM e WHERE (event_type = 'error' AND user_id % 3 <> 0)
-            OR event_type = 'signup' OR (event_type = 'purchase' AND event_id * 7 % 5000 <> 0)
-            OR (event_type = 'view' AND event_id % 8 <> 0)),
-    t AS (SELECT game_id, side, {_TURN} AS turn_id FROM a)"""
+    rule(j, side, suffix, event_type, payload, actor, affected, exact) AS (VALUES {_EVENT_VALUES}),
+    c AS (SELECT e.* EXCLUDE (event_type), rule.*, turn FROM e JOIN rule ON event_id % {len(EVENTS)} = j
+          JOIN (VALUES (1), (2)) n(turn) ON (event_id // {len(EVENTS)}) % 3 <> 2 - turn
+          WHERE payload <> 'numeric' OR event_id % 5 <> 0),
+    zone(z, suffix, owner_is_user, zone) AS (VALUES {_ZONE_VALUES}),
+    z AS (SELECT e.*, owner_is_user, zone, CASE event_id % 2 WHEN 0 THEN 'user' ELSE 'oppo' END AS side,
+                 1 + (event_id // 14) % 2 AS turn FROM e JOIN zone ON event_id % 7 = z),
+    s AS (SELECT game_id, 'user' AS side, 1 AS turn, event_id FROM e
+          WHERE (event_id % 3 = 0 AND event_id % 21 <> 0) OR event_id % 5 = 0
+             OR (event_id % 4 = 0 AND event_id % 8 <> 0) OR event_id % 6 = 0
+          UNION ALL SELECT game_id, 'oppo', 2, event_id FROM e WHERE event_id % 9 = 0),
+    a AS (SELECT game_id, side, turn FROM c UNION SELECT game_id, side, turn FROM z
+          UNION SELECT game_id, side, turn FROM s),
+    t AS (SELECT *, {_TURN} AS turn_id FROM a)"""
 
 
 @query("turns", f"""
     WITH {_REPLAY_SQL}
-    SELECT turn_id, game_id, side = 'user' AS is_user_turn, 1::SMALLINT AS source_turn_index FROM t""")
+    SELECT turn_id, game_id, side = 'user' AS is_user_turn, turn::SMALLINT AS source_turn_index FROM t""")
 def turns(spark: SparkSession, sf: str) -> DataFrame:
     return replay.turns(replay.turn_rows(replay_source(spark, sf)))
 
 
 @query("turn_player_state", f"""
-    WITH {_REPLAY_SQL}, s AS (
+    WITH {_REPLAY_SQL}, first AS (SELECT turn_id, e.* FROM t JOIN e USING (game_id)
+                                  WHERE side = 'user' AND turn = 1),
+    p AS (
         SELECT turn_id, true AS player_is_user,
-               CASE WHEN event_type = 'purchase' THEN (event_id % 21)::DOUBLE END AS life,
-               CASE WHEN event_id % 2 = 0 THEN 3::SMALLINT END AS hand_size
-        FROM t JOIN e USING (game_id) WHERE side = 'user'
+               CASE WHEN event_id % 3 = 0 THEN (event_id % 21)::DOUBLE END AS life,
+               NULL::DOUBLE AS poison_counters,
+               CASE WHEN event_id % 6 = 0 THEN 2.5::DOUBLE END AS mana_spent,
+               CASE WHEN event_id % 14 = 0 AND (event_id // 14) % 2 = 0 THEN 3::SMALLINT END AS hand_size
+        FROM first
+        UNION ALL
+        SELECT turn_id, false, NULL, CASE WHEN event_id % 5 = 0 THEN event_id % 4 + 0.5::DOUBLE END,
+               NULL, CASE WHEN event_id % 4 = 0 THEN (event_id % 8)::SMALLINT END FROM first
         UNION ALL
-        SELECT turn_id, false, NULL, CASE WHEN event_type = 'view' THEN (event_id % 8)::SMALLINT END
-        FROM t JOIN e USING (game_id) WHERE side = 'oppo')
-    SELECT * FROM s WHERE life IS NOT NULL OR hand_size IS NOT NULL""")
+        SELECT turn_id, true, NULL, NULL, NULL, 3::SMALLINT FROM t JOIN z USING (game_id, side, turn)
+        WHERE zone = 'hand' AND (side <> 'user' OR turn <> 1))
+    SELECT * FROM p WHERE coalesce(life, poison_counters, mana_spent, hand_size) IS NOT NULL""")
 def turn_player_state(spark: SparkSession, sf: str) -> DataFrame:
-    return replay.turn_player_state(replay.turn_rows(replay_source(spark, sf))).select(
-        "turn_id", "player_is_user", F.col("life").cast("double").alias("life"), "hand_size")
+    rows = replay.turn_player_state(replay.turn_rows(replay_source(spark, sf)))
+    numbers = ("life", "poison_counters", "mana_spent")
+    return rows.select("turn_id", "player_is_user",
+                       *[F.col(c).cast("double").alias(c) for c in numbers], "hand_size")
 
 
 def _arena(spark: SparkSession, sf: str) -> DataFrame:
@@ -308,15 +416,12 @@ def _arena(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("turn_zone_cards", f"""
-    WITH {_REPLAY_SQL}, z AS (
-        SELECT turn_id, zone, unnest([event_id % 50, user_id % 50, event_id % 50]) AS id
-        FROM t JOIN e USING (game_id)
-        JOIN (VALUES ('hand'), ('battlefield_land')) v(zone)
-          ON CASE zone WHEN 'hand' THEN event_id % 2 = 0 ELSE event_type = 'view' END
-        WHERE side = 'user')
-    SELECT turn_id, true AS owner_is_user, zone, id AS source_arena_card_id,
+    WITH {_REPLAY_SQL}, i AS (
+        SELECT turn_id, owner_is_user, zone, unnest([event_id % 50 + 1, user_id % 50 + 1, event_id % 50 + 1]) AS id
+        FROM t JOIN z USING (game_id, side, turn))
+    SELECT turn_id, owner_is_user, zone, id AS source_arena_card_id,
            {_CARD} AS card_id, count(*) AS quantity
-    FROM z LEFT JOIN part ON p_partkey = id GROUP BY turn_id, zone, id, p_name""")
+    FROM i LEFT JOIN part ON p_partkey = id GROUP BY turn_id, owner_is_user, zone, id, p_name""")
 def turn_zone_cards(spark: SparkSession, sf: str) -> DataFrame:
     rows = replay.turn_zone_cards(replay.turn_rows(replay_source(spark, sf)), _arena(spark, sf))
     return rows.withColumn("quantity", F.col("quantity").cast("bigint"))
@@ -326,23 +431,13 @@ _EVENT_ID = sql_key("'event'", "game_id::VARCHAR", "source_field", "ord::VARCHAR
 
 
 @query("events", f"""
-    WITH {_REPLAY_SQL}, c AS (
-        SELECT game_id, 'user' AS side, 'user_turn_1_cards_drawn' AS source_field, ord,
-               'card_drawn' AS event_type, true AS actor, NULL::BOOLEAN AS affected, false AS exact,
-               CASE ord WHEN 2 THEN user_id % 50 ELSE event_id % 50 END AS card_token,
-               NULL::BIGINT AS ability_token, NULL::DOUBLE AS numeric_value
-        FROM e, (VALUES (1), (2), (3)) o(ord) WHERE event_type = 'click'
-        UNION ALL SELECT game_id, 'user', 'user_turn_1_user_combat_damage_taken', 1,
-               'combat_damage_taken', false, true, true, NULL, NULL, value FROM e WHERE value <> 0
-        UNION ALL SELECT game_id, 'oppo', 'oppo_turn_1_cards_drawn', 1, 'cards_drawn_hidden',
-               false, NULL, false, NULL, NULL, (user_id % 3)::DOUBLE FROM e
-               WHERE event_type = 'error' AND user_id % 3 <> 0
-        UNION ALL SELECT game_id, 'oppo', 'oppo_turn_1_user_abilities', ord, 'ability', true, NULL,
-               true, NULL, CASE ord WHEN 1 THEN event_id % 30 ELSE 1000 END, NULL
-        FROM e, (VALUES (1), (2)) o(ord) WHERE event_type = 'signup'
-        UNION ALL SELECT game_id, 'oppo', 'oppo_turn_1_user_creatures_killed_combat', 1,
-               'creature_died_combat', NULL, true, true, event_id * 7 % 5000, NULL, NULL FROM e
-               WHERE event_type = 'purchase' AND event_id * 7 % 5000 <> 0)
+    WITH {_REPLAY_SQL}, l AS (
+        SELECT *, side || '_turn_' || turn || '_' || suffix AS source_field,
+               CASE WHEN payload = 'card' THEN CASE ord WHEN 1 THEN event_id % 50 + 1 ELSE event_id % 7 + 900000 END
+               END AS card_token,
+               CASE WHEN payload = 'ability' THEN CASE ord WHEN 1 THEN event_id % 30 ELSE 1000 END END AS ability_token,
+               CASE WHEN payload = 'numeric' THEN (event_id % 5)::DOUBLE END AS numeric_value
+        FROM c JOIN (VALUES (1), (2)) o(ord) ON ord = 1 OR payload <> 'numeric')
     SELECT {_EVENT_ID} AS event_id, game_id, {_TURN} AS source_turn_id,
            CASE WHEN exact THEN {_TURN} END AS actual_turn_id, event_type,
            actor AS actor_is_user, affected AS affected_is_user, card_token AS source_arena_card_id,
@@ -350,7 +445,7 @@ _EVENT_ID = sql_key("'event'", "game_id::VARCHAR", "source_field", "ord::VARCHAR
            ability_token AS source_ability_id,
            CASE WHEN ability_token BETWEEN 1 AND 25 THEN ability_token END AS ability_id,
            numeric_value, ord::SMALLINT AS source_ordinal, source_field
-    FROM c LEFT JOIN part ON p_partkey = card_token""")
+    FROM l LEFT JOIN part ON p_partkey = card_token""")
 def events(spark: SparkSession, sf: str) -> DataFrame:
     lookup = table(spark, sf, "part").select(
         F.col("p_partkey").alias("src_seq"),
@@ -399,11 +494,14 @@ def hand_reports(spark: SparkSession, sf: str) -> DataFrame:
     return replay.hand_reports(replay.hand_rows(replay_source(spark, sf)))
 
 
+_USER_TOTALS = ", ".join(f"((event_id + {i}) % 60)::SMALLINT AS {m}" for i, m in enumerate(MEASURES[:-1]))
+_OPPO_TOTALS = ", ".join(f"{i}::SMALLINT" for i in range(len(MEASURES) - 1))
+
+
 @query("game_player_totals", f"""
-    SELECT {_RID} AS game_id, true AS is_user, (event_id % 60)::SMALLINT AS cards_drawn,
-           NULL::SMALLINT AS lands_played, round(value::FLOAT::DOUBLE, 4) AS mana_spent FROM events
-    UNION ALL SELECT {_RID}, false, NULL, 3::SMALLINT, NULL FROM events""")
+    SELECT {_RID} AS game_id, true AS is_user, {_USER_TOTALS},
+           round(value::FLOAT::DOUBLE, 4) AS mana_spent FROM events
+    UNION ALL SELECT {_RID}, false, {_OPPO_TOTALS}, NULL FROM events""")
 def game_player_totals(spark: SparkSession, sf: str) -> DataFrame:
-    return replay.game_player_totals(replay_source(spark, sf)).select(
-        "game_id", "is_user", "cards_drawn", "lands_played",
-        F.round(F.col("mana_spent").cast("double"), 4).alias("mana_spent"))
+    return replay.game_player_totals(replay_source(spark, sf)).withColumn(
+        "mana_spent", F.round(F.col("mana_spent").cast("double"), 4))

@@ -1,23 +1,31 @@
-"""The table store: Parquet folders, committed by one ledger row per table.
+"""The table store: Parquet folders, committed by one ledger file per load.
 
 Parquet has no transaction over several tables. A load therefore writes every table
 below its own ``load_id`` folder, which no reader looks at, and becomes visible at
-once when its ledger rows are appended - one small file, written last. A load that
-died leaves folders without ledger rows; running it again overwrites them.
+once by its commit: one small file with a row per table, written last. Commits are numbered,
+and a number can be created only once, so writers at the same time get one after the other.
+A writer names the commit it started from; if a later one replaced a table that it replaces
+too, it is told so and nothing is published. Folders without a commit belong to loads that
+run or died; `Store.vacuum` removes them.
 
     <root>/tables/<table>/dataset_id=<d>/load_id=<l>/*.parquet
-    <root>/ledger/*.parquet
+    <root>/rejects/dataset_id=<d>/load_id=<l>/source=<kind>/*.parquet
+    <root>/ledger/commit-<number>.json
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from sparkdraft.operators.checks import schema_gaps
+from sparkdraft.sources import files
 from sparkdraft.sources.layout import ContractError
 from sparkdraft.sources.schema import REPORT_TABLES, TABLES
 
@@ -27,10 +35,13 @@ SHARED_DATASET = "shared"
 RESET = "*"
 
 
-def _hadoop_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+#: Columns of rejected lines; `sparkdraft.plans.quarantine` fills them.
+REJECT_DDL = ("kind string, src_file string, row_number bigint, dropped boolean, "
+              "reasons array<struct<column_name: string, cell: string, reason: string>>, line string")
+
+
+class CommitConflict(RuntimeError):
+    """Another writer published a table that this load replaces."""
 
 
 @dataclass(frozen=True)
@@ -45,9 +56,9 @@ class Store:
 
     def ledger(self) -> DataFrame:
         path = f"{self.root}/ledger"
-        if not _hadoop_exists(self.spark, path):
+        if not files.exists(self.spark, path):
             return self.spark.createDataFrame([], LEDGER_DDL)
-        return self.spark.read.schema(LEDGER_DDL).parquet(path)
+        return self.spark.read.schema(LEDGER_DDL).json(path)
 
     def current_loads(self) -> list[Row]:
         """The latest committed load of every (dataset, table); one row each."""
@@ -63,24 +74,78 @@ class Store:
         """Start over: earlier loads are no longer current. Their files stay."""
         self.commit([(RESET, RESET, "", "", 0)])
 
-    def next_commit(self) -> int:
-        return (self.ledger().agg(F.max("commit_seq").alias("m")).head()["m"] or 0) + 1
-
-    def commit(self, rows: Sequence[tuple[str, str, str, str, int]]) -> None:
-        """Publish loads: (dataset_id, table, load_id, fingerprint, rows)."""
-        seq = self.next_commit()
-        data = [(d, t, load, seq, fingerprint, n) for d, t, load, fingerprint, n in rows]
-        frame = self.spark.createDataFrame(
-            data, "dataset_id string, table_name string, load_id string, commit_seq bigint, "
-                  "fingerprint string, n_rows bigint")
-        frame.withColumn("committed_at", F.localtimestamp()).coalesce(1).write.mode(
-            "append").parquet(f"{self.root}/ledger")
+    def last_commit(self) -> int:
+        return self.ledger().agg(F.max("commit_seq").alias("m")).head()["m"] or 0
+
+    def commit(self, rows: Sequence[tuple[str, str, str, str, int]],
+               based_on: int | None = None) -> int:
+        """Publish loads (dataset_id, table, load_id, fingerprint, rows); returns the number.
+
+        ``based_on`` is the last commit that the load knows. A later one that replaced a table
+        of the same dataset, or started the store over, raises `CommitConflict`.
+        """
+        seq = self.last_commit() if based_on is None else based_on
+        touched = {(d, t) for d, t, *_ in rows}
+        while True:
+            seq += 1
+            if self._put(seq, rows):
+                return seq
+            if based_on is None:
+                continue
+            later = {(r["dataset_id"], r["table_name"]) for r in self.ledger().where(
+                F.col("commit_seq") == seq).select("dataset_id", "table_name").collect()}
+            if later & (touched | {(RESET, RESET)}):
+                raise CommitConflict(f"commit {seq} replaced {sorted(later & touched) or 'all'}")
+
+    def _put(self, seq: int, rows: Sequence[tuple[str, str, str, str, int]]) -> bool:
+        now = datetime.now(timezone.utc).replace(tzinfo=None).isoformat(timespec="microseconds")
+        text = "".join(json.dumps({
+            "dataset_id": d, "table_name": t, "load_id": load, "commit_seq": seq,
+            "fingerprint": fingerprint, "n_rows": n, "committed_at": now}) + "\n"
+            for d, t, load, fingerprint, n in rows)
+        return files.put_if_absent(self.spark, f"{self.root}/ledger/commit-{seq:012d}.json", text)
+
+    def vacuum(self, keep: Sequence[str] = ()) -> list[str]:
+        """Remove the folders of loads that are not current; returns their paths.
+
+        ``keep`` names load ids that are still being written: call it when no other writer
+        runs, or with theirs.
+        """
+        current = {r["load_id"] for r in self.current_loads()} | set(keep)
+        removed = []
+        for area in ("tables", "bronze", "rejects"):
+            path = f"{self.root}/{area}"
+            if not files.exists(self.spark, path):
+                continue
+            listed = self.spark.read.format("binaryFile").option(
+                "recursiveFileLookup", "true").load(path)
+            folder = F.regexp_extract("path", r"^(.*/load_id=[^/]+)/", 1)
+            for r in listed.select(folder.alias("f")).where("f <> ''").distinct().collect():
+                if r["f"].rsplit("=", 1)[-1] not in current:
+                    files.remove(self.spark, r["f"])
+                    removed.append(r["f"])
+        return removed
 
     def fingerprint(self, dataset_id: str) -> str | None:
         """Source fingerprint of a committed dataset."""
         return next((r["fingerprint"] for r in self.current_loads()
                      if r["dataset_id"] == dataset_id and r["table_name"] == "games"), None)
 
+    # --- rejected lines ---
+
+    def reject_path(self, dataset_id: str, load_id: str, kind: str) -> str:
+        return f"{self.root}/rejects/dataset_id={dataset_id}/load_id={load_id}/source={kind}"
+
+    def rejects(self, dataset_id: str | None = None) -> DataFrame:
+        """Rejected lines of all loads, also of those that were not published."""
+        path = f"{self.root}/rejects"
+        ddl = REJECT_DDL + ", dataset_id string, load_id string"
+        if not files.exists(self.spark, path):
+            return self.spark.createDataFrame([], ddl)
+        rows = self.spark.read.schema(ddl).parquet(path).select(
+            "dataset_id", "load_id", *StructType.fromDDL(REJECT_DDL).fieldNames())
+        return rows if dataset_id is None else rows.where(F.col("dataset_id") == dataset_id)
+
     # --- tables ---
 
     def stage(self, table: str, df: DataFrame, dataset_id: str, load_id: str) -> DataFrame:
@@ -186,14 +251,14 @@ def manifest(store: Store) -> DataFrame:
     parts = []
     for name in TABLES:
         df = store.table(name)
-        files = df.select(F.col("_metadata.file_path").alias("f"),
+        listed = df.select(F.col("_metadata.file_path").alias("f"),
                           F.col("_metadata.file_size").alias("s")) if df.inputFiles() else None
         content = content_manifest(df, name)
-        if files is None:
+        if listed is None:
             sizes = content.select(F.lit(0).cast("bigint").alias("n_files"),
                                    F.lit(0).cast("bigint").alias("n_bytes"))
         else:
-            sizes = files.groupBy("f").agg(F.max("s").alias("s")).agg(
+            sizes = listed.groupBy("f").agg(F.max("s").alias("s")).agg(
                 F.count(F.lit(1)).alias("n_files"), F.sum("s").alias("n_bytes"))
         n_files, n_bytes = sizes.select("n_files").scalar(), sizes.select("n_bytes").scalar()
         parts.append(content.withColumns({"n_files": n_files, "n_bytes": n_bytes}))

@@ -60,23 +60,24 @@ class WideSource:
         return self.named(*columns, lines=self.lines.where(
             F.col("n_fields") == self.layout.width))
 
-    def odd_counts(self, kinds: dict[str, str]) -> "WideSource":
-        """Lines whose count cells are not all plain small numbers.
+    def has_odd_counts(self, kinds: dict[str, str]) -> Column:
+        """Whether the count cells of a line are not all plain small numbers.
 
         Where the count columns end the line, the metadata prefix is cut off and one
         regular expression looks over the untouched tail: only blank cells and up to four
         digits, with zeros behind a point at most, pass as plain. Lines with a quote,
-        and sources laid out otherwise, all stay in.
+        and all lines of sources laid out otherwise, count as odd.
         """
         positions = sorted(c.position for c in self.layout.count_columns(kinds))
-        if not positions or positions != list(range(positions[0], self.layout.width)):
-            return self
+        if not positions:
+            return F.lit(False)
+        if positions != list(range(positions[0], self.layout.width)):
+            return F.lit(True)
         first = positions[0]
         tail = F.get(F.split(F.col("value"), ",", first + 1), F.lit(first))
         # A cell start that is not followed by a whole plain cell and its end.
-        odd = (F.instr("value", '"') > 0) | tail.rlike(
+        return (F.instr("value", '"') > 0) | tail.rlike(
             r"(?:^|,)(?!(?:[0-9]{1,4}(?:\.0*)?)?(?:,|$))")
-        return self.with_lines(self.lines.where(odd))
 
     def with_lines(self, lines: DataFrame) -> "WideSource":
         return WideSource(lines, self.layout, self.kind)
@@ -263,13 +264,6 @@ def with_line_rank(rows: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def width_rejects(lines: DataFrame, width: int) -> DataFrame:
-    """Lines whose field count differs from the header, with their line number."""
-    bad = lines.where(F.col("n_fields") != width).select(*ORDER_COLUMNS, "n_fields")
-    return with_row_numbers(lines, bad).select(
-        "src_file", "row_number", "n_fields", F.lit(width).alias("expected"))
-
-
 def header_mismatches(lines: DataFrame, header_line: str) -> DataFrame:
     """Files of a set whose header is not the expected one."""
     return (

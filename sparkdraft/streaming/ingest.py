@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkdraft.operators import checks, merge
-from sparkdraft.sources.store import _hadoop_exists
+from sparkdraft.sources import files
 
 
 @dataclass(frozen=True)
@@ -28,7 +28,7 @@ class IncrementalTable:
 
     def rows(self, without: tuple[str, int] | None = None) -> DataFrame:
         """All rows, or all but those of one (stream, batch)."""
-        if not _hadoop_exists(self.spark, self.path):
+        if not files.exists(self.spark, self.path):
             return self.spark.createDataFrame([], self.ddl)
         df = self.spark.read.schema(self.ddl + ", stream string, batch bigint").parquet(self.path)
         if without is not None:
@@ -40,7 +40,7 @@ class IncrementalTable:
                     kinds: Mapping[str, str] = {}, mode: str = "strict") -> None:
         """Insert the rows of a batch whose key is new; a repeated batch replaces
         its own earlier attempt."""
-        first = not _hadoop_exists(self.spark, self.path)
+        first = not files.exists(self.spark, self.path)
         columns = [c for c in df.columns if c not in self.key]
         rows = df.distinct().persist()
         try:

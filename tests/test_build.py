@@ -1,18 +1,20 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import minitriple
 import pytest
+from minitriple import plain_key
 from pyspark.sql import functions as F
 
-from sparkdraft.functions.keys import card_key_of, key_of
 from sparkdraft.operators.checks import CheckFailed
-from sparkdraft.plans import report
+from sparkdraft.plans import game, quarantine, report
 from sparkdraft.plans.build import build_store
-from sparkdraft.plans.rules import event_rule, is_known_suffix
-from sparkdraft.sources import discover, store as stores, text
+from sparkdraft.plans.rules import event_rule, known_suffixes
+from sparkdraft.sources import discover, files, layout, store as stores, text
 from sparkdraft.sources.layout import ContractError
 from sparkdraft.sources.schema import TABLES
 
-G1, G2, G3 = key_of("d1", 1, 1), key_of("d1", 1, 2), key_of("d2", 1, 1)
-BEAR, KING, ISLAND, WOLF = (card_key_of(n) for n in minitriple.NAMES)
+G1, G2, G3 = plain_key("d1", 1, 1), plain_key("d1", 1, 2), plain_key("d2", 1, 1)
+BEAR, KING, ISLAND, WOLF = (plain_key("card", n) for n in minitriple.NAMES)
 
 
 @pytest.fixture(scope="module")
@@ -31,8 +33,8 @@ def rows(built, table, *columns):
 def test_pick_tables(built):
     assert rows(built, "drafts", "draft_id", "rank", "event_match_wins") == {
         ("d1", "gold", 3), ("d2", "gold", 3)}  # d9 has no games
-    p = [key_of("pick", "d1", 0, n) for n in range(3)]
-    q = key_of("pick", "d2", 0, 0)
+    p = [plain_key("pick", "d1", 0, n) for n in range(3)]
+    q = plain_key("pick", "d2", 0, 0)
     assert rows(built, "draft_picks", "pick_id", "card_id") == {
         (p[0], BEAR), (p[1], KING), (p[2], ISLAND), (q, WOLF)}
     assert rows(built, "draft_pick_cards", "*") == {
@@ -41,7 +43,7 @@ def test_pick_tables(built):
 
 
 def test_game_tables(built):
-    build = key_of("build", "d1", 0)
+    build = plain_key("build", "d1", 0)
     assert rows(built, "games", "game_id", "build_id", "user_on_play", "user_won", "source_num_turns") == {
         (G1, build, True, False, 2), (G2, build, True, False, 2), (G3, None, False, True, 2)}
     assert rows(built, "deck_build_cards", "*") == {(build, BEAR, 2, 1), (build, ISLAND, 3, 0)}
@@ -53,7 +55,7 @@ def test_game_tables(built):
 
 
 def test_turns_events_zones(built):
-    turn = {(g, s, n): key_of("turn", g, s, n) for g in (G1, G3) for s in ("user", "oppo") for n in (1, 2)}
+    turn = {(g, s, n): plain_key("turn", g, s, n) for g in (G1, G3) for s in ("user", "oppo") for n in (1, 2)}
     assert rows(built, "turns", "turn_id", "is_user_turn", "source_turn_index") == {
         (turn[G1, "user", 1], True, 1), (turn[G1, "oppo", 1], False, 1),
         (turn[G1, "oppo", 2], False, 2), (turn[G3, "oppo", 1], False, 1), (turn[G3, "user", 2], True, 2)}
@@ -137,6 +139,37 @@ def test_reset_starts_over(spark, tmp_path):
     assert store.current_loads() == [] and store.table("cards").count() == 0
 
 
+def test_commits_of_writers_at_once_are_all_kept(spark, tmp_path):
+    store = stores.Store(spark, str(tmp_path / "s"))
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda i: store.commit([(f"d{i}", "games", f"l{i}", "", i)]), range(16)))
+    assert sorted(numbers) == list(range(1, 17))
+    assert {r["dataset_id"] for r in store.current_loads()} == {f"d{i}" for i in range(16)}
+    with pytest.raises(stores.CommitConflict):  # somebody replaced d3 meanwhile
+        store.commit([("d3", "games", "other", "", 1)], based_on=2)
+    assert store.commit([("d99", "games", "new", "", 1)], based_on=2) == 17
+    assert files.put_by_rename(spark, f"{tmp_path}/x/a.json", "1")
+    assert not files.put_by_rename(spark, f"{tmp_path}/x/a.json", "2")
+    assert (tmp_path / "x" / "a.json").read_text() == "1"
+
+
+def test_builds_at_once_lose_nothing(spark, tmp_path):
+    """Both add reference rows to one store; the slower one starts again on the other's."""
+    for n in ("A.x", "B.x"):
+        rows = [[r | {"draft_id": r["draft_id"] + n} for r in part] for part in minitriple.default_rows()]
+        minitriple.write_triple(tmp_path / n, n, rows=rows)
+    root = str(tmp_path / "store")
+    with ThreadPoolExecutor(2) as pool:
+        results = list(pool.map(lambda n: build_store(spark, str(tmp_path / n), root), ("A.x", "B.x")))
+    assert sorted(b for r in results for b in r.built) == ["A.x", "B.x"]
+    store = stores.Store(spark, root)
+    assert store.table("games").count() == 6 and store.table("cards").count() == 5
+    assert store.table("events").count() == 26
+    removed = store.vacuum()
+    assert store.table("events").count() == 26 and store.vacuum() == []
+    assert all("load_id=" in path for path in removed)
+
+
 def test_manifest(built):
     rows_by_table = {r["table_name"]: r for r in stores.manifest(built[1]).collect()}
     assert rows_by_table["events"]["row_count"] == 13
@@ -159,9 +192,35 @@ def test_bad_rows_stop_a_strict_build(spark, tmp_path):
     games[1]["deck_Bear"] = "-1"
     picks[0]["pack_card_Island"] = "many"
     data = minitriple.write_triple(tmp_path / "data", rows=(picks, games, replays))
-    with pytest.raises(CheckFailed, match="malformed pick cells.*: 1; malformed game cells.*: 2"):
+    with pytest.raises(CheckFailed, match="malformed pick cells.*: 1; malformed game cells.*: 2") as e:
+        build_store(spark, data, str(tmp_path / "store"))
+    assert "draft row 1 of" in str(e.value) and "pack_card_Island: 'many'" in str(e.value)
+    store = stores.Store(spark, str(tmp_path / "store"))
+    assert store.current_loads() == []  # nothing published
+    assert store.rejects("SET.Premier").count() == 3  # but kept
+
+
+def test_game_counts_that_are_no_numbers_stop_a_strict_build(spark, tmp_path):
+    picks, games, replays = minitriple.default_rows()
+    games[0]["drawn_Island"] = "1.2.3"
+    data = minitriple.write_triple(tmp_path / "data", rows=(picks, games, replays))
+    with pytest.raises(CheckFailed, match="malformed game cells.*: 1"):
         build_store(spark, data, str(tmp_path / "store"))
-    assert stores.Store(spark, str(tmp_path / "store")).current_loads() == []  # nothing published
+
+
+def test_a_lenient_build_keeps_what_it_rejects(spark, tmp_path):
+    picks, games, replays = minitriple.default_rows()
+    games[1]["drawn_Bear"] = "inf"
+    picks[1]["pick_number"] = "first"  # the line has no key and is left out
+    data = minitriple.write_triple(tmp_path / "data", rows=(picks, games, replays))
+    result = build_store(spark, data, str(tmp_path / "store"), mode="lenient")
+    store = stores.open_store(spark, str(tmp_path / "store"))
+    assert result.built == ["SET.Premier"] and store.table("draft_picks").count() == 3
+    kept = {(r.kind, r.row_number, r.dropped, *r.reasons[0]) for r in store.rejects().collect()}
+    assert kept == {("draft", 2, True, "pick_number", "first", "no number"),
+                    ("game", 2, False, "drawn_Bear", "inf", "no count")}
+    assert not files.exists(spark, f"{store.root}/bronze/dataset_id=SET.Premier/load_id="
+                            + store.current_loads()[0]["load_id"])
 
 
 def test_narrowing_stops_a_strict_build(spark, tmp_path):
@@ -207,12 +266,20 @@ def test_other_datasets_may_share_a_draft(spark, tmp_path):
     assert abs(rates["d2"] - 0.61) < 1e-6 and store.table("drafts").count() == 2
 
 
-def test_width_rejects_name_the_line(spark, tmp_path):
+def test_rejects_name_file_line_column_and_cell(spark, tmp_path):
     path = tmp_path / "x.csv"
-    path.write_text('draft_id,match_number,game_number\nd,1,1\n"d,2",1\nd,3,1\n')
+    path.write_text('draft_id,match_number,game_number,won,deck_A,deck_B\nd,1,1,no,0,2\n"d,2",1\n'
+                    'd,x,1,maybe,1.2.3,-1\nd,3,1,,inf,2.0\n"d,3",4,1,T,"nan",7\n')
     source = text.read_wide(spark, str(path), "game")
-    assert [tuple(r)[1:] for r in text.width_rejects(source.lines, 3).collect()] == [(2, 2, 3)]
-    assert source.valid().count() == 2
+    rows = quarantine.rejects(source, game.game_checks(source.layout), layout.GAME_KINDS)
+    found = {r.row_number: (r.dropped, {tuple(x) for x in r.reasons}, r.line) for r in rows.collect()}
+    assert found == {
+        2: (True, {("", "2", "wrong field count")}, '"d,2",1'),
+        3: (True, {("draft_id|match_number|game_number", "d|x|1", "unusable key"),
+                   ("won", "maybe", "no truth value"), ("deck_A", "1.2.3", "no count"),
+                   ("deck_B", "-1", "negative count")}, "d,x,1,maybe,1.2.3,-1"),
+        4: (False, {("deck_A", "inf", "no count")}, "d,3,1,,inf,2.0")}
+    assert source.valid().count() == 3
     assert text.header_mismatches(text.read_lines(spark, str(path)), source.layout.line).isEmpty()
 
 
@@ -236,7 +303,8 @@ def test_every_rule_has_a_side():
     assert (damage.actor_is_user, damage.affected_is_user) == (False, True)
     dealt = event_rule("oppo", "player_combat_damage_dealt")
     assert (dealt.actor_is_user, dealt.affected_is_user, dealt.exact_turn) == (False, True, True)
-    assert is_known_suffix("user", "eot_oppo_life") and not is_known_suffix("user", "surprise")
+    assert ("user", "eot_oppo_life") in known_suffixes()
+    assert ("user", "cards_drawn_or_tutored") not in known_suffixes()
 
 
 def test_model_names_only_known_tables():

@@ -4,7 +4,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from minitriple import plain_key
 from sparkdraft.operators import checks, merge, ordering, reshape
+from sparkdraft.plans import contracts
 from sparkdraft.sources import dtypes, layout, text
 from sparkdraft.sources.layout import ContractError, CountColumn, Layout
 
@@ -18,7 +20,9 @@ def test_melt_is_sparse_and_the_last_duplicate_column_wins(spark):
                CountColumn(3, "pack", "A"), CountColumn(4, "pool", "C")]
     rows = [["1", "0", "2", "0", ""], ["1", "0.0", "0", "3", "x"], ["0", "", "0", "0.0", "0"]]
     got = reshape.melt_counts(cells_frame(spark, rows), columns, ["pack", "pool"], ["k"]).collect()
-    from sparkdraft.functions.keys import card_key_of as key
+    def key(name):
+        return plain_key("card", name)
+
     assert {tuple(r) for r in got} == {(0, key("A"), 1, 2), (1, key("A"), 3, 0)}
 
 
@@ -115,19 +119,25 @@ def test_enforce_modes(spark):
     assert len(checks.enforce(found, "lenient")) == 2
 
 
-def test_header_contracts():
+def test_header_contracts(spark):
     lay = Layout.parse('draft_id,"pack_card_Lion, King",pool_Bear,candidate_hand_2,candidate_hand_1,'
                        "user_turn_1_a,user_turn_1_b,user_turn_2_a")
     assert [(c.kind, c.card_name) for c in lay.count_columns(layout.PICK_KINDS)] == [
         ("pack", "Lion, King"), ("pool", "Bear")]
     assert lay.candidate_columns() == [(1, 4), (2, 3)]
-    layout.check_candidate_numbering(lay)
-    with pytest.raises(ContractError, match="user_turn_2"):
-        layout.check_repeated_groups(lay.turn_columns())
-    with pytest.raises(ContractError, match="unclassified"):
-        layout.check_turn_suffixes(lay.turn_columns(), lambda side, suffix: suffix == "a")
-    with pytest.raises(ContractError, match="contiguous"):
-        layout.check_candidate_numbering(Layout(("candidate_hand_1", "candidate_hand_3")))
+    head = contracts.header_frame(spark, lay)
+    assert {tuple(r) for r in contracts.turn_groups(head).collect()} == {
+        ("user", 1, "a"), ("user", 1, "b"), ("user", 2, "a")}
+    assert {tuple(r) for r in contracts.contract_breaks(head).collect()} == {
+        ("unclassified turn column", "user_a"), ("unclassified turn column", "user_b"),
+        ("turn with other columns than the lowest one of its side", "user_turn_2")}
+    for columns, missing in ((("candidate_hand_1", "candidate_hand_3"), {"2"}), (("x",), {"1"}),
+                             (("candidate_hand_1", "candidate_hand_2"), set())):
+        rows = contracts.contract_breaks(contracts.header_frame(spark, Layout(columns))).collect()
+        assert {r.detail for r in rows} == missing
+    replay = Layout((*layout.REPLAY_REQUIRED, "candidate_hand_2"))
+    with pytest.raises(ContractError, match="contiguous.*: 1"):
+        contracts.check_contracts(spark, Layout(layout.PICK_REQUIRED), Layout(layout.GAME_REQUIRED), replay)
     with pytest.raises(ContractError, match="missing"):
         layout.require_columns(lay.columns, ("pick",), "x")
 
