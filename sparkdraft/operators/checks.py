@@ -22,6 +22,19 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
+def key_faults(df: DataFrame, key: Sequence[str], natural: Sequence[str]) -> DataFrame:
+    """Keys of several rows, and whether the rows are of different things.
+
+    The key is hashed from the natural columns. A second, independent hash of these tells a
+    repeated row (``collision`` false) from two things that got one key. Its extremes combine
+    before the shuffle.
+    """
+    other = F.xxhash64(*natural)
+    return df.select(*key, other.alias("_h")).groupBy(*key).agg(
+        F.count(F.lit(1)).alias("n"), (F.min("_h") != F.max("_h")).alias("collision")
+    ).where(F.col("n") > 1)
+
+
 def missing_parents(child: DataFrame, columns: Sequence[str], parent: DataFrame,
                     parent_columns: Sequence[str]) -> DataFrame:
     """Child rows with a non-null reference that has no parent row.

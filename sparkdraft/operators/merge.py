@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sparkdraft.functions.clean import values_equal
 
@@ -95,6 +95,24 @@ def insert_or_validate(stored: DataFrame, incoming: DataFrame, keys: Sequence[st
             mismatches(stored, incoming, keys, columns, kinds))
 
 
+def classified(stored: DataFrame, incoming: DataFrame, keys: Sequence[str],
+               columns: Sequence[str], kinds: Mapping[str, str] = {}) -> DataFrame:
+    """Every incoming row with what the stored ones say of it, by one join.
+
+    Adds ``is_new`` (its key is not stored), ``differing`` (columns in which a stored row of
+    its key differs, else empty) and ``n_of_key`` (incoming rows of its key, counted in the
+    partitioning of the join).
+    """
+    names = [F.when(_differs(c, kinds, False), F.lit(c)) for c in columns]
+    left = incoming.select(*keys, F.struct(*[F.col(f"`{c}`") for c in incoming.columns]).alias("i"))
+    right = stored.select(*keys, F.struct(*[F.col(f"`{c}`") for c in incoming.columns]).alias("s"))
+    joined = left.join(right, list(keys), "left")
+    return joined.select(
+        "i.*", F.col("s").isNull().alias("is_new"),
+        F.when(F.col("s").isNotNull(), F.concat_ws(",", *names)).otherwise(F.lit("")).alias("differing"),
+        F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("n_of_key"))
+
+
 def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str],
                 columns: Sequence[str], when: Column | None = None) -> DataFrame:
     """Target with ``columns`` replaced for keys present in source (NULLs included)."""

@@ -64,3 +64,17 @@ def completed_prefix(df: DataFrame, index: str, completed: str,
     first_open = F.min(F.when(~F.col(completed), F.col(index)))
     return df.groupBy(*keys).agg(
         F.coalesce(first_open, F.count(F.lit(1))).cast("bigint").alias("completed_prefix"))
+
+
+def prefix_before_first_open(df: DataFrame, order: str, completed: str,
+                             keys: Sequence[str]) -> DataFrame:
+    """`completed_prefix` for rows that are ordered but not numbered.
+
+    A row's position matters only up to the first open row of its key, so the rows before
+    that are counted: this combines before the shuffle, where numbering would sort all rows
+    of a key in one task.
+    """
+    first_open = df.where(~F.col(completed)).groupBy(*keys).agg(F.min(order).alias("_open"))
+    earlier = F.col("_open").isNull() | (F.col(order) < F.col("_open"))
+    return df.select(*keys, order).join(first_open, list(keys), "left").groupBy(*keys).agg(
+        F.count_if(earlier).alias("completed_prefix"))

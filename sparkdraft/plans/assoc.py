@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sparkdraft.functions import prob
 from sparkdraft.operators.joins import size_checked
+from sparkdraft.session import work_dir
 
 # Names that are left out, and the job's defaults.
 BASIC_NAMES = ("Plains", "Island", "Swamp", "Mountain", "Forest", "Wastes")
@@ -20,10 +21,8 @@ DECK_SIZE = 40
 CARDS_SEEN = 10
 MIN_PAIR_PROB = 1e-5
 
-# A draft with more (build, card) rows than this is spread over many tasks.
-HOT_ROWS = 50_000
-# Cards of one build that meet the rest of that build in one task.
-BLOCK = 500
+#: Pairs of cards that one task forms of a draft at a time; drafts with more are cut into units.
+UNIT_PAIRS = 1_000_000
 
 
 def eligible(cards: DataFrame, excluded: Iterable[str] = BASIC_NAMES) -> DataFrame:
@@ -48,108 +47,91 @@ def build_cards(deck_builds: DataFrame, deck_build_cards: DataFrame, cards: Data
         eligible(cards, excluded).select("card_id"), "card_id", "left_semi")
 
 
-def hot_drafts(deck_builds: DataFrame, deck_build_cards: DataFrame,
-               hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Drafts with more than ``hot_rows`` deck rows.
+def wide_drafts(rows: DataFrame, unit_pairs: int = UNIT_PAIRS) -> DataFrame:
+    """(draft_id, segments) of drafts with more than ``unit_pairs`` pairs of cards.
 
-    Rows are counted per build, which combines before the shuffle; the join then
-    sees one row per build.
+    The pairs of a draft are those of its builds, n (n + 1) / 2 each. With s segments of
+    its cards they fall into s (s + 1) / 2 units of about the same work. Rows are counted
+    per build, which combines before the shuffle.
     """
-    per_build = deck_build_cards.where(F.col("deck_count") > 0).groupBy("build_id").agg(
-        F.count(F.lit(1)).alias("n"))
-    return deck_builds.select("build_id", "draft_id").join(per_build, "build_id").groupBy(
-        "draft_id").agg(F.sum("n").alias("n")).where(F.col("n") > hot_rows).select("draft_id")
+    per_build = rows.groupBy("draft_id", "build_id").agg(F.count(F.lit(1)).alias("n"))
+    work = F.sum(F.col("n") * (F.col("n") + 1) / 2)
+    return per_build.groupBy("draft_id").agg(work.alias("pairs")).where(
+        F.col("pairs") > unit_pairs).select(
+        "draft_id", F.ceil(F.sqrt(2 * F.col("pairs") / unit_pairs)).cast("int").alias("segments"))
 
 
-def _split(rows: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary drafts, rows of hot drafts or None)."""
-    if hot.isEmpty():
-        return rows, None
-    hot = size_checked(hot)
-    return rows.join(hot, "draft_id", "left_anti"), rows.join(hot, "draft_id", "left_semi")
+def units(rows: DataFrame, wide: DataFrame) -> DataFrame:
+    """Rows with their unit (``low``, ``high``) and whether they are of the segment ``high``.
 
-
-def _pairs_of_ordinary(rows: DataFrame, deck_size: int, cards_seen: int) -> DataFrame:
-    """Strongest p per (draft, pair) where a draft fits one task.
-
-    ``rows`` is partitioned by draft: building the deck arrays, pairing within them
-    and taking the maximum per draft all happen in that partitioning, so the pairs -
-    by far the largest intermediate - never cross the network one by one.
+    Each pair of segments of a draft is a unit, which the cards of both go to; a draft of
+    one segment is one unit, and its rows are not multiplied.
     """
-    decks = rows.groupBy("draft_id", "build_id").agg(
-        F.array_sort(F.collect_list(F.struct("card_id", "deck_count"))).alias("deck"))
-    firsts = decks.select("draft_id", "deck", F.posexplode("deck").alias("pos", "a"))
-    rest = F.slice("deck", F.col("pos") + 2, F.greatest(F.size("deck") - F.col("pos") - 1, F.lit(0)))
-    pairs = firsts.select("draft_id", "a", F.explode(rest).alias("b"))
-    p = prob.p_seen_together(F.col("a.deck_count"), F.col("b.deck_count"), deck_size, cards_seen)
-    return pairs.groupBy("draft_id", F.col("a.card_id").alias("card_a_id"),
-                         F.col("b.card_id").alias("card_b_id")).agg(F.max(p).alias("p"))
+    segments = F.coalesce("segments", F.lit(1))
+    own = F.pmod(F.xxhash64("card_id"), segments).cast("int")
+    sized = rows.join(size_checked(wide), "draft_id", "left").select(
+        *rows.columns, segments.alias("segments"), own.alias("own"))
+    others = F.sequence(F.lit(0), F.col("segments") - 1)
+    return sized.select(*rows.columns, "own", F.explode(others).alias("other")).select(
+        *rows.columns, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        (F.col("own") > F.col("other")).alias("upper"))
 
 
-def _pairs_of_hot(rows: DataFrame, deck_size: int, cards_seen: int, block: int) -> DataFrame:
-    """The same for drafts too large for one task: a salted self-join per build.
+def draft_pairs(unit_rows: DataFrame, deck_size: int, cards_seen: int) -> DataFrame:
+    """Strongest p per (draft, pair of cards); a card with itself stands for the card alone.
 
-    The cards of a build fall into blocks of about ``block``; each block meets a copy
-    of the build in a task of its own.
+    One exchange by draft and unit serves cards and pairs: gathering a build's cards of a
+    unit, pairing them and taking the maximum over builds all happen in it, so the pairs -
+    by far the largest intermediate - never cross the network one by one.
     """
-    sizes = rows.groupBy("build_id").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
-    sized = rows.join(sizes, "build_id")
-    a = sized.select("draft_id", "build_id", F.col("card_id").alias("card_a_id"),
-                     F.col("deck_count").alias("count_a"),
-                     F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("salt"))
-    b = sized.select("build_id", F.col("card_id").alias("card_b_id"),
-                     F.col("deck_count").alias("count_b"),
-                     F.pmod(F.hash("card_id"), F.col("blocks")).alias("salt"))
-    pairs = a.join(b, ["build_id", "salt"]).where(F.col("card_a_id") < F.col("card_b_id"))
-    p = prob.p_seen_together(F.col("count_a"), F.col("count_b"), deck_size, cards_seen)
-    return pairs.groupBy("draft_id", "card_a_id", "card_b_id").agg(F.max(p).alias("p"))
-
-
-def probabilities(rows: DataFrame, deck_builds: DataFrame, hot: DataFrame, *,
-                  deck_size: int = DECK_SIZE, cards_seen: int = CARDS_SEEN,
-                  block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(card_id, p_card) and (card_a_id, card_b_id, p_ab).
-
-    ``hot`` names the drafts (`hot_drafts`) whose rows one task must not get alone.
+    unit = ["draft_id", "low", "high"]
+    decks = unit_rows.repartition(*unit).groupBy(*unit, "build_id").agg(
+        F.array_sort(F.collect_list(F.struct("upper", "card_id", "deck_count"))).alias("deck"))
+    firsts = decks.select(*unit, "deck", F.posexplode("deck").alias("pos", "a"))
+    same = F.slice("deck", F.col("pos") + 1, F.size("deck") - F.col("pos"))
+    across = F.when(~F.col("a.upper"), F.filter("deck", lambda b: b["upper"]))
+    partners = F.when(F.col("low") == F.col("high"), same).otherwise(across)
+    pairs = firsts.select(*unit, "a", F.explode(partners).alias("b"))
+    alone = F.col("a.card_id") == F.col("b.card_id")
+    p = F.when(alone, prob.p_seen(F.col("a.deck_count"), deck_size, cards_seen)).otherwise(
+        prob.p_seen_together(F.col("a.deck_count"), F.col("b.deck_count"), deck_size, cards_seen))
+    return pairs.groupBy(*unit, F.least("a.card_id", "b.card_id").alias("card_a_id"),
+                         F.greatest("a.card_id", "b.card_id").alias("card_b_id")).agg(F.max(p).alias("p"))
+
+
+def probabilities(rows: DataFrame, deck_builds: DataFrame, *, deck_size: int = DECK_SIZE,
+                  cards_seen: int = CARDS_SEEN, unit_pairs: int = UNIT_PAIRS) -> DataFrame:
+    """(card_a_id, card_b_id, p): p(a, b) of each pair of cards, and p(a) where both are one.
 
     Probabilities are relative to all drafts that have a build, also those whose
     cards are all left out.
     """
     prob.check_sampling(deck_size, cards_seen)
     n_drafts = deck_builds.agg(F.count_distinct("draft_id").cast("double").alias("n")).scalar()
-    ordinary, hot = _split(rows, hot)
-    ordinary = ordinary.repartition("draft_id")  # shared by cards and pairs
-    p_one = prob.p_seen(F.col("deck_count"), deck_size, cards_seen)
-
-    def strongest(part: DataFrame) -> DataFrame:
-        return part.groupBy("draft_id", "card_id").agg(F.max(p_one).alias("p"))
-
-    cards = strongest(ordinary)
-    pairs = _pairs_of_ordinary(ordinary, deck_size, cards_seen)
-    if hot is not None:
-        cards = cards.unionByName(strongest(hot))
-        pairs = pairs.unionByName(_pairs_of_hot(hot, deck_size, cards_seen, block))
-    card_prob = cards.groupBy("card_id").agg(F.sum("p").alias("s")).select(
-        "card_id", (F.col("s") / n_drafts).alias("p_card"))
-    pair_prob = pairs.groupBy("card_a_id", "card_b_id").agg(F.sum("p").alias("s")).select(
-        "card_a_id", "card_b_id", (F.col("s") / n_drafts).alias("p_ab"))
-    return card_prob, pair_prob
+    pairs = draft_pairs(units(rows, wide_drafts(rows, unit_pairs)), deck_size, cards_seen)
+    return pairs.groupBy("card_a_id", "card_b_id").agg(F.sum("p").alias("s")).select(
+        "card_a_id", "card_b_id", (F.col("s") / n_drafts).alias("p"))
 
 
 def pmi_pairs(deck_builds: DataFrame, deck_build_cards: DataFrame, cards: DataFrame, *,
               excluded: Iterable[str] = BASIC_NAMES, min_pair_prob: float = MIN_PAIR_PROB,
-              hot_rows: int = HOT_ROWS, **sampling: int) -> DataFrame:
-    """p_ab, p_a, p_b and PMI of every pair above the probability threshold."""
+              scratch: str | None = None, **sampling: int) -> DataFrame:
+    """p_ab, p_a, p_b and PMI of every pair above the probability threshold.
+
+    The probabilities, one row a pair, are written to ``scratch`` and read from there as pairs
+    and as single cards: the decks are paired once.
+    """
     rows = build_cards(deck_builds, deck_build_cards, cards, excluded)
-    hot = hot_drafts(deck_builds, deck_build_cards, hot_rows)
-    card_prob, pair_prob = probabilities(rows, deck_builds, hot, **sampling)
-    as_a = card_prob.select(F.col("card_id").alias("card_a_id"), F.col("p_card").alias("p_a"))
-    as_b = card_prob.select(F.col("card_id").alias("card_b_id"), F.col("p_card").alias("p_b"))
+    found = probabilities(rows, deck_builds, **sampling)
+    path = scratch or work_dir(rows.sparkSession, "pair-probabilities")
+    found.write.mode("overwrite").parquet(path)
+    found = rows.sparkSession.read.schema(found.schema).parquet(path)
+    alone = found.where((F.col("card_a_id") == F.col("card_b_id")) & (F.col("p") > 0))
+    as_a = alone.select("card_a_id", F.col("p").alias("p_a"))
+    as_b = alone.select("card_b_id", F.col("p").alias("p_b"))
     return (
-        pair_prob.where(F.col("p_ab") > min_pair_prob)
-        .join(as_a.where(F.col("p_a") > 0), "card_a_id")
-        .join(as_b.where(F.col("p_b") > 0), "card_b_id")
+        found.where((F.col("card_a_id") != F.col("card_b_id")) & (F.col("p") > min_pair_prob))
+        .withColumnRenamed("p", "p_ab").join(as_a, "card_a_id").join(as_b, "card_b_id")
         .select("card_a_id", "card_b_id", "p_ab", "p_a", "p_b",
                 prob.pmi(F.col("p_ab"), F.col("p_a"), F.col("p_b")).alias("pmi"))
     )

@@ -16,6 +16,7 @@ from sparkdraft.plans import dims, draft, game, quarantine, replay, report
 from sparkdraft.plans.contracts import check_contracts
 from sparkdraft.sources import discover, files, layout, text
 from sparkdraft.sources.layout import ContractError, Layout
+from sparkdraft.sources.schema import TABLES
 from sparkdraft.sources.store import SHARED_DATASET, CommitConflict, Store
 from sparkdraft.sources.text import WideSource
 from sparkdraft.streaming import ledger
@@ -62,16 +63,15 @@ def build_store(spark: SparkSession, data_dir: str, root: str, *, suffix: str |
                 abilities_file: str | None = None, mode: str = "strict",
                 not_offered: str = "warn", inconsistencies: str = "warn",
                 bronze_partitions: int | None = None,
-                verify: str = "natural", overwrite: bool = False) -> BuildResult:
+                verify: str = "keys", overwrite: bool = False) -> BuildResult:
     """Build all complete datasets of a folder that the store does not have yet.
 
     ``mode='strict'`` raises on fatal findings before anything is published,
     ``'lenient'`` publishes and reports. Either way lines that cannot be taken as they are
     stay in `Store.rejects`, with file, line number and reasons. Several builds may write to
-    one store at once: a build whose base another one replaced starts again. ``verify='natural'`` checks uniqueness where
-    the source decides it (picks, games) and NOT NULL everywhere; child keys follow
-    from their parent's by construction. ``'full'`` checks every key and reference,
-    at the price of shuffling all tables. ``not_offered`` and ``inconsistencies`` are
+    one store at once: a build whose base another one replaced starts again. ``verify='keys'`` checks NOT NULL and the key
+    of every table, hashed keys also for collisions; ``'full'`` checks every unique set and
+    reference besides, which shuffles all tables once more. ``not_offered`` and ``inconsistencies`` are
     the severities ("warn" or "fatal") of picks outside their pack, and of deck
     composition drift and odd candidate hands. ``overwrite`` starts a new store content:
     earlier loads stay on disk but are no longer current.
@@ -108,9 +108,9 @@ def build_store(spark: SparkSession, data_dir: str, root: str, *, suffix: str |
                     raise
         result.findings += found
         result.built.append(dataset.dataset_id)
-    if result.skipped and not result.built:  # nothing new: report on what is stored
-        result.findings += checks.enforce(
-            report.integrity_findings(store.tables(), not_offered), mode)
+    if result.skipped:  # the new loads were checked by themselves: report on what was there
+        stored = {t: store.table(t, [*result.skipped, SHARED_DATASET]) for t in TABLES}
+        result.findings += checks.enforce(report.integrity_findings(stored, not_offered), mode)
     return result
 
 
@@ -354,6 +354,4 @@ def _refill(store: Store, stored: DataFrame, incoming: DataFrame, key, columns,
 
 
 def store_key(table: str) -> list[str]:
-    from sparkdraft.sources.schema import TABLES
-
     return list(TABLES[table].key)

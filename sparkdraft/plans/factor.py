@@ -6,14 +6,13 @@ import json
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.mllib.common import callMLlibFunc
-from pyspark.mllib.linalg.distributed import CoordinateMatrix
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkdraft.functions import prob
 from sparkdraft.operators.ordering import dense_index
-from sparkdraft.plans import assoc
+from sparkdraft.plans import assoc, subspace
+from sparkdraft.session import work_dir
+from sparkdraft.sources import files
 from sparkdraft.sources.store import Store
 
 
@@ -26,6 +25,7 @@ class Decomposition:
     n_items: int
     n_nonzero: int
     components: int
+    residual: float   # largest norm of M u - lambda u, relative to the largest sigma
 
 
 def item_index(items: DataFrame) -> DataFrame:
@@ -44,35 +44,21 @@ def matrix_entries(pairs: DataFrame, index: DataFrame, value: str = "ppmi") -> D
         "e.i", "e.j", "value")
 
 
-def decompose(entries: DataFrame, n_items: int, components: int) -> Decomposition:
-    """Truncated SVD with at most ``n_items - 1`` components.
+def decompose(entries: DataFrame, n_items: int, components: int, seed: int = 42,
+              scratch: str | None = None) -> Decomposition:
+    """Truncated SVD of a symmetric matrix, with at most ``n_items - 1`` components.
 
-    Spark's distributed SVD works on the rows of the matrix; the entries reach it as
-    a DataFrame, without a detour through Python rows. Directions it leaves out as
-    numerically zero come back as sigma = 0 with a zero column in U. Each column's
-    sign is fixed: its entry of largest magnitude is positive.
+    Directions that are numerically zero come back as sigma = 0 with a zero column in U.
+    Each column's sign is fixed: its entry of largest magnitude is positive.
     """
     spark = entries.sparkSession
-    entries = entries.select("i", "j", "value")
     n_nonzero = entries.count()
     if n_items < 2 or n_nonzero == 0:
         raise ValueError("not enough positive association to decompose")
     k = min(components, n_items - 1)
-    java = callMLlibFunc("createCoordinateMatrix", entries, n_items, n_items)
-    rows = CoordinateMatrix(java, n_items, n_items).toIndexedRowMatrix()
-    svd = rows.computeSVD(k, computeU=True)
-    sigma = [float(s) for s in svd.s.toArray()]
-    sigma += [0.0] * (k - len(sigma))
-    raw = callMLlibFunc("getIndexedRows", svd.U._java_matrix_wrapper._java_model).select(
-        F.col("index").alias("idx"), vector_to_array("vector").alias("u"))
-    u = _fix_signs(raw)
-    # Items without any pair have no matrix row: their U row is zero.
-    all_rows = spark.range(n_items).select(F.col("id").alias("idx"))
-    zeros = F.array_repeat(F.lit(0.0), k)
-    u = all_rows.join(u, "idx", "left").select(
-        "idx", F.slice(F.concat(F.coalesce("u", zeros), zeros), 1, k).alias("u"))
-    sigma_df = spark.createDataFrame(list(enumerate(sigma)), "k int, sigma double")
-    return Decomposition(u, sigma_df, n_items, n_nonzero, k)
+    found = subspace.leading(entries, n_items, k, seed, scratch or work_dir(spark, "subspace"))
+    sigma = spark.createDataFrame(list(enumerate(found.sigma)), "k int, sigma double")
+    return Decomposition(_fix_signs(found.u), sigma, n_items, n_nonzero, k, found.residual)
 
 
 def _fix_signs(u: DataFrame) -> DataFrame:
@@ -85,6 +71,33 @@ def _fix_signs(u: DataFrame) -> DataFrame:
     return u.withColumn("signs", signs.scalar()).select("idx", signed.alias("u"))
 
 
+def residuals(d: Decomposition, entries: DataFrame) -> DataFrame:
+    """(k, residual, norm): the norm of M u - lambda u and of u, for each component.
+
+    lambda, which is sigma up to its sign, is the Rayleigh quotient of u. Computed from the
+    entries and the rows of U alone, by joins and sums.
+    """
+    long = d.u.select("idx", F.posexplode("u").alias("k", "x"))
+    image = entries.join(long.select(F.col("idx").alias("j"), "k", "x"), "j").groupBy("i", "k").agg(
+        F.sum(F.col("value") * F.col("x")).alias("y"))
+    both = long.join(image.withColumnRenamed("i", "idx"), ["idx", "k"], "left").fillna(0.0, ["y"])
+    sums = both.groupBy("k").agg(F.sum(F.col("x") * F.col("y")).alias("xy"),
+                                 F.sum(F.col("x") * F.col("x")).alias("xx"))
+    away = F.col("y") - F.col("xy") * F.col("x")
+    return both.join(F.broadcast(sums), "k").groupBy("k").agg(  # a row for each component
+        F.sqrt(F.sum(away * away)).alias("residual"), F.sqrt(F.first("xx")).alias("norm"),
+        F.abs(F.first("xy")).alias("sigma"))
+
+
+def products(d: Decomposition) -> DataFrame:
+    """(a, b, dot): the inner products of the columns of U, a < b."""
+    long = d.u.select("idx", F.posexplode("u").alias("a", "x"), "u")
+    rest = F.transform(F.sequence(F.col("a") + 1, F.size("u") - 1), lambda b: F.struct(
+        b.alias("b"), (F.col("x") * F.get("u", b)).alias("t")))
+    return long.where(F.col("a") + 1 < F.size("u")).select("a", F.inline(rest)).groupBy("a", "b").agg(
+        F.sum("t").alias("dot"))
+
+
 def non_finite(d: Decomposition) -> DataFrame:
     """Factor entries that are not finite numbers."""
     def bad(x):
@@ -116,7 +129,7 @@ class FactorParameters:
     cards_seen: int = assoc.CARDS_SEEN
     min_pair_prob: float = assoc.MIN_PAIR_PROB
     components: int = 64
-    random_state: int = 42  # kept in the metadata; the solver has no random start
+    random_state: int = 42  # seed of the start of the solver
     exclude_basics: bool = True
 
 
@@ -135,24 +148,27 @@ def factorise(spark: SparkSession, root: str, artifact: str,
         raise ValueError("no main-deck cards found in deck_build_cards")
     pairs = assoc.ppmi_pairs(assoc.pmi_pairs(
         builds, build_cards, store.table("cards"), excluded=excluded,
-        min_pair_prob=p.min_pair_prob, deck_size=p.deck_size, cards_seen=p.cards_seen))
+        min_pair_prob=p.min_pair_prob, deck_size=p.deck_size, cards_seen=p.cards_seen,
+        scratch=f"{artifact}/_work/probabilities"))
     entries = _kept(matrix_entries(pairs, items), f"{artifact}/entries")
-    d = decompose(entries, n_items, p.components)
+    d = decompose(entries, n_items, p.components, p.random_state, f"{artifact}/_work/subspace")
     factors = _kept(items.join(d.u, "idx").select(
         "idx", F.col("card_id").alias("item_id"), F.col("card_name").alias("name"), "u"),
         f"{artifact}/factors")
     sigma = _kept(d.sigma, f"{artifact}/sigma")
-    stored = Decomposition(factors.select("idx", "u"), sigma, d.n_items, d.n_nonzero, d.components)
+    stored = Decomposition(factors.select("idx", "u"), sigma, d.n_items, d.n_nonzero, d.components,
+                           d.residual)
     if not non_finite(stored).isEmpty():
         raise ValueError("the decomposition holds non-finite values")
     metadata = {
         "decomposition": "truncated_svd", "source_matrix": "deck_ppmi",
         "matrix_rows": n_items, "matrix_columns": n_items, "matrix_nonzero": d.n_nonzero,
-        **asdict(p), "components": d.components,
+        **asdict(p), "components": d.components, "largest_residual": d.residual,
         "explained_variance": explained_variance(stored, entries).head()["explained_variance"],
     }
     spark.createDataFrame([(json.dumps(metadata, sort_keys=True),)], "metadata string").coalesce(
         1).write.mode("overwrite").parquet(f"{artifact}/run_metadata")
+    files.remove(spark, f"{artifact}/_work")
     return metadata
 
 

@@ -13,21 +13,26 @@ from sparkdraft.sources.schema import TABLES
 Tables = Mapping[str, DataFrame]
 
 
-# Tables whose keys come from source rows; all other keys follow from these.
-NATURAL = ("draft_picks", "games", "cards", "arena_card_ids", "abilities")
-
-
 def constraint_findings(tables: Tables, full: bool = True) -> DataFrame:
-    """NOT NULL of all tables, uniqueness of natural keys; with ``full`` every key,
-    unique set and reference of the data model."""
+    """NOT NULL and unique keys of all tables, collisions of hashed keys; with ``full`` also
+    every unique set and reference of the data model."""
     found = []
     for name, table in TABLES.items():
         df = tables[name]
-        if full or name in NATURAL:
-            for columns in (table.key, *table.unique) if full else (table.key,):
+        label = f"unique {','.join(table.key)}"
+        if table.unique:  # the key is a hash of these
+            faults = checks.key_faults(df, table.key, table.unique[0]).agg(
+                F.count_if(~F.col("collision")).alias("repeated"), F.count_if("collision").alias("collided"))
+            found.append(faults.select(F.inline(F.array(*[
+                F.struct(F.lit(check).alias("check_name"), F.lit(name).alias("table_name"),
+                         F.lit("fatal").alias("severity"), F.col(n).alias("n_found"))
+                for check, n in ((label, "repeated"), ("collision of hashed keys", "collided"))]))))
+        else:
+            found.append(checks.finding(checks.duplicate_keys(df, table.key), label, "fatal", name))
+        if full:
+            for columns in table.unique:
                 found.append(checks.finding(checks.duplicate_keys(df, columns),
                                             f"unique {','.join(columns)}", "fatal", name))
-        if full:
             for columns, parent, parent_columns in table.foreign:
                 found.append(checks.finding(
                     checks.missing_parents(df, columns, tables[parent], parent_columns),

@@ -89,7 +89,8 @@ def assoc_items(spark: SparkSession, sf: str) -> DataFrame:
 def assoc_prob(spark: SparkSession, sf: str) -> DataFrame:
     builds, build_cards, cards = model(spark, sf, "o_custkey")
     rows = assoc.build_cards(builds, build_cards, cards, EXCLUDED)
-    return _rounded(assoc.probabilities(rows, builds, assoc.hot_drafts(builds, build_cards))[0])
+    alone = assoc.probabilities(rows, builds).where("card_a_id = card_b_id")
+    return _rounded(alone.select(F.col("card_a_id").alias("card_id"), F.col("p").alias("p_card")))
 
 
 @query("assoc_pmi", f"WITH {_assoc_sql('o_orderkey')} SELECT {_PMI_COLUMNS} FROM pmi")
@@ -150,6 +151,32 @@ def svd_factors(spark: SparkSession, sf: str) -> DataFrame:
     return items.join(d.u, "idx").select("card_id", "card_name", "u")
 
 
+_N_ITEMS = f"""(SELECT count(DISTINCT p_name) FROM part WHERE p_name NOT IN ('{EXCLUDED[0]}')
+    AND p_partkey IN (SELECT l_partkey FROM lineitem))"""
+
+
+@query("svd_residuals", f"""
+    SELECT k::INT AS k, true AS solves, true AS is_unit, true AS is_sigma
+    FROM (SELECT unnest(range(least(64, {_N_ITEMS} - 1))) AS k)""")
+def svd_residuals(spark: SparkSession, sf: str) -> DataFrame:
+    """Every component solves the eigenvalue equation of the matrix, by joins over the entries."""
+    _, entries, d = _decomposed(spark, sf)
+    largest = d.sigma.agg(F.max("sigma").alias("s")).scalar()
+    rows = factor.residuals(d, entries).join(d.sigma.withColumnRenamed("sigma", "given"), "k")
+    return rows.select("k", (F.col("residual") <= 1e-8 * largest).alias("solves"),
+                       (F.abs(F.col("norm") - 1) <= 1e-9).alias("is_unit"),
+                       (F.abs(F.col("sigma") - F.col("given")) <= 1e-9 * largest).alias("is_sigma"))
+
+
+@query("svd_orthogonality", f"""
+    SELECT a::INT AS a, b::INT AS b, true AS orthogonal
+    FROM (SELECT unnest(range(least(64, {_N_ITEMS} - 1))) AS a) x,
+         (SELECT unnest(range(least(64, {_N_ITEMS} - 1))) AS b) y WHERE a < b""")
+def svd_orthogonality(spark: SparkSession, sf: str) -> DataFrame:
+    return factor.products(_decomposed(spark, sf)[2]).select(
+        "a", "b", (F.abs(F.col("dot")) <= 1e-9).alias("orthogonal"))
+
+
 @query("explained_variance")
 def explained_variance(spark: SparkSession, sf: str) -> DataFrame:
     _, entries, d = _decomposed(spark, sf, 16)

@@ -302,36 +302,15 @@ def last_wins(spark: SparkSession, sf: str) -> DataFrame:
     return _per_key(spark, sf, ordering.last_per_key)
 
 
-@query("draft_index", """
-    WITH f AS (SELECT o_custkey, min(o_orderkey) AS first_seen, count(*) AS expected_games
-               FROM orders GROUP BY o_custkey)
-    SELECT o_custkey, expected_games, row_number() OVER (ORDER BY first_seen) - 1 AS draft_index
-    FROM f""")
-def draft_index(spark: SparkSession, sf: str) -> DataFrame:
-    seen = table(spark, sf, "orders").groupBy("o_custkey").agg(
-        F.min("o_orderkey").alias("first_seen"), F.count(F.lit(1)).alias("expected_games"))
-    return ordering.dense_index(seen, ["first_seen"], "draft_index").select(
-        "o_custkey", "expected_games", "draft_index")
-
-
 @query("prefix_complete", """
     WITH o AS (SELECT o_custkey, o_orderstatus <> 'P' AS done,
         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS idx FROM orders)
     SELECT o_custkey, coalesce(min(CASE WHEN NOT done THEN idx END), count(*))::BIGINT
         AS completed_prefix FROM o GROUP BY o_custkey""")
 def prefix_complete(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders of a customer completed before the first open one.
-
-    The position of an order is needed only up to the first open order, so it is
-    counted instead of numbered: rows before the first open key. That combines
-    before the shuffle, where numbering a customer's orders would sort a hot one.
-    """
-    orders = table(spark, sf, "orders")
-    first_open = orders.where(F.col("o_orderstatus") == "P").groupBy("o_custkey").agg(
-        F.min("o_orderkey").alias("first_open"))
-    earlier = F.col("first_open").isNull() | (F.col("o_orderkey") < F.col("first_open"))
-    return orders.select("o_custkey", "o_orderkey").join(first_open, "o_custkey", "left").groupBy(
-        "o_custkey").agg(F.count_if(earlier).alias("completed_prefix"))
+    """Orders of a customer completed before the first open one."""
+    orders = table(spark, sf, "orders").withColumn("done", F.col("o_orderstatus") != "P")
+    return ordering.prefix_before_first_open(orders, "o_orderkey", "done", ["o_custkey"])
 
 
 @query("dataset_prefix", """

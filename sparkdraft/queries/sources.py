@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkdraft.functions.keys import deterministic_key
@@ -32,30 +34,59 @@ def parameter_query(spark: SparkSession, sf: str) -> DataFrame:
         [1000, "P"])
 
 
-# Tables whose columns print the same way in Spark and SQL.
+# Columns of every table. Numbers that Spark and SQL print in different ways are scaled to whole
+# ones, times are taken as microseconds and vectors as the scaled sum of their entries.
 HASHED = {
-    "nation": ("n_nationkey", "n_name", "n_regionkey"),
-    "labels": ("doc_id", "quality", "toxic"),
-    "conversations": ("conv_id", "turn", "role", "text"),
-    "documents": ("doc_id", "text", "lang", "source", "n_chars"),
+    "region": "r_regionkey r_name", "nation": "n_nationkey n_name n_regionkey",
+    "customer": "c_custkey c_name c_nationkey c_acctbal*100 c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal*100",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice*100",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice*100 o_orderdate@ o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity*100 l_extendedprice*100 "
+                "l_discount*100 l_tax*100 l_returnflag l_linestatus l_shipdate@",
+    "events": "event_id ts@ user_id event_type value*10000 props",
+    "documents": "doc_id text lang source n_chars", "embeddings": "vec_id embedding+ label",
+    "pages": "page_id url html", "benchmark": "item_id text", "labels": "doc_id quality toxic",
+    "conversations": "conv_id turn role text",
 }
 
 
-def _manifest_sql(name: str, columns: tuple[str, ...]) -> str:
-    key = sql_key(*[f"{c}::VARCHAR" for c in columns])
+def _spark_value(column: str) -> Column:
+    name, _, scale = column.partition("*")
+    if scale:
+        return F.round(F.col(name) * int(scale)).cast("bigint")
+    if column.endswith("@"):
+        return F.unix_micros(F.col(column[:-1]).cast("timestamp"))
+    if column.endswith("+"):
+        scaled = F.transform(column[:-1], lambda c: F.round(c.cast("double") * 10000).cast("bigint"))
+        return F.aggregate(scaled, F.lit(0).cast("bigint"), lambda a, b: a + b)
+    return F.col(column)
+
+
+def _sql_value(column: str) -> str:
+    name, _, scale = column.partition("*")
+    if scale:
+        return f"round({name} * {scale})::BIGINT::VARCHAR"
+    if column.endswith("@"):
+        return f"epoch_us({column[:-1]})::VARCHAR"
+    if column.endswith("+"):
+        return f"list_sum([round(c::DOUBLE * 10000)::BIGINT FOR c IN {column[:-1]}])::BIGINT::VARCHAR"
+    return f"{column}::VARCHAR"
+
+
+def _manifest_sql(name: str, columns: str) -> str:
+    key = sql_key(*[f"coalesce({_sql_value(c)}, '')" for c in columns.split()])
     return (f"SELECT '{name}' AS table_name, count(*) AS row_count, bit_xor({key}) AS hash_xor, "
             f"sum({key} & 4294967295)::BIGINT AS hash_sum FROM {name}")
 
 
 @query("manifest", "\nUNION ALL ".join(_manifest_sql(n, c) for n, c in HASHED.items()))
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
-    parts = [store.content_manifest(
-        table(spark, sf, n), n, deterministic_key(*[F.col(c) for c in columns]))
-        for n, columns in HASHED.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionAll(part)
-    return out
+    """Content hash of every table."""
+    return reduce(DataFrame.unionAll, [store.content_manifest(
+        table(spark, sf, n), n, deterministic_key(*[
+            F.coalesce(_spark_value(c).cast("string"), F.lit("")) for c in columns.split()]))
+        for n, columns in HASHED.items()])
 
 
 EVENTS_DDL = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "

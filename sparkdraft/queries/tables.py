@@ -179,6 +179,16 @@ def games(spark: SparkSession, sf: str) -> DataFrame:
     return game.games(game.game_rows(game_source(spark, sf)))
 
 
+@query("draft_index", """
+    WITH f AS (SELECT o_custkey, min(o_orderkey) AS first_seen, count(*) AS expected_games
+               FROM orders GROUP BY o_custkey)
+    SELECT o_custkey::VARCHAR AS draft_id, expected_games,
+           row_number() OVER (ORDER BY first_seen) - 1 AS draft_index FROM f""")
+def draft_index(spark: SparkSession, sf: str) -> DataFrame:
+    lines = game_source(spark, sf).lines
+    return draft.numbered_index(draft.draft_index(lines), lines)
+
+
 @query("game_players", f"""
     SELECT {_GAME_ID} AS game_id, true AS is_user, o_orderpriority AS rank,
            o_orderstatus AS main_colors, NULL::VARCHAR AS splash_colors, NULL::VARCHAR AS observed_colors,

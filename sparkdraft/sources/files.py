@@ -33,7 +33,7 @@ def local_path(spark: SparkSession, path: str) -> str | None:
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is something at the path."""
     try:
-        spark.read.format("binaryFile").load(path).schema
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).schema
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return False
@@ -41,6 +41,28 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def read_ends(spark: SparkSession, path: str, n_bytes: int) -> tuple[int, bytes, bytes]:
+    """(size, the first and the last ``n_bytes`` of a file); what lies between is not read."""
+    local = local_path(spark, path)
+    if local is not None:
+        size = os.path.getsize(local)
+        with open(local, "rb") as source:
+            head = source.read(n_bytes)
+            source.seek(max(0, size - n_bytes))
+            return size, head, source.read(n_bytes)
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(context._jsc.hadoopConfiguration())
+    size = fs.getFileStatus(target).getLen()
+    source = fs.open(target)
+    try:
+        head = bytes(source.readNBytes(n_bytes))
+        source.seek(max(0, size - n_bytes))
+        return size, head, bytes(source.readNBytes(n_bytes))
+    finally:
+        source.close()
+
+
 def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
     """Create a file with a content, or return False if there is one of that name.
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sparkdraft.functions import clean, keys
-from sparkdraft.sources.layout import ContractError, Layout, require_columns
+from sparkdraft.sources.layout import NAMED, ContractError, Layout, require_columns
 
 # One CSV token with its separator: a quoted field (doubled quotes inside), or a run
 # without commas. Possessive, so the scan of a line is linear.
@@ -31,7 +31,7 @@ BRONZE_DDL = ("src_file string, src_block bigint, src_seq bigint, draft_id strin
 class WideSource:
     """Lines of one kind of source file of one dataset, with their header."""
 
-    lines: DataFrame  # columns of BRONZE_DDL
+    lines: DataFrame  # columns of BRONZE_DDL, and the cells of NAMED as struct ``named``
     layout: Layout
     kind: str
 
@@ -47,9 +47,13 @@ class WideSource:
 
     def named(self, *columns: str, lines: DataFrame | None = None) -> DataFrame:
         """Only the given named cells; the split stops behind the last one."""
+        rows = self.valid() if lines is None else lines
+        if set(columns) <= set(NAMED[self.kind]):  # kept apart: the lines are not read
+            return rows.select(*ORDER_COLUMNS, "draft_id", "row_id",
+                               *[F.col(f"named.{c}").alias(c) for c in columns])
         positions = [p for p in map(self.layout.position, columns) if p is not None]
         limit = max(positions, default=0) + 2
-        split = (self.valid() if lines is None else lines).select(
+        split = rows.select(
             *ORDER_COLUMNS, "draft_id", "row_id",
             split_record(F.col("value"), limit).alias("cells"))
         return split.select(*ORDER_COLUMNS, "draft_id", "row_id", *[
@@ -187,18 +191,20 @@ def keyed_lines(lines: DataFrame, layout: Layout, kind: str) -> DataFrame:
     """Lines (order columns and value) with draft id, row key and field count.
 
     The key is hashed here, once per source row, and stored with the line: every
-    later pass reads it, and its filters reach the stored columns.
+    later pass reads it, and its filters reach the stored columns. The named cells are
+    stored beside it.
     """
     require_columns(layout.columns, KEY_CELLS[kind], f"{kind} source")
-    positions = {c: layout.position(c) for c in KEY_CELLS[kind]}
-    split = split_record(F.col("value"), max(positions.values()) + 2)
-    parsed = lines.withColumn("cells", split).select(
-        *ORDER_COLUMNS, "value",
-        *[cell_at(F.lit(p)).alias(f"_{c}") for c, p in positions.items()])
+    positions = {c: layout.position(c) for c in dict.fromkeys((*KEY_CELLS[kind], *NAMED[kind]))}
+    split = split_record(F.col("value"), max(p for p in positions.values() if p is not None) + 2)
+    parsed = lines.withColumn("cells", split).select(*ORDER_COLUMNS, "value", *[
+        (F.lit(None).cast("string") if p is None else cell_at(F.lit(p))).alias(f"_{c}")
+        for c, p in positions.items()])
     return parsed.select(
         *ORDER_COLUMNS, F.col("_draft_id").alias("draft_id"),
         natural_key(kind, lambda c: F.col(f"_{c}")).alias("row_id"),
-        field_count(F.col("value")).alias("n_fields"), "value")
+        field_count(F.col("value")).alias("n_fields"), "value",
+        F.struct(*[F.col(f"_{c}").alias(c) for c in NAMED[kind]]).alias("named"))
 
 
 def read_wide(spark: SparkSession, path: str, kind: str,
@@ -225,8 +231,9 @@ def write_bronze(source: WideSource, path: str, partitions: int | None = None) -
 
 
 def read_bronze(spark: SparkSession, path: str, layout: Layout, kind: str) -> WideSource:
-    return WideSource(
-        spark.read.schema(BRONZE_DDL).parquet(path), layout, kind)
+    named = ", ".join(f"`{c}`: string" for c in NAMED[kind])
+    return WideSource(spark.read.schema(f"{BRONZE_DDL}, named struct<{named}>").parquet(path),
+                      layout, kind)
 
 
 def _splits(lines: DataFrame) -> DataFrame:

@@ -2,25 +2,31 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sparkdraft.sources import files
+
 
-def file_facts(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, size, modified) of files, from listing metadata only."""
-    return spark.read.format("binaryFile").load(paths).select(
-        "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+#: Bytes at either end of a file that its fingerprint covers.
+END_BYTES = 1 << 20
 
 
 def fingerprint(spark: SparkSession, paths: list[str]) -> str:
-    """SHA-256 over the sizes and header lines of the files of one dataset."""
-    facts = {r["path"].rsplit("/", 1)[-1]: r["size"] for r in file_facts(spark, paths).collect()}
+    """SHA-256 over name, size, header line and both ends of the files of one dataset.
+
+    Files are taken in the order of their names, so a dataset keeps its fingerprint in
+    another folder; two files of one name count as two.
+    """
     parts = []
-    for path in sorted(paths):
+    for path in sorted(paths, key=lambda p: (p.rsplit("/", 1)[-1], p)):
         header = spark.read.text(path).limit(1).head()
-        file_name = path.rsplit("/", 1)[-1]
-        parts += [file_name, str(facts[file_name]), header["value"] if header else ""]
-    return spark.range(1).select(
-        F.sha2(F.concat_ws("\x1f", *[F.lit(p) for p in parts]), 256).alias("f")).head()["f"]
+        size, head, tail = files.read_ends(spark, path, END_BYTES)
+        ends = [hashlib.sha256(end).hexdigest() for end in (head, tail)]
+        parts.append([path.rsplit("/", 1)[-1], size, header["value"] if header else None, *ends])
+    return hashlib.sha256(json.dumps(parts).encode()).hexdigest()
 
 
 def merge_progress(progress: DataFrame, batch: DataFrame, key: str = "draft_id") -> DataFrame:

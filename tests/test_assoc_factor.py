@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkdraft.plans import assoc, factor
+from sparkdraft.plans import assoc, factor, subspace
 from sparkdraft.sources.store import Store
 
 BUILDS = [("d1", 1), ("d1", 2), ("d2", 3), ("d3", 4)]
@@ -44,8 +44,8 @@ def brute_force(deck=40, seen=10):
     return {(a, b): (v, p[a], p[b], math.log(v / (p[a] * p[b]))) for (a, b), v in pp.items()}
 
 
-@pytest.mark.parametrize("limits", [{}, {"hot_rows": 2, "block": 1}, {"hot_rows": 3, "block": 2}])
-def test_pmi_equals_brute_force_on_ordinary_and_hot_paths(spark, limits):
+@pytest.mark.parametrize("limits", [{}, {"unit_pairs": 1}, {"unit_pairs": 4}])
+def test_pmi_equals_brute_force_in_one_unit_and_in_many(spark, limits):
     got = {(r.card_a_id, r.card_b_id): (r.p_ab, r.p_a, r.p_b, r.pmi)
            for r in assoc.pmi_pairs(*frames(spark), **limits).collect()}
     expected = brute_force()
@@ -54,16 +54,32 @@ def test_pmi_equals_brute_force_on_ordinary_and_hot_paths(spark, limits):
         assert np.allclose(got[pair], values, atol=1e-12)
 
 
-def test_pairs_are_not_shuffled_before_the_sum(spark):
+def test_cards_and_pairs_share_one_exchange(spark):
     builds, decks, cards = frames(spark)
     rows = assoc.build_cards(builds, decks, cards)
-    plan = assoc.probabilities(rows, builds, assoc.hot_drafts(builds, decks))[1]._jdf.queryExecution().executedPlan().toString()
+    plan = assoc.probabilities(rows, builds)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1
     after_pairs = plan[:plan.index("Generate explode")]
     exchanges = [line for line in after_pairs.splitlines() if "Exchange hashpartitioning" in line
                  and "card_a_id" in line]
     assert len(exchanges) == 1 and "draft_id" not in exchanges[0]
 
 
+def test_a_wide_build_is_cut_into_even_units(spark):
+    """A build of 50,000 cards has 1.25 billion pairs: over a thousand tasks share them."""
+    rows = spark.range(50_000).select(F.lit("d").alias("draft_id"), F.lit(1).alias("build_id"),
+                                      F.col("id").alias("card_id"), F.lit(1).alias("deck_count"))
+    rows = rows.unionAll(rows.where("card_id < 60").withColumn("draft_id", F.lit("small")))
+    wide = assoc.wide_drafts(rows)
+    assert [(r.draft_id, r.segments) for r in wide.collect()] == [("d", 51)]
+    sizes = assoc.units(rows, wide).groupBy("draft_id", "low", "high").agg(
+        F.count_if(~F.col("upper")).alias("a"), F.count_if("upper").alias("b")).collect()
+    assert [(r.a, r.b) for r in sizes if r.draft_id == "small"] == [(60, 0)]
+    big = [r for r in sizes if r.draft_id == "d"]
+    work = [r.a * r.b if r.low < r.high else r.a * (r.a + 1) // 2 for r in big]
+    assert len(big) == 51 * 52 // 2 and sum(work) == 50_000 * 50_001 // 2 and max(work) < 1_500_000
+
+
 def test_items_leave_out_basics_and_unplayed(spark):
     _, decks, cards = frames(spark)
     assert [r.card_name for r in assoc.item_table(decks, cards).collect()] == ["A", "B", "C", "D"]
@@ -93,6 +109,22 @@ def test_svd_equals_numpy(spark):
     assert abs(got - expected) < 1e-9 and factor.non_finite(d).isEmpty()
 
 
+def test_svd_of_several_blocks_does_not_need_the_whole_space(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(subspace, "BLOCK", 16)
+    monkeypatch.setattr(subspace, "HELD", 2)
+    rng = np.random.default_rng(3)
+    basis = np.linalg.qr(rng.standard_normal((70, 70)))[0]
+    m = (basis * 0.5 ** np.arange(70) * np.where(np.arange(70) % 3, 1, -1)) @ basis.T
+    m[np.abs(m) < 1e-12] = 0
+    d = factor.decompose(matrix(spark, m), 70, 4, seed=5, scratch=str(tmp_path / "a"))
+    sigma = np.array([r.sigma for r in d.sigma.orderBy("k").collect()])
+    u = np.array([r.u for r in d.u.orderBy("idx").collect()])
+    assert np.allclose(sigma, 0.5 ** np.arange(4), atol=1e-9) and d.residual <= 1e-9
+    assert np.allclose(np.abs(u), np.abs(basis[:, :4]), atol=1e-7)
+    assert factor.residuals(d, matrix(spark, m)).where("residual > 1e-8 or abs(norm - 1) > 1e-9").isEmpty()
+    assert factor.products(d).where("abs(dot) > 1e-9").isEmpty() and factor.products(d).count() == 6
+
+
 def test_svd_limits(spark):
     small = matrix(spark, [[0, 1, 0], [1, 0, 2], [0, 2, 0]])
     d = factor.decompose(small, 3, 5)

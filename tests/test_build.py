@@ -12,6 +12,7 @@ from sparkdraft.plans.rules import event_rule, known_suffixes
 from sparkdraft.sources import discover, files, layout, store as stores, text
 from sparkdraft.sources.layout import ContractError
 from sparkdraft.sources.schema import TABLES
+from sparkdraft.streaming import ledger
 
 G1, G2, G3 = plain_key("d1", 1, 1), plain_key("d1", 1, 2), plain_key("d2", 1, 1)
 BEAR, KING, ISLAND, WOLF = (plain_key("card", n) for n in minitriple.NAMES)
@@ -153,6 +154,45 @@ def test_commits_of_writers_at_once_are_all_kept(spark, tmp_path):
     assert (tmp_path / "x" / "a.json").read_text() == "1"
 
 
+def test_a_changed_end_changes_the_fingerprint(spark, tmp_path):
+    import random
+
+    body = random.Random(1).randbytes(5 << 20)
+    marks = []
+    for n, edit in enumerate((None, 0, len(body) - 1, len(body) // 2)):
+        data = bytearray(body)
+        if edit is not None:
+            data[edit] ^= 1
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        (folder / "a.bin").write_bytes(bytes(data))
+        marks.append(ledger.fingerprint(spark, [str(folder / "a.bin")]))
+    assert marks[0] == marks[3] and len(set(marks)) == 3  # the same size each time
+    twice = ledger.fingerprint(spark, [str(tmp_path / "0" / "a.bin"), str(tmp_path / "1" / "a.bin")])
+    assert twice != ledger.fingerprint(spark, [str(tmp_path / "0" / "a.bin")] * 2)
+
+
+def test_colliding_keys_are_told_from_repeated_rows(spark, built):
+    tables = dict(built[1].tables())
+    games = tables["games"]
+    one = games.where(f"game_id = {G1}")
+    tables["games"] = games.unionAll(one).unionAll(
+        games.where(f"game_id = {G2}").withColumn("game_id", F.lit(G3)))
+    found = {(r.check_name, r.table_name): r.n_found for r in report.constraint_findings(
+        tables, full=False).where("n_found > 0").collect()}
+    assert found == {("unique game_id", "games"): 1, ("collision of hashed keys", "games"): 1}
+
+
+def test_game_rows_do_not_read_the_lines(spark, built, tmp_path):
+    source = text.read_wide(spark, f"{built[2]}/game_data_public.SET.Premier.csv.gz", "game")
+    text.write_bronze(source, str(tmp_path / "bronze"))
+    bronze = text.read_bronze(spark, str(tmp_path / "bronze"), source.layout, "game")
+    for rows in (game.game_rows(bronze), game.draft_metadata(bronze)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "named" in plan and "value#" not in plan and "value:string" not in plan
+    assert game.game_rows(bronze).count() == 3
+
+
 def test_builds_at_once_lose_nothing(spark, tmp_path):
     """Both add reference rows to one store; the slower one starts again on the other's."""
     for n in ("A.x", "B.x"):
@@ -260,6 +300,8 @@ def test_other_datasets_may_share_a_draft(spark, tmp_path):
     minitriple.write_triple(tmp_path / "data", "B.x", rows=(picks, games, replays))
     result = build_store(spark, data, str(tmp_path / "store"))
     assert result.built == ["B.x"] and result.skipped == ["A.x"]
+    # The new load is reported, and so is what was stored before.
+    assert [f["check_name"] for f in result.findings].count("picked card not in offered pack") == 2
     store = stores.Store(spark, str(tmp_path / "store"))
     assert store.table("draft_picks").count() == 4 and store.table("events").count() == 13
     rates = {r[0]: r[1] for r in store.table("drafts").select("draft_id", "user_game_win_rate_bucket").collect()}

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from minitriple import plain_key
-from sparkdraft.operators import checks, merge, ordering, reshape
+from sparkdraft.operators import checks, joins, merge, ordering, reshape
 from sparkdraft.plans import contracts
 from sparkdraft.sources import dtypes, layout, text
 from sparkdraft.sources.layout import ContractError, CountColumn, Layout
@@ -157,3 +157,23 @@ def test_read_typed(spark, tmp_path):
     known, _ = dtypes.column_dtypes(["won", "num_turns", "rank"])
     rows = text.read_typed(spark, str(path), known).collect()
     assert [tuple(r) for r in rows] == [(True, 3, "gold"), (False, None, "x")]
+
+
+def test_skew_safe_lookup_leaves_null_and_frequent_ids_where_they_are(spark):
+    dim = spark.range(3000).select(F.col("id").alias("d"), (F.col("id") * 10).alias("v"))
+    n = F.col("id")
+    rows = spark.range(20_000).select("id", F.when(n % 4 == 0, None).when(n % 4 == 1, 7).otherwise(
+        n % 5000).alias("k"))
+    want = {(r.id, r.k, r.v) for r in joins.lookup(rows, dim, "k", "d", ["v"]).collect()}
+    assert joins.hot_ids(rows, "k") == [7]
+    for most in (5000, 100):
+        got = joins.skew_safe_lookup(rows, dim, "k", "d", ["v"], max_rows=most)
+        assert {(r.id, r.k, r.v) for r in got.collect()} == want and got.count() == 20_000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        apart = joins.skew_safe_lookup(rows, dim, "k", "d", ["v"], max_rows=100)
+        still, moved = apart._jdf.queryExecution().sparkPlan().toString().split("SortMergeJoin")
+        assert "BroadcastHashJoin" in still and "isnotnull(k" not in still.split("BroadcastHashJoin")[1][:400]
+        assert "isnotnull" in moved and "NOT" in moved  # only these rows are shuffled
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -32,6 +32,24 @@ def test_increments_are_idempotent(spark, tmp_path):
         table.write_batch(spark.createDataFrame([(1, "other")], DDL), "x", 1)
 
 
+def test_a_batch_reads_only_its_buckets(spark, tmp_path):
+    table = IncrementalTable(spark, str(tmp_path / "t"), DDL, ["k"], buckets=8)
+    table.write_batch(spark.range(200).selectExpr("id AS k", "'x' AS v"), "s", 0)
+    files = table.rows().inputFiles()
+    assert len({f.split("bucket=")[1].split("/")[0] for f in files}) == 8
+    some = table.rows(buckets=[3])
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "(bucket" in plan.split("PartitionFilters: [")[1][:80]
+    assert 0 < some.count() < 60
+    with pytest.raises(CheckFailed, match="differs from stored rows.*: 1"):
+        table.write_batch(spark.createDataFrame([(7, "y"), (500, "x")], DDL), "s", 1)
+    with pytest.raises(CheckFailed, match="one key with different rows.*: 1"):
+        table.write_batch(spark.createDataFrame([(700, "y"), (700, "x")], DDL), "s", 1)
+    assert table.rows().count() == 200  # nothing of a refused batch is there
+    table.write_batch(spark.createDataFrame([(7, "x"), (500, "x")], DDL), "s", 1)
+    assert table.rows().count() == 201
+
+
 def test_progress(spark):
     progress = spark.createDataFrame([("d1", 2, 0, False), ("d2", 1, 0, False)],
                                      "draft_id string, expected bigint, processed bigint, completed boolean")
