@@ -146,8 +146,9 @@ def test_commits_of_writers_at_once_are_all_kept(spark, tmp_path):
         numbers = list(pool.map(lambda i: store.commit([(f"d{i}", "games", f"l{i}", "", i)]), range(16)))
     assert sorted(numbers) == list(range(1, 17))
     assert {r["dataset_id"] for r in store.current_loads()} == {f"d{i}" for i in range(16)}
-    with pytest.raises(stores.CommitConflict):  # somebody replaced d3 meanwhile
-        store.commit([("d3", "games", "other", "", 1)], based_on=2)
+    late = f"d{numbers.index(16)}"
+    with pytest.raises(stores.CommitConflict):  # somebody replaced it meanwhile
+        store.commit([(late, "games", "other", "", 1)], based_on=2)
     assert store.commit([("d99", "games", "new", "", 1)], based_on=2) == 17
     assert files.put_by_rename(spark, f"{tmp_path}/x/a.json", "1")
     assert not files.put_by_rename(spark, f"{tmp_path}/x/a.json", "2")
