@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkdraft.operators import checks, merge
+from sparkdraft.operators import checks, merge, ordering
 from sparkdraft.plans import dims, draft, game, quarantine, replay, report
 from sparkdraft.plans.contracts import check_contracts
 from sparkdraft.sources import discover, files, layout, text
@@ -62,8 +62,8 @@ def build_store(spark: SparkSession, data_dir: str, root: str, *, suffix: str |
                 datasets: list[Dataset] | None = None, cards_file: str | None = None,
                 abilities_file: str | None = None, mode: str = "strict",
                 not_offered: str = "warn", inconsistencies: str = "warn",
-                bronze_partitions: int | None = None,
-                verify: str = "keys", overwrite: bool = False) -> BuildResult:
+                bronze_partitions: int | None = None, verify: str = "keys",
+                overwrite: bool = False, slices: int = 1) -> BuildResult:
     """Build all complete datasets of a folder that the store does not have yet.
 
     ``mode='strict'`` raises on fatal findings before anything is published,
@@ -74,7 +74,10 @@ def build_store(spark: SparkSession, data_dir: str, root: str, *, suffix: str |
     reference besides, which shuffles all tables once more. ``not_offered`` and ``inconsistencies`` are
     the severities ("warn" or "fatal") of picks outside their pack, and of deck
     composition drift and odd candidate hands. ``overwrite`` starts a new store content:
-    earlier loads stay on disk but are no longer current.
+    earlier loads stay on disk but are no longer current. ``slices`` cuts a load into ranges of
+    drafts, in the order in which the game source shows them first: if the process dies, the
+    next build of the same files, in as many slices, goes on behind the last complete one.
+    A dataset must then have one builder at a time.
     """
     store = Store(spark, root)
     if overwrite:
@@ -101,7 +104,7 @@ def build_store(spark: SparkSession, data_dir: str, root: str, *, suffix: str |
             try:
                 found = _build_dataset(
                     store, dataset, cards_lookup, ability_lookup, fingerprint, mode, not_offered,
-                    inconsistencies, bronze_partitions, verify)
+                    inconsistencies, bronze_partitions, verify, slices)
                 break
             except CommitConflict:
                 if attempt == ATTEMPTS or store.fingerprint(dataset.dataset_id) is not None:
@@ -114,12 +117,86 @@ def build_store(spark: SparkSession, data_dir: str, root: str, *, suffix: str |
     return result
 
 
-def _bronze(store: Store, dataset: Dataset, load_id: str, kind: str,
-            partitions: int | None) -> WideSource:
-    source = text.read_wide(store.spark, dataset.files[kind], kind)
-    path = f"{store.root}/bronze/dataset_id={dataset.dataset_id}/load_id={load_id}/{kind}"
-    text.write_bronze(source, path, partitions)
-    return text.read_bronze(store.spark, path, source.layout, kind)
+@dataclass(frozen=True)
+class Load:
+    """A load in progress: its folders, and which of its steps are complete."""
+
+    store: Store
+    dataset_id: str
+    load_id: str
+    slices: int
+    claim: str
+
+    @classmethod
+    def open(cls, store: Store, dataset_id: str, fingerprint: str, based_on: int, slices: int) -> "Load":
+        """The unfinished load of these files on this state of the store, or a new one."""
+        new = f"{fingerprint[:12]}-{based_on + 1}-{uuid.uuid4().hex[:6]}"
+        claim = (f"{store.root}/progress/dataset_id={dataset_id}/"
+                 f"load-{fingerprint[:12]}-{based_on}-{slices}.json")
+        if slices > 1 and not files.put_if_absent(store.spark, claim, new):
+            new = store.spark.read.text(claim).head()["value"]
+        return cls(store, dataset_id, new, slices, claim)
+
+    @property
+    def scratch(self) -> str:
+        return f"{self.store.root}/bronze/dataset_id={self.dataset_id}/load_id={self.load_id}"
+
+    def _mark(self, step: str) -> str:
+        return f"{self.store.root}/progress/dataset_id={self.dataset_id}/load_id={self.load_id}/{step}.json"
+
+    def done(self, step: str) -> bool:
+        return self.slices > 1 and files.exists(self.store.spark, self._mark(step))
+
+    def complete(self, step: str) -> None:
+        if self.slices > 1:
+            files.put_if_absent(self.store.spark, self._mark(step), step)
+
+    def first_open(self) -> int:
+        """The first slice that is not complete; the number of slices if all are."""
+        rows = [(s, self.done(f"slice-{s}")) for s in range(self.slices)]
+        steps = self.store.spark.createDataFrame(rows, "slice int, done boolean")
+        return ordering.completed_prefix(steps, "slice", "done").head()["completed_prefix"]
+
+    def kept(self, name: str, df: DataFrame) -> DataFrame:
+        """A table of the scratch folder, written unless an earlier attempt did."""
+        path = f"{self.scratch}/{name}"
+        if not self.done(name):
+            _written(df, path)
+            self.complete(name)
+        return self.store.spark.read.schema(df.schema).parquet(path)
+
+    def bronze(self, source: WideSource, partitions: int | None) -> WideSource:
+        path = f"{self.scratch}/{source.kind}"
+        if not self.done(source.kind):
+            text.write_bronze(source, path, partitions)
+            self.complete(source.kind)
+        return text.read_bronze(self.store.spark, path, source.layout, source.kind)
+
+    def sliced(self, source: WideSource, index: DataFrame) -> list[WideSource]:
+        """The source cut by the dense index of its drafts; lines of other drafts are in the first."""
+        if self.slices == 1:
+            return [source]
+        n = index.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("n")).scalar()
+        number = F.floor(F.col("draft_index") * self.slices / n).cast("int")
+        cut = source.lines.join(index.select("draft_id", number.alias("slice")), "draft_id", "left") \
+            .withColumn("slice", F.coalesce("slice", F.lit(0)))
+        path = f"{self.scratch}/sliced-{source.kind}"
+        if not self.done(f"sliced-{source.kind}"):
+            cut.write.mode("overwrite").option("compression", "zstd").partitionBy("slice").parquet(path)
+            self.complete(f"sliced-{source.kind}")
+        lines = self.store.spark.read.schema(cut.schema).parquet(path)
+        return [source.with_lines(lines.where(F.col("slice") == s).select(*source.lines.columns))
+                for s in range(self.slices)]
+
+    def part(self, name: str, df: DataFrame, s: int) -> DataFrame:
+        return _written(df, f"{self.scratch}/{name}/part={s}")
+
+    def whole(self, name: str) -> DataFrame:
+        return self.store.spark.read.parquet(f"{self.scratch}/{name}").drop("part")
+
+    def discard(self) -> None:
+        for path in (self.scratch, self._mark("").rsplit("/", 1)[0], self.claim):
+            files.remove(self.store.spark, path)
 
 
 def sync_dimensions(store: Store, cards_lookup: DataFrame, ability_lookup: DataFrame,
@@ -157,30 +234,35 @@ def sync_dimensions(store: Store, cards_lookup: DataFrame, ability_lookup: DataF
 
 def _build_dataset(store: Store, dataset: Dataset, cards_lookup: DataFrame,
                    ability_lookup: DataFrame, fingerprint: str, mode: str, not_offered: str,
-                   inconsistencies: str, bronze_partitions: int | None, verify: str) -> list:
+                   inconsistencies: str, bronze_partitions: int | None, verify: str,
+                   slices: int) -> list:
     spark, name = store.spark, dataset.dataset_id
     headers = {k: text.read_header(spark, p) for k, p in dataset.files.items()}
     check_contracts(spark, headers["draft"], headers["game"], headers["replay"])
     based_on = store.last_commit()
-    load_id = f"{fingerprint[:12]}-{based_on + 1}-{uuid.uuid4().hex[:6]}"
-    scratch = f"{store.root}/bronze/dataset_id={name}/load_id={load_id}"
+    load = Load.open(store, name, fingerprint, based_on, slices)
     try:
         commits, findings = _staged_load(
-            store, dataset, headers, cards_lookup, ability_lookup, load_id, scratch, fingerprint,
-            mode, not_offered, inconsistencies, bronze_partitions, verify)
+            load, dataset, headers, cards_lookup, ability_lookup, fingerprint, mode, not_offered,
+            inconsistencies, bronze_partitions, verify)
         store.commit(commits, based_on)
-    finally:
-        files.remove(spark, scratch)
+    except Exception as e:
+        if slices == 1 or isinstance(e, (checks.CheckFailed, CommitConflict)):
+            load.discard()  # else the next build goes on with it
+        raise
+    load.discard()
     return findings
 
 
-def _staged_load(store: Store, dataset: Dataset, headers: dict[str, Layout], cards_lookup: DataFrame,
-                 ability_lookup: DataFrame, load_id: str, scratch: str, fingerprint: str, mode: str,
-                 not_offered: str, inconsistencies: str, bronze_partitions: int | None,
+def _staged_load(load: Load, dataset: Dataset, headers: dict[str, Layout], cards_lookup: DataFrame,
+                 ability_lookup: DataFrame, fingerprint: str, mode: str, not_offered: str,
+                 inconsistencies: str, bronze_partitions: int | None,
                  verify: str) -> tuple[list[tuple], list]:
     """Every table of a load below its own folder, checked: (ledger rows, findings)."""
-    spark, name = store.spark, dataset.dataset_id
-    source = {k: _bronze(store, dataset, load_id, k, bronze_partitions) for k in discover.KINDS}
+    store, name, load_id = load.store, load.dataset_id, load.load_id
+    spark = store.spark
+    source = {k: load.bronze(text.read_wide(spark, dataset.files[k], k), bronze_partitions)
+              for k in discover.KINDS}
 
     rejected = None
     for kind, (cell_checks, kinds) in CELL_CHECKS.items():
@@ -199,58 +281,70 @@ def _staged_load(store: Store, dataset: Dataset, headers: dict[str, Layout], car
     findings += found
     arena = store.staged("arena_card_ids", SHARED_DATASET, load_id).select("arena_card_id", "card_id")
     abilities = store.staged("abilities", SHARED_DATASET, load_id).select("ability_id")
-    staged: dict[str, DataFrame] = {}
+    index = load.kept("index", draft.numbered_index(
+        draft.draft_index(source["game"].valid()), source["game"].lines))
+    orphans = load.kept("orphans", draft.orphan_drafts(source["draft"], index))
+    has_builds = any(c.kind in game.DECK for c in headers["game"].count_columns(layout.GAME_KINDS))
+    first = load.first_open()
+    for s, part in enumerate(zip(*[load.sliced(source[k], index) for k in discover.KINDS])):
+        if s >= first:
+            _stage_slice(load, s, dict(zip(discover.KINDS, part)), orphans, arena, abilities, has_builds)
+            load.complete(f"slice-{s}")
+    picks = draft.only_targets(source["draft"], orphans)
+    game_rows, replays, turn_rows, hands = (
+        load.whole(t) for t in ("game_rows", "replay_rows", "turn_rows", "hand_rows"))
+    compositions = load.whole("compositions") if has_builds else None
+    staged = {t: store.staged(t, name, load_id) for t in (*DRAFT_TABLES, *GAME_TABLES, *REPLAY_TABLES)}
 
-    def stage(table: str, df: DataFrame) -> DataFrame:
-        staged[table] = store.stage(table, df, name, load_id)
-        return staged[table]
+    findings += checks.enforce(checks.combine(_dataset_findings(
+        store, source, picks, index, game_rows, replays, compositions, turn_rows,
+        hands, staged, load_id, inconsistencies)), mode)
+    tables = {**staged, **{t: store.staged(t, SHARED_DATASET, load_id)
+                           for t in ("cards", "arena_card_ids", "abilities")}}
+    findings += checks.enforce(report.constraint_findings(tables, full=verify == "full"), mode)
+    # The staged rows hold their drafts whole, so the new load alone is checked.
+    findings += checks.enforce(report.integrity_findings(tables, not_offered), mode)
+    commits += _merge_with_stored(store, name, staged, load_id, fingerprint, mode, findings)
+    return commits, findings
+
+
+def _stage_slice(load: Load, s: int, source: dict[str, WideSource], orphans: DataFrame,
+                 arena: DataFrame, abilities: DataFrame, has_builds: bool) -> None:
+    """The tables of one range of drafts."""
+    def stage(table: str, df: DataFrame) -> None:
+        load.store.stage(table, df, load.dataset_id, load.load_id, s)
 
     # Picks, restricted to drafts with games.
-    index = _written(draft.draft_index(source["game"].valid()), f"{scratch}/index")
-    orphans = _written(draft.orphan_drafts(source["draft"], index), f"{scratch}/orphans")
     picks = draft.only_targets(source["draft"], orphans)
     stage("drafts", draft.drafts(picks))
     stage("draft_picks", draft.draft_picks(picks))
     stage("draft_pick_cards", draft.draft_pick_cards(picks))
 
     # Games; the replay contributes the user's buckets.
-    game_rows = _written(game.game_rows(source["game"]), f"{scratch}/game_rows")
-    replays = _written(replay.replay_rows(source["replay"]), f"{scratch}/replay_rows")
-    has_builds = any(c.kind in game.DECK for c in headers["game"].count_columns(layout.GAME_KINDS))
+    game_rows = load.part("game_rows", game.game_rows(source["game"]), s)
+    replays = load.part("replay_rows", replay.replay_rows(source["replay"]), s)
     stage("games", game.games(game_rows, has_builds))
     stage("game_players", game.game_players(game_rows, replays))
     stage("game_card_stats", game.game_card_stats(source["game"]))
     if has_builds:
-        compositions = _written(game.build_compositions(source["game"]), f"{scratch}/compositions")
+        compositions = load.part("compositions", game.build_compositions(source["game"]), s)
         stage("deck_builds", game.deck_builds(compositions))
         stage("deck_build_cards", game.deck_build_cards(compositions))
     else:
-        compositions = None
         for table in ("deck_builds", "deck_build_cards"):
-            stage(table, store.table(table, datasets=[]))
+            stage(table, load.store.table(table, datasets=[]))
 
     # Replays.
-    turn_rows = _written(replay.turn_rows(source["replay"]), f"{scratch}/turn_rows")
+    turn_rows = load.part("turn_rows", replay.turn_rows(source["replay"]), s)
     stage("turns", replay.turns(turn_rows))
     stage("turn_player_state", replay.turn_player_state(turn_rows))
     stage("turn_zone_cards", replay.turn_zone_cards(turn_rows, arena))
     stage("events", replay.events(replay.event_cells(source["replay"]), arena, abilities))
-    hands = _written(replay.hand_rows(source["replay"]), f"{scratch}/hand_rows")
+    hands = load.part("hand_rows", replay.hand_rows(source["replay"]), s)
     stage("candidate_hands", replay.candidate_hands(hands))
     stage("candidate_hand_cards", replay.candidate_hand_cards(hands, arena))
     stage("game_player_totals", replay.game_player_totals(source["replay"]))
 
-    findings += checks.enforce(checks.combine(_dataset_findings(
-        store, source, picks, index, game_rows, replays, compositions, turn_rows,
-        hands, staged, load_id, inconsistencies)), mode)
-    tables = {**staged, **{t: store.staged(t, SHARED_DATASET, load_id)
-                           for t in ("cards", "arena_card_ids", "abilities")}}
-    findings += checks.enforce(report.constraint_findings(tables, full=verify == "full"), mode)
-    # The staged rows hold their drafts whole, so the new load alone is checked.
-    findings += checks.enforce(report.integrity_findings(tables, not_offered), mode)
-    commits += _merge_with_stored(store, name, staged, load_id, fingerprint, mode, findings)
-    return commits, findings
-
 
 def _written(df: DataFrame, path: str) -> DataFrame:
     """Cut the lineage with a table in the store's own shared folder."""

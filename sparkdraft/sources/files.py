@@ -110,10 +110,13 @@ def put_by_rename(spark: SparkSession, path: str, text: str) -> bool:
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    """Remove a folder with all it holds; nothing happens if there is none."""
+    """Remove a file, or a folder with all it holds; nothing happens if there is none."""
     local = local_path(spark, path)
     if local is not None:
-        shutil.rmtree(local, ignore_errors=True)
+        if os.path.isdir(local):
+            shutil.rmtree(local)
+        elif os.path.exists(local):
+            os.unlink(local)
         return
     context = spark.sparkContext
     target = context._jvm.org.apache.hadoop.fs.Path(path)

@@ -8,7 +8,7 @@ A writer names the commit it started from; if a later one replaced a table that
 too, it is told so and nothing is published. Folders without a commit belong to loads that
 run or died; `Store.vacuum` removes them.
 
-    <root>/tables/<table>/dataset_id=<d>/load_id=<l>/*.parquet
+    <root>/tables/<table>/dataset_id=<d>/load_id=<l>/part=<n>/*.parquet
     <root>/rejects/dataset_id=<d>/load_id=<l>/source=<kind>/*.parquet
     <root>/ledger/commit-<number>.json
 """
@@ -148,17 +148,18 @@ class Store:
 
     # --- tables ---
 
-    def stage(self, table: str, df: DataFrame, dataset_id: str, load_id: str) -> DataFrame:
-        """Write a table of a load in schema order and types; returns it as stored."""
+    def stage(self, table: str, df: DataFrame, dataset_id: str, load_id: str,
+              part: int = 0) -> DataFrame:
+        """Write a part of a table of a load in schema order and types; returns it as stored."""
         schema = TABLES[table].schema
         typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
-        path = self.load_path(table, dataset_id, load_id)
+        path = f"{self.load_path(table, dataset_id, load_id)}/part={part}"
         typed.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
     def staged(self, table: str, dataset_id: str, load_id: str) -> DataFrame:
         return self.spark.read.schema(TABLES[table].schema).parquet(
-            self.load_path(table, dataset_id, load_id))
+            self.load_path(table, dataset_id, load_id)).select(*TABLES[table].columns)
 
     def table(self, name: str, datasets: Sequence[str] | None = None,
               with_dataset: bool = False) -> DataFrame:

@@ -211,6 +211,32 @@ def test_builds_at_once_lose_nothing(spark, tmp_path):
     assert all("load_id=" in path for path in removed)
 
 
+def test_a_load_that_died_goes_on_behind_its_last_complete_slice(spark, built, tmp_path, monkeypatch):
+    root, staged, died = str(tmp_path / "store"), [], []
+    stage = stores.Store.stage
+
+    def dying(self, table, df, dataset_id, load_id, part=0):
+        if part == 1 and table == "turns" and not died:
+            died.append(table)
+            raise OSError("the process dies here")
+        staged.append((table, part))
+        return stage(self, table, df, dataset_id, load_id, part)
+
+    monkeypatch.setattr(stores.Store, "stage", dying)
+    with pytest.raises(OSError):
+        build_store(spark, built[2], root, slices=2)
+    first = len(staged)
+    assert ("events", 0) in staged and stores.Store(spark, root).current_loads() == []
+    result = build_store(spark, built[2], root, slices=2)
+    again = staged[first:]
+    assert result.built == ["SET.Premier"]
+    assert ("turns", 1) in again and ("turns", 0) not in again and ("events", 0) not in again
+    store = stores.Store(spark, root)
+    for table in ("drafts", "draft_pick_cards", "deck_build_cards", "events", "candidate_hand_cards"):
+        assert {tuple(r) for r in store.table(table).collect()} == rows(built, table, "*")
+    assert store.vacuum() == [] and not list((tmp_path / "store" / "progress").rglob("*.json"))
+
+
 def test_manifest(built):
     rows_by_table = {r["table_name"]: r for r in stores.manifest(built[1]).collect()}
     assert rows_by_table["events"]["row_count"] == 13
