@@ -45,7 +45,7 @@ FORMATS = {
     "card": "|".join(CARDS),
     "phone": r"\+?\d{0,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{4}(?!\w)"
              r"|\+\d(?:[ .-]?\d){7,14}(?!\w)",
-    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
+    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
 }
 #: Possible starts come first, so that a long run of letters is passed once.
 FIND = r"(?<![A-Za-z0-9._%+@-])(?:" + "|".join(FORMATS.values()) + ")"
