@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from sparkdraft.llm.common import stored
 from sparkdraft.llm.decontam import words
+from sparkdraft.operators.reshape import bind
 
 # Usual wordings of licence notices by family, and sentences that are none.
 TEMPLATES = {
@@ -146,17 +147,27 @@ def windows(docs: DataFrame) -> DataFrame:
     """(doc_id, number, h, last, line): runs of ``WINDOW`` lines, or all up to a blank line.
 
     ``number`` is the first line, ``last`` the last; ``h`` is of the text that it was cut from.
+    Windows are cut inside the text's own array of lines, and only around lines that hold a
+    word of a notice: no row carries the lines of another.
     """
-    lines = F.split(F.col("text"), r"\n")
-    rows = docs.where("text is not null").select(
-        "doc_id", F.xxhash64("text").alias("h"), lines.alias("lines"),
-        F.posexplode(lines).alias("number", "first")).where(F.trim("first") != "")
-    part = F.slice("lines", F.col("number") + 1, F.lit(WINDOW))
-    blank = F.array_position(F.transform(part, lambda v: F.trim(v) == ""), F.lit(True))
-    rows = rows.select("doc_id", "h", "number", part.alias("part"), F.when(
-        blank > 0, blank - 1).otherwise(F.size(part)).cast("int").alias("n")).where("n > 1")
-    return rows.select("doc_id", "number", "h", (F.col("number") + F.col("n") - 1).alias("last"),
-                       F.array_join(F.slice("part", F.lit(1), F.col("n")), " ").alias("line"))
+    def cut(lines: Column) -> Column:
+        def window(number: Column) -> Column:
+            part = F.slice(lines, number + 1, F.lit(WINDOW))
+            blank = F.array_position(F.transform(part, lambda v: F.trim(v) == ""), F.lit(True))
+            n = F.when(blank > 0, blank - 1).otherwise(F.size(part)).cast("int")
+            return F.struct(number.alias("number"), (number + n - 1).alias("last"),
+                            F.array_join(F.slice(part, F.lit(1), n), " ").alias("line"))
+
+        def near(wanted: Column) -> Column:
+            return F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.exists(
+                F.slice(wanted, i + 1, F.lit(WINDOW)), lambda w: w))
+
+        found = F.transform(bind(F.transform(lines, anchored), near), window)
+        return F.filter(found, lambda w: w["last"] > w["number"])
+
+    return docs.where("text is not null").select(
+        "doc_id", F.xxhash64("text").alias("h"), F.split(F.col("text"), r"\n").alias("lines")).select(
+        "doc_id", "h", F.inline(bind(F.col("lines"), cut))).select("doc_id", "number", "h", "last", "line")
 
 
 def _examples() -> list[tuple[str, str]]:
