@@ -20,6 +20,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """A column name that starts with ``name`` and that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def labelled_sample(labels: DataFrame, label: str, limit: int) -> DataFrame:
     """At most ``limit`` labelled ids: those of the smallest id hashes.
 

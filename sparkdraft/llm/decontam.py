@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkdraft.llm.common import stored
+from sparkdraft.llm.common import stored, unused
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BETWEEN = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
@@ -164,9 +164,10 @@ def verdicts(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Dat
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the contaminated rows; the others stay as they are."""
     bad = verdicts(docs, benchmark, window).where("contaminated")
-    bad = bad.select(F.col("doc_id").alias("llm_id"), F.col("tkey").alias("llm_tkey")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("llm_id"))
-                     & (F.xxhash64(docs["text"]) == F.col("llm_tkey")), "left_anti")
+    one, key = unused("llm_id", docs), unused("llm_tkey", docs)
+    bad = bad.select(F.col("doc_id").alias(one), F.col("tkey").alias(key)).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col(one))
+                     & (F.xxhash64(docs["text"]) == F.col(key)), "left_anti")
 
 
 def clean_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

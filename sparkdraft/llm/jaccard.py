@@ -13,9 +13,12 @@ Method, on sets of distinct five-word shingles ("tokens", as 64-bit hashes):
    it to the smallest node that shares them, then the nodes of crowded signatures to hubs,
    which share the most; verified links join nodes into groups, so copies are not compared
    with each other again. This decides what is compared first, never which links count.
-4. *Candidates and verification.* All signatures are joined between different groups;
-   pairs that share too few rare signatures to reach 4/5 go, the others are compared by
-   their whole sets. Components of all verified links give the result.
+4. *Candidates and verification.* Signatures are joined between different groups; pairs that
+   share too few rare signatures to reach 4/5 go, the others are compared by their whole
+   sets. Components of all verified links give the result.
+5. *Crowded signatures.* The nodes of a signature that many share are not joined with each
+   other: many texts that are alike in part and yet not linked would make all pairs. They
+   are indexed anew by how they differ from the signature's hub (see ``_differences``).
 
 Defined cases. A text that is null or has no word has an empty set and no links. A text of
 fewer than five words has its whole sequence as the only shingle. Rows with a null id are
@@ -29,18 +32,18 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkdraft.llm import textvec
-from sparkdraft.llm.common import broadcast_value, stored
+from sparkdraft.llm.common import broadcast_value, stored, unused
 from sparkdraft.llm.graph import components
 
 SHINGLE = 5
 SKETCH_BITS, BLOCK_BITS = 22, 15
 #: Signatures of each kind that the contraction uses.
 FIRST = 4
-#: Nodes of a signature from which its hub is tried.
+#: Nodes of a signature from which it is crowded: its hub is tried, the others indexed anew.
 CROWD = 8
 
 
@@ -67,7 +70,7 @@ def _sketch_rows(batches):
         for _, _, buf, offs in textvec.chunks(batch.column(0)):
             words, counts = textvec.word_hashes(buf, offs)
             tokens, _ = textvec.shingles(words, counts, SHINGLE)
-            total += np.bincount(_cells(tokens), minlength=len(total)).astype(np.uint32)
+            np.add.at(total, _cells(tokens), np.uint32(1))
     blocks = total.reshape(-1, 1 << BLOCK_BITS)
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.arange(len(blocks), dtype=np.int32)),
@@ -163,10 +166,8 @@ def _index(docs: DataFrame, held) -> DataFrame:
         rows, f"doc_id {kind}, n long, fp long, singles array<long>, pairs array<long>, plain boolean")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of node ids whose whole sets overlap by 4/5 or more."""
-    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp")))
+def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(fp, tokens): the whole sets of nodes ``fp``, as binary."""
     wanted = nodes.select("fp", "doc_id").join(wanted.distinct(), "fp")
 
     def set_rows(batches):
@@ -175,11 +176,26 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(sets, pa.binary())],
                                              ["fp", "tokens"])
 
+    # A repeated row is the same document; its texts of other sets are dropped by the set's id.
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id").select("fp", "text")
+    return stored(texts.mapInArrow(set_rows, "fp long, tokens binary"), "sets")
+
+
+def _tokens(cell: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(cell.as_buffer(), np.uint64)
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of node ids whose whole sets overlap by 4/5 or more."""
+    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
+    sets = _sets(pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))),
+                 nodes, docs)
+
     def compare(batches):
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                s, t = _tokens(x), _tokens(y)
                 if len(t) < len(s):
                     s, t = t, s
                 at = np.minimum(np.searchsorted(t, s), len(t) - 1)
@@ -189,9 +205,6 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask),
                                               batch.column("b").filter(mask)], ["a", "b"])
 
-    # A repeated row is the same document; its texts of other sets are dropped by the set's id.
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id").select("fp", "text")
-    sets = stored(texts.mapInArrow(set_rows, "fp long, tokens binary"), "sets")
     left = sets.select(F.col("fp").alias("b"), F.col("tokens").alias("y"))
     right = sets.select(F.col("fp").alias("a"), F.col("tokens").alias("x"))
     rows = pairs.join(left, "b").join(right, "a")
@@ -233,6 +246,58 @@ def _hubs(met: DataFrame) -> DataFrame:
     return pairs.select(F.col("hub.fp").alias("a"), F.col("fp").alias("b"))
 
 
+def _crowded(met: DataFrame) -> DataFrame:
+    """(sig, hub): the signatures of many nodes, with the node that shares the most."""
+    counts = met.groupBy("sig").agg(F.count("*").alias("c")).where(F.col("c") >= CROWD)
+    rows = met.join(counts, "sig")
+    rows = rows.join(rows.groupBy("fp").agg(F.sum("c").alias("w")), "fp")
+    return rows.groupBy("sig").agg(F.max(F.struct("w", "fp")).alias("hub")).select(
+        "sig", F.col("hub.fp").alias("hub"))
+
+
+def _differences(met: DataFrame, crowded: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs of nodes of crowded signatures that may reach 4/5, by their differences from the hub.
+
+    Let D(x) be the tokens in which x and the hub differ: x and y differ in as many tokens as
+    D(x) and D(y) do, which at 4/5 are at most t = (|x| + |y|) / 9. So of D(x) at most
+    (|D(x)| - |D(y)| + t) / 2 tokens are not in D(y). Of the two the one of the smaller D may
+    thus lack at most t/2 <= |x| / 8, the other at most t <= |y| / 4: among the first
+    |x| / 8 + 1 tokens of the one and |y| / 4 + 1 of the other, in one order, is a common one.
+    The order puts tokens first that few differences from this hub hold. If the differences
+    need not meet at all, |D(x)| + |D(y)| <= t, both reach 4/5 with the hub, whose pairs with
+    all nodes are candidates too, and so are of one component.
+    """
+    near = stored(met.join(crowded, "sig").select("hub", "fp", "g", "n").distinct(), "near")
+    sets = _sets(near.select("fp").unionByName(near.select(F.col("hub").alias("fp"))), nodes, docs)
+    both = near.join(sets, "fp").join(
+        sets.select(F.col("fp").alias("hub"), F.col("tokens").alias("center")), "hub")
+
+    def differ(batches):
+        for batch in batches:
+            found = [np.setxor1d(_tokens(x), _tokens(h), assume_unique=True).view(np.int64)
+                     for x, h in zip(batch.column("tokens"), batch.column("center"))]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in ("hub", "fp", "g", "n")],
+                 pa.array([len(d) for d in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))],
+                ["hub", "fp", "g", "n", "d", "tokens"])
+
+    index = stored(both.select("hub", "fp", "g", "n", "tokens", "center").mapInArrow(
+        differ, "hub long, fp long, g long, n long, d long, tokens array<long>"), "differences")
+    rows = index.select("hub", "fp", "g", "n", "d", F.explode("tokens").alias("token"))
+    often = rows.groupBy("hub", "token").agg(F.count("*").alias("often"))
+    place = F.row_number().over(Window.partitionBy("hub", "fp").orderBy("often", "token"))
+    kept = rows.join(often, ["hub", "token"]).withColumn("place", place)
+    # A token of one difference alone has its place in the order, but nobody to meet.
+    kept = stored(kept.where("often > 1 and place <= floor(n / 4) + 1").drop("often"), "first")
+    a, b = (kept.select("hub", "token", *[F.col(c).alias(c + s) for c in ("fp", "g", "n", "d", "place")])
+            for s in ("a", "b"))
+    pairs = a.where("placea <= floor(na / 8) + 1").join(b, ["hub", "token"]).where(
+        "ga <> gb and da <= db and 9 * (db - da) <= na + nb and 5 * na >= 4 * nb and 5 * nb >= 4 * na")
+    pairs = pairs.select("fpa", "fpb").unionByName(
+        near.where("hub <> fp").select(F.col("hub").alias("fpa"), F.col("fp").alias("fpb")))
+    return pairs.select(F.least("fpa", "fpb").alias("a"), F.greatest("fpa", "fpb").alias("b"))
+
+
 def _candidates(hot: DataFrame) -> DataFrame:
     """Pairs of nodes of different groups that the signatures cannot rule out."""
     by_group = hot.select("sig", "g").distinct()
@@ -273,7 +338,9 @@ def joined(docs: DataFrame) -> DataFrame:
                             F.explode(F.concat("singles", "pairs")).alias("sig")), groups)
     first = first.unionByName(_verified(_hubs(met), nodes, docs))
     met = _met(met, stored(components(first), "groups"))
-    rest = _verified(_candidates(met), nodes, docs)
+    crowded = stored(_crowded(met), "crowded")
+    few = met.join(crowded, "sig", "left_anti")
+    rest = _verified(_candidates(few).unionByName(_differences(met, crowded, nodes, docs)), nodes, docs)
     # Ids and sets in one graph: a set and its ids are linked, so are linked sets.
     sets = stored(components(first.unionByName(rest)), "sets")
     ids = rows.where("n > 0 and doc_id is not null").select("doc_id", "fp")
@@ -293,4 +360,5 @@ def joined(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with the document of the smallest id of each component; its rows all stay."""
     out = joined(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("llm_id"))
-    return docs.join(out.distinct(), docs["doc_id"] == F.col("llm_id"), "left_anti")
+    name = unused("llm_id", docs)
+    return docs.join(out.distinct().toDF(name), docs["doc_id"] == F.col(name), "left_anti")

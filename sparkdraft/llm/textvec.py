@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 #: Odd multipliers of the hashes: the 64-bit golden ratio and two powers of it.
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _POWERS: dict[str, np.ndarray] = {}
