@@ -61,12 +61,13 @@ def brute_components(texts):
         sets[i] = {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
     root = {i: i for i in sets}
     ids = sorted(sets)
-    for _ in ids:
-        for a in ids:
-            for b in ids:
-                s, t = sets[a], sets[b]
-                if s and t and 100 * len(s & t) >= 80 * len(s | t):
-                    root[a] = root[b] = min(root[a], root[b])
+    links = [(a, b) for a in ids for b in ids if a < b and sets[a] and sets[b]
+             and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    before = None
+    while before != root:
+        before = dict(root)
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
     return {i: (len(sets[i]), root[i]) for i in ids}
 
 
@@ -422,3 +423,53 @@ def test_licences_of_wrapped_notices_and_more_families(spark):
     want = [["bsd"], ["gpl"], *[[f] for f in short]]
     assert {r.doc_id: (r.families, r.n_confirmed) for r in found} == {
         i: (f, 1) for i, f in enumerate(want)}
+
+
+def mutated(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"new{rng.randrange(10**9)}"
+    return " ".join(words)
+
+
+def test_jaccard_join_of_crowded_signatures_loses_no_link(spark, monkeypatch):
+    """Copies of one text, some beyond 4/5 from it and close to each other, and shared passages."""
+    monkeypatch.setattr(jaccard, "CROWD", 3)
+    rng = random.Random(4)
+    base = prose(rng, 90).split()
+    texts = [mutated(rng, base, rng.choice([0, 1, 2, 3, 4, 5, 6])) for _ in range(90)]
+    for _ in range(6):  # clusters of their own, far from the first text
+        far = mutated(rng, base, 7).split()
+        texts += [mutated(rng, far, rng.choice([0, 1, 2])) for _ in range(5)]
+    texts += [" ".join(base[:60]) + " " + prose(rng, 30 + k % 5) for k in range(30)]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.joined(docs_of(
+        spark, [t for _, t in rows], [i for i, _ in rows])).collect()}
+    assert found == brute_components(rows)
+
+
+def test_stages_take_columns_of_internal_names(spark):
+    docs = docs_of(spark, ["a b c d e f"] * 2 + ["other words of a text here"]).withColumns(
+        {"llm_id": F.lit(7), "LLM_tkey": F.lit("x"), "llm_id_": F.lit(8)})
+    bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
+    once = jaccard.one_of_each(docs)
+    assert once.columns == docs.columns and sorted(r.doc_id for r in once.collect()) == [0, 2]
+    clean = decontam.clean_documents(docs, bench)
+    assert clean.columns == docs.columns and [r.doc_id for r in clean.collect()] == [2]
+
+
+def test_an_address_of_very_many_labels_does_not_end_the_task(spark):
+    text = "see a@b" + ".c" * 100_000 + " and x@example.org"
+    new = pii.pseudonymised(docs_of(spark, [text]), "k").first().text
+    assert len(new) == len(text) and "x@example.org" not in new
+
+
+def test_licences_of_a_text_of_very_many_lines(spark):
+    lines = ["zig zag zug"] * 32_000
+    lines[20_000:20_002] = ["Licensed under the Apache License,", "Version 2.0."]
+    docs = docs_of(spark, ["\n".join(lines), "plain"])
+    found = licences.windows(docs.where(licences.anchored(F.col("text")))).collect()
+    assert {r.number for r in found} >= set(range(19_996, 20_001)) and len(found) < 20
+    assert any(r.line == "Licensed under the Apache License, Version 2.0. " + " ".join(
+        ["zig zag zug"] * 3) for r in found)
