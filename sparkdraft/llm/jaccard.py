@@ -32,7 +32,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkdraft.llm import textvec
@@ -43,8 +43,8 @@ SHINGLE = 5
 SKETCH_BITS, BLOCK_BITS = 22, 15
 #: Signatures of each kind that the contraction uses.
 FIRST = 4
-#: Nodes of a signature from which it is crowded: its hub is tried, the others indexed anew.
-CROWD = 8
+#: Nodes of a signature from which its hub is tried, and from which it is indexed anew.
+CROWD, CROWDED = 8, 48
 
 
 def _cells(tokens: np.ndarray) -> np.ndarray:
@@ -248,7 +248,7 @@ def _hubs(met: DataFrame) -> DataFrame:
 
 def _crowded(met: DataFrame) -> DataFrame:
     """(sig, hub): the signatures of many nodes, with the node that shares the most."""
-    counts = met.groupBy("sig").agg(F.count("*").alias("c")).where(F.col("c") >= CROWD)
+    counts = met.groupBy("sig").agg(F.count("*").alias("c")).where(F.col("c") >= CROWDED)
     rows = met.join(counts, "sig")
     rows = rows.join(rows.groupBy("fp").agg(F.sum("c").alias("w")), "fp")
     return rows.groupBy("sig").agg(F.max(F.struct("w", "fp")).alias("hub")).select(
@@ -263,7 +263,8 @@ def _differences(met: DataFrame, crowded: DataFrame, nodes: DataFrame, docs: Dat
     (|D(x)| - |D(y)| + t) / 2 tokens are not in D(y). Of the two the one of the smaller D may
     thus lack at most t/2 <= |x| / 8, the other at most t <= |y| / 4: among the first
     |x| / 8 + 1 tokens of the one and |y| / 4 + 1 of the other, in one order, is a common one.
-    The order puts tokens first that few differences from this hub hold. If the differences
+    The order puts tokens last that an eighth of the differences from this hub hold or more, and
+    before these the tokens that the hub has. If the differences
     need not meet at all, |D(x)| + |D(y)| <= t, both reach 4/5 with the hub, whose pairs with
     all nodes are candidates too, and so are of one component.
     """
@@ -274,8 +275,11 @@ def _differences(met: DataFrame, crowded: DataFrame, nodes: DataFrame, docs: Dat
 
     def differ(batches):
         for batch in batches:
-            found = [np.setxor1d(_tokens(x), _tokens(h), assume_unique=True).view(np.int64)
-                     for x, h in zip(batch.column("tokens"), batch.column("center"))]
+            found = []
+            for x, h in zip(batch.column("tokens"), batch.column("center")):
+                t, c = _tokens(x), _tokens(h)
+                found.append(np.concatenate([np.setdiff1d(t, c, assume_unique=True),
+                                             np.setdiff1d(c, t, assume_unique=True)]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in ("hub", "fp", "g", "n")],
                  pa.array([len(d) for d in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))],
@@ -283,15 +287,23 @@ def _differences(met: DataFrame, crowded: DataFrame, nodes: DataFrame, docs: Dat
 
     index = stored(both.select("hub", "fp", "g", "n", "tokens", "center").mapInArrow(
         differ, "hub long, fp long, g long, n long, d long, tokens array<long>"), "differences")
-    rows = index.select("hub", "fp", "g", "n", "d", F.explode("tokens").alias("token"))
-    often = rows.groupBy("hub", "token").agg(F.count("*").alias("often"))
-    place = F.row_number().over(Window.partitionBy("hub", "fp").orderBy("often", "token"))
-    kept = rows.join(often, ["hub", "token"]).withColumn("place", place)
-    # A token of one difference alone has its place in the order, but nobody to meet.
-    kept = stored(kept.where("often > 1 and place <= floor(n / 4) + 1").drop("often"), "first")
-    a, b = (kept.select("hub", "token", *[F.col(c).alias(c + s) for c in ("fp", "g", "n", "d", "place")])
-            for s in ("a", "b"))
-    pairs = a.where("placea <= floor(na / 8) + 1").join(b, ["hub", "token"]).where(
+    # At most eight times the mean difference's tokens are in an eighth of a hub's differences.
+    counts = index.select("hub", F.explode("tokens").alias("token")).groupBy("hub", "token").agg(
+        F.count("*").alias("c"))
+    sizes = index.groupBy("hub").agg(F.count("*").alias("nodes"))
+    often = counts.join(sizes, "hub").where("8 * c >= nodes").groupBy("hub").agg(
+        F.collect_list("token").alias("often"))
+    order = F.when(F.col("often").isNull(), F.col("tokens")).otherwise(F.concat(
+        F.array_except("tokens", "often"), F.array_intersect("tokens", "often")))
+    first = index.join(often, "hub", "left").select("hub", "fp", "g", "n", "d", F.slice(
+        order, F.lit(1), (F.floor(F.col("n") / 4) + 1).cast("int")).alias("tokens"))
+
+    def role(length: int, side: str) -> DataFrame:
+        tokens = F.slice("tokens", F.lit(1), (F.floor(F.col("n") / length) + 1).cast("int"))
+        return first.select("hub", F.explode(tokens).alias("token"), *[
+            F.col(c).alias(c + side) for c in ("fp", "g", "n", "d")])
+
+    pairs = role(8, "a").join(role(4, "b"), ["hub", "token"]).where(
         "ga <> gb and da <= db and 9 * (db - da) <= na + nb and 5 * na >= 4 * nb and 5 * nb >= 4 * na")
     pairs = pairs.select("fpa", "fpb").unionByName(
         near.where("hub <> fp").select(F.col("hub").alias("fpa"), F.col("fp").alias("fpb")))

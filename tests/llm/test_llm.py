@@ -435,6 +435,7 @@ def mutated(rng, words, n):
 def test_jaccard_join_of_crowded_signatures_loses_no_link(spark, monkeypatch):
     """Copies of one text, some beyond 4/5 from it and close to each other, and shared passages."""
     monkeypatch.setattr(jaccard, "CROWD", 3)
+    monkeypatch.setattr(jaccard, "CROWDED", 4)
     rng = random.Random(4)
     base = prose(rng, 90).split()
     texts = [mutated(rng, base, rng.choice([0, 1, 2, 3, 4, 5, 6])) for _ in range(90)]
