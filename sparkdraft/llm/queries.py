@@ -129,9 +129,10 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_pieces")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     """Piece ids of every document, and whether decoding gives the text back."""
-    docs, path = table(spark, sf, "documents"), tokenizer_file(PIECES)
-    coded = docs.select("doc_id", "text", unigram.encode(F.col("text"), path, docs).alias("ids"))
-    back = unigram.decode(F.col("ids"), path, docs)
+    docs = table(spark, sf, "documents")
+    model = unigram.fit(docs, tokenizer_file(PIECES))
+    coded = docs.select("doc_id", "text", unigram.encode(F.col("text"), model, docs).alias("ids"))
+    back = unigram.decode(F.col("ids"), model, docs)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
                         back.eqNullSafe(F.col("text")).alias("round_trip"))
 

@@ -4,6 +4,7 @@ import json
 import random
 import re
 import zlib
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -210,11 +211,7 @@ def test_quality(spark, sf):
 
 def test_unigram_against_exhaustive_search():
     pieces = {"a": -2.0, "b": -2.5, "ab": -3.0, "aba": -4.2, "▁": -1.5, "▁a": -3.1, "é": -2.0}
-    names = [*pieces, *[f"<0x{i:02X}>" for i in range(256)]]
-    p = unigram.Pieces(tuple(n.encode() for n in names),
-                       np.array([*pieces.values(), *[0.0] * 256]),
-                       np.arange(256, dtype=np.int32) + len(pieces), -1,
-                       *unigram.double_array({n.encode(): i for i, n in enumerate(pieces)}))
+    p = small_pieces(pieces)
     low = min(pieces.values()) - unigram.UNKNOWN_PENALTY
 
     def best(t):
@@ -237,6 +234,84 @@ def test_unigram_against_exhaustive_search():
             assert back + low * len(raw) == pytest.approx(score)
 
 
+def small_pieces(scores):
+    names = [*scores, *[f"<0x{i:02X}>" for i in range(256)]]
+    return unigram.Pieces(tuple(n.encode() for n in names),
+                          np.array([*scores.values(), *[0.0] * 256]),
+                          np.arange(256, dtype=np.int32) + len(scores), -1,
+                          *unigram.double_array({n.encode(): i for i, n in enumerate(scores)}))
+
+
+def paths(t, known):
+    """All segmentations of a text into known pieces and characters that none covers."""
+    if not t:
+        yield []
+    for e in range(1, len(t) + 1):
+        if t[:e] in known or (e == 1 and t[0] not in known):
+            for rest in paths(t[e:], known):
+                yield [t[:e], *rest]
+
+
+def test_unigram_expected_counts_against_all_segmentations():
+    scores = {"a": -2.0, "b": -2.5, "ab": -3.0, "aba": -4.2, "▁": -1.5, "▁a": -3.1, "é": -2.0}
+    p = small_pieces(scores)
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abé▁漢") for _ in range(n)) for n in range(1, 11) for _ in range(4)]
+    weights = np.array([rng.randint(1, 9) for _ in texts], float)
+    want, total = dict.fromkeys(scores, 0.0), 0.0
+    for t, w in zip(texts, weights):
+        ways = list(paths(t, scores))
+        odds = [np.exp(sum(scores.get(x, p.lowest) for x in way)) for way in ways]
+        total += w * np.log(sum(odds))
+        for way, q in zip(ways, odds):
+            for x in way:
+                if x in want:
+                    want[x] += w * q / sum(odds)
+    counts, found = unigram.expected([t.encode() for t in texts], weights, p)
+    assert counts[:len(scores)] == pytest.approx(list(want.values()))
+    assert found == pytest.approx(total)
+    # A probability below the smallest double counts by the best path.
+    counts, _ = unigram.expected(["漢漢漢漢漢漢漢漢漢漢漢漢漢漢漢b".encode()] * 2 + [b"ab" * 60],
+                                 np.ones(3), replace(p, scores=p.scores - 70))
+    assert counts[:3].sum() >= 2 + 60
+
+
+def test_unigram_fit_on_whole_texts(spark):
+    from sparkdraft.llm.queries import PIECES, tokenizer_file
+
+    path = tokenizer_file(PIECES)
+    texts = ["the tokens of the text", "the text", "the text", "", None, "x▁y  z", "漢字\U0001f600" * 40,
+             "word " * 30_000]
+    docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)],
+                                 "doc_id int, text string, ids int")
+    model = unigram.start(unigram.load(path))
+    counted = {bytes(r.unit): r.n for r in unigram.unit_counts(
+        docs, spark.sparkContext.broadcast(model)).collect()}
+    assert counted["▁the".encode()] == 4 and counted["▁word".encode()] == 30_000
+    # The same EM over the plain list of units, in one process.
+    units, n, before = sorted(counted), None, None
+    weights = np.array([counted[u] for u in units], float)
+    p = unigram.Parameters(steps=4)
+    for _ in range(p.steps):
+        counts, total = unigram.expected(units, weights, model)
+        assert before is None or total >= before - 1e-6 * abs(before)
+        model, stop = unigram.maximised(counts, model, p.smoothing), before is not None and (
+            total - before < p.gain * abs(before))
+        before = total
+        if stop:
+            break
+    fitted = unigram.fit(docs, path, p)
+    assert np.allclose(fitted.scores, model.scores)
+    assert np.exp(fitted.scores[np.unique(fitted.value[fitted.value >= 0])]).sum() == pytest.approx(1)
+    out = docs.select("doc_id", "text", unigram.encode(F.col("text"), fitted, docs).alias("got"))
+    rows = out.select("*", unigram.decode(F.col("got"), fitted, out).alias("back")).collect()
+    assert all(r.back == (r.text and r.text.replace("▁", " ")) for r in rows)
+    assert {r.text: r.got for r in rows}[None] is None and {r.text: r.got for r in rows}[""] == []
+    none = docs.limit(0)
+    assert none.select(unigram.encode(F.col("text"), unigram.fit(none, path), none)).count() == 0
+    assert np.array_equal(unigram.fit(none, path).scores, unigram.start(unigram.load(path)).scores)
+
+
 def test_token_file_round_trip(spark, tmp_path):
     import public_tokenizers
     from tokenizers import Tokenizer

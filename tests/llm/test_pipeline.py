@@ -69,9 +69,9 @@ def test_stages_keep_what_plain_versions_keep(spark, sf, steps):
 
 
 def test_the_last_stage_gives_the_texts_back(spark, steps):
-    path = tokenizer_file(PIECES)
+    pieces = unigram.load(tokenizer_file(PIECES))
     back = steps[5].select("doc_id", "n_pieces", F.size("ids").alias("n"),
-                           unigram.decode(F.col("ids"), path, steps[5]).alias("t"))
+                           unigram.decode(F.col("ids"), pieces, steps[5]).alias("t"))
     texts = {r.doc_id: r.text for r in steps[4].collect()}
     found = {r.doc_id: r for r in back.collect()}
     assert set(found) == set(texts)
