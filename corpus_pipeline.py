@@ -41,7 +41,8 @@ def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_pieces, ids): the piece ids of every document that is left."""
     importable(spark)
-    ids = unigram.encode(F.col("text"), tokenizer_file(PIECES), docs)
+    model = unigram.fit(docs, tokenizer_file(PIECES))
+    ids = unigram.encode(F.col("text"), model, docs)
     return docs.select("doc_id", ids.alias("ids")).select(
         "doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids")
 
