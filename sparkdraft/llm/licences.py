@@ -17,6 +17,7 @@ one; rows of one id, or of the null id, but different paragraphs are judged apar
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -134,7 +135,42 @@ def anchored(text: Column) -> Column:
     """Whether a text holds a word that some licence notice needs."""
     found = sorted({w for ts in TEMPLATES.values() for t in ts for w in _plain(t)
                     if len(w) >= ANCHOR_LETTERS} | {*SHORT_ANCHORS})
-    return F.size(F.array_intersect(words(text), _strings(found))) > 0
+    letter = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
+    return F.coalesce(text.rlike(rf"(?i)(?<!{letter})(?:{'|'.join(found)})(?!{letter})"), F.lit(False))
+
+
+def possible_grams(docs: DataFrame, vocabulary: tuple[str, ...]) -> Callable[[Column], Column]:
+    """A function of an array of words: those of its n-grams that the vocabulary may hold.
+
+    One binary of a byte for each hash cell travels with the plan; about one n-gram of sixteen
+    that the vocabulary lacks gets through. An n-gram is made only where its first word may be
+    a word of the vocabulary.
+    """
+    cells = 1 << max(12, (16 * len(vocabulary)).bit_length())
+    cell = F.pmod(F.xxhash64("term"), F.lit(cells)).cast("int")
+    terms = docs.sparkSession.createDataFrame([(v,) for v in vocabulary], "term string")
+    held = bytearray(cells)
+    for r in terms.select(cell.alias("cell")).collect():
+        held[r.cell] = 1
+    table = F.lit(bytes(held))
+
+    def known(term: Column) -> Column:
+        return F.substring(table, F.pmod(F.xxhash64(term), F.lit(cells)).cast("int") + 1, 1) == b"\1"
+
+    def made(w: Column) -> Column:
+        def starts(places: Column) -> Column:
+            def of(k: int) -> Column:
+                inside = F.filter(places, lambda i: i <= F.size(w) - k + 1)
+                return F.filter(F.transform(inside, lambda i: F.array_join(
+                    F.slice(w, i, F.lit(k)), " ")), known)
+
+            return F.concat(F.transform(places, lambda i: F.get(w, i - 1)), of(2), of(3))
+
+        at = F.when(F.size(w) > 0, F.sequence(F.lit(1), F.size(w))).otherwise(
+            F.array().cast("array<int>"))
+        return bind(F.filter(at, lambda i: known(F.get(w, i - 1))), starts)
+
+    return made
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
@@ -246,7 +282,9 @@ def _judged(lines: DataFrame, keys: list[str], model: Model, p: Parameters) -> D
     """``keys`` and the verdict on each ``line`` that is not ``unknown``."""
     # The words are a column of their own: inside of the n-grams they would be made anew for each.
     rows = lines.where(anchored(F.col("line"))).select(*keys, words(F.col("line")).alias("w"))
-    rows = rows.select(*keys, grams(F.col("w"), model.vocabulary).alias("g"))
+    # What the vocabulary lacks goes when the weights are joined.
+    some = possible_grams(lines, model.vocabulary)
+    rows = rows.select(*keys, some(F.col("w")).alias("g"))
     rows = stored(logits(rows, keys, model), "notices")
     z = [F.col(f"z{k}") for k in range(len(CLASSES))]
     rows = rows.withColumn("top", F.greatest(*z))
