@@ -125,6 +125,11 @@ def timestamp_or_null(x: Column) -> Column:
     return strip(x).try_cast("timestamp_ntz")
 
 
+def bad_time(x: Column) -> Column:
+    """A cell that holds something, but no time in ISO spelling."""
+    return ~is_missing(x) & timestamp_or_null(x).isNull()
+
+
 def id_tokens(x: Column) -> Column:
     """``a|b|c`` as an array of trimmed, non-empty tokens; never NULL.
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from sparkdraft.functions import clean, keys
 from sparkdraft.operators import checks, ordering, reshape
 from sparkdraft.operators.joins import only_absent, size_checked
-from sparkdraft.plans.quarantine import CellCheck
+from sparkdraft.plans.quarantine import TIME, CellCheck
 from sparkdraft.sources.layout import PICK_KINDS, Layout
 from sparkdraft.sources.text import ORDER_COLUMNS, WideSource, source_order, with_line_rank
 
@@ -108,7 +108,8 @@ def pick_checks(layout: Layout) -> list[CellCheck]:
     return [CellCheck("draft_id", clean.is_missing, "blank", key=True),
             *[CellCheck(c, clean.bad_key, "no number", key=True)
               for c in ("pack_number", "pick_number")],
-            *[CellCheck(c, clean.bad_small, "no small whole number") for c in INTEGER_METADATA]]
+            *[CellCheck(c, clean.bad_small, "no small whole number") for c in INTEGER_METADATA],
+            CellCheck("draft_time", clean.bad_time, TIME)]
 
 
 def unknown_picked_cards(draft_picks: DataFrame, cards: DataFrame) -> DataFrame:

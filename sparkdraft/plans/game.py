@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sparkdraft.functions import clean, keys
 from sparkdraft.operators import checks, ordering, reshape
 from sparkdraft.sources.layout import GAME_KINDS, CountColumn, Layout, sql_literal
-from sparkdraft.plans.quarantine import CellCheck
+from sparkdraft.plans.quarantine import TIME, CellCheck
 from sparkdraft.sources.text import ORDER_COLUMNS, WideSource, cell_at, source_order
 
 STATS = ("opening_hand", "drawn", "tutored")
@@ -165,4 +165,5 @@ def draft_metadata_conflicts(source: WideSource) -> DataFrame:
 def game_checks(layout: Layout) -> list[CellCheck]:
     """What makes a cell of a game line malformed, beside its counts."""
     return [*[CellCheck(c, clean.bad_small, "no small whole number") for c in INTEGERS],
-            *[CellCheck(c, clean.bad_bool, "no truth value") for c in FLAGS]]
+            *[CellCheck(c, clean.bad_bool, "no truth value") for c in FLAGS],
+            *[CellCheck(c, clean.bad_time, TIME) for c in ("draft_time", "game_time")]]

@@ -20,6 +20,7 @@ from sparkdraft.sources.text import (KEY_CELLS, ORDER_COLUMNS, WideSource, cell_
                                      with_row_numbers)
 
 WIDTH, KEY, NEGATIVE, COUNT = "wrong field count", "unusable key", "negative count", "no count"
+TIME = "no time"
 
 
 @dataclass(frozen=True)
@@ -116,11 +117,14 @@ LABELS = {"draft": "malformed pick cells", "game": "malformed game cells",
 
 
 def findings(rejected: DataFrame, kind: str) -> DataFrame:
-    """Findings of one source: lines of another width, and other reasons."""
+    """Findings of one source: lines of another width, unreadable times (which become NULL and
+    stop no build), and other reasons."""
     rows = reason_rows(rejected.where(F.col("kind") == kind))
-    width = F.col("reason") == WIDTH
-    return checks.finding(rows.where(width), "rows with a wrong field count", "fatal", kind).unionByName(
-        checks.finding(rows.where(~width), LABELS[kind], "fatal", kind))
+    width, time = F.col("reason") == WIDTH, F.col("reason") == TIME
+    return checks.combine([
+        checks.finding(rows.where(width), "rows with a wrong field count", "fatal", kind),
+        checks.finding(rows.where(time), "unreadable times", "warn", kind),
+        checks.finding(rows.where(~width & ~time), LABELS[kind], "fatal", kind)])
 
 
 def examples(rejected: DataFrame, n: int = checks.SAMPLE) -> list[str]:

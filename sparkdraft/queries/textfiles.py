@@ -75,7 +75,7 @@ def pick_files(spark: SparkSession, sf: str) -> WideSource:
     columns = {
         "draft_id": _every(61, 5, o, " ", F.col("o_custkey")), "pack_number": F.floor(o / 1000),
         "pick_number": _every(41, 0, o, "x", o % 1000), "expansion": F.lit("S"),
-        "event_type": F.lit("P"), "draft_time": F.lit("2024-01-02 03:04:05"),
+        "event_type": F.lit("P"), "draft_time": _every(37, 6, o, "2 Jan 2024", F.lit("2024-01-02 03:04:05")),
         "event_match_wins": _every(43, 1, o, "2.5", o % 8), "pick": F.lit('"Lion, King"'),
     } | _counts(("pack_card_", "pool_"), o, {
         "pack_card_Island": _every(53, 3, o, "many", o % 2), "pool_Lion, King": _every(59, 4, o, "-1", o % 2)})
@@ -126,6 +126,7 @@ def _reject_sql(source: str, key: str, dropped: str, reasons: list[tuple[str, st
         ("o_orderkey % 61 = 5", "draft_id", "' '", "blank"),
         ("o_orderkey % 41 = 0", "pick_number", "'x'", "no number"),
         ("o_orderkey % 43 = 1", "event_match_wins", "'2.5'", "no small whole number"),
+        ("o_orderkey % 37 = 6", "draft_time", "'2 Jan 2024'", "no time"),
         ("o_orderkey % 53 = 3", "pack_card_Island", "'many'", "no count"),
         ("o_orderkey % 59 = 4", "pool_Lion, King", "'-1'", "negative count")], 13))
 def pick_rejects(spark: SparkSession, sf: str) -> DataFrame:

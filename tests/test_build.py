@@ -275,6 +275,19 @@ def test_game_counts_that_are_no_numbers_stop_a_strict_build(spark, tmp_path):
         build_store(spark, data, str(tmp_path / "store"))
 
 
+def test_unreadable_times_are_reported_and_stop_no_build(spark, tmp_path):
+    picks, games, replays = minitriple.default_rows()
+    games[0]["game_time"] = "2 Jan 2024"
+    data = minitriple.write_triple(tmp_path / "data", rows=(picks, games, replays))
+    result = build_store(spark, data, str(tmp_path / "store"))
+    assert [(f["table_name"], f["severity"], f["n_found"]) for f in result.findings
+            if f["check_name"] == "unreadable times"] == [("game", "warn", 1)]
+    store = stores.open_store(spark, str(tmp_path / "store"))
+    assert store.table("games").where("game_time is null").count() == 1
+    assert [(r.row_number, r.dropped, *r.reasons[0]) for r in store.rejects().collect()] == [
+        (1, False, "game_time", "2 Jan 2024", "no time")]
+
+
 def test_a_lenient_build_keeps_what_it_rejects(spark, tmp_path):
     picks, games, replays = minitriple.default_rows()
     games[1]["drawn_Bear"] = "inf"

@@ -22,6 +22,12 @@ def test_keys_equal_the_definition(spark):
         assert r["t"] == plain_key("turn", r["b"], "user", r["a"])
 
 
+def test_times(spark):
+    cells = ["2024-01-02 03:04:05", " 2024-01-02", "", " ", None, "2 Jan 2024", "2024-13-01"]
+    assert column(spark, cells, clean.bad_time) == [False] * 5 + [True] * 2
+    assert [t is None for t in column(spark, cells, clean.timestamp_or_null)] == [False] * 2 + [True] * 5
+
+
 def test_card_key_trims_and_null_parts_give_null(spark):
     assert column(spark, [" Island ", "Island"], keys.card_key) == [plain_key("card", "Island")] * 2
     assert column(spark, [None], lambda x: keys.deterministic_key("a", x)) == [None]
