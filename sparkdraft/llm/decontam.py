@@ -104,8 +104,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
 
     # One scan: the windows that may be wanted, and one row of its own for each document.
     w = base.select("doc_id", "tkey", words(F.col("text")).alias("w"))
+    # Its key only spreads the own rows where the n-grams are joined by key.
     own = F.array(F.struct(F.lit(0).alias("first"), F.lit(0).alias("k"),
-                           F.lit(0).cast("long").alias("key")))
+                           F.xxhash64("doc_id", "tkey").alias("key")))
     scanned = w.select("doc_id", "tkey", F.size("w").alias("n_words"),
                        F.inline(F.concat(own, *[windows(k) for k in lengths])))
     found = scanned.join(_bounded(keys.withColumn("wanted", F.lit(True)), n_keys, BROADCAST_GRAMS),
