@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sparkdraft.llm import pii, toxicity, unigram
+from sparkdraft.llm import decontam, licences, pii, toxicity, unigram
 from sparkdraft.llm.common import stored
 from sparkdraft.llm.queries import DEMO_KEY, PIECES, tokenizer_file
 from tests.llm.test_llm import brute_components
@@ -68,6 +68,33 @@ def test_stages_keep_what_plain_versions_keep(spark, sf, steps):
         assert (rows[4][i] is None) == (t is None) and not any(e in rows[4][i] for e in found)
 
 
+def test_decontamination_joins_by_key_as_it_broadcasts(spark, sf, steps, monkeypatch):
+    benchmark = spark.read.parquet(f"{sf}/benchmark.parquet")
+
+    def found():
+        rows = decontam.verdicts(steps[0], benchmark).collect()
+        return sorted((r.doc_id, r.n_words, r.n_hit, tuple(r["items"]), r.contaminated) for r in rows)
+
+    small = found()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(decontam, "BROADCAST_GRAMS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert found() == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_anchored_texts_are_those_with_a_word_of_a_notice(spark):
+    texts = ["Apache", "xapache", "apachex", "éapache", "apache.", "the (MIT) thing", "mitten", "",
+             None, "LICENSED", "9gnu", "gnu-9", "cc", "\U0001f600cc", "a\ncc\nb", "no such thing"]
+    known = {w for ts in licences.TEMPLATES.values() for t in ts for w in words(t)
+             if len(w) >= licences.ANCHOR_LETTERS} | {*licences.SHORT_ANCHORS}
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: r.a for r in rows.select("t", licences.anchored(F.col("t")).alias("a")).collect()}
+    assert got == {t: bool(known & set(words(t))) for t in texts}
+
+
 def test_the_last_stage_gives_the_texts_back(spark, steps):
     pieces = unigram.load(tokenizer_file(PIECES))
     back = steps[5].select("doc_id", "n_pieces", F.size("ids").alias("n"),
