@@ -11,13 +11,18 @@ one before wrote.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
+# The helpers travel with the functions that use them: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Rows of a block, columns kept beside the wanted ones, and products held by a task at a time.
 BLOCK, GUARD, HELD = 1024, 10, 64
 #: The basis grows to so many times the width that it starts with; two of these it keeps.

@@ -1,8 +1,11 @@
 import json
 import math
+import subprocess
+import sys
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from sparkdraft.plans import assoc, factor, subspace
@@ -125,6 +128,15 @@ def test_svd_of_several_blocks_does_not_need_the_whole_space(spark, monkeypatch,
     assert factor.products(d).where("abs(dot) > 1e-9").isEmpty() and factor.products(d).count() == 6
 
 
+def test_matrix_steps_run_where_this_package_is_not_installed(tmp_path):
+    """An executor's Python has neither the driver's folder nor its path."""
+    sent = cloudpickle.dumps(lambda a: subspace._rows([0], ["z"], [a]).num_rows)
+    code = "import sys, numpy, pickle; print(pickle.load(sys.stdin.buffer)(numpy.ones((2, 3))))"
+    done = subprocess.run([sys.executable, "-c", code], input=sent, cwd=tmp_path, env={
+        "PYTHONPATH": ":".join(p for p in sys.path if "site-packages" in p)}, capture_output=True)
+    assert done.stdout.split() == [b"1"], done.stderr.decode()
+
+
 def test_svd_limits(spark):
     small = matrix(spark, [[0, 1, 0], [1, 0, 2], [0, 2, 0]])
     d = factor.decompose(small, 3, 5)
