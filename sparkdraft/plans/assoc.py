@@ -7,6 +7,7 @@ games do not count a draft twice; the sums over drafts give p(a), p(b) and p(a,b
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, functions as F
@@ -23,6 +24,18 @@ MIN_PAIR_PROB = 1e-5
 
 #: Pairs of cards that one task forms of a draft at a time; drafts with more are cut into units.
 UNIT_PAIRS = 1_000_000
+#: Rows that a task joins or counts, and pairs that it takes the maximum of: its memory must not
+#: rise with the input, so the number of tasks does.
+TASK_ROWS, TASK_PAIRS = 500_000, 250_000
+
+
+def tasks_for(rows: float, of_task: int) -> int:
+    return max(1, math.ceil(rows / of_task))
+
+
+def in_tasks(df: DataFrame, tasks: int, *keys: str) -> DataFrame:
+    """``df`` dealt out by ``keys`` to that many tasks; one is left to Spark."""
+    return df.repartition(tasks, *keys) if tasks > 1 else df
 
 
 def eligible(cards: DataFrame, excluded: Iterable[str] = BASIC_NAMES) -> DataFrame:
@@ -43,21 +56,30 @@ def build_cards(deck_builds: DataFrame, deck_build_cards: DataFrame, cards: Data
     """(draft_id, build_id, card_id, deck_count) of main-deck cards that take part."""
     rows = deck_build_cards.where(F.col("deck_count") > 0).select(
         "build_id", "card_id", "deck_count")
+    rows = in_tasks(rows, tasks_for(deck_build_cards.count(), TASK_ROWS), "build_id")
     return rows.join(deck_builds.select("build_id", "draft_id"), "build_id").join(
         eligible(cards, excluded).select("card_id"), "card_id", "left_semi")
 
 
-def wide_drafts(rows: DataFrame, unit_pairs: int = UNIT_PAIRS) -> DataFrame:
-    """(draft_id, segments) of drafts with more than ``unit_pairs`` pairs of cards.
+def draft_work(rows: DataFrame) -> DataFrame:
+    """(draft_id, pairs): the pairs of a draft are those of its builds, n (n + 1) / 2 each.
 
-    The pairs of a draft are those of its builds, n (n + 1) / 2 each. With s segments of
-    its cards they fall into s (s + 1) / 2 units of about the same work. Rows are counted
-    per build, which combines before the shuffle.
+    Rows are counted per build, which combines before the shuffle.
     """
     per_build = rows.groupBy("draft_id", "build_id").agg(F.count(F.lit(1)).alias("n"))
     work = F.sum(F.col("n") * (F.col("n") + 1) / 2)
-    return per_build.groupBy("draft_id").agg(work.alias("pairs")).where(
-        F.col("pairs") > unit_pairs).select(
+    return per_build.groupBy("draft_id").agg(work.alias("pairs"))
+
+
+def wide_drafts(rows: DataFrame, unit_pairs: int = UNIT_PAIRS) -> DataFrame:
+    """(draft_id, segments) of drafts with more than ``unit_pairs`` pairs of cards."""
+    return _wide(draft_work(rows), unit_pairs)
+
+
+def _wide(work: DataFrame, unit_pairs: int) -> DataFrame:
+    """With s segments of its cards a draft's pairs fall into s (s + 1) / 2 units of about the
+    same work."""
+    return work.where(F.col("pairs") > unit_pairs).select(
         "draft_id", F.ceil(F.sqrt(2 * F.col("pairs") / unit_pairs)).cast("int").alias("segments"))
 
 
@@ -77,15 +99,17 @@ def units(rows: DataFrame, wide: DataFrame) -> DataFrame:
         (F.col("own") > F.col("other")).alias("upper"))
 
 
-def draft_pairs(unit_rows: DataFrame, deck_size: int, cards_seen: int) -> DataFrame:
+def draft_pairs(unit_rows: DataFrame, deck_size: int, cards_seen: int, tasks: int = 1) -> DataFrame:
     """Strongest p per (draft, pair of cards); a card with itself stands for the card alone.
 
     One exchange by draft and unit serves cards and pairs: gathering a build's cards of a
     unit, pairing them and taking the maximum over builds all happen in it, so the pairs -
-    by far the largest intermediate - never cross the network one by one.
+    by far the largest intermediate - never cross the network one by one. With ``tasks`` the
+    exchange has that many partitions, else Spark decides.
     """
     unit = ["draft_id", "low", "high"]
-    decks = unit_rows.repartition(*unit).groupBy(*unit, "build_id").agg(
+    dealt = in_tasks(unit_rows, tasks, *unit) if tasks > 1 else unit_rows.repartition(*unit)
+    decks = dealt.groupBy(*unit, "build_id").agg(
         F.array_sort(F.collect_list(F.struct("upper", "card_id", "deck_count"))).alias("deck"))
     firsts = decks.select(*unit, "deck", F.posexplode("deck").alias("pos", "a"))
     same = F.slice("deck", F.col("pos") + 1, F.size("deck") - F.col("pos"))
@@ -100,7 +124,8 @@ def draft_pairs(unit_rows: DataFrame, deck_size: int, cards_seen: int) -> DataFr
 
 
 def probabilities(rows: DataFrame, deck_builds: DataFrame, *, deck_size: int = DECK_SIZE,
-                  cards_seen: int = CARDS_SEEN, unit_pairs: int = UNIT_PAIRS) -> DataFrame:
+                  cards_seen: int = CARDS_SEEN, unit_pairs: int = UNIT_PAIRS,
+                  scratch: str | None = None) -> DataFrame:
     """(card_a_id, card_b_id, p): p(a, b) of each pair of cards, and p(a) where both are one.
 
     Probabilities are relative to all drafts that have a build, also those whose
@@ -108,7 +133,13 @@ def probabilities(rows: DataFrame, deck_builds: DataFrame, *, deck_size: int = D
     """
     prob.check_sampling(deck_size, cards_seen)
     n_drafts = deck_builds.agg(F.count_distinct("draft_id").cast("double").alias("n")).scalar()
-    pairs = draft_pairs(units(rows, wide_drafts(rows, unit_pairs)), deck_size, cards_seen)
+    work = draft_work(rows)
+    path = scratch or work_dir(rows.sparkSession, "draft-work")
+    work.write.mode("overwrite").parquet(path)  # read for the wide drafts and for the number of tasks
+    work = rows.sparkSession.read.schema(work.schema).parquet(path)
+    total = work.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)).cast("double").alias("n")).head()["n"]
+    pairs = draft_pairs(units(rows, _wide(work, unit_pairs)), deck_size, cards_seen,
+                        tasks_for(total, TASK_PAIRS))
     return pairs.groupBy("card_a_id", "card_b_id").agg(F.sum("p").alias("s")).select(
         "card_a_id", "card_b_id", (F.col("s") / n_drafts).alias("p"))
 
@@ -122,7 +153,7 @@ def pmi_pairs(deck_builds: DataFrame, deck_build_cards: DataFrame, cards: DataFr
     and as single cards: the decks are paired once.
     """
     rows = build_cards(deck_builds, deck_build_cards, cards, excluded)
-    found = probabilities(rows, deck_builds, **sampling)
+    found = probabilities(rows, deck_builds, scratch=scratch and f"{scratch}-drafts", **sampling)
     path = scratch or work_dir(rows.sparkSession, "pair-probabilities")
     found.write.mode("overwrite").parquet(path)
     found = rows.sparkSession.read.schema(found.schema).parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkdraft.functions import keys
+from sparkdraft.operators.joins import size_checked
 from sparkdraft.plans import assoc, factor
 from sparkdraft.queries.cleaning import CARD_ID
 from sparkdraft.queries.registry import query, table
@@ -30,8 +31,12 @@ def model(spark: SparkSession, sf: str, draft: str = "o_orderkey"):
     orders, li, part = (table(spark, sf, t) for t in ("orders", "lineitem", "part"))
     names = part.select("p_partkey", "p_name")
     # Count names first; the key is hashed once per (order, name).
-    counted = li.select("l_orderkey", "l_partkey").join(
-        names, F.col("l_partkey") == F.col("p_partkey")).groupBy("l_orderkey", "p_name").agg(
+    lines, near = li.select("l_orderkey", "l_partkey"), size_checked(names)
+    tasks = assoc.tasks_for(li.count(), assoc.TASK_ROWS)
+    if near is names:  # both sides are sorted by the part
+        lines = assoc.in_tasks(lines, tasks, "l_partkey")
+    named = lines.join(near, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "p_name")
+    counted = assoc.in_tasks(named, tasks, "l_orderkey", "p_name").groupBy("l_orderkey", "p_name").agg(
         F.count(F.lit(1)).cast("smallint").alias("deck_count"))
     cards = names.select("p_name").distinct().select(
         keys.card_key(F.col("p_name")).alias("card_id"), F.col("p_name").alias("card_name"))

@@ -68,6 +68,21 @@ def test_cards_and_pairs_share_one_exchange(spark):
     assert len(exchanges) == 1 and "draft_id" not in exchanges[0]
 
 
+def test_the_pairs_of_a_task_do_not_rise_with_the_input(spark, monkeypatch):
+    monkeypatch.setattr(assoc, "TASK_PAIRS", 100)
+    monkeypatch.setattr(assoc, "TASK_ROWS", 50)
+    rows = spark.range(100).select(F.col("id").alias("build_id"), F.explode(F.sequence(
+        F.lit(1).cast("bigint"), F.lit(4).cast("bigint"))).alias("card_id")).withColumn("deck_count", F.lit(1))
+    builds = spark.range(100).select(F.col("id").alias("build_id"), F.col("id").alias("draft_id"))
+    cards = spark.range(1, 5).select(F.col("id").alias("card_id"), F.col("id").cast("string").alias("card_name"))
+    found = assoc.probabilities(assoc.build_cards(builds, rows, cards), builds)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ", 10), REPARTITION_BY_NUM" in plan and ", 8), REPARTITION_BY_NUM" in plan
+    p = {(r.card_a_id, r.card_b_id): r.p for r in found.collect()}
+    assert len(p) == 10 and all(np.isclose(v, 0.25 if a == b else 1 - 2 * 0.75 + 0.75 * 29 / 39)
+                                for (a, b), v in p.items())
+
+
 def test_a_wide_build_is_cut_into_even_units(spark):
     """A build of 50,000 cards has 1.25 billion pairs: over a thousand tasks share them."""
     rows = spark.range(50_000).select(F.lit("d").alias("draft_id"), F.lit(1).alias("build_id"),
