@@ -19,9 +19,9 @@ FLAGS = ("on_play", "won")
 SHARED_FIELDS = ("on_play", "won", "num_turns", "num_mulligans", "opp_num_mulligans")
 
 
-def keyed_cells(source: WideSource) -> DataFrame:
-    """game_id, draft_id, order and all cells of a game or replay source."""
-    return source.cells().withColumnRenamed("row_id", "game_id")
+def keyed_cells(source: WideSource, last: int = -1) -> DataFrame:
+    """game_id, draft_id, order and the cells of a game or replay source."""
+    return source.cells(last).withColumnRenamed("row_id", "game_id")
 
 
 def game_rows(source: WideSource) -> DataFrame:
@@ -117,7 +117,7 @@ def build_compositions(source: WideSource) -> DataFrame:
     columns = source.layout.count_columns(GAME_KINDS)
     rows = source.cells().select(
         *ORDER_COLUMNS, "draft_id",
-        clean.integer_or_null(source.cell("build_index")).alias("build_index"),
+        clean.integer_or_null(F.col("named.build_index")).alias("build_index"),
         composition(columns).alias("composition"),
     ).where(F.col("build_index").isNotNull())
     digest = F.xxhash64("composition")
@@ -133,7 +133,8 @@ def deck_builds(compositions: DataFrame) -> DataFrame:
 
 
 def deck_build_cards(compositions: DataFrame) -> DataFrame:
-    return compositions.select("build_id", F.inline("composition")).select(
+    cards = compositions.select("build_id", F.inline_outer("composition")).where("card_id is not null")
+    return cards.select(
         "build_id", "card_id", F.col("deck").try_cast("smallint").alias("deck_count"),
         F.col("sideboard").try_cast("smallint").alias("sideboard_count"))
 

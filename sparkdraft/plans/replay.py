@@ -123,15 +123,17 @@ def turn_player_state(rows: DataFrame) -> DataFrame:
 
 def turn_zone_cards(rows: DataFrame, arena: DataFrame) -> DataFrame:
     """Card quantities per zone; ids are counted inside their cell."""
-    listed = rows.select("turn_id", F.explode("zones").alias("z")).where(
+    # The outer forms, here and below: of the others Spark infers a filter of the whole array,
+    # which moves down to the lines and parses every one of them once more.
+    listed = rows.select("turn_id", F.explode_outer("zones").alias("z")).where(
         ~clean.is_missing(F.col("z.ids")))
     # A malformed id stays visible as a NULL key, which the checks reject.
     unknown = F.lit(-(2**63))
     ids = F.transform(clean.id_tokens(F.col("z.ids")),
                       lambda t: F.coalesce(clean.id_or_null(t), unknown))
     counted = listed.select(
-        "turn_id", "z.owner_is_user", "z.zone", F.inline(reshape.multiset(ids))).withColumn(
-        "source_arena_card_id", F.nullif("item", unknown))
+        "turn_id", "z.owner_is_user", "z.zone", F.inline_outer(reshape.multiset(ids))).where(
+        "quantity is not null").withColumn("source_arena_card_id", F.nullif("item", unknown))
     return _resolve_card(counted, arena).select(
         "turn_id", "owner_is_user", "zone", "source_arena_card_id", "card_id",
         F.col("quantity").try_cast("smallint").alias("quantity"))
@@ -164,7 +166,8 @@ def event_cells(source: WideSource) -> DataFrame:
     one = keyed_cells(source).select("game_id", "cells", F.expr(
         f"explode({_event_spec(source)})").alias("e"))
     value = cell_at(F.col("e.position"))
-    return one.where(clean.is_meaningful(value)).select("game_id", "e.*", value.alias("value"))
+    live = F.coalesce(clean.is_meaningful(value), F.lit(False))
+    return one.where(live).select("game_id", "e.*", value.alias("value"))
 
 
 def events(cells: DataFrame, arena: DataFrame, abilities: DataFrame) -> DataFrame:
@@ -175,7 +178,7 @@ def events(cells: DataFrame, arena: DataFrame, abilities: DataFrame) -> DataFram
         ~is_number, clean.id_tokens(F.col("value")))
     listed = cells.select(
         "game_id", "source_field", "side", "turn_index", "event_type", "payload", "actor",
-        "affected", "exact", F.posexplode(tokens).alias("pos", "token"))
+        "affected", "exact", F.posexplode_outer(tokens).alias("pos", "token")).where("pos is not null")
     is_number = F.col("payload") == "numeric"
     ident = clean.id_or_null(F.col("token"))
     turn_id = keys.turn_key(F.col("game_id"), F.col("side"), F.col("turn_index"))
@@ -203,7 +206,10 @@ def hand_rows(source: WideSource) -> DataFrame:
     """Per game: usable candidates, the final attempt, and what looks wrong."""
     slots = F.array(*[F.struct(F.lit(a).alias("attempt"), clean.id_tokens(
         cell_at(F.lit(p))).alias("items")) for a, p in source.layout.candidate_columns()])
-    base = keyed_cells(source).select(
+    used = [*(p for _, p in source.layout.candidate_columns()),
+            *map(source.layout.position, ("num_mulligans", "opening_hand"))]
+    # The split of a line stops behind the last of these cells.
+    base = keyed_cells(source, max((p for p in used if p is not None), default=-1)).select(
         "game_id", clean.integer_or_null(source.cell("num_mulligans")).alias("num_mulligans"),
         clean.id_tokens(source.cell("opening_hand")).alias("opening"), slots.alias("listed"))
     usable = F.filter("listed", lambda c: F.size(c["items"]) == HAND_SIZE)
@@ -215,7 +221,8 @@ def hand_rows(source: WideSource) -> DataFrame:
 
 
 def candidate_hands(rows: DataFrame) -> DataFrame:
-    one = rows.select("game_id", "final_attempt", F.explode("candidates").alias("c"))
+    one = rows.select("game_id", "final_attempt", F.explode_outer("candidates").alias("c")).where(
+        "c is not null")
     attempt = F.col("c.attempt")
     return one.select(
         keys.hand_key(F.col("game_id"), attempt).alias("hand_id"), "game_id",
@@ -224,7 +231,7 @@ def candidate_hands(rows: DataFrame) -> DataFrame:
 
 
 def candidate_hand_cards(rows: DataFrame, arena: DataFrame) -> DataFrame:
-    one = rows.select("game_id", F.explode("candidates").alias("c"))
+    one = rows.select("game_id", F.explode_outer("candidates").alias("c")).where("c is not null")
     hands = one.select(keys.hand_key(F.col("game_id"), F.col("c.attempt")).alias("hand_id"),
                        F.posexplode("c.items").alias("pos", "token"))
     ids = hands.select("hand_id", (F.col("pos") + 1).cast("smallint").alias("slot_number"),
@@ -245,7 +252,7 @@ def hand_reports(rows: DataFrame) -> DataFrame:
         F.when(~expected.eqNullSafe(n), F.lit("candidates disagree with mulligans")),
         F.when((n > 0) & ~match, F.lit("opening hand matches no candidate")),
     ), lambda r: r.isNotNull())
-    return rows.select("game_id", F.explode(reasons).alias("reason"))
+    return rows.select("game_id", F.explode_outer(reasons).alias("reason")).where("reason is not null")
 
 
 # --- totals ---------------------------------------------------------------

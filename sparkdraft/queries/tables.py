@@ -46,13 +46,15 @@ def _source(spark: SparkSession, sf: str, kind: str, df: DataFrame, seq: Column,
     slot = (spark.sparkContext.applicationId, sf, kind)
     if slot not in _BRONZE:
         cells = [F.coalesce(c.cast("string"), F.lit("")) for c in columns.values()]
-        lines = df.select(
+        # The rows are spread before their lines are made, which are much longer.
+        spread = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), seq)
+        lines = spread.select(
             F.lit(kind).alias("src_file"), F.lit(0).cast("bigint").alias("src_block"),
             seq.cast("bigint").alias("src_seq"),
             F.concat_ws(",", *cells, *counts.values()).alias("value"))
         path = work_dir(spark, f"bronze-{kind}")
         source = WideSource(keyed_lines(lines, layout, kind), layout, kind)
-        write_bronze(source, path, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        write_bronze(source, path)
         _BRONZE[slot] = path
     return read_bronze(spark, _BRONZE[slot], layout, kind)
 

@@ -40,10 +40,15 @@ class WideSource:
         return self.lines.where(
             (F.col("n_fields") == self.layout.width) & F.col("row_id").isNotNull())
 
-    def cells(self) -> DataFrame:
-        """Valid lines with all their ``cells array<string>``."""
-        return self.valid().select(
-            *ORDER_COLUMNS, "draft_id", "row_id", split_record(F.col("value")).alias("cells"))
+    def cells(self, last: int = -1) -> DataFrame:
+        """Valid lines with their ``cells array<string>``: all, or those up to position ``last``.
+
+        The named cells come along, for filters: one on ``cells`` would move below this and
+        split the line again.
+        """
+        limit = -1 if last < 0 else last + 2
+        return self.valid().select(*ORDER_COLUMNS, "draft_id", "row_id", "named",
+                                   split_record(F.col("value"), limit).alias("cells"))
 
     def named(self, *columns: str, lines: DataFrame | None = None) -> DataFrame:
         """Only the given named cells; the split stops behind the last one."""
