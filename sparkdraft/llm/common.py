@@ -13,11 +13,29 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds, F.lit(0))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The frame written to the shared working folder and read again: lineage ends there."""
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Spark's setting that shuffle files go when the query that wrote them ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """The frame written to the shared working folder and read again: lineage ends there.
+
+    Nothing reads the shuffle files of a written table again, so they go with the writing; else
+    those of all steps would lie on the disks until the driver collects its garbage. ``folder``
+    is one of ``work_dir`` that the caller removes when its tables are read no more.
+    """
+    spark = df.sparkSession
+    path = f"{folder}/{name}" if folder else work_dir(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def unused(name: str, df: DataFrame) -> str:

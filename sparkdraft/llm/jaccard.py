@@ -38,6 +38,8 @@ from pyspark.sql import functions as F
 from sparkdraft.llm import textvec
 from sparkdraft.llm.common import broadcast_value, stored, unused
 from sparkdraft.llm.graph import components
+from sparkdraft.session import work_dir
+from sparkdraft.sources import files
 
 SHINGLE = 5
 SKETCH_BITS, BLOCK_BITS = 22, 15
@@ -166,8 +168,8 @@ def _index(docs: DataFrame, held) -> DataFrame:
         rows, f"doc_id {kind}, n long, fp long, singles array<long>, pairs array<long>, plain boolean")
 
 
-def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(fp, tokens): the whole sets of nodes ``fp``, as binary."""
+def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
+    """(fp, tokens): the whole sets of nodes ``fp``, as binary, written to ``folder``."""
     wanted = nodes.select("fp", "doc_id").join(wanted.distinct(), "fp")
 
     def set_rows(batches):
@@ -178,7 +180,7 @@ def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
     # A repeated row is the same document; its texts of other sets are dropped by the set's id.
     texts = docs.select("doc_id", "text").join(wanted, "doc_id").select("fp", "text")
-    return stored(texts.mapInArrow(set_rows, "fp long, tokens binary"), "sets")
+    return stored(texts.mapInArrow(set_rows, "fp long, tokens binary"), "sets", folder)
 
 
 def _tokens(cell: pa.Scalar) -> np.ndarray:
@@ -187,9 +189,10 @@ def _tokens(cell: pa.Scalar) -> np.ndarray:
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) of node ids whose whole sets overlap by 4/5 or more."""
-    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
+    folder = work_dir(docs.sparkSession, "verify")
+    pairs = stored(pairs.select("a", "b").distinct(), "pairs", folder)
     sets = _sets(pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))),
-                 nodes, docs)
+                 nodes, docs, folder)
 
     def compare(batches):
         for batch in batches:
@@ -208,8 +211,10 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     left = sets.select(F.col("fp").alias("b"), F.col("tokens").alias("y"))
     right = sets.select(F.col("fp").alias("a"), F.col("tokens").alias("x"))
     rows = pairs.join(left, "b").join(right, "a")
-    return stored(rows.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
-                  .distinct(), "links")
+    links = stored(rows.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+                   .distinct(), "links")
+    files.remove(docs.sparkSession, folder)
+    return links
 
 
 def _stars(index: DataFrame) -> DataFrame:
@@ -221,14 +226,14 @@ def _stars(index: DataFrame) -> DataFrame:
     return rows.join(least, "sig").where("a <> fp").select("a", F.col("fp").alias("b"))
 
 
-def _met(rows: DataFrame, groups: DataFrame) -> DataFrame:
+def _met(rows: DataFrame, groups: DataFrame, folder: str | None = None) -> DataFrame:
     """(sig, g, fp, n, plain): the signatures that nodes of different groups share."""
     rows = rows.select("sig", "fp", "n", "plain").join(
         groups, rows["fp"] == groups["node"], "left").select(
         "sig", F.coalesce("root", "fp").alias("g"), "fp", "n", "plain")
     shared = rows.groupBy("sig").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
     shared = shared.where("lo <> hi").select("sig")
-    return stored(rows.join(shared, "sig").distinct(), "shared")
+    return stored(rows.join(shared, "sig").distinct(), "shared", folder)
 
 
 def _hubs(met: DataFrame) -> DataFrame:
@@ -255,7 +260,8 @@ def _crowded(met: DataFrame) -> DataFrame:
         "sig", F.col("hub.fp").alias("hub"))
 
 
-def _differences(met: DataFrame, crowded: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def _differences(met: DataFrame, crowded: DataFrame, nodes: DataFrame, docs: DataFrame,
+                 folder: str) -> DataFrame:
     """Pairs of nodes of crowded signatures that may reach 4/5, by their differences from the hub.
 
     Let D(x) be the tokens in which x and the hub differ: x and y differ in as many tokens as
@@ -266,10 +272,12 @@ def _differences(met: DataFrame, crowded: DataFrame, nodes: DataFrame, docs: Dat
     The order puts tokens last that an eighth of the differences from this hub hold or more, and
     before these the tokens that the hub has. If the differences
     need not meet at all, |D(x)| + |D(y)| <= t, both reach 4/5 with the hub, whose pairs with
-    all nodes are candidates too, and so are of one component.
+    all nodes are candidates too, and so are of one component. ``folder`` must stay until the
+    pairs are read.
     """
-    near = stored(met.join(crowded, "sig").select("hub", "fp", "g", "n").distinct(), "near")
-    sets = _sets(near.select("fp").unionByName(near.select(F.col("hub").alias("fp"))), nodes, docs)
+    near = stored(met.join(crowded, "sig").select("hub", "fp", "g", "n").distinct(), "near", folder)
+    texts = work_dir(docs.sparkSession, "near-sets")
+    sets = _sets(near.select("fp").unionByName(near.select(F.col("hub").alias("fp"))), nodes, docs, texts)
     both = near.join(sets, "fp").join(
         sets.select(F.col("fp").alias("hub"), F.col("tokens").alias("center")), "hub")
 
@@ -286,7 +294,8 @@ def _differences(met: DataFrame, crowded: DataFrame, nodes: DataFrame, docs: Dat
                 ["hub", "fp", "g", "n", "d", "tokens"])
 
     index = stored(both.select("hub", "fp", "g", "n", "tokens", "center").mapInArrow(
-        differ, "hub long, fp long, g long, n long, d long, tokens array<long>"), "differences")
+        differ, "hub long, fp long, g long, n long, d long, tokens array<long>"), "differences", folder)
+    files.remove(docs.sparkSession, texts)
     # At most eight times the mean difference's tokens are in an eighth of a hub's differences.
     counts = index.select("hub", F.explode("tokens").alias("token")).groupBy("hub", "token").agg(
         F.count("*").alias("c"))
@@ -338,21 +347,29 @@ def joined(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text)."""
     spark: SparkSession = docs.sparkSession
     held = broadcast_value(spark, frequent_cells(docs))
-    rows = stored(_index(docs, held), "index")
+    folder = work_dir(spark, "index")
+    every = stored(_index(docs, held), "index", folder)
+    rows = stored(every.select("doc_id", "n", "fp"), "rows")
     # A node is a set; the text of the smallest id stands for it.
     nodes = stored(rows.where("n >= 4 and doc_id is not null").groupBy("fp")
                    .agg(F.min("doc_id").alias("doc_id")), "nodes")
-    index = rows.where("size(singles) + size(pairs) > 0 and doc_id is not null").select(
+    index = every.where("size(singles) + size(pairs) > 0 and doc_id is not null").select(
         "fp", "n", "singles", "pairs", "plain")
     first = _verified(_stars(index), nodes, docs)
     groups = stored(components(first), "groups")
     met = _met(index.select("fp", "n", "plain",
-                            F.explode(F.concat("singles", "pairs")).alias("sig")), groups)
+                            F.explode(F.concat("singles", "pairs")).alias("sig")), groups,
+               spent := work_dir(spark, "met"))
+    files.remove(spark, folder)  # the signatures that meet are in ``met``
     first = first.unionByName(_verified(_hubs(met), nodes, docs))
     met = _met(met, stored(components(first), "groups"))
+    files.remove(spark, spent)
     crowded = stored(_crowded(met), "crowded")
     few = met.join(crowded, "sig", "left_anti")
-    rest = _verified(_candidates(few).unionByName(_differences(met, crowded, nodes, docs)), nodes, docs)
+    folder = work_dir(spark, "crowded")
+    rest = _verified(_candidates(few).unionByName(_differences(met, crowded, nodes, docs, folder)),
+                     nodes, docs)
+    files.remove(spark, folder)
     # Ids and sets in one graph: a set and its ids are linked, so are linked sets.
     sets = stored(components(first.unionByName(rest)), "sets")
     ids = rows.where("n > 0 and doc_id is not null").select("doc_id", "fp")
