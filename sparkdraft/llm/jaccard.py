@@ -16,9 +16,10 @@ Method, on sets of distinct five-word shingles ("tokens", as 64-bit hashes):
 4. *Candidates and verification.* Signatures are joined between different groups; pairs that
    share too few rare signatures to reach 4/5 go, the others are compared by their whole
    sets. Components of all verified links give the result.
-5. *Crowded signatures.* The nodes of a signature that many share are not joined with each
-   other: many texts that are alike in part and yet not linked would make all pairs. They
-   are indexed anew by how they differ from the signature's hub (see ``_differences``).
+5. *Crowded signatures.* The nodes of a signature are not joined with each other where that
+   leaves many pairs to verify: many texts that are alike in part and yet not linked would make
+   all pairs. They are indexed anew by how they differ from the signature's hub (see
+   ``_crowded`` and ``_differences``).
 
 Defined cases. A text that is null or has no word has an empty set and no links. A text of
 fewer than five words has its whole sequence as the only shingle. Rows with a null id are
@@ -32,7 +33,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkdraft.llm import textvec
@@ -45,8 +46,10 @@ SHINGLE = 5
 SKETCH_BITS, BLOCK_BITS = 22, 15
 #: Signatures of each kind that the contraction uses.
 FIRST = 4
-#: Nodes of a signature from which its hub is tried, and from which it is indexed anew.
+#: Nodes of a signature from which its hub is tried, and from which it may be indexed anew.
 CROWD, CROWDED = 8, 48
+#: Bits of the filter of wanted ids, for each id and at most.
+ID_BITS, MOST_BITS = 16, 1 << 27
 
 
 def _cells(tokens: np.ndarray) -> np.ndarray:
@@ -168,9 +171,29 @@ def _index(docs: DataFrame, held) -> DataFrame:
         rows, f"doc_id {kind}, n long, fp long, singles array<long>, pairs array<long>, plain boolean")
 
 
+def _among(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``docs`` without most of those whose id is not one of ``wanted``; none of the others goes.
+
+    One bit for each hash of a wanted id: texts that the join would drop are not shuffled.
+    """
+    n = wanted.count()
+    bits = min(MOST_BITS, 1 << max(15, (ID_BITS * n).bit_length()))
+
+    def at(kind: str):
+        return F.expr(f"bitmap_{kind}(pmod(xxhash64(doc_id), {bits}))")
+
+    maps = wanted.groupBy(at("bucket_number").alias("llm_bucket")).agg(
+        F.bitmap_construct_agg(at("bit_position")).alias("llm_bits"))
+    byte = F.conv(F.hex(F.substring("llm_bits", F.floor(F.col("llm_at") / 8).cast("int") + 1, 1)), 16, 10)
+    rows = docs.withColumns({"llm_bucket": at("bucket_number"), "llm_at": at("bit_position")})
+    rows = rows.join(F.broadcast(maps), "llm_bucket").where(
+        byte.cast("int").bitwiseAND(F.expr("shiftleft(1, cast(llm_at % 8 as int))")) != 0)
+    return rows.select(docs.columns)
+
+
 def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
     """(fp, tokens): the whole sets of nodes ``fp``, as binary, written to ``folder``."""
-    wanted = nodes.select("fp", "doc_id").join(wanted.distinct(), "fp")
+    wanted = stored(nodes.select("fp", "doc_id").join(wanted.distinct(), "fp"), "wanted", folder)
 
     def set_rows(batches):
         for batch in batches:
@@ -179,7 +202,7 @@ def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, folder: str) ->
                                              ["fp", "tokens"])
 
     # A repeated row is the same document; its texts of other sets are dropped by the set's id.
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id").select("fp", "text")
+    texts = _among(docs.select("doc_id", "text"), wanted).join(wanted, "doc_id").select("fp", "text")
     return stored(texts.mapInArrow(set_rows, "fp long, tokens binary"), "sets", folder)
 
 
@@ -226,14 +249,18 @@ def _stars(index: DataFrame) -> DataFrame:
     return rows.join(least, "sig").where("a <> fp").select("a", F.col("fp").alias("b"))
 
 
-def _met(rows: DataFrame, groups: DataFrame, folder: str | None = None) -> DataFrame:
+def _grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` with the group ``g`` of their node ``fp``."""
+    return rows.join(groups.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn(
+        "g", F.coalesce("root", "fp")).drop("root")
+
+
+def _met(rows: DataFrame, folder: str | None = None) -> DataFrame:
     """(sig, g, fp, n, plain): the signatures that nodes of different groups share."""
-    rows = rows.select("sig", "fp", "n", "plain").join(
-        groups, rows["fp"] == groups["node"], "left").select(
-        "sig", F.coalesce("root", "fp").alias("g"), "fp", "n", "plain")
-    shared = rows.groupBy("sig").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
-    shared = shared.where("lo <> hi").select("sig")
-    return stored(rows.join(shared, "sig").distinct(), "shared", folder)
+    alike = Window.partitionBy("sig")
+    rows = rows.select("sig", "g", "fp", "n", "plain",
+                       F.min("g").over(alike).alias("lo"), F.max("g").over(alike).alias("hi"))
+    return stored(rows.where("lo <> hi").drop("lo", "hi").distinct(), "shared", folder)
 
 
 def _hubs(met: DataFrame) -> DataFrame:
@@ -252,8 +279,17 @@ def _hubs(met: DataFrame) -> DataFrame:
 
 
 def _crowded(met: DataFrame) -> DataFrame:
-    """(sig, hub): the signatures of many nodes, with the node that shares the most."""
-    counts = met.groupBy("sig").agg(F.count("*").alias("c")).where(F.col("c") >= CROWDED)
+    """(sig, hub): the signatures of many nodes, with the node that shares the most.
+
+    Two nodes whose signatures are all single are verified only if they share many of them. So a
+    signature is crowded if the other pairs of its nodes are many for each node, or if all
+    its pairs outnumber the tokens that ``_differences`` takes of its nodes.
+    """
+    counts = met.groupBy("sig").agg(F.count("*").alias("c"), F.sum("n").alias("tokens"),
+                                    F.count(F.when(~F.col("plain"), 1)).alias("o"))
+    counts = counts.where((F.col("c") >= CROWDED) & (
+        (F.col("o") * (2 * F.col("c") - F.col("o") - 1) >= (CROWDED - 1) * F.col("c"))
+        | (4 * F.col("c") * (F.col("c") - 1) > 3 * F.col("tokens")))).select("sig", "c")
     rows = met.join(counts, "sig")
     rows = rows.join(rows.groupBy("fp").agg(F.sum("c").alias("w")), "fp")
     return rows.groupBy("sig").agg(F.max(F.struct("w", "fp")).alias("hub")).select(
@@ -321,13 +357,9 @@ def _differences(met: DataFrame, crowded: DataFrame, nodes: DataFrame, docs: Dat
 
 def _candidates(hot: DataFrame) -> DataFrame:
     """Pairs of nodes of different groups that the signatures cannot rule out."""
-    by_group = hot.select("sig", "g").distinct()
-    across = by_group.select("sig", F.col("g").alias("ga")).join(
-        by_group.select("sig", F.col("g").alias("gb")), "sig").where("ga < gb")
     a, b = (hot.select("sig", *[F.col(c).alias(c + s) for c in ("g", "fp", "n", "plain")])
             for s in ("a", "b"))
-    met = across.join(a, ["sig", "ga"]).join(b, ["sig", "gb"])
-    met = met.where("5 * na >= 4 * nb and 5 * nb >= 4 * na")
+    met = a.join(b, "sig").where("ga < gb and 5 * na >= 4 * nb and 5 * nb >= 4 * na")
     each = met.groupBy("fpa", "fpb").agg(
         F.count("*").alias("c"), F.first("na").alias("na"), F.first("nb").alias("nb"),
         F.first(F.col("plaina") & F.col("plainb")).alias("plain"))
@@ -357,12 +389,12 @@ def joined(docs: DataFrame) -> DataFrame:
         "fp", "n", "singles", "pairs", "plain")
     first = _verified(_stars(index), nodes, docs)
     groups = stored(components(first), "groups")
-    met = _met(index.select("fp", "n", "plain",
-                            F.explode(F.concat("singles", "pairs")).alias("sig")), groups,
-               spent := work_dir(spark, "met"))
+    met = _met(_grouped(index, groups).select(
+        "fp", "n", "plain", "g", F.explode(F.concat("singles", "pairs")).alias("sig")),
+        spent := work_dir(spark, "met"))
     files.remove(spark, folder)  # the signatures that meet are in ``met``
     first = first.unionByName(_verified(_hubs(met), nodes, docs))
-    met = _met(met, stored(components(first), "groups"))
+    met = _met(_grouped(met.drop("g"), stored(components(first), "groups")))
     files.remove(spark, spent)
     crowded = stored(_crowded(met), "crowded")
     few = met.join(crowded, "sig", "left_anti")

@@ -38,3 +38,23 @@ def test_the_join_removes_its_signatures_sets_and_pairs(spark, tmp_path, monkeyp
     assert found == {i: i % 40 for i in range(80)}
     assert {name.rsplit("/", 1)[1].rsplit("-", 1)[0] for name in made} >= {"index", "met", "verify", "crowded"}
     assert not [f for f in made if os.path.exists(f)]
+
+
+def _met(spark, plain):
+    rows = [(7, f, f, 2000, plain) for f in range(60)] + [(8, f, f, 2000, plain) for f in range(30)]
+    return spark.createDataFrame(rows, "sig long, g long, fp long, n long, plain boolean")
+
+
+def test_a_rare_phrase_of_long_texts_is_not_indexed_anew(spark):
+    assert jaccard._crowded(_met(spark, True)).count() == 0
+    assert [r.sig for r in jaccard._crowded(_met(spark, False)).collect()] == [7]
+
+
+def test_texts_that_no_pair_needs_are_not_shuffled(spark):
+    docs = spark.range(-500, 19_500).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    wanted = docs.where("doc_id % 19 = 3").select(F.lit(1).alias("fp"), "doc_id")
+    kept = jaccard._among(docs, wanted)
+    assert kept.columns == docs.columns
+    assert kept.join(wanted, "doc_id").count() == wanted.count() > 1000
+    assert kept.count() < 3 * wanted.count()
+    assert jaccard._among(docs, wanted.limit(0)).isEmpty()
