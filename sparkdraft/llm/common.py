@@ -17,24 +17,32 @@ def fold(doc_id: Column, folds: int) -> Column:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+#: Spark's bound for the bytes of an Arrow batch.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def stored(df: DataFrame, name: str, folder: str | None = None, batch: int | None = None) -> DataFrame:
     """The frame written to the shared working folder and read again: lineage ends there.
 
     Nothing reads the shuffle files of a written table again, so they go with the writing; else
     those of all steps would lie on the disks until the driver collects its garbage. ``folder``
-    is one of ``work_dir`` that the caller removes when its tables are read no more.
+    is one of ``work_dir`` that the caller removes when its tables are read no more. ``batch``
+    bounds the bytes of the Arrow batches of this writing.
     """
     spark = df.sparkSession
     path = f"{folder}/{name}" if folder else work_dir(spark, name)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    settings = {CLEANUP: "true"} | ({BATCH: str(batch)} if batch else {})
+    before = {k: spark.conf.get(k, None) for k in settings}
     try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
         df.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 

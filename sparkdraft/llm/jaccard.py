@@ -42,13 +42,16 @@ from sparkdraft.llm.graph import components
 from sparkdraft.session import work_dir
 from sparkdraft.sources import files
 
+#: Bytes of an Arrow batch of texts or sets: some are held at a time, by Spark and by Python.
+BATCH = 4 << 20
 SHINGLE = 5
 SKETCH_BITS, BLOCK_BITS = 22, 15
 #: Signatures of each kind that the contraction uses.
 FIRST = 4
 #: Nodes of a signature from which its hub is tried, and from which it may be indexed anew.
 CROWD, CROWDED = 8, 48
-#: Bits of the filter of wanted ids, for each id and at most.
+#: Wanted ids that are broadcast; of more, the bits of a filter, for each id and at most.
+FEW_IDS = 200_000
 ID_BITS, MOST_BITS = 16, 1 << 27
 
 
@@ -171,12 +174,11 @@ def _index(docs: DataFrame, held) -> DataFrame:
         rows, f"doc_id {kind}, n long, fp long, singles array<long>, pairs array<long>, plain boolean")
 
 
-def _among(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``docs`` without most of those whose id is not one of ``wanted``; none of the others goes.
+def _among(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """``docs`` without most of those whose id is not one of ``n`` wanted; none of the others goes.
 
     One bit for each hash of a wanted id: texts that the join would drop are not shuffled.
     """
-    n = wanted.count()
     bits = min(MOST_BITS, 1 << max(15, (ID_BITS * n).bit_length()))
 
     def at(kind: str):
@@ -202,8 +204,12 @@ def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, folder: str) ->
                                              ["fp", "tokens"])
 
     # A repeated row is the same document; its texts of other sets are dropped by the set's id.
-    texts = _among(docs.select("doc_id", "text"), wanted).join(wanted, "doc_id").select("fp", "text")
-    return stored(texts.mapInArrow(set_rows, "fp long, tokens binary"), "sets", folder)
+    docs, n = docs.select("doc_id", "text"), wanted.count()
+    if n <= FEW_IDS:
+        texts = docs.join(F.broadcast(wanted), "doc_id").select("fp", "text")
+    else:
+        texts = _among(docs, wanted, n).join(wanted, "doc_id").select("fp", "text")
+    return stored(texts.mapInArrow(set_rows, "fp long, tokens binary"), "sets", folder, BATCH)
 
 
 def _tokens(cell: pa.Scalar) -> np.ndarray:
@@ -235,7 +241,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     right = sets.select(F.col("fp").alias("a"), F.col("tokens").alias("x"))
     rows = pairs.join(left, "b").join(right, "a")
     links = stored(rows.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
-                   .distinct(), "links")
+                   .distinct(), "links", None, BATCH)
     files.remove(docs.sparkSession, folder)
     return links
 
@@ -303,8 +309,10 @@ def _differences(met: DataFrame, crowded: DataFrame, nodes: DataFrame, docs: Dat
     Let D(x) be the tokens in which x and the hub differ: x and y differ in as many tokens as
     D(x) and D(y) do, which at 4/5 are at most t = (|x| + |y|) / 9. So of D(x) at most
     (|D(x)| - |D(y)| + t) / 2 tokens are not in D(y). Of the two the one of the smaller D may
-    thus lack at most t/2 <= |x| / 8, the other at most t <= |y| / 4: among the first
-    |x| / 8 + 1 tokens of the one and |y| / 4 + 1 of the other, in one order, is a common one.
+    thus lack at most t/2, the other, whose D is larger by at most t, no more than t: among the
+    first tokens of both, in one order, one more than they may lack, is a common one. The partner
+    has at most 5/4 of a node's tokens and no more than the largest node, its D no fewer
+    than the smallest D of the hub's nodes.
     The order puts tokens last that an eighth of the differences from this hub hold or more, and
     before these the tokens that the hub has. If the differences
     need not meet at all, |D(x)| + |D(y)| <= t, both reach 4/5 with the hub, whose pairs with
@@ -330,25 +338,26 @@ def _differences(met: DataFrame, crowded: DataFrame, nodes: DataFrame, docs: Dat
                 ["hub", "fp", "g", "n", "d", "tokens"])
 
     index = stored(both.select("hub", "fp", "g", "n", "tokens", "center").mapInArrow(
-        differ, "hub long, fp long, g long, n long, d long, tokens array<long>"), "differences", folder)
+        differ, "hub long, fp long, g long, n long, d long, tokens array<long>"), "differences", folder, BATCH)
     files.remove(docs.sparkSession, texts)
     # At most eight times the mean difference's tokens are in an eighth of a hub's differences.
     counts = index.select("hub", F.explode("tokens").alias("token")).groupBy("hub", "token").agg(
         F.count("*").alias("c"))
-    sizes = index.groupBy("hub").agg(F.count("*").alias("nodes"))
+    sizes = stored(index.groupBy("hub").agg(F.count("*").alias("nodes"), F.max("n").alias("widest"),
+                                            F.min("d").alias("least")), "sizes", folder)
     often = counts.join(sizes, "hub").where("8 * c >= nodes").groupBy("hub").agg(
         F.collect_list("token").alias("often"))
     order = F.when(F.col("often").isNull(), F.col("tokens")).otherwise(F.concat(
         F.array_except("tokens", "often"), F.array_intersect("tokens", "often")))
-    first = index.join(often, "hub", "left").select("hub", "fp", "g", "n", "d", F.slice(
-        order, F.lit(1), (F.floor(F.col("n") / 4) + 1).cast("int")).alias("tokens"))
+    t = (F.col("n") + F.least("widest", F.col("n") * 5 / 4)) / 9
+    lacking = {"a": t / 2, "b": F.least(t, (F.col("d") - F.col("least") + t) / 2)}
 
-    def role(length: int, side: str) -> DataFrame:
-        tokens = F.slice("tokens", F.lit(1), (F.floor(F.col("n") / length) + 1).cast("int"))
-        return first.select("hub", F.explode(tokens).alias("token"), *[
-            F.col(c).alias(c + side) for c in ("fp", "g", "n", "d")])
+    def role(side: str) -> DataFrame:
+        tokens = F.slice(order, F.lit(1), (F.floor(lacking[side] + 1e-6) + 1).cast("int"))
+        return index.join(often, "hub", "left").join(sizes, "hub").select(
+            "hub", F.explode(tokens).alias("token"), *[F.col(c).alias(c + side) for c in ("fp", "g", "n", "d")])
 
-    pairs = role(8, "a").join(role(4, "b"), ["hub", "token"]).where(
+    pairs = role("a").join(role("b"), ["hub", "token"]).where(
         "ga <> gb and da <= db and 9 * (db - da) <= na + nb and 5 * na >= 4 * nb and 5 * nb >= 4 * na")
     pairs = pairs.select("fpa", "fpb").unionByName(
         near.where("hub <> fp").select(F.col("hub").alias("fpa"), F.col("fp").alias("fpb")))
@@ -380,7 +389,7 @@ def joined(docs: DataFrame) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     held = broadcast_value(spark, frequent_cells(docs))
     folder = work_dir(spark, "index")
-    every = stored(_index(docs, held), "index", folder)
+    every = stored(_index(docs, held), "index", folder, BATCH)
     rows = stored(every.select("doc_id", "n", "fp"), "rows")
     # A node is a set; the text of the smallest id stands for it.
     nodes = stored(rows.where("n >= 4 and doc_id is not null").groupBy("fp")
