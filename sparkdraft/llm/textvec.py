@@ -49,13 +49,24 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     up, down = powers(len(values) + 1)
     total = np.empty(len(values) + 1, np.uint64)
     total[0] = 0
-    np.cumsum(mix64(values.astype(np.uint64) + np.uint64(1)) * up[: len(values)]
-              if values.dtype != np.uint8 else BYTE_MIX[values] * up[: len(values)], out=total[1:])
+    np.cumsum(_mixed(values) * up[: len(values)], out=total[1:])
     raw = (total[ends] - total[starts]) * down[starts]
     return mix64(raw + (ends - starts).astype(np.uint64) * GOLDEN)
 
 
 BYTE_MIX = mix64(np.arange(1, 257, dtype=np.uint64))
+#: The same for the code points of the first plane.
+PLANE_MIX = mix64(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    if values.dtype == np.uint8:
+        return BYTE_MIX[values]
+    if values.max() < 1 << 16:
+        return PLANE_MIX[values]
+    return mix64(values.astype(np.uint64) + np.uint64(1))
+
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 IS_BLANK = np.zeros(256, bool)
@@ -165,3 +176,47 @@ def list_array(values: pa.Array, lengths: np.ndarray) -> pa.ListArray:
     """An Arrow list column of consecutive runs of ``values``."""
     return pa.ListArray.from_arrays(
         pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), values)
+
+
+class SpanIds:
+    """Ids of spans met before, by 64-bit hash, in arrays: some 30 bytes a span.
+
+    Sorted runs of hashes, each at least twice as long as the next: what is new becomes a short
+    run, and runs are merged as they come near in size, not all with every chunk.
+    """
+
+    def __init__(self) -> None:
+        self.runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.ids, self.used = np.empty(1 << 12, np.int32), 0
+
+    def full(self, spans: int) -> bool:
+        """Whether more than ``spans`` are held, or more than eight times as many ids."""
+        return sum(len(keys) for keys, _, _ in self.runs) > spans or self.used > 8 * spans
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in ``ids`` and number of the ids of each key; place -1 for a key not met."""
+        at, n = np.full(len(keys), -1), np.zeros(len(keys), np.int64)
+        left = np.arange(len(keys))
+        for held, starts, sizes in self.runs:
+            place = np.minimum(np.searchsorted(held, keys[left]), len(held) - 1)
+            same = held[place] == keys[left]
+            at[left[same]], n[left[same]] = starts[place[same]], sizes[place[same]]
+            left = left[~same]
+        return at, n
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Keep the ids of sorted keys that are not held, and return their places."""
+        if self.used + len(ids) > len(self.ids):
+            grown = np.empty(max(2 * len(self.ids), self.used + len(ids)), np.int32)
+            grown[:self.used] = self.ids[:self.used]
+            self.ids = grown
+        at = self.used + np.cumsum(sizes) - sizes
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+        if len(keys):
+            self.runs.append((keys, at, sizes))
+        while len(self.runs) > 1 and len(self.runs[-2][0]) < 2 * len(self.runs[-1][0]):
+            both = [np.concatenate(x) for x in zip(*self.runs[-2:])]
+            order = np.argsort(both[0], kind="stable")
+            self.runs[-2:] = [tuple(x[order] for x in both)]
+        return at

@@ -42,9 +42,9 @@ _STATE: dict = {}
 def _classes() -> np.ndarray:
     """0 other, 1 letter, 2 number, 3 white space, by code point."""
     if "classes" not in _STATE:
-        kinds = {"L": 1, "N": 2}
-        table = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], 0)
-                             for c in range(0x110000)), np.uint8, 0x110000)
+        names = "".join(map(unicodedata.category, map(chr, range(0x110000))))
+        first = np.frombuffer(names.encode(), np.uint8)[::2]
+        table = (first == ord("L")) + 2 * (first == ord("N")).astype(np.uint8)
         spaces = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
                   0x202F, 0x205F, 0x3000]
         table[spaces] = 3
@@ -89,36 +89,23 @@ class _Words:
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.empty(0, np.uint64)
-        self.at = np.empty(0, np.int64)
-        self.n = np.empty(0, np.int64)
-        self.ids = np.empty(0, np.int32)
-
-    def lookup(self, keys: np.ndarray, word) -> tuple[np.ndarray, np.ndarray]:
-        """Place and number of the ids of sorted distinct ``keys``; ``word(i)`` is the text."""
-        if len(self.keys) > CACHED:
+        self.met = textvec.SpanIds()
+
+    def lookup(self, keys: np.ndarray, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Place and number of the ids of sorted distinct ``keys``; ``texts(i)`` gives theirs."""
+        if self.met.full(CACHED):
             self.clear()
-        place = np.searchsorted(self.keys, keys)
-        missing = np.ones(len(keys), bool)
-        if len(self.keys):
-            missing = self.keys[np.minimum(place, len(self.keys) - 1)] != keys
-        fresh = np.flatnonzero(missing)
-        new, sizes = [np.empty(0, np.int32)], []
+        at, n = self.met.find(keys)
+        fresh = np.flatnonzero(at < 0)
+        new, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
         for k in range(0, len(fresh), 200):
-            words = [word(i) for i in fresh[k:k + 200]]
+            words = texts(fresh[k:k + 200])
             e = self.single.encode(words, is_pretokenized=True, add_special_tokens=False)
             new.append(np.array(e.ids, np.int32))
             sizes.append(np.bincount(np.array(e.word_ids, np.int64), minlength=len(words)))
-        if len(fresh):
-            n = np.concatenate(sizes)
-            at = len(self.ids) + np.cumsum(n) - n
-            self.ids = np.concatenate([self.ids, *new])
-            keys_ = np.concatenate([self.keys, keys[fresh]])
-            order = np.argsort(keys_, kind="stable")
-            self.keys = keys_[order]
-            self.at, self.n = (np.concatenate(x)[order] for x in ((self.at, at), (self.n, n)))
-        place = np.searchsorted(self.keys, keys)
-        return self.at[place], self.n[place]
+        n[fresh] = np.concatenate(sizes)
+        at[fresh] = self.met.add(keys[fresh], np.concatenate(new), n[fresh])
+        return at, n
 
 
 def encode_batch(texts: pa.Array, spec: str) -> tuple[np.ndarray, np.ndarray]:
@@ -144,8 +131,9 @@ def encode_batch(texts: pa.Array, spec: str) -> tuple[np.ndarray, np.ndarray]:
         ends = np.append(begins[1:], len(points)) if len(begins) else begins
         hashes = textvec.span_hashes(points, begins, ends)
         keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        at, n = words.lookup(keys, lambda i: text[begins[first[i]]:ends[first[i]]])
-        flat.append(words.ids[textvec.ranges(at[inverse], n[inverse])])
+        at, n = words.lookup(keys, lambda i: [text[a:b] for a, b in zip(
+            begins[first[i]].tolist(), ends[first[i]].tolist())])
+        flat.append(words.met.ids[textvec.ranges(at[inverse], n[inverse])])
         done = np.concatenate([[0], np.cumsum(n[inverse])])
         edge = np.searchsorted(begins, offs)
         sizes[row:end] = done[edge[1:]] - done[edge[:-1]]

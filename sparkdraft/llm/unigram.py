@@ -42,8 +42,8 @@ SHORT = 48
 UNKNOWN_PENALTY = 10.0
 #: About what a byte of text costs in log score.
 SCALE = 2.5
-#: Units that a worker keeps with their ids, some 250 bytes each; beyond that it starts anew.
-KEPT_UNITS = 50_000
+#: Units that a worker keeps with their ids, by hash; beyond that it starts anew.
+KEPT_UNITS = 500_000
 
 
 @dataclass(frozen=True)
@@ -79,7 +79,12 @@ class Pieces:
             out[b[:-1] * 256 + b[1:]] = True
         return out
 
-    @property
+    @cached_property
+    def met(self) -> list[textvec.SpanIds]:
+        """The ids of units met before, in a list of one; a worker keeps them with the pieces."""
+        return [textvec.SpanIds()]
+
+    @cached_property
     def lowest(self) -> float:
         """The score of a character that no piece covers."""
         return float(self.scores[self.value[self.value >= 0]].min() - UNKNOWN_PENALTY)
@@ -350,37 +355,33 @@ def _unit_spans(buf: np.ndarray, offs: np.ndarray, p: Pieces) -> tuple[np.ndarra
 
 
 def _distinct(buf: np.ndarray, begins: np.ndarray, ends: np.ndarray
-              ) -> tuple[list[bytes], np.ndarray]:
-    """The distinct units of a chunk by a 64-bit hash, and the number of each span's."""
+              ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted 64-bit hashes of the distinct units of a chunk, a span of each, and the number
+    of each span's."""
     hashes = textvec.span_hashes(buf, begins, ends)
-    _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-    raw = buf.tobytes()
-    spans = zip(begins[first].tolist(), ends[first].tolist())
-    return [raw[a:b] for a, b in spans], inverse
+    return np.unique(hashes, return_index=True, return_inverse=True)
 
 
-def encode_column(texts: pa.Array, p: Pieces, kept: dict[bytes, bytes] | None = None) -> pa.Array:
-    """A list of piece ids for each text; null for null.
+def _units(buf: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    raw = buf.tobytes()
+    return [raw[a:b] for a, b in zip(begins.tolist(), ends.tolist())]
 
-    ``kept`` holds the ids of units met before, as bytes, and is filled further.
-    """
-    kept = {} if kept is None else kept
+
+def encode_column(texts: pa.Array, p: Pieces) -> pa.Array:
+    """A list of piece ids for each text; null for null."""
     flat, sizes = [], np.zeros(len(texts), np.int64)
     for row, end, buf, offs in textvec.chunks(_marked(texts)):
         begins, ends = _unit_spans(buf, offs, p)
-        units, inverse = _distinct(buf, begins, ends)
-        if len(kept) > KEPT_UNITS:
-            kept.clear()
-        coded = [kept.get(u) for u in units]
-        new = [i for i, c in enumerate(coded) if c is None]
-        for i, ids in zip(new, encode_units([units[i] for i in new], p)):
-            coded[i] = ids.tobytes()
-            if len(units[i]) <= SHORT:
-                kept[units[i]] = coded[i]
-        n = np.array([len(c) for c in coded], np.int64) // 4
-        where = np.cumsum(n) - n
-        all_ids = np.frombuffer(b"".join(coded), np.int32)
-        flat.append(all_ids[textvec.ranges(where[inverse], n[inverse])])
+        keys, first, inverse = _distinct(buf, begins, ends)
+        if p.met[0].full(KEPT_UNITS):
+            p.met[0] = textvec.SpanIds()
+        met = p.met[0]
+        where, n = met.find(keys)
+        new = np.flatnonzero(where < 0)
+        coded = encode_units(_units(buf, begins[first[new]], ends[first[new]]), p)
+        n[new] = [len(c) for c in coded]
+        where[new] = met.add(keys[new], np.concatenate([np.empty(0, np.int32), *coded]), n[new])
+        flat.append(met.ids[textvec.ranges(where[inverse], n[inverse])])
         heads = np.searchsorted(begins, offs)
         done = np.concatenate([[0], np.cumsum(n[inverse])])
         sizes[row:end] = done[heads[1:]] - done[heads[:-1]]
@@ -421,7 +422,9 @@ def unit_counts(docs: DataFrame, held: Broadcast, text: str = "text") -> DataFra
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, buf, offs in textvec.chunks(_marked(batch.column(0).fill_null(""))):
-                units, inverse = _distinct(buf, *_unit_spans(buf, offs, held.value))
+                begins, ends = _unit_spans(buf, offs, held.value)
+                _, first, inverse = _distinct(buf, begins, ends)
+                units = _units(buf, begins[first], ends[first])
                 n = np.bincount(inverse, minlength=len(units))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(units, pa.binary()), pa.array(n, pa.int64())], ["unit", "n"])
@@ -493,10 +496,8 @@ def encode(text: Column, model: Pieces, df: DataFrame) -> Column:
 
     @F.arrow_udf("array<int>")
     def piece_ids(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        # Units met before stay for all batches of a task.
-        kept: dict[bytes, bytes] = {}
         for batch in texts:
-            yield encode_column(batch, held.value, kept)
+            yield encode_column(batch, held.value)
 
     return piece_ids(text)
 

@@ -2,9 +2,11 @@
 
 import os
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from sparkdraft.llm import jaccard
+from sparkdraft.llm import jaccard, textvec, unigram
 from sparkdraft.llm.common import CLEANUP, stored
 
 
@@ -53,8 +55,37 @@ def test_a_rare_phrase_of_long_texts_is_not_indexed_anew(spark):
 def test_texts_that_no_pair_needs_are_not_shuffled(spark):
     docs = spark.range(-500, 19_500).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
     wanted = docs.where("doc_id % 19 = 3").select(F.lit(1).alias("fp"), "doc_id")
-    kept = jaccard._among(docs, wanted)
+    kept = jaccard._among(docs, wanted, wanted.count())
     assert kept.columns == docs.columns
     assert kept.join(wanted, "doc_id").count() == wanted.count() > 1000
     assert kept.count() < 3 * wanted.count()
-    assert jaccard._among(docs, wanted.limit(0)).isEmpty()
+    assert jaccard._among(docs, wanted.limit(0), 0).isEmpty()
+
+
+def test_span_ids_are_found_again_after_merges():
+    rng, met, known = np.random.default_rng(1), textvec.SpanIds(), {}
+    for _ in range(60):
+        keys = np.unique(rng.integers(0, 4000, rng.integers(0, 300)).astype(np.uint64))
+        at, n = met.find(keys)
+        assert [k in known for k in keys.tolist()] == (at >= 0).tolist()
+        new = np.flatnonzero(at < 0)
+        n[new] = rng.integers(0, 4, len(new))
+        ids = rng.integers(0, 1 << 30, int(n[new].sum())).astype(np.int32)
+        at[new] = met.add(keys[new], ids, n[new])
+        ends = np.cumsum(n[new])
+        known |= {int(k): ids[e - m:e].tolist() for k, m, e in zip(keys[new], n[new], ends)}
+        assert all(met.ids[a:a + m].tolist() == known[int(k)] for k, a, m in zip(keys, at, n))
+    sizes = [len(keys) for keys, _, _ in met.runs]
+    assert sum(sizes) == len(known) and all(a >= 2 * b for a, b in zip(sizes, sizes[1:]))
+    assert met.full(len(known) - 1) and not met.full(len(known))
+
+
+def test_a_worker_keeps_units_with_their_pieces():
+    p = unigram.Pieces((b"<unk>", b"\xe2\x96\x81", b"a", b"b", b"ab"), np.array([0, -2, -3, -3, -1.0]),
+                       np.full(256, -1, np.int32), 0, *unigram.double_array(
+                           {b"\xe2\x96\x81": 1, b"a": 2, b"b": 3, b"ab": 4}))
+    texts = pa.array(["ab b", None, "ab a ab", ""])
+    first = unigram.encode_column(texts, p)
+    held = p.met[0].used
+    assert held and unigram.encode_column(texts, p).equals(first) and p.met[0].used == held
+    assert first.to_pylist() == [[1, 4, 1, 3], None, [1, 4, 1, 2, 1, 4], []]
