@@ -312,7 +312,9 @@ def _differences(met: DataFrame, crowded: DataFrame, nodes: DataFrame, docs: Dat
     thus lack at most t/2, the other, whose D is larger by at most t, no more than t: among the
     first tokens of both, in one order, one more than they may lack, is a common one. The partner
     has at most 5/4 of a node's tokens and no more than the largest node, its D no fewer
-    than the smallest D of the hub's nodes.
+    than the smallest D of the hub's nodes. What stands before the first common token, at i of
+    D(x) and j of D(y), is not common, and the rests differ by their lengths at least: a pair
+    is taken only if i + j + ||D(x)| - i - |D(y)| + j| is at most t.
     The order puts tokens last that an eighth of the differences from this hub hold or more, and
     before these the tokens that the hub has. If the differences
     need not meet at all, |D(x)| + |D(y)| <= t, both reach 4/5 with the hub, whose pairs with
@@ -355,10 +357,12 @@ def _differences(met: DataFrame, crowded: DataFrame, nodes: DataFrame, docs: Dat
     def role(side: str) -> DataFrame:
         tokens = F.slice(order, F.lit(1), (F.floor(lacking[side] + 1e-6) + 1).cast("int"))
         return index.join(often, "hub", "left").join(sizes, "hub").select(
-            "hub", F.explode(tokens).alias("token"), *[F.col(c).alias(c + side) for c in ("fp", "g", "n", "d")])
+            "hub", F.posexplode(tokens).alias("at" + side, "token"),
+            *[F.col(c).alias(c + side) for c in ("fp", "g", "n", "d")])
 
     pairs = role("a").join(role("b"), ["hub", "token"]).where(
-        "ga <> gb and da <= db and 9 * (db - da) <= na + nb and 5 * na >= 4 * nb and 5 * nb >= 4 * na")
+        "ga <> gb and da <= db and 5 * na >= 4 * nb and 5 * nb >= 4 * na "
+        "and 9 * (ata + atb + abs(da - ata - db + atb)) <= na + nb")
     pairs = pairs.select("fpa", "fpb").unionByName(
         near.where("hub <> fp").select(F.col("hub").alias("fpa"), F.col("fp").alias("fpb")))
     return pairs.select(F.least("fpa", "fpb").alias("a"), F.greatest("fpa", "fpb").alias("b"))
