@@ -101,6 +101,29 @@ def chunks(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, np.
         row = end
 
 
+def cuts(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """(first row, end row) of groups of rows of ``limit`` together; a larger row is alone."""
+    done = np.concatenate([[0], np.cumsum(sizes)])
+    row = 0
+    while row < len(sizes):
+        end = max(row + 1, int(np.searchsorted(done, done[row] + limit, "right")) - 1)
+        yield row, end
+        row = end
+
+
+def parts(column: pa.Array, limit: int) -> Iterator[pa.Array]:
+    """Views of the rows of a text or list column, some ``limit`` bytes or entries each.
+
+    What a task derives from a column is then bounded, however large the Arrow batch.
+    """
+    import pyarrow.compute as pc
+
+    lists = pa.types.is_list(column.type) or pa.types.is_large_list(column.type)
+    length = pc.list_value_length if lists else pc.binary_length
+    for row, end in cuts(length(column).fill_null(0).to_numpy(zero_copy_only=False), limit):
+        yield column.slice(row, end - row)
+
+
 def word_spans(blank: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of runs that are not blank; a run ends with its document."""
     word = ~blank

@@ -42,6 +42,11 @@ SHORT = 48
 UNKNOWN_PENALTY = 10.0
 #: About what a byte of text costs in log score.
 SCALE = 2.5
+#: Bytes of text, or four times as many as piece ids, that are encoded or decoded at once: a task
+#: holds copies of so much, not of a whole Arrow batch, and hands out as small ones.
+PART = 1 << 21
+#: Bytes of an Arrow batch where texts are only counted.
+BATCH = 4 << 20
 #: Units that a worker keeps with their ids, by hash; beyond that it starts anew.
 KEPT_UNITS = 500_000
 
@@ -84,6 +89,16 @@ class Pieces:
         """The ids of units met before, in a list of one; a worker keeps them with the pieces."""
         return [textvec.SpanIds()]
 
+    @cached_property
+    def shown(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes that pieces decode to, one after the other, their starts and lengths."""
+        table = [piece.replace(MARKER.encode(), b" ") for piece in self.pieces]
+        for b, i in enumerate(self.bytes_):
+            if i >= 0:
+                table[i] = bytes([b])
+        lengths = np.array([len(t) for t in table], np.int64)
+        return np.frombuffer(b"".join(table), np.uint8), np.cumsum(lengths) - lengths, lengths
+
     @cached_property
     def lowest(self) -> float:
         """The score of a character that no piece covers."""
@@ -393,19 +408,12 @@ def encode_column(texts: pa.Array, p: Pieces) -> pa.Array:
 
 def decode_column(ids: pa.Array, p: Pieces) -> pa.Array:
     """The text of each list of piece ids; invalid byte sequences become U+FFFD."""
-    table = [piece.replace(MARKER.encode(), b" ") for piece in p.pieces]
-    for b, i in enumerate(p.bytes_):
-        if i >= 0:
-            table[i] = bytes([b])
-    lengths = np.array([len(t) for t in table], np.int64)
-    starts = np.cumsum(lengths) - lengths
-    held = np.frombuffer(b"".join(table), np.uint8)
+    held, starts, lengths = p.shown
     nulls = ids.is_null().to_numpy(zero_copy_only=False)
-    out, row, counts = [], 0, ids.value_lengths().fill_null(0).to_numpy()
+    out, counts = [], ids.value_lengths().fill_null(0).to_numpy()
     values = ids.flatten().to_numpy()
     bounds = np.concatenate([[0], np.cumsum(counts)])
-    while row < len(ids):
-        end = max(row + 1, int(np.searchsorted(bounds, bounds[row] + textvec.CHUNK, "right")) - 1)
+    for row, end in textvec.cuts(counts, textvec.CHUNK // 4):
         part = values[bounds[row]:bounds[end]]
         raw = held[textvec.ranges(starts[part], lengths[part])].tobytes()
         done = np.concatenate([[0], np.cumsum(lengths[part])])[bounds[row:end + 1] - bounds[row]]
@@ -413,15 +421,15 @@ def decode_column(ids: pa.Array, p: Pieces) -> pa.Array:
             # The blank in front stands for the marker that encoding puts there.
             a += raw[a:a + 1] == b" " and a < b
             out.append(None if null else raw[a:b].decode("utf-8", "replace"))
-        row = end
     return pa.array(out, pa.string())
 
 
 def unit_counts(docs: DataFrame, held: Broadcast, text: str = "text") -> DataFrame:
     """(unit, n): the distinct units of all texts and how often each occurs, by broadcast pieces."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, buf, offs in textvec.chunks(_marked(batch.column(0).fill_null(""))):
+        texts = (part for batch in batches for part in textvec.parts(batch.column(0), PART))
+        for part in texts:
+            for _, _, buf, offs in textvec.chunks(_marked(part.fill_null(""))):
                 begins, ends = _unit_spans(buf, offs, held.value)
                 _, first, inverse = _distinct(buf, begins, ends)
                 units = _units(buf, begins[first], ends[first])
@@ -456,7 +464,7 @@ def fit(docs: DataFrame, path: str, p: Parameters = Parameters(), text: str = "t
     """The pieces of a file with log scores estimated by EM over all texts of ``docs``."""
     spark, model, before = docs.sparkSession, start(load(path)), None
     held = broadcast_value(spark, model)
-    units = stored(unit_counts(docs, held, text), "units")
+    units = stored(unit_counts(docs, held, text), "units", None, BATCH)
     for _ in range(p.steps):
         # Workers keep what was broadcast: only the scores are sent anew.
         scores = model.scores
@@ -490,14 +498,27 @@ def fit(docs: DataFrame, path: str, p: Parameters = Parameters(), text: str = "t
     return model
 
 
+def encoded(batches: Iterator[pa.Array], p: Pieces) -> Iterator[pa.Array]:
+    """The piece ids of batches of texts, in smaller batches."""
+    for batch in batches:
+        for part in textvec.parts(batch, PART):
+            yield encode_column(part, p)
+
+
+def decoded(batches: Iterator[pa.Array], p: Pieces) -> Iterator[pa.Array]:
+    """The texts of batches of lists of piece ids, in smaller batches."""
+    for batch in batches:
+        for part in textvec.parts(batch, PART // 4):
+            yield decode_column(part, p)
+
+
 def encode(text: Column, model: Pieces, df: DataFrame) -> Column:
     """Piece ids of a text column of ``df``."""
     held = broadcast_value(df.sparkSession, model)
 
     @F.arrow_udf("array<int>")
     def piece_ids(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in texts:
-            yield encode_column(batch, held.value)
+        return encoded(texts, held.value)
 
     return piece_ids(text)
 
@@ -508,7 +529,6 @@ def decode(ids: Column, model: Pieces, df: DataFrame) -> Column:
 
     @F.arrow_udf("string")
     def piece_text(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in lists:
-            yield decode_column(batch, held.value)
+        return decoded(lists, held.value)
 
     return piece_text(ids)

@@ -89,3 +89,22 @@ def test_a_worker_keeps_units_with_their_pieces():
     held = p.met[0].used
     assert held and unigram.encode_column(texts, p).equals(first) and p.met[0].used == held
     assert first.to_pylist() == [[1, 4, 1, 3], None, [1, 4, 1, 2, 1, 4], []]
+
+
+def test_a_large_batch_is_encoded_and_decoded_in_small_ones(monkeypatch):
+    """A whole batch of many texts was held in several copies at once."""
+    p = unigram.Pieces((b"<unk>", b"\xe2\x96\x81", b"a", b"b", b"ab"), np.array([0, -2, -3, -3, -1.0]),
+                       np.full(256, -1, np.int32), 0, *unigram.double_array(
+                           {b"\xe2\x96\x81": 1, b"a": 2, b"b": 3, b"ab": 4}))
+    monkeypatch.setattr(unigram, "PART", 64)
+    texts = pa.array(["ab b", None, "", "ab" * 200, "b a"] * 30 + [None, ""])
+    batches = [texts, texts[:0], texts[3:50], texts[1:3]]
+    rows = [t for b in batches for t in b.to_pylist()]
+    ids = list(unigram.encoded(iter(batches), p))
+    assert all(len(b) == 1 or len(b.flatten()) <= 64 for b in ids) and len(ids) > 60
+    assert [r for b in ids for r in b.to_pylist()] == [
+        r for b in batches for r in unigram.encode_column(b, p).to_pylist()]
+    whole = [unigram.encode_column(b, p) for b in batches]
+    back = list(unigram.decoded(iter(whole), p))
+    assert all(len(b) == 1 or sum(map(len, filter(None, b.to_pylist()))) <= 64 for b in back)
+    assert [t for b in back for t in b.to_pylist()] == rows
