@@ -91,17 +91,21 @@ def composition(columns: list[CountColumn]) -> Column:
         + ")"
         for name, p in by_card.items())
     positions = F.expr(f"array({entries})")
+    # Few of the cells are not zero: one flat look at all of them finds those, in the cards' order.
+    flat = ", ".join(f"named_struct('card', {i}, 'position', {at})"
+                     for i, p in enumerate(by_card.values()) for k in DECK for at in p[k])
 
-    def live(s: Column, kind: str) -> Column:
-        return F.exists(s[kind], lambda p: F.coalesce(
-            ~cell_at(p).isin(*clean.ZERO_CELLS), F.lit(False)))
+    def live(entry: Column) -> Column:
+        cell = cell_at(entry["position"])
+        return (cell != "0") & ~cell.isin(*clean.ZERO_CELLS)
 
     def count(s: Column, kind: str) -> Column:
-        values = F.filter(F.transform(s[kind], lambda p: clean.count_or_zero(cell_at(p))),
-                          lambda v: v != 0)
-        return F.coalesce(F.get(values, F.size(values) - 1), F.lit(0))
+        values = F.filter(F.transform(s[kind], lambda p: F.when(cell_at(p) == "0", 0).otherwise(
+            clean.count_or_zero(cell_at(p)))), lambda v: v != 0)
+        return F.coalesce(F.try_element_at(values, F.lit(-1)), F.lit(0))
 
-    touched = F.filter(positions, lambda s: live(s, "deck") | live(s, "sideboard"))
+    touched = F.transform(F.array_distinct(F.filter(F.expr(f"array({flat})"), live)["card"]),
+                          lambda i: F.get(positions, i))
     counted = F.transform(touched, lambda s: F.struct(
         s["card_id"].alias("card_id"), count(s, "deck").alias("deck"),
         count(s, "sideboard").alias("sideboard")))

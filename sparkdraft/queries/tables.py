@@ -73,14 +73,24 @@ def _order_brands(spark: SparkSession, sf: str) -> DataFrame:
     by_brand = counts.groupBy("l_orderkey").agg(F.map_from_entries(
         F.collect_list(F.struct("n", F.struct("r", "k")))).alias("m"))
 
+    # The few brands of an order in their order; zeros fill the gaps in front, between and behind.
+    entries = F.array_sort(F.map_entries(F.map_filter("m", lambda n, _: n.between(1, BRANDS))))
+
     def text(kind: str) -> Column:
-        return F.array_join(F.transform(
-            F.sequence(F.lit(1), F.lit(BRANDS)),
-            lambda n: F.coalesce(F.col("m")[n][kind], F.lit(0)).cast("string")), ",").alias(kind)
+        def cell(e: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(F.col("m"), i - 1)["key"], F.lit(0))
+            return F.concat(F.repeat(F.lit("0,"), e["key"] - before - 1),
+                            e["value"][kind].cast("string"))
+
+        last = F.coalesce(F.get(F.col("m"), F.size("m") - 1)["key"], F.lit(0))
+        return F.concat(F.array_join(F.transform("m", cell), ","),
+                        F.repeat(F.lit(",0"), BRANDS - last)).alias(kind)
 
-    joined = orders.join(by_brand, orders.o_orderkey == by_brand.l_orderkey, "left")
+    joined = orders.join(by_brand.withColumn("m", entries),
+                         orders.o_orderkey == by_brand.l_orderkey, "left")
     empty = F.lit(",".join(["0"] * BRANDS))
-    return joined.withColumns({k: F.coalesce(text(k), empty) for k in ("r", "k")}).drop("m")
+    return joined.withColumns({k: F.when(F.size("m") > 0, text(k)).otherwise(empty)
+                               for k in ("r", "k")}).drop("m")
 
 
 def pick_source(spark: SparkSession, sf: str) -> WideSource:

@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from sparkdraft.functions import keys
 from sparkdraft.plans import game, replay
-from sparkdraft.sources.layout import Layout
+from sparkdraft.sources.layout import CountColumn, Layout, sql_literal
 from sparkdraft.sources.text import WideSource, keyed_lines, read_bronze, write_bronze
 
 KEY = ("draft_id", "match_number", "game_number")
@@ -61,3 +62,20 @@ def test_compositions(spark, tmp_path):
     assert splits(found) == 1
     assert sorted((r.build_index, r.drifted) for r in found.collect()) == [(1, True), (2, False)]
     assert [(r.deck_count, r.sideboard_count) for r in game.deck_build_cards(found).collect()] == [(2, 0)]
+
+
+def test_composition_looks_at_cells_once(spark):
+    """Every cell was tested card by card, and a count was parsed twice."""
+    columns = [CountColumn(n, kind, name) for n, (kind, name) in enumerate([
+        ("deck", "A"), ("sideboard", "A"), ("deck", "B"), ("deck", "A"), ("sideboard", "B"), ("deck", "C")])]
+    lines = [["1", "0", "2", "0", "", "0.0"], ["1", "0", "0", "3", "2.0", "x"], ["0", "00", "", "0.0", "0", "7"],
+             ["0"], [None, "4", None, "2", None, None]]
+    rows = spark.createDataFrame(list(enumerate(lines)), "n int, cells array<string>")
+    found = rows.select("n", game.composition(columns).alias("deck"), *[
+        F.expr(keys.card_key_sql(sql_literal(c))).alias(c) for c in "ABC"])
+    names = {found.first()[c]: c for c in "ABC"}
+    assert {r.n: [(names[x.card_id], x.deck, x.sideboard) for x in r.deck] for r in found.collect()} == {
+        0: [("A", 1, 0), ("B", 2, 0)], 1: [("A", 3, 0), ("B", 0, 2)], 2: [("C", 7, 0)], 3: [],
+        4: [("A", 2, 4)]}
+    text = str(game.composition(columns)).lower()
+    assert "exists(" not in text and text.count("rlike") == 4  # two kinds, two each
