@@ -45,18 +45,24 @@ def matrix_entries(pairs: DataFrame, index: DataFrame, value: str = "ppmi") -> D
 
 
 def decompose(entries: DataFrame, n_items: int, components: int, seed: int = 42,
-              scratch: str | None = None) -> Decomposition:
+              scratch: str | None = None, zero_ok: bool = False) -> Decomposition:
     """Truncated SVD of a symmetric matrix, with at most ``n_items - 1`` components.
 
     Directions that are numerically zero come back as sigma = 0 with a zero column in U.
     Each column's sign is fixed: its entry of largest magnitude is positive.
+    A matrix without entries is refused, unless ``zero_ok``: then its components, of which
+    fewer than two items have none, are all of that kind.
     """
     spark = entries.sparkSession
     n_nonzero = entries.count()
-    if n_items < 2 or n_nonzero == 0:
+    if not zero_ok and (n_items < 2 or n_nonzero == 0):
         raise ValueError("not enough positive association to decompose")
-    k = min(components, n_items - 1)
-    found = subspace.leading(entries, n_items, k, seed, scratch or work_dir(spark, "subspace"))
+    k = max(min(components, n_items - 1), 0)
+    if k:
+        found = subspace.leading(entries, n_items, k, seed, scratch or work_dir(spark, "subspace"))
+    else:
+        empty = spark.createDataFrame([(i, []) for i in range(n_items)], "idx long, u array<double>")
+        found = subspace.Leading(empty, [], 0.0)
     sigma = spark.createDataFrame(list(enumerate(found.sigma)), "k int, sigma double")
     return Decomposition(_fix_signs(found.u), sigma, n_items, n_nonzero, k, found.residual)
 
@@ -111,7 +117,7 @@ def non_finite(d: Decomposition) -> DataFrame:
 def explained_variance(d: Decomposition, entries: DataFrame) -> DataFrame:
     """Share of the column variance of M that U diag(sigma) keeps (one row).
 
-    The variance of M counts the zeros that are not stored.
+    The variance of M counts the zeros that are not stored. A zero matrix has no share: NULL.
     """
     n = F.lit(float(d.n_items))
     scaled = d.u.select(F.posexplode("u").alias("k", "x")).join(F.broadcast(d.sigma), "k").select(

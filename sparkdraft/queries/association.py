@@ -142,7 +142,8 @@ def ppmi_matrix(spark: SparkSession, sf: str) -> DataFrame:
 def _decomposed(spark: SparkSession, sf: str, components: int = 64):
     items, entries = _entries(spark, sf)
     entries = entries.persist()  # narrow: one row per positive pair and side
-    return items, entries, factor.decompose(entries, items.count(), components)
+    # Many orders and few names leave no positive pair: the matrix is zero then.
+    return items, entries, factor.decompose(entries, items.count(), components, zero_ok=True)
 
 
 @query("svd_sigma")

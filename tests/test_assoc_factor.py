@@ -3,12 +3,14 @@ import math
 import subprocess
 import sys
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from sparkdraft.plans import assoc, factor, subspace
+from sparkdraft.queries import all_oracles, association
 from sparkdraft.sources.store import Store
 
 BUILDS = [("d1", 1), ("d1", 2), ("d2", 3), ("d3", 4)]
@@ -162,6 +164,48 @@ def test_svd_limits(spark):
         factor.decompose(small.where("value > 9"), 3, 2)
 
 
+def test_svd_of_a_zero_matrix(spark):
+    zero = matrix(spark, [[0, 1], [1, 0]]).where("value > 9")
+    for items, components in ((90, 4), (5, 4), (1, 0), (0, 0)):
+        d = factor.decompose(zero, items, 4, zero_ok=True)
+        assert d.components == components and [r.sigma for r in d.sigma.collect()] == [0.0] * components
+        assert d.u.count() == items and d.u.where(F.size("u") != components).isEmpty()
+        assert factor.non_finite(d).isEmpty() and factor.products(d).where("dot <> 0").isEmpty()
+        assert [r.explained_variance for r in factor.explained_variance(d, zero).collect()] == [None]
+
+
+def tables(spark, sf, orders):
+    """``sf`` with a part for each name and the orders, given by their names."""
+    names = sorted({n for names in orders for n in names})
+    lines = [(o, names.index(n)) for o, order in enumerate(orders) for n in order]
+    for table, rows, schema in (
+            ("part", list(enumerate(names)), "p_partkey long, p_name string"),
+            ("orders", [(o, o) for o in range(len(orders))], "o_orderkey long, o_custkey long"),
+            ("lineitem", lines, "l_orderkey long, l_partkey long")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{sf}/{table}.parquet")
+    return sf
+
+
+def oracle(sf, sql):
+    con = duckdb.connect()
+    for table in ("part", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet/*.parquet'")
+    return sorted(con.execute(sql).fetchall())
+
+
+def test_svd_queries_without_positive_pairs(spark, tmp_path):
+    """Five names that no two of an order share: the matrix has no entry."""
+    sf = tables(spark, str(tmp_path / "sf"), [[n] for n in "abcde"])
+    assert association.ppmi_matrix(spark, sf).isEmpty()
+    assert [r.sigma for r in association.svd_sigma(spark, sf).collect()] == [0.0] * 4
+    rows = association.svd_factors(spark, sf).collect()
+    assert sorted(r.card_name for r in rows) == list("abcde") and {tuple(r.u) for r in rows} == {(0.0,) * 4}
+    pairs = association.svd_orthogonality(spark, sf).select("a", "b", "orthogonal").collect()
+    assert sorted(map(tuple, pairs)) == oracle(sf, all_oracles()["svd_orthogonality"])
+    assert association.svd_residuals(spark, sf).where("solves and is_sigma").count() == 4
+    assert [r.explained_variance for r in association.explained_variance(spark, sf).collect()] == [None]
+
+
 def test_factorise_job(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     builds, decks, cards = frames(spark)
