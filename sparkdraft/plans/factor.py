@@ -20,7 +20,7 @@ from sparkdraft.sources.store import Store
 class Decomposition:
     """M ~ U diag(sigma) V^T of an item-by-item matrix."""
 
-    u: DataFrame      # idx, u array<double>
+    u: DataFrame      # idx, u array<double>: orthonormal columns, also where sigma is 0
     sigma: DataFrame  # k, sigma
     n_items: int
     n_nonzero: int
@@ -48,10 +48,10 @@ def decompose(entries: DataFrame, n_items: int, components: int, seed: int = 42,
               scratch: str | None = None, zero_ok: bool = False) -> Decomposition:
     """Truncated SVD of a symmetric matrix, with at most ``n_items - 1`` components.
 
-    Directions that are numerically zero come back as sigma = 0 with a zero column in U.
-    Each column's sign is fixed: its entry of largest magnitude is positive.
-    A matrix without entries is refused, unless ``zero_ok``: then its components, of which
-    fewer than two items have none, are all of that kind.
+    Directions that are numerically zero come back as sigma = 0 with some unit vectors of the
+    null space; `factors` leaves these out. Each column's sign is fixed: its entry of largest
+    magnitude is positive. A matrix without entries is refused, unless ``zero_ok``: then its
+    components, of which fewer than two items have none, are all of that kind.
     """
     spark = entries.sparkSession
     n_nonzero = entries.count()
@@ -77,6 +77,13 @@ def _fix_signs(u: DataFrame) -> DataFrame:
     return u.withColumn("signs", signs.scalar()).select("idx", signed.alias("u"))
 
 
+def factors(d: Decomposition) -> DataFrame:
+    """(idx, u): the rows of U = M V / sigma; a column is zero where sigma is."""
+    sigma = d.sigma.agg(F.array_sort(F.collect_list(F.struct("k", "sigma"))).alias("s"))  # k rows
+    given = F.zip_with("u", "sigmas", lambda x, s: F.when(s["sigma"] > 0, x).otherwise(0.0))
+    return d.u.withColumn("sigmas", sigma.scalar()).select("idx", given.alias("u"))
+
+
 def residuals(d: Decomposition, entries: DataFrame) -> DataFrame:
     """(k, residual, norm): the norm of M u - lambda u and of u, for each component.
 
@@ -158,11 +165,11 @@ def factorise(spark: SparkSession, root: str, artifact: str,
         scratch=f"{artifact}/_work/probabilities"))
     entries = _kept(matrix_entries(pairs, items), f"{artifact}/entries")
     d = decompose(entries, n_items, p.components, p.random_state, f"{artifact}/_work/subspace")
-    factors = _kept(items.join(d.u, "idx").select(
+    rows = _kept(items.join(factors(d), "idx").select(
         "idx", F.col("card_id").alias("item_id"), F.col("card_name").alias("name"), "u"),
         f"{artifact}/factors")
     sigma = _kept(d.sigma, f"{artifact}/sigma")
-    stored = Decomposition(factors.select("idx", "u"), sigma, d.n_items, d.n_nonzero, d.components,
+    stored = Decomposition(rows.select("idx", "u"), sigma, d.n_items, d.n_nonzero, d.components,
                            d.residual)
     if not non_finite(stored).isEmpty():
         raise ValueError("the decomposition holds non-finite values")

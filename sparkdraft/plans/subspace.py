@@ -186,7 +186,10 @@ def _orthonormal(work: Work, basis: DataFrame, old: int, new: int) -> tuple[Data
 
 
 def leading(entries: DataFrame, n_items: int, k: int, seed: int, scratch: str) -> Leading:
-    """The k eigenvalues of largest magnitude, as sigma, with their eigenvectors."""
+    """The k eigenvalues of largest magnitude, as sigma, with their orthonormal eigenvectors.
+
+    Values that are numerically zero come as 0, with unit vectors that the matrix takes to zero.
+    """
     spark, width = entries.sparkSession, min(n_items, k + GUARD)
     work = Work(scratch)
     matrix = work.written(matrix_blocks(entries))
@@ -211,7 +214,7 @@ def leading(entries: DataFrame, n_items: int, k: int, seed: int, scratch: str) -
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, q in zip(batch.column(0).to_pylist(), batch.column(1)):
-                u = _array(q, old)[:, :k] * live
+                u = _array(q, old)[:, :k]
                 at = np.arange(len(u) + 1, dtype=np.int32) * k
                 yield pa.RecordBatch.from_pydict({
                     "idx": pa.array(block * BLOCK + np.arange(len(u))),

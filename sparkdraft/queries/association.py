@@ -154,7 +154,7 @@ def svd_sigma(spark: SparkSession, sf: str) -> DataFrame:
 @query("svd_factors")
 def svd_factors(spark: SparkSession, sf: str) -> DataFrame:
     items, _, d = _decomposed(spark, sf)
-    return items.join(d.u, "idx").select("card_id", "card_name", "u")
+    return items.join(factor.factors(d), "idx").select("card_id", "card_name", "u")
 
 
 _N_ITEMS = f"""(SELECT count(DISTINCT p_name) FROM part WHERE p_name NOT IN ('{EXCLUDED[0]}')

@@ -164,13 +164,38 @@ def test_svd_limits(spark):
         factor.decompose(small.where("value > 9"), 3, 2)
 
 
+def assert_orthonormal(d, entries):
+    k = d.components
+    rows = factor.residuals(d, entries).collect()
+    assert len(rows) == k and all(r.residual <= 1e-9 and abs(r.norm - 1) <= 1e-9 for r in rows)
+    dots = factor.products(d).collect()
+    assert len(dots) == k * (k - 1) // 2 and all(abs(r.dot) <= 1e-9 for r in dots)
+
+
+def test_svd_of_fewer_directions_than_components(spark):
+    """Two pairs of 30 items, one of them stronger: four directions are not zero."""
+    m = np.zeros((30, 30))
+    m[3, 8] = m[8, 3] = 2.0
+    m[20, 29] = m[29, 20] = 0.5
+    entries = matrix(spark, m)
+    for components in (9, 29):
+        d = factor.decompose(entries, 30, components)
+        sigma = [r.sigma for r in d.sigma.orderBy("k").collect()]
+        assert np.allclose(sigma[:4], [2, 2, 0.5, 0.5]) and sigma[4:] == [0.0] * (components - 4)
+        assert_orthonormal(d, entries)
+        given = np.array([r.u for r in factor.factors(d).orderBy("idx").collect()])
+        assert np.allclose(np.linalg.norm(given, axis=0), [1.0] * 4 + [0.0] * (components - 4))
+        assert np.allclose(given[:, :4], np.array([r.u[:4] for r in d.u.orderBy("idx").collect()]))
+
+
 def test_svd_of_a_zero_matrix(spark):
     zero = matrix(spark, [[0, 1], [1, 0]]).where("value > 9")
     for items, components in ((90, 4), (5, 4), (1, 0), (0, 0)):
         d = factor.decompose(zero, items, 4, zero_ok=True)
         assert d.components == components and [r.sigma for r in d.sigma.collect()] == [0.0] * components
         assert d.u.count() == items and d.u.where(F.size("u") != components).isEmpty()
-        assert factor.non_finite(d).isEmpty() and factor.products(d).where("dot <> 0").isEmpty()
+        assert factor.non_finite(d).isEmpty() and factor.factors(d).where("exists(u, x -> x <> 0)").isEmpty()
+        assert_orthonormal(d, zero)
         assert [r.explained_variance for r in factor.explained_variance(d, zero).collect()] == [None]
 
 
@@ -200,12 +225,22 @@ def test_svd_queries_without_positive_pairs(spark, tmp_path):
     assert [r.sigma for r in association.svd_sigma(spark, sf).collect()] == [0.0] * 4
     rows = association.svd_factors(spark, sf).collect()
     assert sorted(r.card_name for r in rows) == list("abcde") and {tuple(r.u) for r in rows} == {(0.0,) * 4}
-    pairs = association.svd_orthogonality(spark, sf).select("a", "b", "orthogonal").collect()
-    assert sorted(map(tuple, pairs)) == oracle(sf, all_oracles()["svd_orthogonality"])
-    assert association.svd_residuals(spark, sf).where("solves and is_sigma").count() == 4
+    for name in ("svd_residuals", "svd_orthogonality"):
+        got = getattr(association, name)(spark, sf).collect()
+        assert sorted(map(tuple, got)) == oracle(sf, all_oracles()[name])
     assert [r.explained_variance for r in association.explained_variance(spark, sf).collect()] == [None]
 
 
+def test_svd_residuals_of_one_positive_pair(spark, tmp_path):
+    """Two components of four are the pair a, b; the others are unit vectors of sigma 0."""
+    sf = tables(spark, str(tmp_path / "sf"), ["ab", "c", "d", "e"])
+    sigma = sorted(r.sigma for r in association.svd_sigma(spark, sf).collect())
+    assert sigma[:2] == [0.0, 0.0] and sigma[2] > 0.1
+    for name in ("svd_residuals", "svd_orthogonality"):
+        got = getattr(association, name)(spark, sf).collect()
+        assert sorted(map(tuple, got)) == oracle(sf, all_oracles()[name])
+
+
 def test_factorise_job(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     builds, decks, cards = frames(spark)
